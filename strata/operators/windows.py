@@ -2,9 +2,9 @@
 
 Frames without ``partition_by`` run in one task; use them only on inputs
 whose size is bounded by a calendar or a dimension (one row per day, per
-zone), i.e. after aggregation — never on raw facts. ``latest_per_key`` is an
-aggregate, not a window, so a key holding a third of all rows is combined
-map-side instead of landing whole in one task.
+zone), i.e. after aggregation — never on raw facts. ``latest_per_key`` is
+limited per task before its shuffle (WindowGroupLimit), so a key holding a
+third of all rows does not land whole in one task.
 """
 
 from __future__ import annotations
@@ -43,28 +43,18 @@ def rank_desc(value: str, partition_by: Sequence[str] | None = None,
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str],
                    rn_col: str | None = "rn") -> DataFrame:
-    """Keep one row per key: the one with the largest ``order`` tuple.
+    """Keep one row per key: the one with the largest ``order`` tuple
+    (``row_number() over (partition by keys order by order desc) = 1``).
 
-    Equal to ``row_number() over (partition by keys order by order desc) = 1``
-    when ``order`` breaks all ties. Written as ``max(struct(order, row))`` so
-    Spark combines partially before the shuffle: a hot key costs one buffer
-    per task, not one task holding all of its rows. ``rn_col`` keeps the
-    (always 1) row-number column that the window form leaves behind.
+    Spark plans this as a *partial* WindowGroupLimit before the shuffle: each
+    task keeps only its best row per key, so a key holding a third of all
+    rows ships one row per task, not all of them. ``order`` should break all
+    ties; ``rn_col`` keeps the row-number column (always 1), or drops it.
     """
-    keys = list(keys)
-    order = list(order)
-    rest = [c for c in df.columns if c not in keys and c not in order]
-    packed = F.struct(*[F.col(c).alias(f"o{i}") for i, c in enumerate(order)],
-                      F.struct(*rest).alias("r"))
-    best = df.groupBy(*keys).agg(F.max(packed).alias("__best"))
-    cols = [F.col(k) for k in keys]
-    for i, c in enumerate(order):
-        cols.append(F.col(f"__best.o{i}").alias(c))
-    cols += [F.col(f"__best.r.{c}").alias(c) for c in rest]
-    out = best.select(*cols).select(*df.columns)
-    if rn_col:
-        out = out.withColumn(rn_col, F.lit(1))
-    return out
+    w = Window.partitionBy(*keys).orderBy(*[F.col(c).desc_nulls_last() for c in order])
+    name = rn_col or "__rn"
+    out = df.withColumn(name, F.row_number().over(w)).filter(F.col(name) == 1)
+    return out if rn_col else out.drop(name)
 
 
 def row_ids(df: DataFrame, order: Sequence[str], col: str = "row_id",
