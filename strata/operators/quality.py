@@ -121,20 +121,33 @@ def row_count_between(lo: int, hi: int | None = None, name: str | None = None) -
 
 # ------------------------------------------------------------------ running
 
-def run_checks(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
-    """(check_id, check, status, detail) for every check, one scan of ``df``."""
+def run_checks(df: DataFrame, checks: Sequence[Check], overall: str | None = None) -> DataFrame:
+    """(check_id, check, status, detail) for every check, one scan of ``df``.
+
+    With ``overall`` a last row of that name passes when every check passes
+    (computed from the same single aggregate row, no second scan)."""
     aggs = [c.metric.alias(f"__m{i}") for i, c in enumerate(checks) if c.metric is not None]
     one = df.agg(*aggs) if aggs else df.sparkSession.range(1).select()
-    rows = []
+    rows, oks = [], []
     for i, c in enumerate(checks):
         m = F.col(f"__m{i}") if c.metric is not None else F.lit(None)
         ok = F.lit(bool(c.static)) if c.metric is None else F.coalesce(c.ok(m), F.lit(False))
-        rows.append(F.struct(F.lit(i + 1).alias("check_id"), F.lit(c.name).alias("check"),
-                             F.when(ok, F.lit(PASS)).otherwise(F.lit(FAIL)).alias("status"),
-                             F.coalesce(c.detail(m), F.lit("")).alias("detail")))
+        oks.append(ok)
+        rows.append(_row(i + 1, c.name, ok, F.coalesce(c.detail(m), F.lit(""))))
+    if overall is not None:
+        all_ok = F.lit(True)
+        for ok in oks:
+            all_ok = all_ok & ok
+        rows.append(_row(len(checks) + 1, overall, all_ok, F.lit("")))
     return one.select(F.inline(F.array(*rows)))
 
 
+def _row(i: int, name: str, ok: Column, detail: Column) -> Column:
+    return F.struct(F.lit(i).alias("check_id"), F.lit(name).alias("check"),
+                    F.when(ok, F.lit(PASS)).otherwise(F.lit(FAIL)).alias("status"),
+                    detail.alias("detail"))
+
+
 def score(results: DataFrame) -> DataFrame:
     """One row: total, passed, failed checks and the pass percentage."""
     return (results.agg(F.count(F.lit(1)).alias("total_checks"),

@@ -46,6 +46,17 @@ def tag_failures(df: DataFrame, rules: Sequence[Rule], col: str = "_failed") ->
     return df.withColumn(col, failed_rules(rules))
 
 
+def tag(df: DataFrame, rules: Sequence[Rule], reason: str | None = None,
+        reason_col: str = "_quarantine_reason") -> DataFrame:
+    """One pass: ``reason_col`` is null for clean rows, else a fixed text
+    (``reason``) or the broken rule names joined by ', '. Write the tagged
+    frame once (e.g. partitioned by ``reason_col is null``) instead of
+    filtering the source twice."""
+    fails = failed_rules(rules)
+    text = F.lit(reason) if reason is not None else F.array_join(fails, ", ")
+    return df.withColumn(reason_col, F.when(~_conj(rules), text))
+
+
 def split(df: DataFrame, rules: Sequence[Rule], reason: str | None = None,
           reason_col: str = "_quarantine_reason",
           failed_col: str | None = None) -> tuple[DataFrame, DataFrame]:

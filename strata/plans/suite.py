@@ -168,10 +168,63 @@ def hourly_demand(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def dashboard(spark: SparkSession, sf: str) -> DataFrame:
-    s = _silver(spark, sf)
+    """Silver is written once; both gold tables read it back."""
+    s = sinks.persist(_silver(spark, sf), scratch_path(spark, "silver"))
     return M.dashboard(M.daily_revenue(s), M.zone_performance(s))
 
 
+def gold_tables(spark: SparkSession, sf: str) -> DataFrame:
+    """Silver written once; the three gold tables overwritten as external
+    tables; (table, rows) read back from the catalog."""
+    s = sinks.persist(_silver(spark, sf), scratch_path(spark, "silver"))
+    tag = scratch_path(spark, "gold").rsplit("-", 1)[-1]
+    gold = {"gold_daily_revenue": M.daily_revenue(s, run_ts=RUN_TS),
+            "gold_zone_performance": M.zone_performance(s, run_ts=RUN_TS),
+            "gold_hourly_demand": _events_hourly(spark, sf)}
+    out = None
+    for name, df in gold.items():
+        table = f"{name}_{tag}"
+        sinks.overwrite_table(df, table, scratch_path(spark, name))
+        n = readers.read_catalog(spark, table).agg(F.count(F.lit(1)).alias("rows")) \
+            .select(F.lit(name).alias("table_name"), "rows")
+        out = n if out is None else out.unionByName(n)
+    return out
+
+
+def run_history(spark: SparkSession, sf: str) -> DataFrame:
+    """One audit record per order year appended to an audit table, then the
+    latest five runs (a top-n report)."""
+    o = _t(spark, sf, "orders")
+    audit = (o.groupBy(F.year("o_orderdate").alias("y")).agg(
+                F.count(F.lit(1)).alias("rows_written"),
+                F.count_if(F.col("o_orderkey").isNull()).alias("null_keys"),
+                F.max("o_orderdate").alias("run_ts"))
+              .select(F.lit("bronze").alias("layer"), F.lit("orders").alias("table_name"),
+                      F.concat(F.lit("year_"), F.col("y").cast("string")).alias("batch_id"),
+                      "rows_written", "null_keys", "run_ts"))
+    table = "pipeline_audit_" + scratch_path(spark, "audit").rsplit("-", 1)[-1]
+    sinks.append_table(audit, table)
+    return sinks.run_history(readers.read_catalog(spark, table), 5)
+
+
+def zone_file_join(spark: SparkSession, sf: str) -> DataFrame:
+    """Zone lookup landed as a CSV file (header, inferred types) and joined;
+    a second lookup at a path that does not exist falls back to typed
+    null columns."""
+    path = scratch_path(spark, "zone-csv")
+    sinks.write_csv(adapter.zones(spark, sf), path)
+    found = readers.read_optional(spark, path, "csv", options={"header": "true",
+                                                               "inferSchema": "true"})
+    missing = readers.read_optional(spark, scratch_path(spark, "absent"), "csv",
+                                    options={"header": "true"})
+    t = M.attach_zones(adapter.trips(spark, sf), found)
+    if missing is None:
+        t = enrich.add_missing(t, {"dropoff_zone_name": "string"})
+    else:
+        t = enrich.enrich(t, missing, "DOLocationID", "LocationID", {"Zone": "dropoff_zone_name"})
+    return t.select(*TRIP_KEYS, "pickup_borough", "pickup_zone_name", "dropoff_zone_name")
+
+
 # ---------------------------------------------------------- staging / mart
 
 def _staged(spark, sf):
@@ -305,16 +358,21 @@ def _gate_input(spark, sf):
 
 
 def quarantine(spark: SparkSession, sf: str) -> DataFrame:
+    """Tag every row once, write clean and quarantined rows in one pass
+    (routed by partition), then append the quarantined part to the
+    bad-records folder from the written files."""
     g = _gate_input(spark, sf).withColumns({
         "payment_type_code": F.nullif(F.col("payment_type_code"), F.lit(5)),
         "fare_usd": F.when(F.col("pickup_location_id") == 0, None)
                      .otherwise(F.col("fare_usd"))})
-    clean, bad = rules.split(g, gate.quarantine_rules(), reason=gate.QUARANTINE_REASON)
-    path = scratch_path(spark, "quarantine")
-    sinks.write_quarantine(bad, path)
-    back = spark.read.parquet(path)
-    return (clean.withColumn("_quarantine_reason", F.lit(None).cast("string"))
-                 .unionByName(back))
+    tagged = rules.tag(g, gate.quarantine_rules(), reason=gate.QUARANTINE_REASON)
+    routed = scratch_path(spark, "routed")
+    sinks.write_routed(tagged, routed, "_quarantined", F.col("_quarantine_reason").isNotNull())
+    back = spark.read.parquet(routed)
+    quarantined = back.filter(F.col("_quarantined").cast("string") == "true")
+    sinks.write_quarantine(quarantined.drop("_quarantined"),
+                           scratch_path(spark, "bad-records"))
+    return back.drop("_quarantined")
 
 
 def quality_checks(spark: SparkSession, sf: str) -> DataFrame:
@@ -333,12 +391,7 @@ def _daily_series(spark, sf):
 
 def series_checks(spark: SparkSession, sf: str) -> DataFrame:
     s = etl.weather_features(_daily_series(spark, sf))
-    res = Q.run_checks(s, etl.series_checks(s))
-    overall = Q.all_passed(res).select(
-        F.lit(len(etl.series_checks(s)) + 1).alias("check_id"), F.lit("Overall").alias("check"),
-        F.when(F.col("all_passed"), F.lit(Q.PASS)).otherwise(F.lit(Q.FAIL)).alias("status"),
-        F.lit("").alias("detail"))
-    return res.unionByName(overall)
+    return Q.run_checks(s, etl.series_checks(s), overall="Overall")
 
 
 def quality_score(spark: SparkSession, sf: str) -> DataFrame:
@@ -393,13 +446,13 @@ EVENT_CLASSES = {"view": "browse", "click": "browse", "purchase": "revenue",
 
 
 def tax_and_range(spark: SparkSession, sf: str) -> DataFrame:
-    d = _daily_series(spark, sf)
-    ev = _t(spark, sf, "events").groupBy(F.to_date("ts").alias("date")).agg(
+    d = _t(spark, sf, "events").groupBy(F.to_date("ts").alias("date")).agg(
+        F.max("value").alias("hi"), F.min("value").alias("lo"),
         F.sum("value").alias("day_value"))
-    return d.join(ev, "date").select(
+    return d.select(
         "date",
-        C.half_up((F.col("temp_max_c") + F.col("temp_min_c")) / 2, 1).alias("mid_value"),
-        C.half_up(F.col("temp_max_c") - F.col("temp_min_c"), 1).alias("value_range"),
+        C.half_up((F.col("hi") + F.col("lo")) / 2, 1).alias("mid_value"),
+        C.half_up(F.col("hi") - F.col("lo"), 1).alias("value_range"),
         C.scaled("day_value", 1.18, 2).alias("value_with_tax"))
 
 
@@ -469,7 +522,7 @@ def _message_rows(spark, sf):
 def publish_json(spark: SparkSession, sf: str) -> DataFrame:
     rows = _message_rows(spark, sf)
     path = scratch_path(spark, "publish")
-    publish.publish_files(rows, "user_id", path, partitions=3,
+    publish.publish_files(rows, "user_id", path,
                           fields=["event_id", "ts", "user_id", "status", "amount", "props"])
     lines = spark.read.text(path)
     good, _ = monitor.parse_events(lines, monitor.TABLE_EVENT)
@@ -528,7 +581,7 @@ def stream_upsert(spark: SparkSession, sf: str) -> DataFrame:
     rows = _message_rows(spark, sf)
     fields = ["event_id", "ts", "user_id", "status", "amount", "props"]
     src = scratch_path(spark, "stream-up")
-    publish.publish_files(rows, "user_id", f"{src}/d1", 3, fields)
+    publish.publish_files(rows, "user_id", f"{src}/d1", None, fields)
     ckpt, log = scratch_path(spark, "ckpt"), scratch_path(spark, "stream-log")
 
     def run():
@@ -540,6 +593,6 @@ def stream_upsert(spark: SparkSession, sf: str) -> DataFrame:
     run()
     settled = rows.filter(F.col("event_type") == "purchase").withColumn(
         "status", F.lit("SETTLED"))
-    publish.publish_files(settled, "user_id", f"{src}/d2", 3, fields)
+    publish.publish_files(settled, "user_id", f"{src}/d2", None, fields)
     run()
     return monitor.latest_events(spark.read.parquet(log), "event_id", [])

@@ -4,7 +4,7 @@ history, view-or-table materialization, quarantine output.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -59,6 +59,22 @@ def write_quarantine(bad: DataFrame, path: str) -> None:
     bad.write.mode("append").parquet(path)
 
 
+def write_routed(tagged: DataFrame, path: str, flag_col: str, flag: Column) -> None:
+    """One pass over a tagged frame: rows land under ``flag_col=true/false``
+    sub-folders (e.g. quarantined or not), readable alone by partition
+    pruning."""
+    tagged.withColumn(flag_col, flag).write.mode("overwrite").partitionBy(flag_col).parquet(path)
+
+
+def persist(df: DataFrame, path: str) -> DataFrame:
+    """Write a layer once and read it back: later plans start from the
+    written columns (pruned, pushed down) instead of recomputing joins, and
+    the lineage is cut, so a lost executor re-reads files instead of
+    replaying the upstream shuffles."""
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def materialize(df: DataFrame, name: str, as_table: bool = False,
                 path: str | None = None) -> DataFrame:
     """A model as a view (inlined by later plans) or as a table (a cut point)."""

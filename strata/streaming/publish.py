@@ -1,8 +1,10 @@
 """Keyed JSON publisher: any table -> (key, value) messages.
 
-The message key decides placement: every message of one key lands in the
-same partition, so per-key order is kept. Sinks: Kafka (connector needed,
-``acks=all`` and retries as producer options) or JSON-lines text files.
+The message key decides placement. On Kafka the producer hashes the key to
+a topic partition itself, so per-key order holds whatever Spark's
+partitioning. For files, messages are *rebalanced* by key: each key's
+messages share a file, except that AQE splits a key holding a large share
+of the data over several files (a hot key never becomes one giant task).
 """
 
 from __future__ import annotations
@@ -21,15 +23,16 @@ def to_messages(df: DataFrame, key_col: str, fields: Sequence[str] | None = None
 
 
 def place_by_key(messages: DataFrame, partitions: int) -> DataFrame:
-    """Hash-place messages by key so one key's messages share a partition."""
-    return messages.repartition(partitions, "key")
+    """Hash-place messages by key (REBALANCE: skewed keys may be split)."""
+    return messages.hint("rebalance", partitions, "key")
 
 
-def publish_files(df: DataFrame, key_col: str, path: str, partitions: int = 3,
+def publish_files(df: DataFrame, key_col: str, path: str, partitions: int | None = None,
                   fields: Sequence[str] | None = None) -> None:
-    """Write messages as JSON-lines text, ``partitions`` files, one key per
-    file at most."""
-    msgs = place_by_key(to_messages(df, key_col, fields), partitions)
+    """Write messages as JSON-lines text, placed by key (``partitions``
+    target files, default the session's shuffle partitions)."""
+    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    msgs = place_by_key(to_messages(df, key_col, fields), n)
     msgs.select("value").write.mode("overwrite").text(path)
 
 
