@@ -59,7 +59,7 @@ def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(None).cast("double").alias("RatecodeID"),
         F.col("c_nationkey").alias("PULocationID"),
         F.lit(None).cast("int").alias("DOLocationID"),
-        F.substring("o_orderpriority", 1, 1).cast("int").alias("payment_type"),
+        F.substring("o_orderpriority", 1, 1).try_cast("int").alias("payment_type"),
         fare.alias("fare_amount"),
         tip.alias("tip_amount"),
         F.lit(None).cast("double").alias("tolls_amount"),
