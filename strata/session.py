@@ -15,7 +15,12 @@ from pyspark.sql import SparkSession
 
 # Settings that every strata job relies on. AQE re-plans joins and shuffle
 # partition counts at run time; skew-join splits oversized join partitions.
+# Spark's own broadcast decision trusts file-size estimates (compressed
+# parquet is several times smaller in memory), so it is kept to ~1 MB;
+# larger dimensions are broadcast only through ``enrich.maybe_broadcast``,
+# which counts rows first.
 BASE_CONF = {
+    "spark.sql.autoBroadcastJoinThreshold": str(1024 * 1024),
     "spark.ui.enabled": "false",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
