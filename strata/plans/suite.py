@@ -422,14 +422,19 @@ def failing_values(spark: SparkSession, sf: str) -> DataFrame:
 
 def upsert_orders(spark: SparkSession, sf: str) -> DataFrame:
     """Target: orders with status F or O; source: orders with status O or P,
-    price raised by 1. O rows update, P rows insert, F rows stay."""
+    price raised by 1. O rows update, P rows insert, F rows stay.
+
+    The target table is created empty if absent (schema of the data), loaded,
+    then merged into a new version folder and read back."""
     orders = _t(spark, sf, "orders")
     target = orders.filter(F.col("o_orderstatus").isin("F", "O"))
     source = (orders.filter(F.col("o_orderstatus").isin("O", "P"))
                     .withColumn("o_totalprice", F.col("o_totalprice") + 1.0))
     base = scratch_path(spark, "upsert")
     v0, v1 = f"{base}/v0", f"{base}/v1"
-    sinks.write_parquet(target, v0)
+    name = "silver_orders_" + base.rsplit("-", 1)[-1]
+    sinks.ensure_table(spark, target, name, v0)
+    target.write.mode("append").saveAsTable(name)
     current = upsert.upsert_into_path(source, v0, ["o_orderkey"], new_path=v1)
     return spark.read.parquet(current)
 
@@ -527,6 +532,7 @@ def publish_json(spark: SparkSession, sf: str) -> DataFrame:
     lines = spark.read.text(path)
     good, _ = monitor.parse_events(lines, monitor.TABLE_EVENT)
     return good.select(F.col("user_id").cast("string").alias("key"), "event_id",
+                       C.parse_timestamp("ts").cast("timestamp_ntz").alias("ts"),
                        "status", "amount")
 
 
