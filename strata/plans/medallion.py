@@ -9,7 +9,8 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from strata.functions import columns as C
@@ -52,11 +53,32 @@ def land(df: DataFrame, batch_id: str, run_ts: str | Column | None = None,
     return df.withColumns({
         "_ingestion_ts": ts,
         "_batch_id": F.lit(batch_id),
-        "_source_file": source_file if source_file is not None else F.col("_metadata.file_path"),
+        "_source_file": source_file if source_file is not None else _file_path(df),
         "_row_hash": C.row_hash(parts, "|", null_marker),
     })
 
 
+def _file_path(df: DataFrame) -> Column:
+    """The scanned file of each row (hidden ``_metadata`` column of file
+    sources); null when the frame does not come from files."""
+    try:
+        df.select(F.col("_metadata.file_path")).schema
+        return F.col("_metadata.file_path")
+    except AnalysisException:
+        return F.lit(None).cast("string")
+
+
+def write_bronze(raw: DataFrame, path: str, batch_id: str, run_ts: str,
+                 hash_columns: Sequence[str] | None = None) -> DataFrame:
+    """Land one batch idempotently: the batch goes to its own ``_batch_id``
+    partition with dynamic overwrite, so re-running a batch replaces it and
+    leaves the other batches alone. Returns the landed table read back."""
+    landed = land(raw, batch_id, run_ts, hash_columns=hash_columns)
+    (landed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+           .partitionBy("_batch_id").parquet(path))
+    return raw.sparkSession.read.parquet(path)
+
+
 # ------------------------------------------------------------------ silver
 
 def quality_rules(limits: Limits = Limits(), pickup: str = "tpep_pickup_datetime",
@@ -118,6 +140,21 @@ def silver(bronze: DataFrame, zone_lookup: DataFrame | None, limits: Limits = Li
     return attach_zones(derive(kept, run_ts=run_ts), zone_lookup)
 
 
+def write_silver(bronze: DataFrame, zone_lookup: DataFrame | None, path: str,
+                 limits: Limits = Limits(), run_ts: str | None = None) -> dict:
+    """Cleanse, derive, enrich and write silver in ONE job; the stage counts
+    (raw rows, rows kept by the rules) are gathered during that job with
+    ``Observation`` instead of extra counting scans. Returns the counts."""
+    raw_obs, kept_obs = Observation("raw"), Observation("kept")
+    observed = bronze.observe(raw_obs, F.count(F.lit(1)).alias("raw_rows"))
+    kept = rules.keep(observed, quality_rules(limits)).observe(
+        kept_obs, F.count(F.lit(1)).alias("kept_rows"))
+    attach_zones(derive(kept, run_ts=run_ts), zone_lookup).write.mode("overwrite").parquet(path)
+    raw_n, kept_n = raw_obs.get["raw_rows"], kept_obs.get["kept_rows"]
+    return {"raw_rows": raw_n, "kept_rows": kept_n, "rejected_rows": raw_n - kept_n,
+            "rejected_pct": round((raw_n - kept_n) * 100.0 / raw_n, 1) if raw_n else None}
+
+
 # -------------------------------------------------------------------- gold
 
 def daily_revenue(silver_df: DataFrame, rolling_rows: int = 7,

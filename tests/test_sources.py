@@ -94,3 +94,25 @@ def test_routed_write_is_one_pass(spark):
     back = spark.read.parquet(path)
     assert back.filter(F.col("_q").cast("string") == "true").count() == 4
     assert back.count() == 10
+
+
+def test_bronze_batch_rerun_is_idempotent(spark):
+    path = scratch_path(spark, "t-bronze-batches")
+    raw = spark.createDataFrame(ROWS, "trip_id string, zone string, fare double, distance double")
+    M.write_bronze(raw, path, "2023_01", "2024-01-01 00:00:00")
+    M.write_bronze(raw.limit(2), path, "2023_02", "2024-02-01 00:00:00")
+    back = M.write_bronze(raw, path, "2023_01", "2024-03-01 00:00:00")
+    got = {r._batch_id: r["count"] for r in back.groupBy("_batch_id").count().collect()}
+    assert got == {"2023_01": 3, "2023_02": 2}
+
+
+def test_silver_write_observes_stage_counts(spark, sf_small):
+    from strata.plans import adapter
+    from strata.operators import rules
+    limits = M.Limits(max_fare=50_000.0)
+    raw = adapter.trips(spark, sf_small)
+    path = scratch_path(spark, "t-silver")
+    counts = M.write_silver(raw, adapter.zones(spark, sf_small), path, limits)
+    want = rules.stage_counts(raw, M.quality_rules(limits)).first().asDict()
+    assert counts == want
+    assert spark.read.parquet(path).count() == want["kept_rows"]
