@@ -29,17 +29,23 @@ def global_stats(df: DataFrame, col: str, prefix: str = "") -> DataFrame:
                   F.min(c).alias(f"{prefix}min"))
 
 
-def distinct_report(df: DataFrame, col: str) -> DataFrame:
-    """One row: rows, distinct values (null counts as one value) and
-    duplicated rows (rows beyond the first of each value, nulls equal)."""
-    c = F.col(col)
-    return (df.agg(F.count(F.lit(1)).alias("rows"),
-                   F.count_distinct(c).alias("__nn"),
-                   F.max(c.isNull().cast("int")).alias("__has_null"))
-              .select("rows",
-                      (F.col("__nn") + F.coalesce(F.col("__has_null"), F.lit(0)))
-                      .alias("distinct_values"))
-              .withColumn("duplicate_rows", F.col("rows") - F.col("distinct_values")))
+def distinct_report(df: DataFrame, cols: str | Sequence[str]) -> DataFrame:
+    """(column_name, rows, distinct_values, duplicate_rows) per column, all
+    columns in ONE scan: distinct values count null as one value; duplicate
+    rows are the rows beyond the first of each value (nulls equal)."""
+    cols = [cols] if isinstance(cols, str) else list(cols)
+    aggs = [F.count(F.lit(1)).alias("__rows")]
+    for i, c in enumerate(cols):
+        aggs += [F.count_distinct(F.col(c)).alias(f"__nn{i}"),
+                 F.coalesce(F.max(F.col(c).isNull().cast("int")), F.lit(0)).alias(f"__hn{i}")]
+    one = df.agg(*aggs)
+    rows = []
+    for i, c in enumerate(cols):
+        distinct = F.col(f"__nn{i}") + F.col(f"__hn{i}")
+        rows.append(F.struct(F.lit(c).alias("column_name"), F.col("__rows").alias("rows"),
+                             distinct.alias("distinct_values"),
+                             (F.col("__rows") - distinct).alias("duplicate_rows")))
+    return one.select(F.inline(F.array(*rows)))
 
 
 def all_true(pred: Column) -> Column:

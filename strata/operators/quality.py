@@ -203,6 +203,21 @@ def failing_values(df: DataFrame, col: str, values: Sequence) -> DataFrame:
 
 # ------------------------------------------------------------------- audit
 
+def batch_audits(df: DataFrame, layer: str, batch_id: str, keys: dict,
+                 warn_ratio: float = 0.01) -> DataFrame:
+    """Several audit rows from ONE scan: ``keys`` maps an audited table name
+    to its key expression (e.g. the same rows seen with different keys)."""
+    names = list(keys)
+    one = df.agg(F.count(F.lit(1)).alias("__rows"),
+                 *[F.count_if(keys[n].isNull()).alias(f"__nk{i}") for i, n in enumerate(names)])
+    rows = [F.struct(F.lit(layer).alias("layer"), F.lit(n).alias("table_name"),
+                     F.lit(batch_id).alias("batch_id"), F.col("__rows").alias("rows_written"),
+                     F.col(f"__nk{i}").alias("null_keys")) for i, n in enumerate(names)]
+    return one.select(F.inline(F.array(*rows))).withColumn(
+        "status", F.when(F.col("null_keys") < F.col("rows_written") * F.lit(warn_ratio),
+                         F.lit("SUCCESS")).otherwise(F.lit("WARNING")))
+
+
 def batch_audit(df: DataFrame, layer: str, table: str, batch_id: str,
                 key_col: str, run_ts: str | None = None,
                 warn_ratio: float = 0.01, extra: dict | None = None) -> DataFrame:

@@ -51,12 +51,12 @@ def landing_metadata(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def batch_audit(spark: SparkSession, sf: str) -> DataFrame:
+    """Audit rows for line items keyed by supplier, and for the same rows with
+    the supplier missing on line 7 (a WARNING case), from one scan."""
     li = _t(spark, sf, "lineitem")
-    nulled = li.withColumn("l_suppkey", F.when(F.col("l_linenumber") == 7, None)
-                           .otherwise(F.col("l_suppkey")))
-    a = Q.batch_audit(li, "bronze", "lineitem", BATCH_ID, "l_suppkey")
-    b = Q.batch_audit(nulled, "bronze", "lineitem_nulled", BATCH_ID, "l_suppkey")
-    return a.unionByName(b)
+    nulled = F.when(F.col("l_linenumber") == 7, None).otherwise(F.col("l_suppkey"))
+    return Q.batch_audits(li, "bronze", BATCH_ID, {"lineitem": F.col("l_suppkey"),
+                                                    "lineitem_nulled": nulled})
 
 
 def landing_pipeline(spark: SparkSession, sf: str) -> DataFrame:
@@ -321,12 +321,7 @@ def global_stats(spark: SparkSession, sf: str) -> DataFrame:
 def distinct_and_duplicates(spark: SparkSession, sf: str) -> DataFrame:
     li = _t(spark, sf, "lineitem").withColumn(
         "l_linestatus", F.nullif(F.col("l_linestatus"), F.lit("O")))
-    parts = [aggregate.distinct_report(li, c).select(F.lit(c).alias("column_name"), "*")
-             for c in ("l_returnflag", "l_linestatus", "l_suppkey")]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    return aggregate.distinct_report(li, ["l_returnflag", "l_linestatus", "l_suppkey"])
 
 
 def text_cast_split(spark: SparkSession, sf: str) -> DataFrame:

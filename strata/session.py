@@ -49,6 +49,26 @@ def build_session(app: str = "strata", master: str | None = None,
     return spark
 
 
+def scale_conf(shuffle_bytes: int, total_cores: int,
+               target_partition_bytes: int = 256 * 1024 * 1024) -> dict:
+    """Settings sized for a large cluster run.
+
+    ``shuffle_bytes`` is the expected size of the largest shuffle (after
+    pruning and filtering, usually well below the input size). The initial
+    shuffle partition count makes each partition about
+    ``target_partition_bytes`` so none has to spill; AQE then coalesces the
+    small ones and splits skewed join partitions. Scan tasks read up to
+    256 MB each."""
+    parts = max(2 * total_cores, -(-shuffle_bytes // target_partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(min(parts, 200_000)),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(256 * 1024 * 1024),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(512 * 1024 * 1024),
+    }
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, setting one only if it is unset."""
     root = spark.conf.get("spark.checkpoint.dir", None)
@@ -72,4 +92,4 @@ def local_path(path: str) -> str:
 
 
 __all__ = ["build_session", "ensure_checkpoint_dir", "scratch_path",
-           "local_path", "BASE_CONF"]
+           "local_path", "scale_conf", "BASE_CONF"]
