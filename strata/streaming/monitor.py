@@ -151,3 +151,21 @@ def latest_events(log: DataFrame, key: str, order: Sequence[str],
     """Merge-on-read upsert: one row per key, the latest by ``order`` and
     then by micro-batch (a later delivery of the same event wins)."""
     return latest_per_key(log, [key], [*order, batch_col], rn_col=None).drop(batch_col)
+
+
+def compact_log(log: DataFrame, key: str, order: Sequence[str], out_path: str,
+                batch_col: str = "_batch_id") -> DataFrame:
+    """Fold the append-only log into its latest state (one row per key) and
+    write it as a new version; readers switch to ``out_path`` and the log
+    can be truncated up to the compacted batch. Returns the written state."""
+    state = latest_events(log, key, order, batch_col)
+    state.write.mode("errorifexists").parquet(out_path)
+    return log.sparkSession.read.parquet(out_path)
+
+
+def first_messages(good: DataFrame, n: int, order: Sequence[str]) -> DataFrame:
+    """Exactly the first ``n`` good messages in ``order`` (e.g. partition,
+    offset) from a batch read of the topic or folder — the bounded
+    counterpart of a consumer that stops after ``n`` messages. A stream is
+    paced instead with ``maxOffsetsPerTrigger`` / ``maxFilesPerTrigger``."""
+    return good.orderBy(*order).limit(n)

@@ -77,3 +77,15 @@ def test_messages_keep_key_together(spark):
     placed = publish.partition_of_keys(publish.to_messages(df, "customer_id"), 3)
     per_key = placed.groupBy("key").agg(F.countDistinct("partition").alias("p"))
     assert per_key.filter("p > 1").count() == 0
+
+
+def test_first_messages_and_compaction(spark):
+    df = spark.createDataFrame([(x,) for x in LINES], "value string")
+    good, _ = monitor.parse_events(df)
+    first = monitor.first_messages(good.filter("transaction_id is not null"), 2,
+                                   ["transaction_id"]).collect()
+    assert [r.transaction_id for r in first] == ["a1", "a1"]
+    log = good.filter("transaction_id is not null").select(
+        "transaction_id", "status").withColumn("_batch_id", F.lit(0))
+    state = monitor.compact_log(log, "transaction_id", ["status"], scratch_path(spark, "t-state"))
+    assert state.count() == 4
