@@ -81,11 +81,14 @@ def all_rows(pred: Column, name: str) -> Check:
 
 def in_range(col: str, lo, hi, name: str | None = None,
              what: str = " invalid rows") -> Check:
-    """lo <= col <= hi on every row; the detail counts rows outside."""
-    return Check(name or f"{col} between {lo} and {hi}",
-                 F.count_if((F.col(col) < lo) | (F.col(col) > hi)) +
-                 F.count_if(F.col(col).isNull()),
-                 lambda m: m == 0, lambda m: _n(m, what))
+    """lo <= col <= hi on every row (a null fails the check); the detail
+    counts the rows outside the range, nulls not included."""
+    c = F.col(col)
+    metric = F.struct(F.count_if((c < lo) | (c > hi)).alias("outside"),
+                      F.count_if(c.isNull()).alias("nulls"))
+    return Check(name or f"{col} between {lo} and {hi}", metric,
+                 lambda m: (m["outside"] + m["nulls"]) == 0,
+                 lambda m: _n(m["outside"], what))
 
 
 def accepted(col: str, values: Sequence, name: str | None = None,

@@ -140,3 +140,12 @@ def test_unpivot_record(spark):
         [], cols, "field", "value").collect()
     assert len(pairs) == 8
     assert dict((r.field, r.value) for r in pairs)["fare_per_km"] == "1.61"
+
+
+def test_range_check_counts_outside_rows_only(spark):
+    df = spark.createDataFrame([(1,), (9,), (None,)], "passenger_count int")
+    res = Q.run_checks(df, [Q.in_range("passenger_count", 1, 6)]).first()
+    assert (res.status, res.detail) == ("FAIL", "1 invalid rows")
+    ok = spark.createDataFrame([(1,), (None,)], "passenger_count int")
+    res = Q.run_checks(ok, [Q.in_range("passenger_count", 1, 6)]).first()
+    assert (res.status, res.detail) == ("FAIL", "0 invalid rows")
