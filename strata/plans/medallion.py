@@ -141,15 +141,23 @@ def silver(bronze: DataFrame, zone_lookup: DataFrame | None, limits: Limits = Li
 
 
 def write_silver(bronze: DataFrame, zone_lookup: DataFrame | None, path: str,
-                 limits: Limits = Limits(), run_ts: str | None = None) -> dict:
+                 limits: Limits = Limits(), run_ts: str | None = None,
+                 partition_by: Sequence[str] | None = ("pickup_date",)) -> dict:
     """Cleanse, derive, enrich and write silver in ONE job; the stage counts
     (raw rows, rows kept by the rules) are gathered during that job with
-    ``Observation`` instead of extra counting scans. Returns the counts."""
+    ``Observation`` instead of extra counting scans. Returns the counts.
+
+    Silver is partitioned by pickup date: date filters prune whole folders,
+    and since the date is part of the trip key an upsert rewrites only the
+    dates it touches (``upsert_into_path(partition_col="pickup_date")``)."""
     raw_obs, kept_obs = Observation("raw"), Observation("kept")
     observed = bronze.observe(raw_obs, F.count(F.lit(1)).alias("raw_rows"))
     kept = rules.keep(observed, quality_rules(limits)).observe(
         kept_obs, F.count(F.lit(1)).alias("kept_rows"))
-    attach_zones(derive(kept, run_ts=run_ts), zone_lookup).write.mode("overwrite").parquet(path)
+    w = attach_zones(derive(kept, run_ts=run_ts), zone_lookup).write.mode("overwrite")
+    if partition_by:
+        w = w.partitionBy(*partition_by)
+    w.parquet(path)
     raw_n, kept_n = raw_obs.get["raw_rows"], kept_obs.get["kept_rows"]
     return {"raw_rows": raw_n, "kept_rows": kept_n, "rejected_rows": raw_n - kept_n,
             "rejected_pct": round((raw_n - kept_n) * 100.0 / raw_n, 1) if raw_n else None}

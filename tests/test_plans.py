@@ -2,6 +2,7 @@
 partial aggregation, per-task dedupe limit, top-k."""
 
 import __spark_entry__ as E
+from pyspark.sql import functions as F
 from planutil import plan_text
 
 
@@ -49,3 +50,23 @@ def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.count() > 0
     assert "revenue_7d_rolling" in df.columns
+
+
+def test_bucketed_tables_join_without_shuffle(spark, sf_small):
+    from strata.session import scratch_path
+    from strata.sources import readers, sinks
+    tag = scratch_path(spark, "t").rsplit("-", 1)[-1]
+    li, od = f"li_b_{tag}", f"od_b_{tag}"
+    sinks.write_bucketed(readers.read_table(spark, sf_small, "lineitem"), li, ["l_orderkey"], 8,
+                         scratch_path(spark, "t-li"))
+    sinks.write_bucketed(readers.read_table(spark, sf_small, "orders"), od, ["o_orderkey"], 8,
+                         scratch_path(spark, "t-od"))
+    prev = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        j = spark.table(li).join(spark.table(od), F.col("l_orderkey") == F.col("o_orderkey"))
+        p = plan_text(j, "simple")
+        assert "SortMergeJoin" in p and "Exchange" not in p
+        assert j.count() == readers.read_table(spark, sf_small, "lineitem").count()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)
