@@ -12,7 +12,6 @@ from collections.abc import Iterable, Mapping, Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-ColumnLike = "str | Column"
 
 
 def _c(x) -> Column:

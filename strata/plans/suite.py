@@ -202,8 +202,9 @@ def run_history(spark: SparkSession, sf: str) -> DataFrame:
               .select(F.lit("bronze").alias("layer"), F.lit("orders").alias("table_name"),
                       F.concat(F.lit("year_"), F.col("y").cast("string")).alias("batch_id"),
                       "rows_written", "null_keys", "run_ts"))
-    table = "pipeline_audit_" + scratch_path(spark, "audit").rsplit("-", 1)[-1]
-    sinks.append_table(audit, table)
+    path = scratch_path(spark, "audit")
+    table = "pipeline_audit_" + path.rsplit("-", 1)[-1]
+    sinks.append_table(audit, table, path=path)
     return sinks.run_history(readers.read_catalog(spark, table), 5)
 
 

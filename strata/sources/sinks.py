@@ -38,8 +38,14 @@ def overwrite_partitions(df: DataFrame, path: str, partition_by: list[str]) -> N
        .partitionBy(*partition_by).parquet(path))
 
 
-def append_table(df: DataFrame, name: str, fmt: str = "parquet") -> None:
-    df.write.format(fmt).mode("append").saveAsTable(name)
+def append_table(df: DataFrame, name: str, fmt: str = "parquet",
+                 path: str | None = None) -> None:
+    """Append to table ``name`` (created on first use; ``path`` makes it
+    external, otherwise it lives in the catalog's warehouse folder)."""
+    w = df.write.format(fmt).mode("append")
+    if path:
+        w = w.option("path", path)
+    w.saveAsTable(name)
 
 
 def ensure_table(spark: SparkSession, like: DataFrame, name: str,

@@ -40,11 +40,12 @@ def test_tables_overwrite_ensure_append_history(spark):
     empty = f"t_empty_{tag}"
     assert sinks.ensure_table(spark, df, empty, scratch_path(spark, "t-empty")) is True
     assert readers.read_catalog(spark, empty).count() == 0
-    audit = f"t_audit_{tag}"
+    audit, audit_path = f"t_audit_{tag}", scratch_path(spark, "t-audit")
     for i in range(7):
         row = spark.createDataFrame([("bronze", f"b{i}", 10 * i, f"2024-01-0{i + 1} 00:00:00")],
                                     "layer string, batch_id string, rows long, run_ts string")
-        sinks.append_table(row.withColumn("run_ts", F.col("run_ts").cast("timestamp")), audit)
+        sinks.append_table(row.withColumn("run_ts", F.col("run_ts").cast("timestamp")), audit,
+                           path=audit_path)
     hist = sinks.run_history(readers.read_catalog(spark, audit), 5).collect()
     assert [r.batch_id for r in hist] == ["b6", "b5", "b4", "b3", "b2"]
 
