@@ -55,18 +55,18 @@ def columns_present(df: DataFrame, required: Sequence[str],
                  lambda m: F.lit(f"Required: {listed}"), static=present)
 
 
-def no_nulls(col: str, name: str | None = None) -> Check:
+def no_nulls(col: str, name: str | None = None, what: str = " nulls found") -> Check:
     return Check(name or f"No nulls in [{col}]", F.count_if(F.col(col).isNull()),
-                 lambda m: m == 0, lambda m: _n(m, " nulls found"))
+                 lambda m: m == 0, lambda m: _n(m, what))
 
 
-def unique(col: str, name: str | None = None) -> Check:
+def unique(col: str, name: str | None = None, what: str = " duplicates found") -> Check:
     """Rows beyond the first per value; nulls are equal to each other."""
     c = F.col(col)
     dups = (F.count(F.lit(1)) - F.count_distinct(c)
             - F.coalesce(F.max(c.isNull().cast("int")), F.lit(0)))
     return Check(name or f"{col} is unique", dups, lambda m: m == 0,
-                 lambda m: _n(m, " duplicates found"))
+                 lambda m: _n(m, what))
 
 
 def count_where(pred: Column, name: str, what: str) -> Check:

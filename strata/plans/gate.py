@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from strata.operators import quality as Q
 from strata.operators import rules
 
-# Fixed values of the reference gate.
+# Fixed values of the reference gate: inputs, limits, and the 14 check
+# names with their detail texts, in the order the checks run.
 REQUIRED_COLUMNS = ("trip_id", "pickup_datetime", "dropoff_datetime", "fare_usd",
                     "distance_miles", "passenger_count", "payment_type_code")
 NULL_CHECKED = ("trip_id", "pickup_datetime", "fare_usd")
@@ -20,30 +21,52 @@ PASSENGERS = (1, 6)
 MEAN_FARE = (5, 100)
 COMPLETENESS_PCT = 95.0
 QUARANTINE_REASON = "failed quality check"
+CHECK_NAMES = (
+    "All required columns present",
+    "No nulls in [trip_id]",
+    "No nulls in [pickup_datetime]",
+    "No nulls in [fare_usd]",
+    "trip_id is unique",
+    "fare_usd >= 0",
+    "fare_usd < $500 (outlier check)",
+    "distance_miles > 0",
+    "passenger_count between 1 and 6",
+    "payment_type_code in [1,2,3,4,5,6]",
+    "dropoff_datetime > pickup_datetime",
+    "avg fare between $5 and $100",
+    "Overall completeness >= 95%",
+    "Row count >= 1",
+)
+DETAILS = {
+    "nulls": " nulls found",
+    "duplicates": " duplicates found",
+    "negative": " negative fares found",
+    "outliers": " outliers found",
+    "passengers": " invalid rows",
+    "codes": " invalid codes found",
+    "order": " rows with bad date order",
+    "mean": "avg fare",
+}
 
 
-def trip_checks(df: DataFrame, fare_outlier: float = FARE_OUTLIER,
-                mean_fare: tuple[float, float] = MEAN_FARE) -> list[Q.Check]:
-    """The 14 checks of the gate, in order."""
+def trip_checks(df: DataFrame) -> list[Q.Check]:
+    """The 14 checks of the gate, in order (names from ``CHECK_NAMES``)."""
+    n = iter(CHECK_NAMES)
     lo, hi = PASSENGERS
-    codes = ",".join(str(c) for c in PAYMENT_CODES)
     return [
-        Q.columns_present(df, REQUIRED_COLUMNS),
-        *[Q.no_nulls(c) for c in NULL_CHECKED],
-        Q.unique("trip_id"),
-        Q.count_where(F.col("fare_usd") < 0, "fare_usd >= 0", " negative fares found"),
-        Q.count_where(F.col("fare_usd") > fare_outlier, f"fare_usd < ${fare_outlier:g} (outlier check)",
-                      " outliers found"),
-        Q.all_rows(F.col("distance_miles") > 0, "distance_miles > 0"),
-        Q.in_range("passenger_count", lo, hi, f"passenger_count between {lo} and {hi}"),
-        Q.accepted("payment_type_code", PAYMENT_CODES, f"payment_type_code in [{codes}]"),
-        Q.count_where(F.col("dropoff_datetime") <= F.col("pickup_datetime"),
-                      "dropoff_datetime > pickup_datetime", " rows with bad date order"),
-        Q.mean_between("fare_usd", mean_fare[0], mean_fare[1],
-                       f"avg fare between ${mean_fare[0]:g} and ${mean_fare[1]:g}",
-                       label="avg fare"),
-        Q.completeness_at_least(df.columns, COMPLETENESS_PCT),
-        Q.row_count_between(1),
+        Q.columns_present(df, REQUIRED_COLUMNS, next(n)),
+        *[Q.no_nulls(c, next(n), DETAILS["nulls"]) for c in NULL_CHECKED],
+        Q.unique("trip_id", next(n), DETAILS["duplicates"]),
+        Q.count_where(F.col("fare_usd") < 0, next(n), DETAILS["negative"]),
+        Q.count_where(F.col("fare_usd") > FARE_OUTLIER, next(n), DETAILS["outliers"]),
+        Q.all_rows(F.col("distance_miles") > 0, next(n)),
+        Q.in_range("passenger_count", lo, hi, next(n), DETAILS["passengers"]),
+        Q.accepted("payment_type_code", PAYMENT_CODES, next(n), DETAILS["codes"]),
+        Q.count_where(F.col("dropoff_datetime") <= F.col("pickup_datetime"), next(n),
+                      DETAILS["order"]),
+        Q.mean_between("fare_usd", MEAN_FARE[0], MEAN_FARE[1], next(n), label=DETAILS["mean"]),
+        Q.completeness_at_least(df.columns, COMPLETENESS_PCT, next(n)),
+        Q.row_count_between(1, name=next(n)),
     ]
 
 
@@ -66,10 +89,9 @@ def quarantine_rules() -> list[rules.Rule]:
     ]
 
 
-def run_gate(df: DataFrame, fare_outlier: float = FARE_OUTLIER,
-             mean_fare: tuple[float, float] = MEAN_FARE):
+def run_gate(df: DataFrame):
     """Returns (check results, score with decision, clean rows, quarantined rows)."""
-    results = Q.run_checks(df, trip_checks(df, fare_outlier, mean_fare))
+    results = Q.run_checks(df, trip_checks(df))
     scored = Q.decide(Q.score(results))
     clean, bad = rules.split(df, quarantine_rules(), reason=QUARANTINE_REASON)
     return results, scored, clean, bad

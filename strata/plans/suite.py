@@ -59,7 +59,7 @@ def batch_audit(spark: SparkSession, sf: str) -> DataFrame:
                                                     "lineitem_nulled": nulled})
 
 
-def landing_pipeline(spark: SparkSession, sf: str) -> DataFrame:
+def bronze_landing(spark: SparkSession, sf: str) -> DataFrame:
     """Bronze ingest: land, overwrite an external table, read back, audit."""
     orders = _t(spark, sf, "orders")
     landed = M.land(orders, BATCH_ID, RUN_TS, hash_text=True, hash_columns=orders.columns)
@@ -81,7 +81,7 @@ SILVER_COLUMNS = [
     "payment_label", "has_tip", "_silver_batch", "pickup_borough", "pickup_zone_name"]
 
 
-def cleansed_pipeline(spark: SparkSession, sf: str) -> DataFrame:
+def silver_cleansed(spark: SparkSession, sf: str) -> DataFrame:
     return _silver(spark, sf).select(*SILVER_COLUMNS)
 
 
@@ -203,7 +203,7 @@ def run_history(spark: SparkSession, sf: str) -> DataFrame:
                       F.concat(F.lit("year_"), F.col("y").cast("string")).alias("batch_id"),
                       "rows_written", "null_keys", "run_ts"))
     path = scratch_path(spark, "audit")
-    table = "pipeline_audit_" + path.rsplit("-", 1)[-1]
+    table = "audit_log_" + path.rsplit("-", 1)[-1]
     sinks.append_table(audit, table, path=path)
     return sinks.run_history(readers.read_catalog(spark, table), 5)
 

@@ -11,7 +11,7 @@ def _plan(spark, sf, name):
 
 
 def test_filters_reach_the_scan(spark, sf_small):
-    p = _plan(spark, sf_small, "cleansed_pipeline")
+    p = _plan(spark, sf_small, "silver_cleansed")
     pushed = [ln for ln in p.splitlines() if ln.startswith("PushedFilters: [IsNotNull(l_")][0]
     for f in ("GreaterThan(l_quantity,0.0)", "LessThan(l_extendedprice,50000.0)",
               "LessThanOrEqual(l_linenumber,6)"):
