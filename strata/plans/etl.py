@@ -78,8 +78,13 @@ def flatten_daily(payloads: DataFrame, fields: Mapping[str, str] = DAILY_FIELDS)
     return rows.withColumn("date", F.to_date(F.col("date").cast("string")))
 
 
-def weather_features(df: DataFrame, run_ts: str | None = None, source: str = "open_meteo_api",
-                     city: str = "Chennai") -> DataFrame:
+# The constant source and city columns of the forecast flow.
+SERIES_SOURCE = "open_meteo_api"
+SERIES_CITY = "Chennai"
+
+
+def weather_features(df: DataFrame, run_ts: str | None = None, source: str = SERIES_SOURCE,
+                     city: str = SERIES_CITY) -> DataFrame:
     """Mean and range of the temperatures, rain flag, day name, constants."""
     out = {
         "temp_avg_c": C.half_up((F.col("temp_max_c") + F.col("temp_min_c")) / 2, 1),

@@ -27,7 +27,8 @@ class ModelVars:
     max_passengers: int = 6
 
 
-# Output name -> raw column (the "renamed" step).
+# Output name -> raw column of the "renamed" step, in the
+# reference model's order; the metadata columns pass through unchanged.
 RENAMES = {
     "vendor_id": "VendorID",
     "pickup_datetime": "tpep_pickup_datetime",
