@@ -70,3 +70,29 @@ def test_bucketed_tables_join_without_shuffle(spark, sf_small):
         assert j.count() == readers.read_table(spark, sf_small, "lineitem").count()
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)
+
+
+def test_hot_key_join_is_split_by_aqe(spark):
+    """A key holding a third of the rows: AQE splits its join partition."""
+    from strata.operators import enrich
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1024",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1024",
+            "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    prev = {k: spark.conf.get(k) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        facts = spark.range(30000).selectExpr(
+            "case when id % 3 = 0 then 7 else id end as k", "id as v")
+        dim = spark.range(30000).selectExpr("id as key", "concat('n', id) as name")
+        j = enrich.enrich(facts, dim, "k", "key", {"name": "name"}, broadcast_rows=None)
+        rows = j.collect()          # runs this plan, so explain shows the final one
+        assert len(rows) == 30000
+        assert sum(1 for r in rows if r.k == 7 and r.name == "n7") == 10001  # hot key + id 7
+        final = plan_text(j, "formatted")
+        assert "skew=true" in final
+    finally:
+        for k, v in prev.items():
+            spark.conf.set(k, v)
