@@ -14,8 +14,9 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from strata.functions import columns as C
-from strata.operators import aggregate, enrich, rules, windows
+from strata.operators import aggregate, enrich, rules, upsert, windows
 from strata.operators.rules import Rule
+from strata.sources.readers import read_optional
 
 
 @dataclass(frozen=True)
@@ -242,3 +243,47 @@ def dashboard(daily: DataFrame, zones_df: DataFrame) -> DataFrame:
     top = zones_df.filter(F.col("revenue_rank") == 1).select(
         F.lit("Top Zone").alias("metric"), F.col("pickup_zone_name").alias("value"))
     return totals.unionByName(top)
+
+
+# ------------------------------------------------------------- whole run
+
+# Fixed value: the MERGE key of the silver table in the reference.
+SILVER_KEYS = ("VendorID", "tpep_pickup_datetime", "PULocationID")
+
+
+def run_layers(raw: DataFrame, zone_lookup: DataFrame | None, base: str, batch_id: str,
+               run_ts: str, limits: Limits = Limits(), keys: Sequence[str] = SILVER_KEYS,
+               order: Sequence[str] = ("_ingestion_ts",)) -> dict:
+    """Bronze -> silver -> gold for one batch, every layer written as files.
+
+    * bronze: the batch lands in its own ``_batch_id`` partition (re-running
+      a batch replaces it);
+    * silver: the batch is cleansed and enriched, then merged on ``keys``
+      into ``silver`` (partitioned by pickup date: only touched dates are
+      rewritten); within the batch the latest row by ``order`` wins;
+    * gold: daily revenue, zone performance and hourly demand are rebuilt
+      from silver and overwritten.
+
+    Returns the stage counts of the batch and the row counts of each table.
+    """
+    spark = raw.sparkSession
+    bronze = write_bronze(raw, f"{base}/bronze", batch_id, run_ts)
+    batch = bronze.filter(F.col("_batch_id") == batch_id)
+    staged = f"{base}/silver_batches/{batch_id}"
+    counts = write_silver(batch, zone_lookup, staged, limits, run_ts, partition_by=None)
+    source = spark.read.parquet(staged)
+    silver_path = f"{base}/silver"
+    if read_optional(spark, silver_path, "parquet") is not None:
+        upsert.upsert_into_path(source, silver_path, keys, order, partition_col="pickup_date")
+    else:
+        deduped = upsert.dedupe_source(source, keys, order)
+        deduped.write.mode("overwrite").partitionBy("pickup_date").parquet(silver_path)
+    silver_df = spark.read.parquet(silver_path)
+    gold = {"daily_revenue": daily_revenue(silver_df, run_ts=run_ts),
+            "zone_performance": zone_performance(silver_df, run_ts=run_ts),
+            "hourly_demand": hourly_demand(silver_df, run_ts=run_ts)}
+    tables = {"silver": silver_df.count()}
+    for name, df in gold.items():
+        df.write.mode("overwrite").parquet(f"{base}/gold/{name}")
+        tables[name] = spark.read.parquet(f"{base}/gold/{name}").count()
+    return {"stage_counts": counts, "tables": tables}

@@ -117,3 +117,18 @@ def test_silver_write_observes_stage_counts(spark, sf_small):
     want = rules.stage_counts(raw, M.quality_rules(limits)).first().asDict()
     assert counts == want
     assert spark.read.parquet(path).count() == want["kept_rows"]
+
+
+def test_run_layers_twice_is_idempotent(spark, sf_small):
+    from strata.plans import adapter
+    base = scratch_path(spark, "t-layers")
+    raw = adapter.trips(spark, sf_small).filter(F.col("tpep_pickup_datetime") < "1996-01-01")
+    zones = adapter.zones(spark, sf_small)
+    order = ("_ingestion_ts", "l_orderkey", "l_linenumber", "l_partkey")
+    lim = M.Limits(max_fare=50_000.0)
+    first = M.run_layers(raw, zones, base, "b1", "2024-01-01 00:00:00", lim, order=order)
+    again = M.run_layers(raw, zones, base, "b1", "2024-01-02 00:00:00", lim, order=order)
+    assert first["tables"] == again["tables"]
+    assert first["stage_counts"]["raw_rows"] == raw.count()
+    keys = spark.read.parquet(f"{base}/silver").groupBy(*M.SILVER_KEYS).count()
+    assert keys.filter("count > 1").count() == 0
