@@ -84,7 +84,7 @@ def upsert_into_path(source: DataFrame, path: str, keys: Sequence[str],
         scoped = target.join(F.broadcast(touched) if fits(touched, DEFAULT_BROADCAST_ROWS)
                              else touched, partition_col, "left_semi")
         merged = upsert(scoped, source.select(*target.columns), keys, order)
-        (merged.write.mode("overwrite")
+        (merged.hint("rebalance", partition_col).write.mode("overwrite")
                .option("partitionOverwriteMode", "dynamic")
                .partitionBy(partition_col).parquet(path))
         return path

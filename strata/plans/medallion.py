@@ -17,6 +17,7 @@ from strata.functions import columns as C
 from strata.operators import aggregate, enrich, rules, upsert, windows
 from strata.operators.rules import Rule
 from strata.sources.readers import read_optional
+from strata.sources.sinks import by_partition
 
 
 @dataclass(frozen=True)
@@ -61,7 +62,10 @@ def land(df: DataFrame, batch_id: str, run_ts: str | Column | None = None,
 
 def _file_path(df: DataFrame) -> Column:
     """The scanned file of each row (hidden ``_metadata`` column of file
-    sources); null when the frame does not come from files."""
+    sources); null when the frame does not come from files. Frames joined
+    from several tables have no single source file: pass ``source_file``."""
+    if not df.inputFiles():
+        return F.lit(None).cast("string")
     try:
         df.select(F.col("_metadata.file_path")).schema
         return F.col("_metadata.file_path")
@@ -70,13 +74,14 @@ def _file_path(df: DataFrame) -> Column:
 
 
 def write_bronze(raw: DataFrame, path: str, batch_id: str, run_ts: str,
-                 hash_columns: Sequence[str] | None = None) -> DataFrame:
+                 hash_columns: Sequence[str] | None = None,
+                 source_file: Column | None = None) -> DataFrame:
     """Land one batch idempotently: the batch goes to its own ``_batch_id``
     partition with dynamic overwrite, so re-running a batch replaces it and
     leaves the other batches alone. Returns the landed table read back."""
-    landed = land(raw, batch_id, run_ts, hash_columns=hash_columns)
+    landed = land(raw, batch_id, run_ts, source_file=source_file, hash_columns=hash_columns)
     (landed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-           .partitionBy("_batch_id").parquet(path))
+           .partitionBy("_batch_id").parquet(path))   # one value: no regrouping needed
     return raw.sparkSession.read.parquet(path)
 
 
@@ -143,19 +148,24 @@ def silver(bronze: DataFrame, zone_lookup: DataFrame | None, limits: Limits = Li
 
 def write_silver(bronze: DataFrame, zone_lookup: DataFrame | None, path: str,
                  limits: Limits = Limits(), run_ts: str | None = None,
-                 partition_by: Sequence[str] | None = ("pickup_date",)) -> dict:
+                 partition_by: Sequence[str] | None = ("pickup_month",)) -> dict:
     """Cleanse, derive, enrich and write silver in ONE job; the stage counts
     (raw rows, rows kept by the rules) are gathered during that job with
     ``Observation`` instead of extra counting scans. Returns the counts.
 
-    Silver is partitioned by pickup date: date filters prune whole folders,
-    and since the date is part of the trip key an upsert rewrites only the
-    dates it touches (``upsert_into_path(partition_col="pickup_date")``)."""
+    Silver is partitioned by pickup month: date filters prune whole folders,
+    and since the month is a function of the trip key an upsert rewrites only
+    the months it touches (``upsert_into_path(partition_col="pickup_month")``).
+    Months, not days: a folder per day multiplies small files and listing
+    cost without adding pruning that matters for monthly batches."""
     raw_obs, kept_obs = Observation("raw"), Observation("kept")
     observed = bronze.observe(raw_obs, F.count(F.lit(1)).alias("raw_rows"))
     kept = rules.keep(observed, quality_rules(limits)).observe(
         kept_obs, F.count(F.lit(1)).alias("kept_rows"))
-    w = attach_zones(derive(kept, run_ts=run_ts), zone_lookup).write.mode("overwrite")
+    out = with_month(attach_zones(derive(kept, run_ts=run_ts), zone_lookup))
+    if partition_by:
+        out = by_partition(out, partition_by)
+    w = out.write.mode("overwrite")
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
@@ -164,6 +174,11 @@ def write_silver(bronze: DataFrame, zone_lookup: DataFrame | None, path: str,
             "rejected_pct": round((raw_n - kept_n) * 100.0 / raw_n, 1) if raw_n else None}
 
 
+def with_month(df: DataFrame, date_col: str = "pickup_date") -> DataFrame:
+    """Adds ``pickup_month`` (first day of the month), the silver partition."""
+    return df.withColumn("pickup_month", F.trunc(date_col, "month"))
+
+
 # -------------------------------------------------------------------- gold
 
 def daily_revenue(silver_df: DataFrame, rolling_rows: int = 7,
@@ -253,13 +268,14 @@ SILVER_KEYS = ("VendorID", "tpep_pickup_datetime", "PULocationID")
 
 def run_layers(raw: DataFrame, zone_lookup: DataFrame | None, base: str, batch_id: str,
                run_ts: str, limits: Limits = Limits(), keys: Sequence[str] = SILVER_KEYS,
-               order: Sequence[str] = ("_ingestion_ts",)) -> dict:
+               order: Sequence[str] = ("_ingestion_ts",),
+               source_file: Column | None = None) -> dict:
     """Bronze -> silver -> gold for one batch, every layer written as files.
 
     * bronze: the batch lands in its own ``_batch_id`` partition (re-running
       a batch replaces it);
     * silver: the batch is cleansed and enriched, then merged on ``keys``
-      into ``silver`` (partitioned by pickup date: only touched dates are
+      into ``silver`` (partitioned by pickup month: only touched months are
       rewritten); within the batch the latest row by ``order`` wins;
     * gold: daily revenue, zone performance and hourly demand are rebuilt
       from silver and overwritten.
@@ -267,17 +283,18 @@ def run_layers(raw: DataFrame, zone_lookup: DataFrame | None, base: str, batch_i
     Returns the stage counts of the batch and the row counts of each table.
     """
     spark = raw.sparkSession
-    bronze = write_bronze(raw, f"{base}/bronze", batch_id, run_ts)
+    bronze = write_bronze(raw, f"{base}/bronze", batch_id, run_ts, source_file=source_file)
     batch = bronze.filter(F.col("_batch_id") == batch_id)
     staged = f"{base}/silver_batches/{batch_id}"
     counts = write_silver(batch, zone_lookup, staged, limits, run_ts, partition_by=None)
     source = spark.read.parquet(staged)
     silver_path = f"{base}/silver"
     if read_optional(spark, silver_path, "parquet") is not None:
-        upsert.upsert_into_path(source, silver_path, keys, order, partition_col="pickup_date")
+        upsert.upsert_into_path(source, silver_path, keys, order, partition_col="pickup_month")
     else:
         deduped = upsert.dedupe_source(source, keys, order)
-        deduped.write.mode("overwrite").partitionBy("pickup_date").parquet(silver_path)
+        (by_partition(deduped, "pickup_month").write.mode("overwrite")
+             .partitionBy("pickup_month").parquet(silver_path))
     silver_df = spark.read.parquet(silver_path)
     gold = {"daily_revenue": daily_revenue(silver_df, run_ts=run_ts),
             "zone_performance": zone_performance(silver_df, run_ts=run_ts),

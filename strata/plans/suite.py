@@ -191,6 +191,16 @@ def gold_tables(spark: SparkSession, sf: str) -> DataFrame:
     return out
 
 
+def layered_run(spark: SparkSession, sf: str) -> DataFrame:
+    """One batch through bronze, silver (merged on the trip key, latest row
+    per key) and gold, all as files; returns gold daily revenue read back."""
+    base = scratch_path(spark, "layers")
+    M.run_layers(adapter.trips(spark, sf), adapter.zones(spark, sf), base, BATCH_ID, RUN_TS,
+                 LIMITS, order=("_ingestion_ts", *TIE_BREAKERS),
+                 source_file=F.lit(None).cast("string"))  # joined input: no single file
+    return spark.read.parquet(f"{base}/gold/daily_revenue").drop("_gold_ts")
+
+
 def run_history(spark: SparkSession, sf: str) -> DataFrame:
     """One audit record per order year appended to an audit table, then the
     latest five runs (a top-n report)."""

@@ -8,9 +8,20 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+def by_partition(df: DataFrame, cols) -> DataFrame:
+    """Group rows by the folder they are written to before a partitioned
+    write (REBALANCE hint): each partition value gets a few files of about
+    the advisory size instead of one small file per task, and AQE splits a
+    value holding a large share of the rows over several tasks."""
+    cols = [cols] if isinstance(cols, str) else list(cols)
+    return df.hint("rebalance", *cols)
+
+
 def overwrite_table(df: DataFrame, name: str, path: str | None = None,
                     partition_by: list[str] | None = None, fmt: str = "parquet") -> None:
     """Replace table ``name`` (schema included); ``path`` makes it external."""
+    if partition_by:
+        df = by_partition(df, partition_by)
     w = df.write.format(fmt).mode("overwrite").option("overwriteSchema", "true")
     if path:
         w = w.option("path", path)
@@ -34,8 +45,8 @@ def write_bucketed(df: DataFrame, name: str, keys: list[str], buckets: int,
 def overwrite_partitions(df: DataFrame, path: str, partition_by: list[str]) -> None:
     """Rewrite only the partitions present in ``df`` (re-running one batch
     replaces that batch and leaves the others)."""
-    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-       .partitionBy(*partition_by).parquet(path))
+    (by_partition(df, partition_by).write.mode("overwrite")
+       .option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path))
 
 
 def append_table(df: DataFrame, name: str, fmt: str = "parquet",
@@ -66,6 +77,8 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
 
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite",
                   partition_by: list[str] | None = None) -> None:
+    if partition_by:
+        df = by_partition(df, partition_by)
     w = df.write.mode(mode)
     if partition_by:
         w = w.partitionBy(*partition_by)
