@@ -80,15 +80,15 @@ def completeness(df: DataFrame, columns: Sequence[str] | None = None,
 # exact quantiles without one task holding all values
 
 
-def _cumulative(df: DataFrame, order: str, weight: str, partitions: int) -> DataFrame:
+def _cumulative(df: DataFrame, order: str, weight: str, partitions: int | None) -> DataFrame:
     """Adds ``__cum`` = running sum of ``weight`` in ``order`` (inclusive).
 
     Range-partition + reliable checkpoint; sum inside each range; offsets of
     earlier ranges come from one small row per partition.
     """
-    staged = (df.repartitionByRange(partitions, order)
-                .withColumn("__p", F.spark_partition_id())
-                .checkpoint(eager=True))
+    ranged = df.repartitionByRange(partitions, order) if partitions \
+        else df.repartitionByRange(order)          # AQE sizes the ranges
+    staged = ranged.withColumn("__p", F.spark_partition_id()).checkpoint(eager=True)
     totals = staged.groupBy("__p").agg(F.sum(weight).alias("__t"))
     offsets = totals.select("__p", F.coalesce(F.sum("__t").over(
         Window.orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)),
@@ -108,10 +108,9 @@ def exact_median(df: DataFrame, col: str, partitions: int | None = None) -> floa
     counts get a distributed running total, and the one or two middle values
     are picked by position. Only two numbers reach the driver.
     """
-    n_parts = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     vc = (df.select(F.col(col).alias("v")).filter(F.col("v").isNotNull())
             .groupBy("v").agg(F.count(F.lit(1)).alias("w")))
-    cum = _cumulative(vc, "v", "w", n_parts)
+    cum = _cumulative(vc, "v", "w", partitions)
     n = cum.agg(F.max("__cum")).first()[0]
     if not n:
         return None

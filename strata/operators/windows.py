@@ -69,10 +69,10 @@ def row_ids(df: DataFrame, order: Sequence[str], col: str = "row_id",
     partition count, not the data size.
     """
     order = list(order)
-    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    staged = (df.repartitionByRange(n, *order)
-                .withColumn("__p", F.spark_partition_id())
-                .checkpoint(eager=True))
+    # without an explicit count AQE sizes the ranges from the data
+    ranged = df.repartitionByRange(partitions, *order) if partitions \
+        else df.repartitionByRange(*order)
+    staged = ranged.withColumn("__p", F.spark_partition_id()).checkpoint(eager=True)
     counts = staged.groupBy("__p").agg(F.count(F.lit(1)).alias("__n"))
     offsets = counts.select(
         "__p", F.coalesce(F.sum("__n").over(

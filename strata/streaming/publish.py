@@ -22,17 +22,19 @@ def to_messages(df: DataFrame, key_col: str, fields: Sequence[str] | None = None
                      F.to_json(F.struct(*fields)).alias("value"))
 
 
-def place_by_key(messages: DataFrame, partitions: int) -> DataFrame:
-    """Hash-place messages by key (REBALANCE: skewed keys may be split)."""
-    return messages.hint("rebalance", partitions, "key")
+def place_by_key(messages: DataFrame, partitions: int | None = None) -> DataFrame:
+    """Hash-place messages by key (REBALANCE: skewed keys may be split;
+    without ``partitions`` AQE picks the count from the data size)."""
+    if partitions:
+        return messages.hint("rebalance", partitions, "key")
+    return messages.hint("rebalance", "key")
 
 
 def publish_files(df: DataFrame, key_col: str, path: str, partitions: int | None = None,
                   fields: Sequence[str] | None = None) -> None:
     """Write messages as JSON-lines text, placed by key (``partitions``
-    target files, default the session's shuffle partitions)."""
-    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    msgs = place_by_key(to_messages(df, key_col, fields), n)
+    target files; by default AQE sizes them)."""
+    msgs = place_by_key(to_messages(df, key_col, fields), partitions)
     msgs.select("value").write.mode("overwrite").text(path)
 
 
