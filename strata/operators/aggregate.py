@@ -54,13 +54,24 @@ def all_true(pred: Column) -> Column:
 
 
 def null_profile(df: DataFrame, columns: Sequence[str] | None = None,
-                 only_nonzero: bool = True) -> DataFrame:
+                 only_nonzero: bool = True, completeness_digits: int | None = None
+                 ) -> DataFrame:
     """(column_name, null_count) in one pass; by default only columns that
     hold nulls. One ``count_if`` per column, then an ``unpivot`` of the single
-    result row."""
+    result row. With ``completeness_digits`` every row also carries
+    ``completeness_pct``: the share of non-null cells over all columns,
+    from the same pass."""
     columns = list(columns or df.columns)
-    counts = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in columns])
-    long = counts.unpivot([], columns, "column_name", "null_count")
+    counts = df.agg(F.count(F.lit(1)).alias("__rows"),
+                    *[F.count_if(F.col(c).isNull()).alias(c) for c in columns])
+    ids = []
+    if completeness_digits is not None:
+        total = sum((F.col(c) for c in columns), F.lit(0))
+        counts = counts.withColumn("completeness_pct", half_up(
+            (F.lit(1.0) - total / (F.col("__rows") * F.lit(len(columns)))) * 100,
+            completeness_digits))
+        ids = ["completeness_pct"]
+    long = counts.unpivot(ids, columns, "column_name", "null_count")
     return long.filter(F.col("null_count") > 0) if only_nonzero else long
 
 

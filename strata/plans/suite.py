@@ -310,15 +310,7 @@ def _nulled_lineitem(spark, sf):
 
 
 def null_profile(spark: SparkSession, sf: str) -> DataFrame:
-    li = _nulled_lineitem(spark, sf)
-    cols = li.columns
-    counts = li.agg(F.count(F.lit(1)).alias("__rows"),
-                    *[F.count_if(F.col(c).isNull()).alias(c) for c in cols])
-    total = sum((F.col(c) for c in cols), F.lit(0))
-    counts = counts.withColumn("completeness_pct", C.half_up(
-        (F.lit(1.0) - total / (F.col("__rows") * F.lit(len(cols)))) * 100, 1))
-    long = counts.unpivot(["completeness_pct"], cols, "column_name", "null_count")
-    return long.filter(F.col("null_count") > 0)
+    return aggregate.null_profile(_nulled_lineitem(spark, sf), completeness_digits=1)
 
 
 def global_stats(spark: SparkSession, sf: str) -> DataFrame:
