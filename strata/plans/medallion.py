@@ -283,13 +283,14 @@ def run_layers(raw: DataFrame, zone_lookup: DataFrame | None, base: str, batch_i
     Returns the stage counts of the batch and the row counts of each table.
     """
     spark = raw.sparkSession
+    silver_path = f"{base}/silver"
+    silver_exists = read_optional(spark, silver_path, "parquet") is not None
     bronze = write_bronze(raw, f"{base}/bronze", batch_id, run_ts, source_file=source_file)
     batch = bronze.filter(F.col("_batch_id") == batch_id)
     staged = f"{base}/silver_batches/{batch_id}"
     counts = write_silver(batch, zone_lookup, staged, limits, run_ts, partition_by=None)
     source = spark.read.parquet(staged)
-    silver_path = f"{base}/silver"
-    if read_optional(spark, silver_path, "parquet") is not None:
+    if silver_exists:
         upsert.upsert_into_path(source, silver_path, keys, order, partition_col="pickup_month")
     else:
         deduped = upsert.dedupe_source(source, keys, order)
