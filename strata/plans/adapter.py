@@ -30,7 +30,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.operators.enrich import maybe_broadcast
 from strata.sources.readers import read_table
 
 # Columns that identify one line item; kept so later steps can break ties.
@@ -79,7 +78,9 @@ def zones(spark: SparkSession, sf_dir: str, drop_region: str | None = None) -> D
     region = read_table(spark, sf_dir, "region")
     if drop_region is not None:
         region = region.filter(F.col("r_name") != drop_region)
-    z = nation.join(maybe_broadcast(region), nation.n_regionkey == region.r_regionkey, "inner")
+    # both sides are small dimensions; the zone lookup as a whole is
+    # size-checked where it is joined to the facts (enrich.maybe_broadcast)
+    z = nation.join(region, nation.n_regionkey == region.r_regionkey, "inner")
     return z.select(F.col("n_nationkey").alias("LocationID"),
                     F.col("r_name").alias("Borough"),
                     F.col("n_name").alias("Zone"))
