@@ -383,7 +383,7 @@ def _daily_series(spark, sf):
     daily = ev.groupBy(F.to_date("ts").alias("date")).agg(
         F.max("value").alias("temp_max_c"), F.min("value").alias("temp_min_c"),
         F.count_if(F.col("event_type") == "error").cast("double").alias("precipitation_mm"),
-        F.avg("value").alias("wind_speed_kmh"))
+        C.stable(F.avg("value")).alias("wind_speed_kmh"))
     return daily
 
 
