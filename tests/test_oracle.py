@@ -1,4 +1,6 @@
-"""Every registered query against its DuckDB reference SQL (sf0.001)."""
+"""Every registered query against its DuckDB reference SQL (sf0.001),
+compared exactly: aggregated doubles are rounded through decimals on both
+sides, so no tolerance is needed."""
 
 import os
 import sys
@@ -8,7 +10,7 @@ import pytest
 sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(__file__)), "tools"))
 
 import __spark_entry__ as E  # noqa: E402
-from compare import compare  # noqa: E402
+import compare as C  # noqa: E402
 
 
 def test_every_query_has_sql():
@@ -17,7 +19,11 @@ def test_every_query_has_sql():
 
 @pytest.fixture(scope="module")
 def results(spark, sf_small):
-    return compare(spark, sf_small, verbose=False)
+    C.EXACT = True          # doubles must agree bit for bit (only -0.0 == 0.0)
+    try:
+        return C.compare(spark, sf_small, verbose=False)
+    finally:
+        C.EXACT = False
 
 
 @pytest.mark.parametrize("name", sorted(E.queries()))
