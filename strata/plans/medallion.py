@@ -185,20 +185,21 @@ def daily_revenue(silver_df: DataFrame, rolling_rows: int = 7,
                   run_ts: str | None = None) -> DataFrame:
     """Revenue by pickup date, tip rate and a 7-row rolling mean of revenue.
 
-    Sums and means are fixed at 6 decimals (``stable``) so reruns on another
+    Money totals are summed exactly in decimal (``money_sum``); sums and
+    means are fixed at 6 decimals (``stable``) so reruns on another
     partitioning give identical numbers.
 
     The rolling window runs after the aggregate: one row per day, so its
     single partition holds a calendar, not the data."""
     g = (silver_df.groupBy("pickup_date").agg(
             F.count(F.lit(1)).alias("trip_count"),
-            C.stable(F.sum("fare_amount")).alias("total_fare"),
-            C.stable(F.sum("total_amount_incl_tip")).alias("total_revenue"),
+            C.stable(C.money_sum("fare_amount")).alias("total_fare"),
+            C.stable(C.money_sum("total_amount_incl_tip")).alias("total_revenue"),
             C.stable(F.avg("fare_amount")).alias("avg_fare"),
             C.stable(F.avg("trip_duration_mins")).alias("avg_duration_mins"),
             C.stable(F.avg("trip_distance")).alias("avg_distance_miles"),
             F.count_if(F.coalesce(F.col("has_tip"), F.lit(False))).alias("trips_with_tip"),
-            C.stable(F.sum("tip_amount")).alias("total_tips"))
+            C.stable(C.money_sum("tip_amount")).alias("total_tips"))
          .withColumn("tip_rate_pct", C.percent("trips_with_tip", "trip_count", 1))
          .withColumn("revenue_7d_rolling", C.half_up(
              windows.rolling_mean("total_revenue", "pickup_date", rolling_rows), 2)))
@@ -212,7 +213,7 @@ def zone_performance(silver_df: DataFrame, run_ts: str | None = None) -> DataFra
     g = (silver_df.filter(F.col("pickup_zone_name").isNotNull())
          .groupBy("pickup_zone_name", "pickup_borough").agg(
             F.count(F.lit(1)).alias("trip_count"),
-            C.stable(F.sum("fare_amount")).alias("total_revenue"),
+            C.stable(C.money_sum("fare_amount")).alias("total_revenue"),
             C.stable(F.avg("fare_amount")).alias("avg_fare"),
             C.stable(F.avg("trip_distance")).alias("avg_distance_miles"),
             C.stable(F.avg("trip_duration_mins")).alias("avg_duration_mins"),
