@@ -50,12 +50,31 @@ def money_sum(x, scale: int = 4) -> Column:
 # time
 
 
-def duration_minutes(start, end, digits: int | None = 1) -> Column:
-    """Minutes from ``start`` to ``end`` (works on TIMESTAMP and TIMESTAMP_NTZ)."""
-    minutes = F.timestamp_diff("SECOND", _c(start), _c(end)) / F.lit(60.0)
+def duration_minutes(start, end, digits: int | None = 1, wall_clock: bool = False) -> Column:
+    """Minutes from ``start`` to ``end``, counting whole-second boundaries.
+
+    ``wall_clock=True`` is for TIMESTAMP_NTZ columns (local wall times): the
+    difference is taken on the calendar (days, then seconds of the day), so
+    it does not depend on the session time zone or its daylight-saving
+    shifts. Otherwise the instants' epoch seconds are subtracted."""
+    if wall_clock:
+        secs = (F.datediff(F.to_date(_c(end)), F.to_date(_c(start))).cast("long") * 86400
+                + _second_of_day(_c(end)) - _second_of_day(_c(start)))
+    else:
+        secs = F.unix_seconds(_c(end)) - F.unix_seconds(_c(start))
+    minutes = secs / F.lit(60.0)
     return minutes if digits is None else half_up(minutes, digits)
 
 
+def _second_of_day(ts: Column) -> Column:
+    return F.hour(ts) * 3600 + F.minute(ts) * 60 + F.second(ts)
+
+
+def is_wall_clock(df, col: str) -> bool:
+    """True when ``col`` holds local wall times (TIMESTAMP_NTZ)."""
+    return dict(df.dtypes).get(col) == "timestamp_ntz"
+
+
 def weekday_number(ts, sunday: int = 1) -> Column:
     """Day of week with Sunday = ``sunday`` (1 gives Spark's 1..7, 0 gives 0..6)."""
     return F.dayofweek(_c(ts)) - F.lit(1 - sunday)

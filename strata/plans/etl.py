@@ -19,7 +19,8 @@ def trip_features(df: DataFrame, pickup: str = "pickup_datetime",
                   tip: str = "tip_usd", distance: str = "distance_km") -> DataFrame:
     """Duration, total with tip, fare per km, pickup hour (before any fill)."""
     return df.withColumns({
-        "trip_duration_mins": C.duration_minutes(pickup, dropoff, 1),
+        "trip_duration_mins": C.duration_minutes(pickup, dropoff, 1,
+                                                 C.is_wall_clock(df, pickup)),
         "total_amount": C.plus_default(fare, tip, 0.0),
         "fare_per_km": C.ratio(fare, distance, 2),
         "pickup_hour": F.hour(pickup),

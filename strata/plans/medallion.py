@@ -112,7 +112,8 @@ def derive(df: DataFrame, batch_col: str = "_batch_id", run_ts: str | None = Non
     """Silver derived columns (duration, fare per mile, totals, date parts,
     labels, flags, silver metadata)."""
     out = {
-        "trip_duration_mins": C.duration_minutes(pickup, dropoff, 1),
+        "trip_duration_mins": C.duration_minutes(pickup, dropoff, 1,
+                                                 C.is_wall_clock(df, pickup)),
         "fare_per_mile": C.ratio(fare, distance, 2),
         "total_amount_incl_tip": C.plus_default(fare, tip, 0.0),
         "pickup_date": F.to_date(pickup),

@@ -93,7 +93,8 @@ def daily_mart(trips: DataFrame, rolling_rows: int = 7) -> DataFrame:
     Grouped by the date alone: year, month, weekday and weekend are functions
     of it, so they are derived after the aggregate instead of widening the
     shuffle key. Weekday numbering is 0 = Sunday .. 6 = Saturday."""
-    dur = C.duration_minutes("pickup_datetime", "dropoff_datetime", None)
+    dur = C.duration_minutes("pickup_datetime", "dropoff_datetime", None,
+                             C.is_wall_clock(trips, "pickup_datetime"))
     g = trips.groupBy(F.to_date("pickup_datetime").alias("trip_date")).agg(
         F.count(F.lit(1)).alias("trip_count"),
         F.sum(F.col("passenger_count").cast("bigint")).alias("total_passengers"),

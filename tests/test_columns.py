@@ -73,3 +73,17 @@ def test_rolling_change_rank(spark):
     assert [x.m for x in r] == [10.0, 15.0, 20.0, 30.0]
     assert [x.c for x in r] == [None, 10.0, 0.0, 20.0]
     assert [x.rk for x in r] == [4, 2, 2, 1] and [x.drk for x in r] == [3, 2, 2, 1]
+
+
+def test_wall_clock_duration_ignores_session_time_zone(spark):
+    prev = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        # 2024-03-10 02:00 local: clocks jump forward in New York
+        df = spark.createDataFrame([("2024-03-09 12:00:00", "2024-03-10 12:00:00")],
+                                   "a string, b string").select(
+            F.to_timestamp_ntz("a").alias("a"), F.to_timestamp_ntz("b").alias("b"))
+        r = df.select(C.duration_minutes("a", "b", None, C.is_wall_clock(df, "a")).alias("m"))
+        assert r.first().m == 1440.0
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", prev)
