@@ -17,7 +17,7 @@ from strata.functions import columns as C
 from strata.operators import aggregate, enrich, rules, upsert, windows
 from strata.operators.rules import Rule
 from strata.sources.readers import read_optional
-from strata.sources.sinks import by_partition
+from strata.sources.sinks import by_partition, ensure_database, register_path
 
 
 @dataclass(frozen=True)
@@ -60,11 +60,25 @@ def land(df: DataFrame, batch_id: str, run_ts: str | Column | None = None,
     })
 
 
+def _table_root(file_path: str) -> str:
+    """Folder of a data file with trailing ``key=value`` partition folders
+    removed (or the file itself when it is the table)."""
+    parts = file_path.rstrip("/").split("/")
+    parent = parts[:-1]
+    while parent and "=" in parent[-1]:
+        parent.pop()
+    name = parts[-1]
+    # a table given as one file (``x.parquet``) is its own root
+    return "/".join(parts) if name.endswith(".parquet") and not name.startswith("part-") \
+        else "/".join(parent)
+
+
 def _file_path(df: DataFrame) -> Column:
     """The scanned file of each row (hidden ``_metadata`` column of file
     sources); null when the frame does not come from files. Frames joined
     from several tables have no single source file: pass ``source_file``."""
-    if not df.inputFiles():
+    roots = {_table_root(f) for f in df.inputFiles()}
+    if len(roots) != 1:            # no files, or several tables joined
         return F.lit(None).cast("string")
     try:
         df.select(F.col("_metadata.file_path")).schema
@@ -271,7 +285,7 @@ SILVER_KEYS = ("VendorID", "tpep_pickup_datetime", "PULocationID")
 def run_layers(raw: DataFrame, zone_lookup: DataFrame | None, base: str, batch_id: str,
                run_ts: str, limits: Limits = Limits(), keys: Sequence[str] = SILVER_KEYS,
                order: Sequence[str] = ("_ingestion_ts",),
-               source_file: Column | None = None) -> dict:
+               source_file: Column | None = None, database: str | None = None) -> dict:
     """Bronze -> silver -> gold for one batch, every layer written as files.
 
     * bronze: the batch lands in its own ``_batch_id`` partition (re-running
@@ -282,6 +296,9 @@ def run_layers(raw: DataFrame, zone_lookup: DataFrame | None, base: str, batch_i
     * gold: daily revenue, zone performance and hourly demand are rebuilt
       from silver and overwritten.
 
+    With ``database`` the layers are also registered as external catalog
+    tables (``<database>.bronze_trips``, ``.silver_trips``, ``.gold_*``).
+
     Returns the stage counts of the batch and the row counts of each table.
     """
     spark = raw.sparkSession
@@ -306,4 +323,10 @@ def run_layers(raw: DataFrame, zone_lookup: DataFrame | None, base: str, batch_i
     for name, df in gold.items():
         df.write.mode("overwrite").parquet(f"{base}/gold/{name}")
         tables[name] = spark.read.parquet(f"{base}/gold/{name}").count()
+    if database:
+        ensure_database(spark, database)
+        register_path(spark, f"{database}.bronze_trips", f"{base}/bronze", partitioned=True)
+        register_path(spark, f"{database}.silver_trips", silver_path, partitioned=True)
+        for name in gold:
+            register_path(spark, f"{database}.gold_{name}", f"{base}/gold/{name}")
     return {"stage_counts": counts, "tables": tables}

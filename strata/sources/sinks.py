@@ -17,6 +17,24 @@ def by_partition(df: DataFrame, cols) -> DataFrame:
     return df.hint("rebalance", *cols)
 
 
+def ensure_database(spark: SparkSession, name: str, location: str | None = None) -> None:
+    """Create the database of two-level table names (``db.table``) if absent."""
+    loc = f" LOCATION '{location}'" if location else ""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{name}`{loc}")
+
+
+def register_path(spark: SparkSession, name: str, path: str, fmt: str = "parquet",
+                  partitioned: bool = False) -> DataFrame:
+    """(Re)point catalog table ``name`` at files already written to ``path``
+    (an external table: dropping it never deletes the files). Partition
+    folders are recovered into the catalog when ``partitioned``."""
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    df = spark.catalog.createTable(name, path=path, source=fmt)
+    if partitioned:
+        spark.catalog.recoverPartitions(name)
+    return spark.table(name)
+
+
 def overwrite_table(df: DataFrame, name: str, path: str | None = None,
                     partition_by: list[str] | None = None, fmt: str = "parquet") -> None:
     """Replace table ``name`` (schema included); ``path`` makes it external."""

@@ -126,7 +126,11 @@ def test_run_layers_twice_is_idempotent(spark, sf_small):
     zones = adapter.zones(spark, sf_small)
     order = ("_ingestion_ts", "l_orderkey", "l_linenumber", "l_partkey")
     lim = M.Limits(max_fare=50_000.0)
-    first = M.run_layers(raw, zones, base, "b1", "2024-01-01 00:00:00", lim, order=order)
+    db = "t_taxi_" + base.rsplit("-", 1)[-1]
+    first = M.run_layers(raw, zones, base, "b1", "2024-01-01 00:00:00", lim, order=order,
+                         database=db)
+    assert spark.table(f"{db}.gold_daily_revenue").count() == first["tables"]["daily_revenue"]
+    assert spark.table(f"{db}.silver_trips").count() == first["tables"]["silver"]
     again = M.run_layers(raw, zones, base, "b1", "2024-01-02 00:00:00", lim, order=order)
     assert first["tables"] == again["tables"]
     assert first["stage_counts"]["raw_rows"] == raw.count()
