@@ -62,7 +62,10 @@ def daily_payloads(daily: DataFrame, group: str, order: str = "date",
                    fields: Mapping[str, str] = DAILY_FIELDS) -> DataFrame:
     """Pack daily rows into payload records of parallel arrays, one record per
     ``group`` (e.g. a week), the shape a forecast API returns. Arrays are
-    sorted by ``order`` so the i-th elements belong together."""
+    sorted by ``order`` so the i-th elements belong together.
+
+    ``collect_list`` holds one group's rows in one task, so the group must be
+    bounded by construction (a week holds at most seven days)."""
     cols = list(fields.values())
     packed = daily.groupBy(group).agg(
         F.array_sort(F.collect_list(F.struct(*[F.col(c) for c in cols]))).alias("__d"))
