@@ -1,9 +1,12 @@
 """Dimension joins (the "joiner" family).
 
-Broadcasting is decided by a bounded probe: ``dim.limit(n + 1).count()``
-reads at most ``n + 1`` rows, so it proves the size bound cheaply even when
-the dimension turns out to be large. Past the bound we let Catalyst and AQE
-choose (sort-merge, or a runtime switch to broadcast / skew splitting).
+Broadcasting is decided by counting the dimension first: a plain
+``count`` is aggregated partially in every task (one number per task
+reaches the final sum), so the check never gathers rows in one place, even
+when the "dimension" turns out to be large. (A ``limit(n + 1).count()``
+probe would ship up to ``n + 1`` rows from every partition into a single
+task.) Past the bound we let Catalyst and AQE choose (sort-merge, or a
+runtime switch to broadcast / skew splitting).
 """
 
 from __future__ import annotations
@@ -19,8 +22,8 @@ DEFAULT_BROADCAST_ROWS = 1_000_000
 
 
 def fits(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (reads ≤ max_rows + 1)."""
-    return df.limit(max_rows + 1).count() <= max_rows
+    """True when ``df`` has at most ``max_rows`` rows (a distributed count)."""
+    return df.agg(F.count(F.lit(1)).alias("n")).first()["n"] <= max_rows
 
 
 def maybe_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
