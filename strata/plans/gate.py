@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from strata.operators import quality as Q
 from strata.operators import rules
+from strata.sources.readers import nan_as_null
 
 # Fixed values of the reference gate: inputs, limits, and the 14 check
 # names with their detail texts, in the order the checks run.
@@ -90,7 +91,10 @@ def quarantine_rules() -> list[rules.Rule]:
 
 
 def run_gate(df: DataFrame):
-    """Returns (check results, score with decision, clean rows, quarantined rows)."""
+    """Returns (check results, score with decision, clean rows, quarantined rows).
+
+    NaN values count as missing (as in the reference's frame checks)."""
+    df = nan_as_null(df)
     results = Q.run_checks(df, trip_checks(df))
     scored = Q.decide(Q.score(results))
     clean, bad = rules.split(df, quarantine_rules(), reason=QUARANTINE_REASON)

@@ -72,6 +72,18 @@ def read_optional(spark: SparkSession, path: str, fmt: str = "csv",
         raise
 
 
+def nan_as_null(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """NaN -> null in fractional columns (all double/float ones by default).
+
+    Spark orders NaN above every number (``NaN > 500`` is true) while
+    frame-style tools treat it as missing; converting at the source gives the
+    missing-value meaning everywhere downstream."""
+    types = dict(df.dtypes)
+    cols = [c for c in (columns or df.columns) if types.get(c) in ("double", "float")]
+    return df.withColumns({c: F.when(F.isnan(c), F.lit(None).cast(types[c]))
+                           .otherwise(F.col(c)) for c in cols}) if cols else df
+
+
 def arrays_to_rows(df: DataFrame, struct_col: str, fields: Mapping[str, str]) -> DataFrame:
     """Struct of parallel arrays -> one row per index.
 

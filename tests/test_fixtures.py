@@ -149,3 +149,13 @@ def test_range_check_counts_outside_rows_only(spark):
     ok = spark.createDataFrame([(1,), (None,)], "passenger_count int")
     res = Q.run_checks(ok, [Q.in_range("passenger_count", 1, 6)]).first()
     assert (res.status, res.detail) == ("FAIL", "0 invalid rows")
+
+
+def test_gate_treats_nan_as_missing(spark):
+    rows = [r if r[0] != "T005" else (r[0], r[1], r[2], float("nan")) + r[4:] for r in FX.QUALITY]
+    df = FX.frame(spark, rows, FX.QUALITY_SCHEMA, ts_cols=(1, 2))
+    results, _, clean, bad = gate.run_gate(df)
+    res = {r["check"]: (r["status"], r["detail"]) for r in results.collect()}
+    assert res["No nulls in [fare_usd]"] == ("FAIL", "1 nulls found")
+    assert res["fare_usd < $500 (outlier check)"] == ("PASS", "0 outliers found")
+    assert clean.count() + bad.count() == 10
