@@ -85,16 +85,21 @@ def word_spans(bounds: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, np.nda
     return starts, ends, np.searchsorted(starts, bounds)
 
 
+def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hash of each span of bytes, from running sums of one polynomial."""
+    power, inverse = _power_tables(len(data) + 1)
+    sums = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * power[:len(data)], out=sums[1:])
+    return mix((sums[ends] - sums[starts]) * inverse[starts])
+
+
 def word_hashes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Hash of every lower-cased word, and the words' offsets per text."""
     bounds, data = bounds_and_bytes(column)
     if not len(data):
         return np.zeros(0, np.uint64), np.zeros(len(bounds), np.int64)
     starts, ends, offsets = word_spans(bounds, data)
-    power, inverse = _power_tables(len(data))
-    sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum((_LOWER[data].astype(np.uint64) + np.uint64(1)) * power[:len(data)], out=sums[1:])
-    return mix((sums[ends] - sums[starts]) * inverse[starts]), offsets
+    return span_hashes(_LOWER[data], starts, ends), offsets
 
 
 def shingle_sets(column: pa.Array) -> Iterator[np.ndarray]:
@@ -123,5 +128,5 @@ def shingle_sets(column: pa.Array) -> Iterator[np.ndarray]:
             yield np.zeros(0, np.uint64)
 
 
-__all__ = ["mix", "as_binary", "bounds_and_bytes", "slices", "word_spans", "word_hashes",
+__all__ = ["mix", "as_binary", "bounds_and_bytes", "slices", "word_spans", "span_hashes", "word_hashes",
            "shingle_sets", "SLICE_BYTES"]
