@@ -3,19 +3,36 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from strata.llm.graph import saved
 from strata.llm.jaccard_join import near_duplicate_groups
+from strata.llm.packing import place, token_pieces
+from strata.llm.wavelet import read_shards, write_shards
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op6_wavelet_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_shards(write_shards(_table(spark, sf_dir, "documents")))
+    return docs.select(F.col("id").alias("doc_id"), "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = token_pieces(_table(spark, sf_dir, "documents"))
+    digests = saved(pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids"), "pieces")
+    return place(digests)
+
+
 def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicate_groups(_table(spark, sf_dir, "documents"))
 
 
 QUERIES = {
+    "op6_wavelet_matrix": op6_wavelet_matrix,
+    "op7_best_fit_packing": op7_best_fit_packing,
     "op8_jaccard_join": op8_jaccard_join,
 }
 
