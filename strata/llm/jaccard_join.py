@@ -31,6 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from strata.llm.bitmap import bitmap, hit
 from strata.llm.graph import components, saved
 from strata.llm.words import mix, shingle_sets, slices
 
@@ -38,7 +39,6 @@ FREQUENT_TOKENS = 1 << 16   # size of the table of frequent tokens
 FREQUENT_FROM = 64          # least count of a frequent token
 COUNTED_AT_ONCE = 1 << 21   # shingles counted together; a token below CHUNK_LEAST there is not reported
 CHUNK_LEAST = 4
-BITMAP_BITS = 25
 HASH_PAIRS = 6
 
 _ODD = (mix(np.arange(1, 2 * HASH_PAIRS + 1, dtype=np.uint64)) | np.uint64(1))
@@ -141,21 +141,6 @@ def describe(texts: DataFrame, frequent: np.ndarray, num: int, den: int) -> Data
                                  " pairs array<long>")
 
 
-def _bitmap(cells: DataFrame) -> np.ndarray:
-    """Bits set at the low bits of column ``cell``, gathered as a table of fixed size."""
-    low = F.col("cell").bitwiseAND((1 << BITMAP_BITS) - 1)
-    words = (cells.select(F.shiftright(low, 6).alias("w"), low.bitwiseAND(63).cast("int").alias("s"))
-             .groupBy("w").agg(F.expr("bit_or(shiftleft(1L, s))").alias("v")).toPandas())
-    bits = np.zeros(1 << (BITMAP_BITS - 6), np.uint64)
-    bits[words["w"].to_numpy(np.int64)] = words["v"].to_numpy(np.int64).view(np.uint64)
-    return bits
-
-
-def _hit(bits: np.ndarray, cells: np.ndarray) -> np.ndarray:
-    low = cells.view(np.uint64) & np.uint64((1 << BITMAP_BITS) - 1)
-    return (bits[(low >> np.uint64(6)).astype(np.int64)] >> (low & np.uint64(63))) & np.uint64(1) == 1
-
-
 def _cell(key: Column) -> Column:
     return F.conv(F.hex(F.substring(key, 1, 7)), 16, 10).cast("long")
 
@@ -164,7 +149,7 @@ def verify(texts: DataFrame, pairs: DataFrame, num: int, den: int) -> DataFrame:
     """The pairs of keys ``(a, b)`` whose sets reach the threshold exactly."""
     pairs = saved(pairs, "pairs")
     ends = pairs.select(F.col("a").alias("key")).unionByName(pairs.select(F.col("b").alias("key")))
-    shared = texts.sparkSession.sparkContext.broadcast(_bitmap(ends.select(_cell(F.col("key")).alias("cell"))))
+    shared = texts.sparkSession.sparkContext.broadcast(bitmap(ends.select(_cell(F.col("key")).alias("cell"))))
 
     def run(batches):
         seen = set()
@@ -175,7 +160,7 @@ def verify(texts: DataFrame, pairs: DataFrame, num: int, den: int) -> DataFrame:
                     continue
                 key = _key(own)
                 cell = np.array([int.from_bytes(key[:7], "big")], np.int64)
-                if _hit(shared.value, cell)[0] and key not in seen:
+                if hit(shared.value, cell)[0] and key not in seen:
                     seen.add(key)
                     keys.append(key)
                     out.append(own.view(np.int64))
@@ -211,7 +196,7 @@ def _open_pairs(sets: DataFrame, groups: DataFrame, num: int, den: int) -> DataF
     crossing = (placed.select(F.explode("prefix").alias("token"), F.xxhash64("grp").alias("g"))
                 .groupBy("token").agg(F.min("g").alias("lo"), F.max("g").alias("hi"))
                 .where("lo <> hi").select(F.col("token").alias("cell")))
-    shared = spark.sparkContext.broadcast(_bitmap(crossing))
+    shared = spark.sparkContext.broadcast(bitmap(crossing))
 
     def pick(batches):
         for batch in batches:
@@ -219,7 +204,7 @@ def _open_pairs(sets: DataFrame, groups: DataFrame, num: int, den: int) -> DataF
             if not batch.num_rows:
                 continue
             tokens = lists.flatten().to_numpy(zero_copy_only=False)
-            keep = _hit(shared.value, tokens)
+            keep = hit(shared.value, tokens)
             sizes = lists.value_lengths().to_numpy(zero_copy_only=False)
             row = np.repeat(np.arange(batch.num_rows), sizes)[keep]
             rest = batch.select(list(range(batch.num_columns - 1))).take(pa.array(row))

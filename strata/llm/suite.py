@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from strata.llm.graph import saved
 from strata.llm.jaccard_join import near_duplicate_groups
 from strata.llm.packing import place, token_pieces
+from strata.llm import toxicity
+from strata.llm.passages import remove_repeats
 from strata.llm.wavelet import read_shards, write_shards
 
 
@@ -15,6 +17,25 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _folds(docs: DataFrame, folds: int):
+    """Remainder of the unsigned crc32 of the id as text; null ids have none."""
+    return F.crc32(docs["doc_id"].cast("string").cast("binary")) % folds
+
+
+def toxicity_model(spark: SparkSession, sf_dir: str, docs: DataFrame) -> dict:
+    """Network trained on the labelled rows that are not held out."""
+    labels = _table(spark, sf_dir, "labels").select("doc_id", F.col("toxic").alias("label"))
+    known = docs.where(_folds(docs, 5) != 0).select("doc_id", "text").join(labels, "doc_id")
+    return toxicity.fit(known.select("text", "label"))
+
+
+def op2_gated_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    scored = toxicity.score(docs, toxicity_model(spark, sf_dir, docs))
+    return scored.select("doc_id", F.coalesce(_folds(scored, 5) == 0, F.lit(False)).alias("held_out"), "score",
+                         (F.col("score") >= 0.5).cast("int").alias("predicted"), "n_windows")
+
+
 def op6_wavelet_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_shards(write_shards(_table(spark, sf_dir, "documents")))
     return docs.select(F.col("id").alias("doc_id"), "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
@@ -30,10 +51,20 @@ def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicate_groups(_table(spark, sf_dir, "documents"))
 
 
+def op9_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = remove_repeats(_table(spark, sf_dir, "documents"))
+    return cut.select("doc_id", F.size("removed_spans").cast("long").alias("n_removed"),
+                      F.aggregate("removed_spans", F.lit(0).cast("long"), lambda a, s: a + s.end - s.begin).alias("removed_bytes"),
+                      F.length("text").cast("long").alias("kept_chars"), F.crc32(F.col("text").cast("binary")).alias("kept_crc32"),
+                      F.col("removed_spans").cast("string").alias("removed_spans"))
+
+
 QUERIES = {
+    "op2_gated_toxicity": op2_gated_toxicity,
     "op6_wavelet_matrix": op6_wavelet_matrix,
     "op7_best_fit_packing": op7_best_fit_packing,
     "op8_jaccard_join": op8_jaccard_join,
+    "op9_repeated_passages": op9_repeated_passages,
 }
 
 ORACLE_SQL: dict[str, str] = {}

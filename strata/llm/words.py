@@ -85,14 +85,19 @@ def word_spans(bounds: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, np.nda
     return starts, ends, np.searchsorted(starts, bounds)
 
 
-def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """Hash of each span of bytes, from running sums of one polynomial."""
-    power, inverse = _power_tables(len(data) + 1)
-    sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * power[:len(data)], out=sums[1:])
+def run_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hash of each run of 64-bit values, from running sums of one polynomial."""
+    power, inverse = _power_tables(len(values) + 1)
+    sums = np.zeros(len(values) + 1, np.uint64)
+    np.cumsum(values * power[:len(values)], out=sums[1:])
     return mix((sums[ends] - sums[starts]) * inverse[starts])
 
 
+def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hash of each span of bytes."""
+    return run_hashes(data.astype(np.uint64) + np.uint64(1), starts, ends)
+
+
 def word_hashes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Hash of every lower-cased word, and the words' offsets per text."""
     bounds, data = bounds_and_bytes(column)
@@ -128,5 +133,5 @@ def shingle_sets(column: pa.Array) -> Iterator[np.ndarray]:
             yield np.zeros(0, np.uint64)
 
 
-__all__ = ["mix", "as_binary", "bounds_and_bytes", "slices", "word_spans", "span_hashes", "word_hashes",
+__all__ = ["mix", "as_binary", "bounds_and_bytes", "slices", "word_spans", "run_hashes", "span_hashes", "word_hashes",
            "shingle_sets", "SLICE_BYTES"]
