@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from strata.llm.graph import saved
 from strata.llm.jaccard_join import near_duplicate_groups
 from strata.llm.packing import place, token_pieces
-from strata.llm import toxicity
+from strata.llm import backoff_lm, main_text, toxicity
 from strata.llm.passages import remove_repeats
 from strata.llm.wavelet import read_shards, write_shards
 
@@ -36,6 +36,20 @@ def op2_gated_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
                          (F.col("score") >= 0.5).cast("int").alias("predicted"), "n_windows")
 
 
+def op4_backoff_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    model, words = backoff_lm.train(docs.where(F.coalesce(_folds(docs, 7) != 2, F.lit(True))).select("text"))
+    scored = backoff_lm.score(docs, model, words)
+    return scored.select("doc_id", F.coalesce(_folds(scored, 7) == 2, F.lit(False)).alias("held_out"),
+                         "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+def op5_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _table(spark, sf_dir, "pages")
+    return (main_text.main_text(pages.select("page_id", "url", "html"), main_text.fit(pages))
+            .select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars")))
+
+
 def op6_wavelet_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_shards(write_shards(_table(spark, sf_dir, "documents")))
     return docs.select(F.col("id").alias("doc_id"), "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
@@ -61,6 +75,8 @@ def op9_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_gated_toxicity": op2_gated_toxicity,
+    "op4_backoff_automaton": op4_backoff_automaton,
+    "op5_main_text": op5_main_text,
     "op6_wavelet_matrix": op6_wavelet_matrix,
     "op7_best_fit_packing": op7_best_fit_packing,
     "op8_jaccard_join": op8_jaccard_join,
