@@ -23,10 +23,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 SAMPLE = 2000   # labelled pages used for the weights
+LEAST, MOST = 0.05, 3.0   # cost of a tag always in the article, and of one never in it; a word earns 1
 
 # HTML elements by what they mean for text.
-_SKIPPED = "script style noscript template svg math head iframe object canvas select button textarea audio video"
-_OUTSIDE = frozenset("nav footer header aside form menu dialog".split())
+_SKIPPED = "script style noscript template svg math iframe object canvas select button textarea audio video"
+_OUTSIDE = frozenset("head nav footer header aside form menu dialog".split())
+_HEAD = frozenset("head title meta link base".split())
 _BLOCKS = frozenset("""address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption
 figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre section summary table tbody
 td tfoot th thead title tr ul""".split())
@@ -72,8 +74,12 @@ def tokens(page: str) -> Iterator[tuple[str, str, bool, bool]]:
                 at = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == tag), None)
                 if at is not None:
                     del stack[at:]
+                    marked = bool(stack) and stack[-1][2]
                 yield "/" + tag, "", outside, marked
             else:
+                if stack and tag not in _HEAD and any(s[0] == "head" for s in stack):
+                    del stack[next(i for i, s in enumerate(stack) if s[0] == "head"):]
+                    outside, marked = stack[-1][1:] if stack else (False, False)
                 if tag in _BLOCKS:  # a block ends an open paragraph; a list item or cell ends its like
                     while stack and (stack[-1][0] not in _BLOCKS or stack[-1][0] == "p"):
                         if not any(s[0] == "p" for s in stack):
@@ -90,45 +96,41 @@ def tokens(page: str) -> Iterator[tuple[str, str, bool, bool]]:
 
 
 def learn(pages: list[str]) -> dict[str, float]:
-    """Negative weight of each tag from pages that mark their article.
+    """Negative weight of each tag, from pages that mark their article.
 
-    A tag costs more the likelier it is outside the article; words earn one each."""
-    inside, around, words = Counter(), Counter(), 0
+    A tag costs the more the larger the share of it that stands around the article
+    rather than in it (parts that are never the article do not count)."""
+    inside, around = Counter(), Counter()
     for page in pages:
-        for kind, value, outside, marked in tokens(page):
-            if kind == "#text":
-                words += len(value.split()) if marked and not outside else 0
-            else:
-                (inside if marked and not outside else around)[kind] += 1
-    mean = words / max(1, sum(inside.values()))
-    scale = max(1.0, min(8.0, mean / 4))
-    return {tag: -scale * max(0.1, 1 + math.log((around[tag] + 1) / (inside[tag] + 1)) / 2)
-            for tag in inside.keys() | around.keys()}
+        for kind, _, outside, marked in tokens(page):
+            if kind != "#text" and not outside:
+                (inside if marked else around)[kind] += 1
+    share = {tag: (around[tag] + 1) / (inside[tag] + around[tag] + 2) for tag in inside.keys() | around.keys()}
+    return {tag: -max(LEAST, MOST * x * x) for tag, x in share.items()}
 
 
 def extract(page: str | None, weights: dict[str, float]) -> str:
     """The page's main text: blocks in order, joined by an empty line."""
-    blocks: list[list] = [[[], 0.0, False]]     # texts, score, outside
+    blocks: list[list[str]] = [[]]
     path: list[tuple[float, int]] = []          # score and block of every token
-    usual = sum(weights.values()) / len(weights) if weights else -2.0
-    has_mark = False
+    linked = 0
     for kind, value, outside, marked in tokens(page or ""):
         if kind == "#text":
             n = len(value.split())
-            path.append((-n if outside else n, len(blocks) - 1))
-            blocks[-1][0].append("" if outside else value)
+            path.append((-LEAST * n if outside else 0.0 if linked > 0 and not marked else n, len(blocks) - 1))
+            if not outside:
+                blocks[-1].append(value)
             continue
         name = kind.lstrip("/")
-        has_mark = has_mark or name in ("article", "main")
-        if name in ("article", "main"):
-            # an article's own edge is where a region should start or end
-            path.append((-1e6 if kind[0] == "/" else -1e6, len(blocks) - 1))
-        else:
-            path.append((weights.get(kind, usual), len(blocks) - 1))
+        if name == "a":
+            linked = 0 if kind[0] == "/" else 1
+        edge = name in ("article", "main") and not outside
+        cost = -LEAST if outside else weights.get(kind, -MOST / 4)
+        path.append((-math.inf if edge and not marked else cost, len(blocks) - 1))
         if name in _BLOCKS:
-            blocks.append([[], 0.0, outside])
+            blocks.append([])
         elif name == "br":
-            blocks[-1][0].append(" ")
+            blocks[-1].append(" ")
     best, total, begin, region = 0.0, 0.0, 0, (0, -1)
     for i, (value, _) in enumerate(path):
         if total <= 0:
@@ -136,14 +138,11 @@ def extract(page: str | None, weights: dict[str, float]) -> str:
         total += value
         if total > best:
             best, region = total, (begin, i)
-    texts = []
-    if region[1] >= 0:
-        first, last = path[region[0]][1], path[region[1]][1]
-        for parts, _, _ in blocks[first:last + 1]:
-            text = " ".join(unescape("".join(parts)).split())
-            if text:
-                texts.append(text)
-    return "\n\n".join(texts)
+    if region[1] < 0:
+        return ""
+    texts = (" ".join(unescape("".join(parts)).split())
+             for parts in blocks[path[region[0]][1]:path[region[1]][1] + 1])
+    return "\n\n".join(t for t in texts if t)
 
 
 def fit(pages: DataFrame, html_col: str = "html", sample: int = SAMPLE) -> dict[str, float]:

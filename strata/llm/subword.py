@@ -63,24 +63,30 @@ def _odd_texts(bounds: np.ndarray, data: np.ndarray, added: list[bytes]) -> np.n
 class Encoder:
     """Arrow texts to token ids as little-endian unsigned 32-bit integers."""
 
+    space_first = False   # whether a text's first word counts as one after a space
+
     def __init__(self, vocabulary: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs one worker per core
         from tokenizers import Tokenizer
         self.library = Tokenizer.from_file(vocabulary)
         self.added = [t.content.encode() for t in self.library.get_added_tokens_decoder().values()]
         self.line_end = np.array(self.whole("\n"), "<u4")
+        self._tables()
+
+    def _tables(self) -> None:
         slots = 1 << TABLE_BITS
         self.words = np.zeros(slots, np.uint64)
         self.begin = np.zeros(slots, np.int64)
         self.size = np.zeros(slots, np.int64)
+        self.extra = np.zeros(slots)         # a number kept with each word
         self.ids = np.zeros(STORE, "<u4")
         self.used = 0
 
     def whole(self, text: str) -> list[int]:
         return self.library.encode(text, add_special_tokens=False).ids
 
-    def _ids_of(self, words: list[str]) -> list[list[int]]:
-        """Ids of single words, through the library's own cutting and model."""
+    def _ids_of(self, words: list[str]) -> tuple[list[list[int]], np.ndarray | float]:
+        """Ids of single words, through the library's own cutting and model, and their extra numbers."""
         tokenize = self.library.model.tokenize
         pieces = [p for p, _ in self.library.pre_tokenizer.pre_tokenize_str("\n".join(words) + "\n")]
         known = {p: [t.id for t in tokenize(p)] for p in set(pieces)}
@@ -91,12 +97,12 @@ class Encoder:
                 own = []
             else:
                 own += known[p]
-        return out
+        return out, 0.0
 
     def _learn(self, keys: np.ndarray, starts, ends, raw: bytes, lead: np.ndarray) -> None:
         words = [(" " if s else "") + raw[a:b].decode()
                  for a, b, s in zip(starts.tolist(), ends.tolist(), lead.tolist(), strict=True)]
-        found = self._ids_of(words)
+        found, extra = self._ids_of(words)
         size = np.array([len(x) for x in found], np.int64)
         if self.used + size.sum() > len(self.ids):
             self.words[:] = 0
@@ -107,13 +113,14 @@ class Encoder:
         self.ids[self.used:self.used + size.sum()] = np.fromiter((i for x in found for i in x), "<u4", size.sum())
         self.used += int(size.sum())
         slot = (keys & np.uint64(len(self.words) - 1)).astype(np.int64)
-        self.words[slot], self.begin[slot], self.size[slot] = keys, begin, size
+        self.words[slot], self.begin[slot], self.size[slot], self.extra[slot] = keys, begin, size, extra
 
     def __call__(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Offsets of each text's ids, and all ids; null texts are empty."""
         bounds, data = bounds_and_bytes(column)
         n = len(bounds) - 1
         if not len(data):
+            self.seen = None
             return np.zeros(n + 1, np.int64), np.zeros(0, "<u4")
         odd = _odd_texts(bounds, data, self.added)
         cut = (data == 32) | (data == 10)
@@ -130,12 +137,14 @@ class Encoder:
         opener = data[np.maximum(starts - 1, 0)]
         inside = starts > bounds[text]
         spaced, lined = inside & (opener == 32), inside & (opener == 10)
+        if self.space_first:
+            spaced |= ~inside
         keys = span_hashes(data, starts, ends) ^ (spaced.astype(np.uint64) * np.uint64(0x9FB21C651E98DF25))
         keys |= np.uint64(1) << np.uint64(63)  # never the empty slot
         todo, raw = np.arange(len(keys)), None
         sizes = np.zeros(len(keys), np.int64)
         where = np.zeros(len(keys), np.int64)
-        out, held = [], []
+        extra = np.zeros(len(keys))
         # Slots are shared: words learnt in this call may push each other out, so ids are copied round by round.
         pool = []
         base = 0
@@ -144,7 +153,7 @@ class Encoder:
             hit = self.words[slot] == keys[todo]
             got, s = todo[hit], slot[hit]
             if len(got):
-                sizes[got], where[got] = self.size[s], self.begin[s] + base
+                sizes[got], where[got], extra[got] = self.size[s], self.begin[s] + base, self.extra[s]
             pool.append(self.ids[:self.used].copy() if not hit.all() else self.ids)
             base += len(pool[-1])
             todo = todo[~hit]
@@ -155,12 +164,14 @@ class Encoder:
                 at = todo[first[one]]
                 self._learn(keys[at], starts[at], ends[at], raw, spaced[at])
         pool = np.concatenate(pool) if len(pool) > 1 else pool[0] if pool else self.ids
-        total = sizes + lined
+        self.seen = (data, text, starts, ends, spaced, extra, odd)
+        total = sizes + lined * len(self.line_end)
         place = np.cumsum(total) - total
         flat = np.empty(int(total.sum()), "<u4")
-        flat[place[lined]] = self.line_end[0]
+        for k, piece in enumerate(self.line_end):
+            flat[place[lined] + k] = piece
         step = np.arange(int(sizes.sum())) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-        flat[np.repeat(place + lined, sizes) + step] = pool[np.repeat(where, sizes) + step]
+        flat[np.repeat(place + lined * len(self.line_end), sizes) + step] = pool[np.repeat(where, sizes) + step]
         count = np.bincount(text, weights=total, minlength=n).astype(np.int64)
         if odd.any():
             strings = column.cast(pa.large_string())

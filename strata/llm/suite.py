@@ -10,6 +10,8 @@ from strata.llm.jaccard_join import near_duplicate_groups
 from strata.llm.packing import place, token_pieces
 from strata.llm import backoff_lm, main_text, toxicity
 from strata.llm.passages import remove_repeats
+from strata.llm.top_k import top_k
+from strata.llm.vector_links import vector_groups
 from strata.llm.wavelet import read_shards, write_shards
 
 
@@ -22,6 +24,14 @@ def _folds(docs: DataFrame, folds: int):
     return F.crc32(docs["doc_id"].cast("string").cast("binary")) % folds
 
 
+def op1_cover_tree_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_groups(_table(spark, sf_dir, "embeddings"))
+
+
+def op3_dual_tree_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def toxicity_model(spark: SparkSession, sf_dir: str, docs: DataFrame) -> dict:
     """Network trained on the labelled rows that are not held out."""
     labels = _table(spark, sf_dir, "labels").select("doc_id", F.col("toxic").alias("label"))
@@ -74,7 +84,9 @@ def op9_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_cover_tree_groups": op1_cover_tree_groups,
     "op2_gated_toxicity": op2_gated_toxicity,
+    "op3_dual_tree_top_k": op3_dual_tree_top_k,
     "op4_backoff_automaton": op4_backoff_automaton,
     "op5_main_text": op5_main_text,
     "op6_wavelet_matrix": op6_wavelet_matrix,
