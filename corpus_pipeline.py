@@ -1,5 +1,54 @@
-"""Filtering, near-duplicate removal, passage removal and packing of a corpus."""
-STAGES = []
-ORACLE_SQL = None
-def run(spark, sf_dir):
-    raise NotImplementedError
+"""A training corpus in four stages: toxic documents go, near-duplicates go, repeated
+passages go, and what is left is tokenised and packed.
+
+Each stage takes ``(spark, docs, sf_dir)`` and works on all that the one before it
+kept; its result is written and read again. All but the last return the columns of
+``documents``. Null and blank texts are kept and never linked; rows that share an id
+are one document and stay or go together.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from strata.llm import suite, toxicity
+from strata.llm.graph import saved
+from strata.llm.jaccard_join import near_duplicate_groups
+from strata.llm.passages import remove_repeats
+
+
+def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose highest window is likelier clean than toxic."""
+    model = suite.toxicity_model(spark, sf_dir, docs)
+    return toxicity.score(docs, model).where("toxicity < 0.5").select(*docs.columns)
+
+
+def distinct_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document of least id of each near-duplicate group."""
+    others = near_duplicate_groups(docs).where("doc_id <> component_id").select("doc_id").distinct()
+    return docs.join(others, "doc_id", "left_anti").select(*docs.columns)
+
+
+def distinct_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, without passages that an earlier one has."""
+    cut = remove_repeats(docs)
+    return cut.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token pieces of all documents and their places in sequences of 2048."""
+    return suite.packed(docs)
+
+
+STAGES = [("toxicity", clean), ("near duplicates", distinct_documents),
+          ("repeated passages", distinct_passages), ("packing", packed)]
+
+ORACLE_SQL = None  # a trained network and a byte-pair vocabulary have no SQL form
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for _, stage in STAGES:
+        docs = saved(stage(spark, docs, sf_dir), "stage")
+    return docs

@@ -60,8 +60,12 @@ class Lattice(Encoder):
         self.longest = max(map(len, self.pieces))
         self.unknown = min((self.scores[i] for i in plain if self.scores[i] > -1e8), default=0.0) - 10
         self.bytes = {int(names[i][3:5], 16): i for i in range(n) if sp.is_byte(i)}
-        self.no_bytes = sp.unk_id()
-        self.output = [bytes([b]) for b in range(0)]
+        self.unknown_id = sp.unk_id()
+        # A character without piece is paid with the first of its bytes.
+        self.cost = np.append(self.scores, 0.0)
+        self.cost[self.unknown_id] = self.unknown
+        for b, i in self.bytes.items():
+            self.cost[i] = 0.0 if b & 0xC0 == 0x80 else self.unknown
         of_byte = {i: b for b, i in self.bytes.items()}
         self.output = [bytes([of_byte[i]]) if i in of_byte else b"" if sp.is_control(i) else names[i].replace(MARK, " ").encode()
                        for i in range(n)]
@@ -92,6 +96,10 @@ class Lattice(Encoder):
         if word[end - 1:end] not in self.pieces:
             yield end - 1, -1, self.unknown
 
+    def spelled(self, char: str) -> tuple[int, ...]:
+        """Byte pieces of a character without piece, or the unknown piece."""
+        return tuple(self.bytes[b] for b in char.encode()) if self.bytes else (self.unknown_id,)
+
     def forward(self, word: str) -> list[float]:
         """Best score from the start to every position."""
         best = [0.0]
@@ -100,20 +108,21 @@ class Lattice(Encoder):
         return best
 
     def nbest(self, word: str, n: int) -> list[tuple[float, tuple[int, ...]]]:
-        """The ``n`` best segmentations, best first; equal scores in order of ids.
+        """The ``n`` best segmentations, best first.
 
         Paths grow from the end; the forward score of where a path has got to is
-        exactly the best way to complete it, so paths leave the queue in order."""
+        exactly the best way to complete it, so paths leave the queue in order. Of
+        equal totals the path with least left goes first, then the one of lower ids."""
         best, found = self.forward(word), []
-        queue: list[tuple[float, tuple[int, ...], int, float]] = [(-best[-1], (), len(word), 0.0)]
+        queue: list[tuple[float, int, tuple[int, ...], float]] = [(-best[-1], len(word), (), 0.0)]
         while queue and len(found) < n:
-            total, path, at, done = heapq.heappop(queue)
+            total, at, path, done = heapq.heappop(queue)
             if not at:
                 found.append((-total, path))
                 continue
             for begin, piece, score in self._arcs(word, at):
-                own = (piece,) if piece >= 0 else tuple(self.bytes.get(b, self.no_bytes) for b in word[begin:at].encode())
-                heapq.heappush(queue, (-(best[begin] + score + done), own + path, begin, done + score))
+                own = (piece,) if piece >= 0 else self.spelled(word[begin:at])
+                heapq.heappush(queue, (-(best[begin] + score + done), begin, own + path, done + score))
         return found
 
     def best(self, text: str) -> tuple[tuple[int, ...], float]:
@@ -144,8 +153,7 @@ class Lattice(Encoder):
                 at, path = size, []
                 while at:
                     begin, piece = arcs[at][0][k], int(arcs[at][1][k])
-                    path.append([piece] if piece >= 0 else
-                                [self.bytes.get(b, self.no_bytes) for b in words[i][begin:at].encode()])
+                    path.append([piece] if piece >= 0 else self.spelled(words[i][begin:at]))
                     at = int(begin)
                 out[i] = [p for part in reversed(path) for p in part]
         return out, worse
@@ -204,7 +212,7 @@ class Lattice(Encoder):
         bounds, flat = self(texts)
         rows = len(bounds) - 1
         score = np.zeros(rows)
-        known = np.append(self.scores, 0.0)[flat]
+        known = self.cost[flat]
         filled = bounds[:-1] < bounds[1:]
         score[filled] = np.add.reduceat(known, bounds[:-1][filled]) if filled.any() else 0
         listed = [[0.0]] * rows
@@ -221,22 +229,12 @@ class Lattice(Encoder):
         for i in np.flatnonzero(odd).tolist():
             units = _UNITS.findall(self.model.normalize(texts[i].as_py()))
             listed[i] = self.combined(sorted(units, key=lambda u: self._margin(u))[:n - 1], n)
-        # Characters without piece are written as bytes, which score nothing themselves.
-        for i in self._with_bytes(bounds, flat):
-            score[i] = self.best(self.model.normalize(texts[i].as_py()))[1]
         return bounds, flat, score, [[float(score[i] + d) for d in listed[i]] if filled[i] else [] for i in range(rows)]
 
     def _margin(self, unit: str) -> float:
         two = self.listed(unit, 2)[:2] if unit in self.lists else self.nbest(unit, 2)
         return two[0][0] - two[1][0] if len(two) > 1 else np.inf
 
-    def _with_bytes(self, bounds: np.ndarray, flat: np.ndarray) -> list[int]:
-        """Texts with byte pieces other than those of newlines (which cost the same each)."""
-        plain = np.zeros(len(self.scores), bool)
-        plain[list(self.pieces.values())] = True
-        odd = np.flatnonzero(~plain[flat])
-        return np.unique(np.searchsorted(bounds, odd, "right") - 1).tolist()
-
     def decode(self, ids: np.ndarray) -> str:
         raw = b"".join(map(self.output.__getitem__, ids.tolist()))
         return raw.decode("utf-8", "replace").removeprefix(" ")

@@ -10,6 +10,7 @@ from strata.llm.jaccard_join import near_duplicate_groups
 from strata.llm.packing import place, token_pieces
 from strata.llm import backoff_lm, main_text, toxicity
 from strata.llm.passages import remove_repeats
+from strata.llm.piece_lattice import encode_pieces
 from strata.llm.top_k import top_k
 from strata.llm.vector_links import vector_groups
 from strata.llm.wavelet import read_shards, write_shards
@@ -41,9 +42,9 @@ def toxicity_model(spark: SparkSession, sf_dir: str, docs: DataFrame) -> dict:
 
 def op2_gated_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
-    scored = toxicity.score(docs, toxicity_model(spark, sf_dir, docs))
-    return scored.select("doc_id", F.coalesce(_folds(scored, 5) == 0, F.lit(False)).alias("held_out"), "score",
-                         (F.col("score") >= 0.5).cast("int").alias("predicted"), "n_windows")
+    scored = toxicity.score(docs, toxicity_model(spark, sf_dir, docs), ["doc_id"])
+    return scored.select("doc_id", F.coalesce(_folds(scored, 5) == 0, F.lit(False)).alias("held_out"),
+                         F.col("toxicity").alias("score"), (F.col("toxicity") >= 0.5).cast("int").alias("predicted"), "n_windows")
 
 
 def op4_backoff_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -65,10 +66,15 @@ def op6_wavelet_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select(F.col("id").alias("doc_id"), "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
-def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pieces = token_pieces(_table(spark, sf_dir, "documents"))
+def packed(docs: DataFrame) -> DataFrame:
+    """Pieces of all documents with the digest of their ids and their place."""
+    pieces = token_pieces(docs)
     digests = saved(pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids"), "pieces")
-    return place(digests)
+    return place(digests).select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
+def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packed(_table(spark, sf_dir, "documents"))
 
 
 def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -83,6 +89,14 @@ def op9_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.col("removed_spans").cast("string").alias("removed_spans"))
 
 
+def op10_nbest_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    found = encode_pieces(docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")))
+    return found.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_pieces"), "score",
+                        F.crc32("ids").alias("ids_crc32"), F.col("nbest_scores").cast("string").alias("nbest_scores"),
+                        F.crc32(F.col("decoded").cast("binary")).alias("decoded_crc32"))
+
+
 QUERIES = {
     "op1_cover_tree_groups": op1_cover_tree_groups,
     "op2_gated_toxicity": op2_gated_toxicity,
@@ -93,6 +107,7 @@ QUERIES = {
     "op7_best_fit_packing": op7_best_fit_packing,
     "op8_jaccard_join": op8_jaccard_join,
     "op9_repeated_passages": op9_repeated_passages,
+    "op10_nbest_pieces": op10_nbest_pieces,
 }
 
 ORACLE_SQL: dict[str, str] = {}

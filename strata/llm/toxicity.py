@@ -244,15 +244,20 @@ def fit(labelled: DataFrame, text_col: str = "text", label_col: str = "label", s
     return train(table["text"].combine_chunks(), labels, weights)
 
 
-def score(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``(id_col, score, n_windows)`` per row: probability of label 1."""
+def score(docs: DataFrame, model: dict, carry: list[str] | None = None, text_col: str = "text") -> DataFrame:
+    """The ``carry`` columns of ``docs`` (all if None) with ``toxicity`` and ``n_windows``.
+
+    ``toxicity`` is the probability of label 1; a carried column of that name is replaced."""
+    added = ("toxicity", "n_windows")
+    carry = [c for c in (docs.columns if carry is None else carry) if c not in added]
+    rows = docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(carry)], F.col(text_col).alias("scored"))
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches) -> Iterator[pa.RecordBatch]:
         model = shared.value
         for batch in batches:
-            for part in slices(batch):
-                f = Features(part.column(1))
+            for part in slices(batch, text=len(carry)):
+                f = Features(part.column(len(carry)))
                 windows, text = f.windows()
                 first = np.searchsorted(text, np.arange(part.num_rows))
                 if "share" in model:
@@ -261,12 +266,12 @@ def score(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str =
                     top = np.maximum.reduceat(_logits(model, f, windows), first).astype(np.float64)
                     found = 1 / (1 + np.exp(-top))
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(found), pa.array(np.diff(np.append(first, len(text))))],
-                    names=["id", "score", "n_windows"])
+                    [*part.columns[:-1], pa.array(found), pa.array(np.diff(np.append(first, len(text))))],
+                    names=[*part.schema.names[:-1], *added])
 
-    kind = docs.schema[id_col].dataType.simpleString()
-    return (docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-            .mapInArrow(run, f"id {kind}, score double, n_windows long").withColumnRenamed("id", id_col))
+    schema = ", ".join(f"c{i} {rows.schema[i].dataType.simpleString()}" for i in range(len(carry)))
+    scored = rows.mapInArrow(run, (schema + ", " if schema else "") + "toxicity double, n_windows long")
+    return scored.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(carry)], *added)
 
 
 __all__ = ["fit", "train", "score", "Features"]
