@@ -1,7 +1,7 @@
 """Near-duplicate groups by shingle Jaccard similarity with a token-group matrix.
 
-1. *Groups.* Documents with equal sets collapse to one key. Keys that agree in
-   a pair of min-hashes are compared with the least key of their bucket; the
+1. *Groups.* Documents with equal sets collapse to one key. Keys that agree
+   in several min-hashes with the leader of their buckets are compared with it; the
    components of the verified links are the groups (every other key is a group
    of its own).
 2. *Matrix.* Tokens have one global order: ordinary tokens by hash, frequent
@@ -39,9 +39,11 @@ FREQUENT_TOKENS = 1 << 16   # size of the table of frequent tokens
 FREQUENT_FROM = 64          # least count of a frequent token
 COUNTED_AT_ONCE = 1 << 21   # shingles counted together; a token below CHUNK_LEAST there is not reported
 CHUNK_LEAST = 4
-HASH_PAIRS = 6
+HASHES = 12         # min-hashes per set
+PROBES = 32         # members of a large group compared first
+AGREE = 4           # of these, to be compared with a bucket's leader
 
-_ODD = (mix(np.arange(1, 2 * HASH_PAIRS + 1, dtype=np.uint64)) | np.uint64(1))
+_ODD = mix(np.arange(1, HASHES + 1, dtype=np.uint64)) | np.uint64(1)
 
 
 def _need(n, num, den):
@@ -100,7 +102,7 @@ def _in_order(own: np.ndarray, hot: np.ndarray, rank: np.ndarray, mask: np.ndarr
 
 
 def describe(texts: DataFrame, frequent: np.ndarray, num: int, den: int) -> DataFrame:
-    """Per document: set size, set key, prefix, order of its last token, min-hash pairs."""
+    """Per document: set size, set key, prefix, order of its last token, min-hashes."""
     order = np.argsort(frequent)
     hot = frequent[order]
     rank = order.astype(np.int64)
@@ -111,12 +113,12 @@ def describe(texts: DataFrame, frequent: np.ndarray, num: int, den: int) -> Data
     def run(batches):
         hot, rank, mask = shared.value
         for part, sets in _sets(batches):
-            size, key, prefix, last, pairs = [], [], [], [], []
+            size, key, prefix, last, mins = [], [], [], [], []
             for own in sets:
                 n = len(own)
                 size.append(n)
                 if not n:
-                    key.append(None), prefix.append(None), last.append(None), pairs.append(None)
+                    key.append(None), prefix.append(None), last.append(None), mins.append(None)
                     continue
                 key.append(_key(own))
                 take = n - _need(n, num, den) + 1
@@ -129,16 +131,16 @@ def describe(texts: DataFrame, frequent: np.ndarray, num: int, den: int) -> Data
                     last.append(int(first[-1]) >> 2)
                 prefix.append(first.view(np.int64))
                 least = np.array([(own * c).min() for c in _ODD], np.uint64)
-                pairs.append(mix(least[::2] * np.uint64(3) + least[1::2]).view(np.int64))
+                mins.append(least.view(np.int64))
             yield pa.RecordBatch.from_arrays(
                 [part.column(0), pa.array(size, pa.int64()), pa.array(key, pa.binary()),
                  pa.array(prefix, pa.list_(pa.int64())), pa.array(last, pa.int64()),
-                 pa.array(pairs, pa.list_(pa.int64()))],
-                names=["id", "n", "key", "prefix", "last", "pairs"])
+                 pa.array(mins, pa.list_(pa.int64()))],
+                names=["id", "n", "key", "prefix", "last", "mins"])
 
     kind = texts.schema["id"].dataType.simpleString()
     return texts.mapInArrow(run, f"id {kind}, n long, key binary, prefix array<long>, last long,"
-                                 " pairs array<long>")
+                                 " mins array<long>")
 
 
 def _cell(key: Column) -> Column:
@@ -167,9 +169,9 @@ def verify(texts: DataFrame, pairs: DataFrame, num: int, den: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), pa.array(out, pa.list_(pa.int64()))],
                                              names=["key", "tokens"])
 
+    wanted = ends.distinct()
     sets = (texts.select("text").mapInArrow(run, "key binary, tokens array<long>")
-            .join(ends.distinct(), "key", "left_semi").dropDuplicates(["key"]))
-    sets = saved(sets, "sets")
+            .join(wanted, "key", "left_semi").groupBy("key").agg(F.first("tokens").alias("tokens")))
     both = F.size(F.array_intersect("x", "y"))
     return (pairs.join(sets.select(F.col("key").alias("a"), F.col("tokens").alias("x")), "a")
             .join(sets.select(F.col("key").alias("b"), F.col("tokens").alias("y")), "b")
@@ -178,22 +180,25 @@ def verify(texts: DataFrame, pairs: DataFrame, num: int, den: int) -> DataFrame:
 
 
 def _bucket_pairs(sets: DataFrame, num: int, den: int) -> DataFrame:
-    """Each key with the least key of each of its min-hash buckets."""
-    rows = sets.select("key", "n", F.posexplode("pairs").alias("r", "m")).distinct()
-    least = (rows.groupBy("r", "m").agg(F.min(F.struct("key", "n")).alias("l"), F.max("key").alias("g"))
-             .where("l.key <> g").select("r", "m", F.col("l.key").alias("b"), F.col("l.n").alias("bn")))
-    return (rows.join(least, ["r", "m"]).where("key <> b")
+    """Each key with the leader of each of its min-hash buckets.
+
+    The leader is the key whose prefix reaches farthest into the frequent tokens: the
+    member with the fewest words of its own, to which the most others are similar."""
+    rows = sets.select("key", "n", "last", F.posexplode("mins").alias("r", "m")).distinct()
+    leaders = (rows.groupBy("r", "m")
+               .agg(F.max(F.struct("last", "key", "n")).alias("l"), F.min("key").alias("lo"), F.max("key").alias("hi"))
+               .where("lo <> hi").select("r", "m", F.col("l.key").alias("b"), F.col("l.n").alias("bn")))
+    return (rows.join(leaders, ["r", "m"]).where("key <> b")
             .where((F.least("n", "bn") * den >= F.greatest("n", "bn") * num))
-            .select(F.col("key").alias("a"), "b").distinct())
+            .groupBy(F.col("key").alias("a"), "b").agg(F.count(F.lit(1)).alias("agree"))
+            .where(F.col("agree") >= AGREE).select("a", "b"))
 
 
-def _open_pairs(sets: DataFrame, groups: DataFrame, num: int, den: int) -> DataFrame:
-    """Key pairs between a query set and the members of the groups its bound opens."""
+def _opened(sets: DataFrame, groups: DataFrame, num: int, den: int) -> tuple[DataFrame, DataFrame]:
+    """Query sets with the groups their bound opens, and the groups' members."""
     spark = sets.sparkSession
-    placed = (sets.join(groups, sets.key == groups.node, "left")
-              .select("key", "n", "last", "prefix", F.coalesce("root", "key").alias("grp")))
-    placed = saved(placed, "placed")
-    crossing = (placed.select(F.explode("prefix").alias("token"), F.xxhash64("grp").alias("g"))
+    # Tokens of one key alone match nothing.
+    crossing = (sets.select(F.explode("prefix").alias("token"), F.xxhash64("key").alias("g"))
                 .groupBy("token").agg(F.min("g").alias("lo"), F.max("g").alias("hi"))
                 .where("lo <> hi").select(F.col("token").alias("cell")))
     shared = spark.sparkContext.broadcast(bitmap(crossing))
@@ -209,11 +214,12 @@ def _open_pairs(sets: DataFrame, groups: DataFrame, num: int, den: int) -> DataF
             row = np.repeat(np.arange(batch.num_rows), sizes)[keep]
             rest = batch.select(list(range(batch.num_columns - 1))).take(pa.array(row))
             yield pa.RecordBatch.from_arrays([*rest.columns, pa.array(tokens[keep])],
-                                             names=["key", "n", "last", "grp", "token"])
+                                             names=["key", "n", "last", "token"])
 
-    rows = saved(placed.select("key", "n", "last", "grp", "prefix")
-                 .mapInArrow(pick, "key binary, n long, last long, grp binary, token long")
-                 .distinct(), "postings")
+    found = (sets.select("key", "n", "last", "prefix")
+             .mapInArrow(pick, "key binary, n long, last long, token long").distinct())
+    rows = saved(found.join(groups, found.key == groups.node, "left")
+                 .select("key", "n", "last", "token", F.coalesce("root", "key").alias("grp")), "postings")
     matrix = (rows.groupBy("token", F.col("grp").alias("other"))
               .agg(F.min("n").alias("n0"), F.max("n").alias("n1"),
                    F.min("last").alias("l0"), F.max("last").alias("l1")))
@@ -232,8 +238,13 @@ def _open_pairs(sets: DataFrame, groups: DataFrame, num: int, den: int) -> DataF
         - up(F.least(n1, F.floor(n * den / num)) * num, den)
     least = (F.when(F.col("last") < F.col("l0"), by_query)
              .when(F.col("last") > F.col("l1"), by_member).otherwise(F.least(by_query, by_member)))
-    opened = met.where(F.col("c") >= least).select("key", "n", "other")
-    members = placed.select(F.col("grp").alias("other"), F.col("key").alias("b"), F.col("n").alias("bn")).distinct()
+    opened = saved(met.where(F.col("c") >= least).select("key", "n", "other"), "opened")
+    members = rows.select(F.col("grp").alias("other"), F.col("key").alias("b"), F.col("n").alias("bn")).distinct()
+    sizes = members.groupBy("other").agg(F.count(F.lit(1)).alias("size"))
+    return opened, saved(members.join(sizes, "other"), "members")
+
+
+def _member_pairs(opened: DataFrame, members: DataFrame, num: int, den: int) -> DataFrame:
     return (opened.join(members, "other")
             .where((F.least("n", "bn") * den >= F.greatest("n", "bn") * num))
             .select(F.col("key").alias("a"), "b").distinct())
@@ -251,8 +262,20 @@ def near_duplicate_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str
     filled = sets.where("n > 0")
     links = saved(verify(texts, _bucket_pairs(filled, num, den), num, den), "links")
     groups = saved(components(links), "groups")
-    more = verify(texts, _open_pairs(filled, groups, num, den), num, den)
-    roots = components(groups.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(more))
+    opened, members = _opened(filled, groups, num, den)
+    # A large group is probed first; one link makes the query a member, so that only
+    # queries still outside are compared with every member.
+    probe = (F.col("size") <= 2 * PROBES) | (F.pmod(F.xxhash64("b"), F.col("size")) < PROBES)
+    more = verify(texts, _member_pairs(opened, members.where(probe), num, den), num, den)
+    roots = saved(components(groups.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(more)), "roots")
+    of_query = roots.select(F.col("node").alias("key"), F.col("root").alias("r"))
+    of_group = roots.select(F.col("node").alias("other"), F.col("root").alias("s"))
+    outside = (opened.join(of_query, "key", "left").join(of_group, "other")
+               .where(F.coalesce("r", "key") != F.col("s")).select("key", "n", "other"))
+    rest = saved(_member_pairs(outside, members.where(~probe), num, den), "rest")
+    if not rest.isEmpty():
+        more = verify(texts, rest, num, den)
+        roots = components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(more))
     placed = (sets.select("id", "n", "key").join(roots, sets.key == roots.node, "left")
               .select("id", "n", F.coalesce("root", "key").alias("root")))
     placed = saved(placed, "placed")
