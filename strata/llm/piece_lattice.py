@@ -48,6 +48,7 @@ class Lattice(Encoder):
     """Best and n-best segmentations of texts under a piece model."""
 
     space_first = True
+    has_extra = True
 
     def __init__(self, model: str):
         from sentencepiece import SentencePieceProcessor

@@ -19,7 +19,7 @@ import pyarrow as pa
 
 from strata.llm.words import bounds_and_bytes, span_hashes
 
-TABLE_BITS = 20            # words remembered per worker: one slot each
+TABLE_BITS = 22            # words remembered per worker: one slot each
 STORE = 1 << 24            # ids remembered per worker
 
 _GAP = np.zeros(256, bool)
@@ -64,6 +64,7 @@ class Encoder:
     """Arrow texts to token ids as little-endian unsigned 32-bit integers."""
 
     space_first = False   # whether a text's first word counts as one after a space
+    has_extra = False     # whether a number is kept with each word
 
     def __init__(self, vocabulary: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs one worker per core
@@ -76,9 +77,9 @@ class Encoder:
     def _tables(self) -> None:
         slots = 1 << TABLE_BITS
         self.words = np.zeros(slots, np.uint64)
-        self.begin = np.zeros(slots, np.int64)
-        self.size = np.zeros(slots, np.int64)
-        self.extra = np.zeros(slots)         # a number kept with each word
+        self.begin = np.zeros(slots, np.uint32)
+        self.size = np.zeros(slots, np.uint32)
+        self.extra = np.zeros(slots, np.float32) if self.has_extra else None
         self.ids = np.zeros(STORE, "<u4")
         self.used = 0
 
@@ -113,7 +114,9 @@ class Encoder:
         self.ids[self.used:self.used + size.sum()] = np.fromiter((i for x in found for i in x), "<u4", size.sum())
         self.used += int(size.sum())
         slot = (keys & np.uint64(len(self.words) - 1)).astype(np.int64)
-        self.words[slot], self.begin[slot], self.size[slot], self.extra[slot] = keys, begin, size, extra
+        self.words[slot], self.begin[slot], self.size[slot] = keys, begin, size
+        if self.has_extra:
+            self.extra[slot] = extra
 
     def __call__(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Offsets of each text's ids, and all ids; null texts are empty."""
@@ -143,19 +146,20 @@ class Encoder:
         keys |= np.uint64(1) << np.uint64(63)  # never the empty slot
         todo, raw = np.arange(len(keys)), None
         sizes = np.zeros(len(keys), np.int64)
-        where = np.zeros(len(keys), np.int64)
-        extra = np.zeros(len(keys))
+        extra = np.zeros(len(keys), np.float32)
         # Slots are shared: words learnt in this call may push each other out, so ids are copied round by round.
-        pool = []
-        base = 0
+        rounds = []
         while len(todo):
             slot = (keys[todo] & np.uint64(len(self.words) - 1)).astype(np.int64)
             hit = self.words[slot] == keys[todo]
             got, s = todo[hit], slot[hit]
             if len(got):
-                sizes[got], where[got], extra[got] = self.size[s], self.begin[s] + base, self.extra[s]
-            pool.append(self.ids[:self.used].copy() if not hit.all() else self.ids)
-            base += len(pool[-1])
+                size = self.size[s].astype(np.int64)
+                sizes[got] = size
+                step = np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size)
+                rounds.append((got, size, step, self.ids[np.repeat(self.begin[s].astype(np.int64), size) + step]))
+                if self.has_extra:
+                    extra[got] = self.extra[s]
             todo = todo[~hit]
             if len(todo):
                 raw = raw or data.tobytes()
@@ -163,15 +167,15 @@ class Encoder:
                 one = np.unique(new & np.uint64(len(self.words) - 1), return_index=True)[1]
                 at = todo[first[one]]
                 self._learn(keys[at], starts[at], ends[at], raw, spaced[at])
-        pool = np.concatenate(pool) if len(pool) > 1 else pool[0] if pool else self.ids
         self.seen = (data, text, starts, ends, spaced, extra, odd)
         total = sizes + lined * len(self.line_end)
         place = np.cumsum(total) - total
         flat = np.empty(int(total.sum()), "<u4")
         for k, piece in enumerate(self.line_end):
             flat[place[lined] + k] = piece
-        step = np.arange(int(sizes.sum())) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-        flat[np.repeat(place + lined * len(self.line_end), sizes) + step] = pool[np.repeat(where, sizes) + step]
+        place += lined * len(self.line_end)
+        for got, size, step, ids in rounds:
+            flat[np.repeat(place[got], size) + step] = ids
         count = np.bincount(text, weights=total, minlength=n).astype(np.int64)
         if odd.any():
             strings = column.cast(pa.large_string())
