@@ -38,9 +38,12 @@ def stable(x, digits: int = 6) -> Column:
     return half_up(x, digits)
 
 
-def money_sum(x, scale: int = 4) -> Column:
+SUM_SCALE = 10  # decimals kept of each value in the gold and mart totals
+
+
+def money_sum(x, scale: int) -> Column:
     """Exact sum of money amounts: each value is taken as a decimal with
-    ``scale`` places (cents, or cents times a rate) and summed in decimal
+    ``scale`` places (choose more than the values have) and summed in decimal
     arithmetic, so the total is the same in any order, on any engine, and a
     half-cent total rounds the same way every time."""
     return F.sum(_c(x).cast(f"decimal(38,{scale})"))

@@ -11,6 +11,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from strata.functions.columns import half_up
 
@@ -112,14 +113,21 @@ def _cumulative(df: DataFrame, order: str, weight: str, partitions: int | None)
                   .drop("__p", "__in", "__off"))
 
 
+def _present(df: DataFrame, col: str) -> Column:
+    """The column with NaN as null."""
+    if isinstance(df.schema[col].dataType, (T.DoubleType, T.FloatType)):
+        return F.when(~F.isnan(col), F.col(col))
+    return F.col(col)
+
+
 def exact_median(df: DataFrame, col: str, partitions: int | None = None) -> float | None:
-    """Exact median of the non-null values (mean of the two middle values).
+    """Exact median of the values that are neither null nor NaN (mean of the two middle values).
 
     Values are first counted per distinct value (combined map-side), the
     counts get a distributed running total, and the one or two middle values
     are picked by position. Only two numbers reach the driver.
     """
-    vc = (df.select(F.col(col).alias("v")).filter(F.col("v").isNotNull())
+    vc = (df.select(_present(df, col).alias("v")).filter(F.col("v").isNotNull())
             .groupBy("v").agg(F.count(F.lit(1)).alias("w")))
     cum = _cumulative(vc, "v", "w", partitions)
     n = cum.agg(F.max("__cum")).first()[0]
@@ -141,12 +149,18 @@ def exact_median(df: DataFrame, col: str, partitions: int | None = None) -> floa
 def impute_median(df: DataFrame, columns: Sequence[str]) -> tuple[DataFrame, dict]:
     """Fill nulls in ``columns`` with each column's exact median.
 
-    Returns (filled frame, {column: median}). The medians are scalars computed
+    NaN is filled like null; an integer column whose median is no integer
+    becomes double. Returns (filled frame, {column: median}). The medians are scalars computed
     by distributed jobs; the fill itself is a plain projection.
     """
     medians = {c: exact_median(df, c) for c in columns}
-    fill = {c: v for c, v in medians.items() if v is not None}
-    return (df.fillna(fill) if fill else df), medians
+    fill = {}
+    for c, v in medians.items():
+        if v is not None:
+            whole = isinstance(df.schema[c].dataType, T.IntegralType)
+            kept = F.col(c).cast("double") if whole and not v.is_integer() else _present(df, c)
+            fill[c] = F.coalesce(kept, F.lit(v).cast("long") if whole and v.is_integer() else F.lit(v))
+    return (df.withColumns(fill) if fill else df), medians
 
 
 def fill_constant(df: DataFrame, values: Mapping[str, object]) -> DataFrame:

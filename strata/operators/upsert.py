@@ -19,8 +19,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.operators.enrich import DEFAULT_BROADCAST_ROWS, fits
 from strata.operators.windows import latest_per_key
+from strata.session import scratch_path
 
 
 class AmbiguousSource(ValueError):
@@ -48,22 +48,31 @@ def dedupe_source(source: DataFrame, keys: Sequence[str],
 
 
 def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str],
-           order: Sequence[str] | None = None,
-           broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+           order: Sequence[str] | None = None, deduped: bool = False) -> DataFrame:
     """Merged table as a DataFrame (columns of ``target``, in its order).
 
-    The anti join shuffles on the keys; when the source is proven small it
-    is broadcast instead and the target is only scanned.
+    The anti join shuffles on the keys; the optimizer broadcasts a source it
+    finds small. ``deduped`` tells that the source has one row per key already.
     """
     keys = list(keys)
-    src = dedupe_source(source, keys, order).select(*target.columns)
-    probe = src.select(*keys)
-    if broadcast_rows is not None and fits(probe, broadcast_rows):
-        probe = F.broadcast(probe)
-    kept = target.join(probe, keys, "left_anti")
+    src = (source if deduped else dedupe_source(source, keys, order)).select(*target.columns)
+    kept = target.join(src.select(*keys), keys, "left_anti")
     return kept.unionByName(src)
 
 
+def touched_partitions(target: DataFrame, source: DataFrame, partition_col: str) -> DataFrame:
+    """Rows of ``target`` in partitions that ``source`` has rows for, the null one too.
+
+    The static range prunes the target's partitions at planning; the null-safe
+    semi join then leaves out those between that the source does not touch."""
+    p = F.col(partition_col)
+    seen = source.agg(F.min(p).alias("lo"), F.max(p).alias("hi"), F.count_if(p.isNull()).alias("nulls")).first()
+    near = p.between(F.lit(seen.lo), F.lit(seen.hi)) if seen.lo is not None else F.lit(False)
+    near = near | p.isNull() if seen.nulls else near
+    touched = source.select(p.alias("__touched")).distinct()
+    return target.where(near).join(touched, p.eqNullSafe(F.col("__touched")), "left_semi")
+
+
 def upsert_into_path(source: DataFrame, path: str, keys: Sequence[str],
                      order: Sequence[str] | None = None,
                      partition_col: str | None = None,
@@ -76,19 +85,22 @@ def upsert_into_path(source: DataFrame, path: str, keys: Sequence[str],
       merged and rewritten with dynamic partition overwrite, in place.
     * otherwise: the merged table is written to ``new_path`` (a new version
       folder) and that path is returned; the caller switches its pointer.
+
+    The source is deduplicated once, into the shared scratch folder.
     """
     spark = source.sparkSession
     target = spark.read.parquet(path)
+    if not partition_col and not new_path:
+        raise ValueError("new_path is required for an unpartitioned table")
+    src = dedupe_source(source, keys, order).select(*target.columns)
+    staged = scratch_path(spark, "upsert")
+    src.write.parquet(staged)
+    src = spark.read.schema(src.schema).parquet(staged)
     if partition_col:
-        touched = source.select(partition_col).distinct()
-        scoped = target.join(F.broadcast(touched) if fits(touched, DEFAULT_BROADCAST_ROWS)
-                             else touched, partition_col, "left_semi")
-        merged = upsert(scoped, source.select(*target.columns), keys, order)
+        merged = upsert(touched_partitions(target, src, partition_col), src, keys, deduped=True)
         (merged.hint("rebalance", partition_col).write.mode("overwrite")
                .option("partitionOverwriteMode", "dynamic")
                .partitionBy(partition_col).parquet(path))
         return path
-    if not new_path:
-        raise ValueError("new_path is required for an unpartitioned table")
-    upsert(target, source, keys, order).write.mode("errorifexists").parquet(new_path)
+    upsert(target, src, keys, deduped=True).write.mode("errorifexists").parquet(new_path)
     return new_path

@@ -60,31 +60,17 @@ def land(df: DataFrame, batch_id: str, run_ts: str | Column | None = None,
     })
 
 
-def _table_root(file_path: str) -> str:
-    """Folder of a data file with trailing ``key=value`` partition folders
-    removed (or the file itself when it is the table)."""
-    parts = file_path.rstrip("/").split("/")
-    parent = parts[:-1]
-    while parent and "=" in parent[-1]:
-        parent.pop()
-    name = parts[-1]
-    # a table given as one file (``x.parquet``) is its own root
-    return "/".join(parts) if name.endswith(".parquet") and not name.startswith("part-") \
-        else "/".join(parent)
-
-
 def _file_path(df: DataFrame) -> Column:
     """The scanned file of each row (hidden ``_metadata`` column of file
-    sources); null when the frame does not come from files. Frames joined
-    from several tables have no single source file: pass ``source_file``."""
-    roots = {_table_root(f) for f in df.inputFiles()}
-    if len(roots) != 1:            # no files, or several tables joined
-        return F.lit(None).cast("string")
-    try:
-        df.select(F.col("_metadata.file_path")).schema
-        return F.col("_metadata.file_path")
-    except AnalysisException:
-        return F.lit(None).cast("string")
+    sources); null when the frame does not come from files or joins several
+    tables: pass ``source_file`` there."""
+    if df._jdf.queryExecution().analyzed().collectLeaves().size() == 1:
+        try:
+            df.select(F.col("_metadata.file_path")).schema
+            return F.col("_metadata.file_path")
+        except AnalysisException:
+            pass
+    return F.lit(None).cast("string")
 
 
 def write_bronze(raw: DataFrame, path: str, batch_id: str, run_ts: str,
@@ -96,7 +82,7 @@ def write_bronze(raw: DataFrame, path: str, batch_id: str, run_ts: str,
     landed = land(raw, batch_id, run_ts, source_file=source_file, hash_columns=hash_columns)
     (landed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
            .partitionBy("_batch_id").parquet(path))   # one value: no regrouping needed
-    return raw.sparkSession.read.parquet(path)
+    return raw.sparkSession.read.schema(landed.schema).parquet(path)  # batch ids stay text
 
 
 # ------------------------------------------------------------------ silver
@@ -208,13 +194,13 @@ def daily_revenue(silver_df: DataFrame, rolling_rows: int = 7,
     single partition holds a calendar, not the data."""
     g = (silver_df.groupBy("pickup_date").agg(
             F.count(F.lit(1)).alias("trip_count"),
-            C.stable(C.money_sum("fare_amount")).alias("total_fare"),
-            C.stable(C.money_sum("total_amount_incl_tip")).alias("total_revenue"),
+            C.stable(C.money_sum("fare_amount", C.SUM_SCALE)).alias("total_fare"),
+            C.stable(C.money_sum("total_amount_incl_tip", C.SUM_SCALE)).alias("total_revenue"),
             C.stable(F.avg("fare_amount")).alias("avg_fare"),
             C.stable(F.avg("trip_duration_mins")).alias("avg_duration_mins"),
             C.stable(F.avg("trip_distance")).alias("avg_distance_miles"),
             F.count_if(F.coalesce(F.col("has_tip"), F.lit(False))).alias("trips_with_tip"),
-            C.stable(C.money_sum("tip_amount")).alias("total_tips"))
+            C.stable(C.money_sum("tip_amount", C.SUM_SCALE)).alias("total_tips"))
          .withColumn("tip_rate_pct", C.percent("trips_with_tip", "trip_count", 1))
          .withColumn("revenue_7d_rolling", C.half_up(
              windows.rolling_mean("total_revenue", "pickup_date", rolling_rows), 2)))
@@ -228,7 +214,7 @@ def zone_performance(silver_df: DataFrame, run_ts: str | None = None) -> DataFra
     g = (silver_df.filter(F.col("pickup_zone_name").isNotNull())
          .groupBy("pickup_zone_name", "pickup_borough").agg(
             F.count(F.lit(1)).alias("trip_count"),
-            C.stable(C.money_sum("fare_amount")).alias("total_revenue"),
+            C.stable(C.money_sum("fare_amount", C.SUM_SCALE)).alias("total_revenue"),
             C.stable(F.avg("fare_amount")).alias("avg_fare"),
             C.stable(F.avg("trip_distance")).alias("avg_distance_miles"),
             C.stable(F.avg("trip_duration_mins")).alias("avg_duration_mins"),

@@ -98,9 +98,9 @@ def daily_mart(trips: DataFrame, rolling_rows: int = 7) -> DataFrame:
     g = trips.groupBy(F.to_date("pickup_datetime").alias("trip_date")).agg(
         F.count(F.lit(1)).alias("trip_count"),
         F.sum(F.col("passenger_count").cast("bigint")).alias("total_passengers"),
-        C.half_up(C.money_sum("fare_usd"), 2).alias("total_fare_usd"),
-        C.half_up(C.money_sum("tip_usd"), 2).alias("total_tips_usd"),
-        C.half_up(C.money_sum("total_usd"), 2).alias("total_revenue_usd"),
+        C.half_up(C.money_sum("fare_usd", C.SUM_SCALE), 2).alias("total_fare_usd"),
+        C.half_up(C.money_sum("tip_usd", C.SUM_SCALE), 2).alias("total_tips_usd"),
+        C.half_up(C.money_sum("total_usd", C.SUM_SCALE), 2).alias("total_revenue_usd"),
         C.half_up(F.avg("fare_usd"), 2).alias("avg_fare_usd"),
         C.half_up(F.avg("distance_miles"), 2).alias("avg_distance_miles"),
         C.half_up(F.avg(dur), 1).alias("avg_duration_mins"),

@@ -61,7 +61,7 @@ def scale_conf(shuffle_bytes: int, total_cores: int,
     256 MB each."""
     parts = max(2 * total_cores, -(-shuffle_bytes // target_partition_bytes))
     return {
-        "spark.sql.shuffle.partitions": str(min(parts, 200_000)),
+        "spark.sql.shuffle.partitions": str(parts),
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
         "spark.sql.files.maxPartitionBytes": str(256 * 1024 * 1024),
         "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
@@ -70,13 +70,18 @@ def scale_conf(shuffle_bytes: int, total_cores: int,
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder, setting one only if it is unset."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    """The shared checkpoint folder: the setting, else the context's own folder.
+
+    Only a local session gets a temporary folder of its own."""
+    context = spark.sparkContext
+    root = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not root:
+        if not context.master.startswith("local") or context.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="strata-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(root)
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(root)
     return root
 
 

@@ -33,5 +33,6 @@ def test_every_operator_id_is_registered():
 
 
 def test_queries_and_sql_line_up():
-    assert set(E.queries()) == set(E.oracle_sql()) == set(E.coverage())
-    assert not [k for k in E.queries() if "pipeline" in k or re.match(r"op\d+_", k)]
+    # the optional training-data queries have no SQL; their tests are in tests/llm
+    assert set(E.oracle_sql()) == set(E.coverage()) <= set(E.queries())
+    assert not [k for k in E.coverage() if "pipeline" in k or re.match(r"op\d+_", k)]

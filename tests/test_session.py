@@ -14,7 +14,7 @@ def test_scale_conf_sizes_partitions():
     tb = 1024 ** 4
     conf = S.scale_conf(100 * tb, total_cores=8000)
     parts = int(conf["spark.sql.shuffle.partitions"])
-    assert parts == 200_000                      # capped; AQE coalesces
+    assert parts == 100 * tb // (256 * 1024 ** 2)  # no cap: each stays at 256 MB
     small = S.scale_conf(10 * 1024 ** 3, total_cores=800)
     assert int(small["spark.sql.shuffle.partitions"]) == 1600   # 2 x cores floor
     assert small["spark.sql.adaptive.advisoryPartitionSizeInBytes"] == str(256 * 1024 ** 2)
