@@ -33,6 +33,6 @@ def test_every_operator_id_is_registered():
 
 
 def test_queries_and_sql_line_up():
-    # the optional training-data queries have no SQL; their tests are in tests/llm
-    assert set(E.oracle_sql()) == set(E.coverage()) <= set(E.queries())
+    # most of the optional training-data queries have no SQL; their tests are in tests/llm
+    assert set(E.coverage()) <= set(E.oracle_sql()) <= set(E.queries())
     assert not [k for k in E.coverage() if "pipeline" in k or re.match(r"op\d+_", k)]
