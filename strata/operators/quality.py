@@ -3,7 +3,10 @@
 All row-level checks of a suite are evaluated in ONE aggregate pass: each
 check contributes one aggregate expression to a single ``agg``; the one
 result row is then turned into ``(check_id, check, status, detail)`` rows with
-``inline``. Only :func:`decision` (one row) is meant to reach the driver.
+``inline``. A uniqueness check is an aggregate of its own over the key column
+alone: a distinct count in the common pass would shuffle every row. A check
+whose columns are missing fails and names them.
+Only :func:`decide` (one row) is meant to reach the driver.
 """
 
 from __future__ import annotations
@@ -23,12 +26,16 @@ PASS, FAIL = "PASS", "FAIL"
 class Check:
     """One check. ``metric`` is an aggregate expression (None for checks
     decided from the schema, which set ``static``); ``ok`` maps the metric to
-    a boolean, ``detail`` to text."""
+    a boolean, ``detail`` to text. ``needs`` names the columns it reads;
+    ``apart`` (frame -> one row, one column ``m``) replaces ``metric`` where
+    the check must not share the common pass."""
     name: str
     metric: Column | None
     ok: Callable[[Column], Column]
     detail: Callable[[Column], Column] = lambda m: F.lit("")
     static: bool | None = None
+    needs: tuple[str, ...] = ()
+    apart: Callable[[DataFrame], DataFrame] | None = None
 
 
 def _n(m: Column, text: str) -> Column:
@@ -57,26 +64,27 @@ def columns_present(df: DataFrame, required: Sequence[str],
 
 def no_nulls(col: str, name: str | None = None, what: str = " nulls found") -> Check:
     return Check(name or f"No nulls in [{col}]", F.count_if(F.col(col).isNull()),
-                 lambda m: m == 0, lambda m: _n(m, what))
+                 lambda m: m == 0, lambda m: _n(m, what), needs=(col,))
 
 
 def unique(col: str, name: str | None = None, what: str = " duplicates found") -> Check:
     """Rows beyond the first per value; nulls are equal to each other."""
-    c = F.col(col)
-    dups = (F.count(F.lit(1)) - F.count_distinct(c)
-            - F.coalesce(F.max(c.isNull().cast("int")), F.lit(0)))
-    return Check(name or f"{col} is unique", dups, lambda m: m == 0,
-                 lambda m: _n(m, what))
+    def repeats(df: DataFrame) -> DataFrame:
+        per_value = df.groupBy(col).agg(F.count(F.lit(1)).alias("__n"))
+        return per_value.agg(F.coalesce(F.sum(F.col("__n") - 1), F.lit(0)).alias("m"))
+    return Check(name or f"{col} is unique", None, lambda m: m == 0,
+                 lambda m: _n(m, what), needs=(col,), apart=repeats)
 
 
-def count_where(pred: Column, name: str, what: str) -> Check:
+def count_where(pred: Column, name: str, what: str, needs: Sequence[str] = ()) -> Check:
     """Passes when no row satisfies ``pred`` (null does not count)."""
-    return Check(name, F.count_if(pred), lambda m: m == 0, lambda m: _n(m, what))
+    return Check(name, F.count_if(pred), lambda m: m == 0, lambda m: _n(m, what),
+                 needs=tuple(needs))
 
 
-def all_rows(pred: Column, name: str) -> Check:
+def all_rows(pred: Column, name: str, needs: Sequence[str] = ()) -> Check:
     """Passes when ``pred`` holds on every row; a null fails it."""
-    return Check(name, _bad(pred), lambda m: m == 0, lambda m: F.lit(""))
+    return Check(name, _bad(pred), lambda m: m == 0, lambda m: F.lit(""), needs=tuple(needs))
 
 
 def in_range(col: str, lo, hi, name: str | None = None,
@@ -88,7 +96,7 @@ def in_range(col: str, lo, hi, name: str | None = None,
                       F.count_if(c.isNull()).alias("nulls"))
     return Check(name or f"{col} between {lo} and {hi}", metric,
                  lambda m: (m["outside"] + m["nulls"]) == 0,
-                 lambda m: _n(m["outside"], what))
+                 lambda m: _n(m["outside"], what), needs=(col,))
 
 
 def accepted(col: str, values: Sequence, name: str | None = None,
@@ -96,14 +104,15 @@ def accepted(col: str, values: Sequence, name: str | None = None,
     """Every value in ``values``; a null counts as invalid."""
     listed = ",".join(str(v) for v in values)
     return Check(name or f"{col} in [{listed}]", _bad(F.col(col).isin(*values)),
-                 lambda m: m == 0, lambda m: _n(m, what))
+                 lambda m: m == 0, lambda m: _n(m, what), needs=(col,))
 
 
 def mean_between(col: str, lo: float, hi: float, name: str,
                  label: str = "avg", symbol: str = "$") -> Check:
     return Check(name, F.avg(col),
                  lambda m: F.coalesce((m >= lo) & (m <= hi), F.lit(False)),
-                 lambda m: F.concat(F.lit(f"{label} = {symbol}"), _fixed(half_up(m, 2), 2)))
+                 lambda m: F.concat(F.lit(f"{label} = {symbol}"), _fixed(half_up(m, 2), 2)),
+                 needs=(col,))
 
 
 def completeness_at_least(columns: Sequence[str], pct: float,
@@ -113,7 +122,8 @@ def completeness_at_least(columns: Sequence[str], pct: float,
         nulls, F.count(F.lit(1)) * F.lit(len(columns)))) * 100, 1)
     return Check(name or f"Overall completeness >= {pct:g}%", metric,
                  lambda m: F.coalesce(m >= pct, F.lit(False)),
-                 lambda m: F.concat(F.lit("completeness = "), _fixed(m, 1), F.lit("%")))
+                 lambda m: F.concat(F.lit("completeness = "), _fixed(m, 1), F.lit("%")),
+                 needs=tuple(columns))
 
 
 def row_count_between(lo: int, hi: int | None = None, name: str | None = None) -> Check:
@@ -125,18 +135,33 @@ def row_count_between(lo: int, hi: int | None = None, name: str | None = None) -
 # ------------------------------------------------------------------ running
 
 def run_checks(df: DataFrame, checks: Sequence[Check], overall: str | None = None) -> DataFrame:
-    """(check_id, check, status, detail) for every check, one scan of ``df``.
-
-    With ``overall`` a last row of that name passes when every check passes
-    (computed from the same single aggregate row, no second scan)."""
-    aggs = [c.metric.alias(f"__m{i}") for i, c in enumerate(checks) if c.metric is not None]
-    one = df.agg(*aggs) if aggs else df.sparkSession.range(1).select()
+    """(check_id, check, status, detail) for every check.
+
+    One pass of ``df`` for all checks with a ``metric``, one over its key column
+    for each that runs apart; the one-row results are unioned and folded into
+    one row. With ``overall`` a last row of that name passes when every check
+    passes (from that same row)."""
+    lacks = [[c for c in check.needs if c not in df.columns] for check in checks]
+    shared = [c.metric.alias(f"__m{i}") for i, c in enumerate(checks)
+              if c.metric is not None and not lacks[i]]
+    one = df.agg(F.count(F.lit(1)).alias("__rows"), *shared)
+    apart = [c.apart(df).withColumnRenamed("m", f"__m{i}") for i, c in enumerate(checks)
+             if c.apart and not lacks[i]]
+    for part in apart:
+        one = one.unionByName(part, allowMissingColumns=True)
+    if apart:
+        one = one.agg(*[F.any_value(c, F.lit(True)).alias(c) for c in one.columns])
     rows, oks = [], []
     for i, c in enumerate(checks):
-        m = F.col(f"__m{i}") if c.metric is not None else F.lit(None)
-        ok = F.lit(bool(c.static)) if c.metric is None else F.coalesce(c.ok(m), F.lit(False))
+        if lacks[i]:
+            ok, detail = F.lit(False), F.lit("missing column: " + ", ".join(lacks[i]))
+        elif c.metric is None and not c.apart:
+            ok, detail = F.lit(bool(c.static)), c.detail(F.lit(None))
+        else:
+            m = F.col(f"__m{i}")
+            ok, detail = F.coalesce(c.ok(m), F.lit(False)), c.detail(m)
         oks.append(ok)
-        rows.append(_row(i + 1, c.name, ok, F.coalesce(c.detail(m), F.lit(""))))
+        rows.append(_row(i + 1, c.name, ok, F.coalesce(detail, F.lit(""))))
     if overall is not None:
         all_ok = F.lit(True)
         for ok in oks:
@@ -204,6 +229,29 @@ def failing_values(df: DataFrame, col: str, values: Sequence) -> DataFrame:
               .groupBy(col).agg(F.count(F.lit(1)).alias("n_records")))
 
 
+def column_tests(df: DataFrame, model: str, not_null: Sequence[str] = (),
+                 unique_keys: Sequence[str] = (),
+                 values: dict[str, Sequence] | None = None) -> DataFrame:
+    """(model, test, column_name, failures, status) of a model's declared tests.
+
+    not_null counts null rows; unique counts repeated non-null values; accepted
+    values counts the non-null rows outside the list. One scan for all of these;
+    one aggregate over the key column per unique test."""
+    values = dict(values or {})
+    tests = [("not_null", c, F.count_if(F.col(c).isNull())) for c in not_null]
+    tests += [("accepted_values", c, F.count_if(~F.col(c).isin(*v))) for c, v in values.items()]
+    one = df.agg(F.count(F.lit(1)).alias("__rows"),
+                 *[m.alias(f"__m{i}") for i, (_, _, m) in enumerate(tests)])
+    out = one.select(F.inline(F.array(*[
+        F.struct(F.lit(test).alias("test"), F.lit(c).alias("column_name"),
+                 F.col(f"__m{i}").alias("failures")) for i, (test, c, _) in enumerate(tests)])))
+    for c in unique_keys:
+        out = out.unionByName(failing_unique(df, c).agg(F.count(F.lit(1)).alias("failures")).select(
+            F.lit("unique").alias("test"), F.lit(c).alias("column_name"), "failures"))
+    return out.select(F.lit(model).alias("model"), "test", "column_name", "failures",
+                      F.when(F.col("failures") == 0, PASS).otherwise(FAIL).alias("status"))
+
+
 # ------------------------------------------------------------------- audit
 
 def batch_audits(df: DataFrame, layer: str, batch_id: str, keys: dict,

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.functions import columns as C
-from strata.operators import aggregate, quality as Q
-from strata.sources.readers import arrays_to_rows
+from strata.operators import aggregate, enrich, quality as Q
+from strata.sources.readers import arrays_to_rows, read_json_payload
+from strata.sources.sinks import write_csv, write_parquet
 
 # ------------------------------------------------------------ zone summary
 
@@ -34,7 +35,7 @@ def zone_summary(df: DataFrame, zone: str = "pickup_zone", trip_id: str = "trip_
     rounded; a null zone is left out; highest revenue first."""
     return (df.filter(F.col(zone).isNotNull()).groupBy(zone).agg(
                 F.count(trip_id).alias("trip_count"),
-                C.half_up(F.sum(fare), digits).alias("total_revenue"),
+                C.half_up(C.money_sum(fare, C.SUM_SCALE), digits).alias("total_revenue"),
                 C.half_up(F.avg(fare), digits).alias("avg_fare"),
                 C.half_up(F.avg(distance), digits).alias("avg_distance"))
               .orderBy(F.col("total_revenue").desc_nulls_last(), F.col(zone)))
@@ -46,6 +47,21 @@ def fill_fare(df: DataFrame, fare: str = "fare_usd", tip: str = "tip_usd"):
     return aggregate.fill_constant(filled, {tip: 0.0}), medians
 
 
+def zone_etl(trips: DataFrame, zones: DataFrame, base: str) -> DataFrame:
+    """The whole flow: derive, fill, keep trips with a distance, write them as
+    parquet; summarise per zone, join the zone's borough, write the summary as
+    parquet and CSV. Returns the summary read back from parquet."""
+    spark = trips.sparkSession
+    filled, _ = fill_fare(trip_features(trips))
+    write_parquet(filled.filter(F.col("distance_km") > 0), f"{base}/trips")
+    summary = zone_summary(spark.read.parquet(f"{base}/trips"))
+    summary = enrich.enrich(summary, zones, "pickup_zone", "zone", {"borough": "borough"})
+    write_parquet(summary, f"{base}/summary")
+    back = spark.read.parquet(f"{base}/summary")
+    write_csv(back, f"{base}/summary_csv")
+    return back
+
+
 # ------------------------------------------------------------ daily series
 
 # Payload field -> output column of the forecast flow.
@@ -120,6 +136,15 @@ def series_checks(df: DataFrame, rows: tuple[int, int] = SERIES_ROWS) -> list[Q.
     ]
 
 
+def series_etl(spark: SparkSession, payload_path: str, out_path: str) -> DataFrame:
+    """Landed JSON payloads -> daily rows with features, written as parquet and
+    read back."""
+    days = ", ".join(f"{f}: array<{'string' if f == 'time' else 'double'}>" for f in DAILY_FIELDS)
+    payloads = read_json_payload(spark, payload_path, f"daily struct<{days}>", multiline=False)
+    write_parquet(weather_features(flatten_daily(payloads)), out_path)
+    return spark.read.parquet(out_path)
+
+
 def series_summary(df: DataFrame) -> DataFrame:
     """Rows, first and last date, mean temperature, rainy days."""
     return df.agg(F.count(F.lit(1)).alias("rows"), F.min("date").alias("first_date"),

@@ -58,13 +58,14 @@ def trip_checks(df: DataFrame) -> list[Q.Check]:
         Q.columns_present(df, REQUIRED_COLUMNS, next(n)),
         *[Q.no_nulls(c, next(n), DETAILS["nulls"]) for c in NULL_CHECKED],
         Q.unique("trip_id", next(n), DETAILS["duplicates"]),
-        Q.count_where(F.col("fare_usd") < 0, next(n), DETAILS["negative"]),
-        Q.count_where(F.col("fare_usd") > FARE_OUTLIER, next(n), DETAILS["outliers"]),
-        Q.all_rows(F.col("distance_miles") > 0, next(n)),
+        Q.count_where(F.col("fare_usd") < 0, next(n), DETAILS["negative"], ["fare_usd"]),
+        Q.count_where(F.col("fare_usd") > FARE_OUTLIER, next(n), DETAILS["outliers"],
+                      ["fare_usd"]),
+        Q.all_rows(F.col("distance_miles") > 0, next(n), ["distance_miles"]),
         Q.in_range("passenger_count", lo, hi, next(n), DETAILS["passengers"]),
         Q.accepted("payment_type_code", PAYMENT_CODES, next(n), DETAILS["codes"]),
         Q.count_where(F.col("dropoff_datetime") <= F.col("pickup_datetime"), next(n),
-                      DETAILS["order"]),
+                      DETAILS["order"], ["dropoff_datetime", "pickup_datetime"]),
         Q.mean_between("fare_usd", MEAN_FARE[0], MEAN_FARE[1], next(n), label=DETAILS["mean"]),
         Q.completeness_at_least(df.columns, COMPLETENESS_PCT, next(n)),
         Q.row_count_between(1, name=next(n)),

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from strata.functions import columns as C
-from strata.operators import aggregate, enrich, rules, upsert, windows
+from strata.operators import aggregate, enrich, quality, rules, upsert, windows
 from strata.operators.rules import Rule
 from strata.sources.readers import read_optional
 from strata.sources.sinks import by_partition, ensure_database, register_path
@@ -262,6 +262,19 @@ def dashboard(daily: DataFrame, zones_df: DataFrame) -> DataFrame:
     return totals.unionByName(top)
 
 
+def silver_validation(silver_df: DataFrame) -> DataFrame:
+    """(check, value, rows) of a written silver: null durations, negative fares and
+    the rows of each payment label."""
+    counts = silver_df.agg(
+        F.count_if(F.col("trip_duration_mins").isNull()).alias("null_durations"),
+        F.count_if(F.col("fare_amount") < 0).alias("negative_fares"))
+    checks = counts.unpivot([], ["null_durations", "negative_fares"], "check", "rows")
+    labels = silver_df.groupBy("payment_label").agg(F.count(F.lit(1)).alias("rows"))
+    return (checks.select("check", F.lit(None).cast("string").alias("value"), "rows")
+            .unionByName(labels.select(F.lit("payment_label").alias("check"),
+                                       F.col("payment_label").alias("value"), "rows")))
+
+
 # ------------------------------------------------------------- whole run
 
 # Fixed value: the MERGE key of the silver table in the reference.
@@ -271,11 +284,13 @@ SILVER_KEYS = ("VendorID", "tpep_pickup_datetime", "PULocationID")
 def run_layers(raw: DataFrame, zone_lookup: DataFrame | None, base: str, batch_id: str,
                run_ts: str, limits: Limits = Limits(), keys: Sequence[str] = SILVER_KEYS,
                order: Sequence[str] = ("_ingestion_ts",),
-               source_file: Column | None = None, database: str | None = None) -> dict:
+               source_file: Column | None = None, database: str | None = None,
+               audit_key: str = "tpep_pickup_datetime") -> dict:
     """Bronze -> silver -> gold for one batch, every layer written as files.
 
     * bronze: the batch lands in its own ``_batch_id`` partition (re-running
-      a batch replaces it);
+      a batch replaces it); its audit record (rows, null ``audit_key`` values,
+      status) goes to ``audit`` in the same way;
     * silver: the batch is cleansed and enriched, then merged on ``keys``
       into ``silver`` (partitioned by pickup month: only touched months are
       rewritten); within the batch the latest row by ``order`` wins;
@@ -292,6 +307,9 @@ def run_layers(raw: DataFrame, zone_lookup: DataFrame | None, base: str, batch_i
     silver_exists = read_optional(spark, silver_path, "parquet") is not None
     bronze = write_bronze(raw, f"{base}/bronze", batch_id, run_ts, source_file=source_file)
     batch = bronze.filter(F.col("_batch_id") == batch_id)
+    (quality.batch_audit(batch, "bronze", "bronze_trips", batch_id, audit_key, run_ts)
+        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        .partitionBy("batch_id").parquet(f"{base}/audit"))
     staged = f"{base}/silver_batches/{batch_id}"
     counts = write_silver(batch, zone_lookup, staged, limits, run_ts, partition_by=None)
     source = spark.read.parquet(staged)

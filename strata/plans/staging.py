@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.functions import columns as C
+from strata.operators import quality as Q
 from strata.operators import windows
 
 
@@ -121,3 +122,20 @@ def daily_mart(trips: DataFrame, rolling_rows: int = 7) -> DataFrame:
                 windows.change("total_revenue_usd", "trip_date"), 2))
              .withColumn("trip_count_rank", windows.rank_desc("trip_count"))
              .orderBy("trip_date"))
+
+
+# The declared column tests of the two models.
+PAYMENT_CODES = (1, 2, 3, 4, 5, 6)
+BRONZE_NOT_NULL = ("tpep_pickup_datetime", "tpep_dropoff_datetime")
+STAGING_NOT_NULL = ("trip_id", "pickup_datetime", "dropoff_datetime", "fare_usd",
+                    "payment_type_code")
+
+
+def bronze_tests(bronze: DataFrame) -> DataFrame:
+    return Q.column_tests(bronze, "bronze_trips", BRONZE_NOT_NULL,
+                          values={"payment_type": PAYMENT_CODES})
+
+
+def staging_tests(staged: DataFrame) -> DataFrame:
+    return Q.column_tests(staged, "stg_trips", STAGING_NOT_NULL, unique_keys=("trip_id",),
+                          values={"payment_type_code": PAYMENT_CODES})

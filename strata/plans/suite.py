@@ -47,6 +47,7 @@ def landing_metadata(spark: SparkSession, sf: str) -> DataFrame:
                     hash_columns=orders.columns)
     return landed.select(
         "o_orderkey", "_batch_id", "_row_hash",
+        F.col("_ingestion_ts").cast("timestamp_ntz").alias("_ingestion_ts"),
         F.regexp_extract("_source_file", r"[^/]+$", 0).alias("_source_file"))
 
 
@@ -163,6 +164,11 @@ def _events_hourly(spark, sf):
     return M.hourly_demand(ev, PEAK, NORMAL, duration=None)
 
 
+def hourly_silver(spark: SparkSession, sf: str) -> DataFrame:
+    """Both averages (fare and duration) over silver."""
+    return M.hourly_demand(_silver(spark, sf), PEAK, NORMAL)
+
+
 def hourly_demand(spark: SparkSession, sf: str) -> DataFrame:
     return _events_hourly(spark, sf)
 
@@ -201,6 +207,42 @@ def layered_run(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.parquet(f"{base}/gold/daily_revenue").drop("_gold_ts")
 
 
+def _two_batches(spark, sf):
+    """Two batches with overlapping months through all layers: the second has
+    other fares, some location keys are null, and the ids look like numbers."""
+    raw = adapter.trips(spark, sf).withColumn(
+        "PULocationID", F.nullif(F.col("PULocationID"), F.lit(0)))
+    day = F.col("tpep_pickup_datetime")
+    batches = {"001": raw.filter(day < FIRST_BATCH_END),
+               "2023_02": raw.filter(day >= SECOND_BATCH_START)
+                             .withColumn("fare_amount", F.col("fare_amount") + 1.0)}
+    base = scratch_path(spark, "batches")
+    for batch_id, rows in batches.items():
+        M.run_layers(rows, adapter.zones(spark, sf), base, batch_id, RUN_TS, LIMITS,
+                     order=TIE_BREAKERS, source_file=F.lit(None).cast("string"))
+    return base
+
+
+FIRST_BATCH_END, SECOND_BATCH_START = "1996-01-01", "1995-07-01"
+
+
+def silver_two_batches(spark: SparkSession, sf: str) -> DataFrame:
+    """Silver after the second batch is merged into the first's."""
+    return spark.read.parquet(f"{_two_batches(spark, sf)}/silver").select(
+        *M.SILVER_KEYS, *TRIP_KEYS, "fare_amount", "pickup_month", "_silver_batch")
+
+
+def silver_validation(spark: SparkSession, sf: str) -> DataFrame:
+    """Null durations, negative fares and label counts of the merged silver."""
+    return M.silver_validation(spark.read.parquet(f"{_two_batches(spark, sf)}/silver"))
+
+
+def bronze_audit_log(spark: SparkSession, sf: str) -> DataFrame:
+    """The audit records that the two batches left (batch ids read as text)."""
+    return spark.read.schema("layer string, table_name string, rows_written long, null_keys long, "
+                             "status string, batch_id string").parquet(f"{_two_batches(spark, sf)}/audit")
+
+
 def run_history(spark: SparkSession, sf: str) -> DataFrame:
     """One audit record per order year appended to an audit table, then the
     latest five runs (a top-n report)."""
@@ -301,6 +343,44 @@ def median_fill(spark: SparkSession, sf: str) -> DataFrame:
     return filled
 
 
+def median_fill_types(spark: SparkSession, sf: str) -> DataFrame:
+    """Median fill of an integer column with nulls and of one with NaN and nulls;
+    constant fill of a text column."""
+    status = F.col("o_orderstatus")
+    o = _t(spark, sf, "orders").select(
+        "o_orderkey",
+        F.when(status != "P", F.col("o_custkey")).alias("customer"),
+        F.when(status == "F", F.col("o_totalprice"))
+         .when(status == "O", F.lit(float("nan"))).alias("price"),
+        F.when(status != "P", F.col("o_orderpriority")).alias("priority"))
+    filled, _ = aggregate.impute_median(o, ["customer", "price"])
+    return aggregate.fill_constant(filled, {"priority": "none"}).withColumn(
+        "customer", F.col("customer").cast("double"))
+
+
+def distinct_values(spark: SparkSession, sf: str) -> DataFrame:
+    """The distinct (flag, status) pairs themselves, null flags included."""
+    return _nulled_lineitem(spark, sf).select("l_returnflag", "l_linestatus").distinct()
+
+
+def zone_etl(spark: SparkSession, sf: str) -> DataFrame:
+    """Derive, fill, filter, write, summarise, join and write both formats; fares
+    of line 7 and tips of line 6 are missing."""
+    t = M.attach_zones(adapter.trips(spark, sf), adapter.zones(spark, sf, DROPPED_REGION))
+    line = F.col("l_linenumber")
+    trips = t.select(
+        F.concat_ws("-", "l_orderkey", "l_linenumber").alias("trip_id"),
+        F.col("tpep_pickup_datetime").alias("pickup_datetime"),
+        F.col("tpep_dropoff_datetime").alias("dropoff_datetime"),
+        F.col("pickup_zone_name").alias("pickup_zone"),
+        F.col("trip_distance").alias("distance_km"),
+        F.when(line != 7, F.col("fare_amount")).alias("fare_usd"),
+        F.when(line != 6, F.col("tip_amount")).alias("tip_usd"))
+    zones = adapter.zones(spark, sf).select(F.col("Zone").alias("zone"),
+                                            F.col("Borough").alias("borough"))
+    return etl.zone_etl(trips, zones, scratch_path(spark, "zone-etl"))
+
+
 def _nulled_lineitem(spark, sf):
     li = _t(spark, sf, "lineitem")
     return li.withColumns({
@@ -327,13 +407,24 @@ def distinct_and_duplicates(spark: SparkSession, sf: str) -> DataFrame:
     return aggregate.distinct_report(li, ["l_returnflag", "l_linestatus", "l_suppkey"])
 
 
-def text_cast_split(spark: SparkSession, sf: str) -> DataFrame:
+def _fare_text(spark, sf):
     ev = _t(spark, sf, "events")
     text = (F.when(F.col("event_type") == "error", F.lit("N/A"))
              .when(F.col("event_type") == "view", F.lit(""))
              .otherwise(F.get_json_object("props", "$.k")))
-    raw = ev.select("event_id", text.alias("fare_text"))
-    return rules.cast_report(raw, "fare_text", "double", sum_col="parsed_sum")
+    return ev.select("event_id", text.alias("fare_text"))
+
+
+def text_cast_split(spark: SparkSession, sf: str) -> DataFrame:
+    return rules.cast_report(_fare_text(spark, sf), "fare_text", "double", sum_col="parsed_sum")
+
+
+def safe_cast_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """Both sides of the split: parsed rows with their number, rejected ones with their text."""
+    parsed, rejected = rules.safe_cast(_fare_text(spark, sf), "fare_text", "double", out="fare")
+    return parsed.select("event_id", "fare", F.lit(None).cast("string").alias("rejected")).unionByName(
+        rejected.select("event_id", F.lit(None).cast("double").alias("fare"),
+                        F.col("fare_text").alias("rejected")))
 
 
 def route_by_size(spark: SparkSession, sf: str) -> DataFrame:
@@ -355,7 +446,7 @@ def _gate_input(spark, sf):
     return gate.gate_frame(adapter.trips(spark, sf))
 
 
-def quarantine(spark: SparkSession, sf: str) -> DataFrame:
+def _quarantine_folders(spark, sf):
     """Tag every row once, write clean and quarantined rows in one pass
     (routed by partition), then append the quarantined part to the
     bad-records folder from the written files."""
@@ -368,16 +459,43 @@ def quarantine(spark: SparkSession, sf: str) -> DataFrame:
     sinks.write_routed(tagged, routed, "_quarantined", F.col("_quarantine_reason").isNotNull())
     back = spark.read.parquet(routed)
     quarantined = back.filter(F.col("_quarantined").cast("string") == "true")
-    sinks.write_quarantine(quarantined.drop("_quarantined"),
-                           scratch_path(spark, "bad-records"))
-    return back.drop("_quarantined")
+    bad_records = scratch_path(spark, "bad-records")
+    sinks.write_quarantine(quarantined.drop("_quarantined"), bad_records)
+    return back.drop("_quarantined"), spark.read.parquet(bad_records)
+
+
+def quarantine(spark: SparkSession, sf: str) -> DataFrame:
+    return _quarantine_folders(spark, sf)[0]
+
+
+def quarantine_written(spark: SparkSession, sf: str) -> DataFrame:
+    """The bad-records folder read back."""
+    return _quarantine_folders(spark, sf)[1]
 
 
 def quality_checks(spark: SparkSession, sf: str) -> DataFrame:
-    g = _gate_input(spark, sf)
+    """On a written layer: the key column alone is read again for uniqueness."""
+    g = sinks.persist(_gate_input(spark, sf), scratch_path(spark, "gate"))
+    return Q.run_checks(g, gate.trip_checks(g))
+
+
+def quality_missing_column(spark: SparkSession, sf: str) -> DataFrame:
+    """The gate over trips without a passenger count: the checks that need it fail."""
+    g = sinks.persist(_gate_input(spark, sf).drop("passenger_count"), scratch_path(spark, "gate"))
     return Q.run_checks(g, gate.trip_checks(g))
 
 
+def model_tests(spark: SparkSession, sf: str) -> DataFrame:
+    """Declared column tests of the bronze and staging models; bronze lacks the
+    pickup of line 7 and has code 9 for 5, so that two tests fail."""
+    trips = adapter.trips(spark, sf)
+    bronze = trips.withColumns({
+        "tpep_pickup_datetime": F.when(F.col("l_linenumber") != 7, F.col("tpep_pickup_datetime")),
+        "payment_type": F.when(F.col("payment_type") == 5, 9).otherwise(F.col("payment_type"))})
+    stg = sinks.persist(_staged(spark, sf), scratch_path(spark, "staged"))
+    return staging.bronze_tests(bronze).unionByName(staging.staging_tests(stg))
+
+
 def _daily_series(spark, sf):
     ev = _t(spark, sf, "events")
     daily = ev.groupBy(F.to_date("ts").alias("date")).agg(
@@ -393,7 +511,7 @@ def series_checks(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def quality_score(spark: SparkSession, sf: str) -> DataFrame:
-    g = _gate_input(spark, sf)
+    g = sinks.persist(_gate_input(spark, sf), scratch_path(spark, "gate"))
     _, scored, _, _ = gate.run_gate(g)
     return scored
 
@@ -492,6 +610,40 @@ def arrays_to_rows(spark: SparkSession, sf: str) -> DataFrame:
     return etl.weather_features(flat)
 
 
+def series_etl(spark: SparkSession, sf: str) -> DataFrame:
+    """Weekly payloads landed as JSON files, then flattened, enriched, written and read."""
+    daily = _daily_series(spark, sf).withColumns({
+        "date": F.col("date").cast("string"),
+        "week": F.date_trunc("week", F.col("date").cast("timestamp"))})
+    landed = scratch_path(spark, "payloads")
+    etl.daily_payloads(daily, "week").select("daily").write.json(landed)
+    return etl.series_etl(spark, landed, scratch_path(spark, "series"))
+
+
+def series_summary(spark: SparkSession, sf: str) -> DataFrame:
+    return etl.series_summary(series_etl(spark, sf))
+
+
+# Priority code -> desk for the inline lookup.
+DESKS = ((1, "urgent desk"), (2, "urgent desk"), (3, "day desk"))
+
+
+def inline_lookup(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders joined to a literal lookup; codes outside it stay without a desk."""
+    desks = readers.inline_rows(spark, DESKS, "code int, desk string")
+    orders = _t(spark, sf, "orders").select(
+        "o_orderkey", F.substring("o_orderpriority", 1, 1).cast("int").alias("priority_code"))
+    return enrich.enrich(orders, desks, "priority_code", "code", {"desk": "desk"})
+
+
+def csv_text(spark: SparkSession, sf: str) -> DataFrame:
+    """Customers written as CSV and read without a schema: every column is text."""
+    path = scratch_path(spark, "csv-customer")
+    sinks.write_csv(_t(spark, sf, "customer").select("c_custkey", "c_name", "c_nationkey",
+                                                     "c_mktsegment"), path)
+    return readers.read_csv(spark, path)
+
+
 def csv_round_trip(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch_path(spark, "csv-nation")
     sinks.write_csv(_t(spark, sf, "nation"), path)
@@ -522,18 +674,45 @@ def _message_rows(spark, sf):
                      "event_type")
 
 
+MESSAGE_FIELDS = ["event_id", "ts", "user_id", "status", "amount", "props"]
+
+
+def _published(spark, sf, rows=None, path=None):
+    path = path or scratch_path(spark, "publish")
+    publish.publish_files(_message_rows(spark, sf) if rows is None else rows, "user_id", path,
+                          fields=MESSAGE_FIELDS)
+    return path
+
+
 def publish_json(spark: SparkSession, sf: str) -> DataFrame:
-    rows = _message_rows(spark, sf)
-    path = scratch_path(spark, "publish")
-    publish.publish_files(rows, "user_id", path,
-                          fields=["event_id", "ts", "user_id", "status", "amount", "props"])
-    lines = spark.read.text(path)
-    good, _ = monitor.parse_events(lines, monitor.TABLE_EVENT)
-    return good.select(F.col("user_id").cast("string").alias("key"), "event_id",
-                       C.parse_timestamp("ts").cast("timestamp_ntz").alias("ts"),
+    """Messages as published; the key is the one that the file carries."""
+    messages = monitor.read_messages(spark, _published(spark, sf))
+    good, _ = monitor.parse_events(messages, monitor.TABLE_EVENT, keep=["key"])
+    return good.select("key", "event_id", C.parse_timestamp("ts").cast("timestamp_ntz").alias("ts"),
                        "status", "amount")
 
 
+def stream_records(spark: SparkSession, sf: str) -> DataFrame:
+    """Messages streamed from the earliest position, with key and position; the
+    position must be a partition's place 0, 1, 2, ... without gaps."""
+    source = monitor.message_source(spark, _published(spark, sf), starting="earliest")
+    good, _ = monitor.parse_events(source, monitor.TABLE_EVENT, keep=["key", *monitor.POSITION])
+    out = scratch_path(spark, "stream-records")
+    monitor.run_append(good, out, scratch_path(spark, "ckpt"))
+    rows = spark.read.parquet(out)
+    dense = rows.groupBy("partition").agg(
+        ((F.min("offset") == 0) & (F.max("offset") + 1 == F.count_distinct("offset"))
+         & (F.count(F.lit(1)) == F.count_distinct("offset"))).alias("dense"))
+    return rows.join(dense, "partition").select("key", "event_id", "status", "amount", "dense")
+
+
+def stream_first_n(spark: SparkSession, sf: str) -> DataFrame:
+    """A consumer that stops after 100 good messages (the limit is the feature)."""
+    good, _ = monitor.parse_events(monitor.read_messages(spark, _published(spark, sf)),
+                                   monitor.TABLE_EVENT, keep=["key"])
+    return monitor.first_messages(good, 100, ["event_id"]).select("key", "event_id", "status")
+
+
 def _stream_lines(spark, sf):
     """Messages for every event, plus data-derived bad input: a cut-off copy
     of every error message, a blank line per view, and an empty object per
@@ -580,23 +759,31 @@ def stream_bad_records(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def stream_upsert(spark: SparkSession, sf: str) -> DataFrame:
-    """Two deliveries: all events, then purchases again as SETTLED. The same
-    checkpoint resumes after the first run; the later delivery wins."""
+    """Two deliveries: all events, then purchases twice more in one go, SETTLING
+    and an hour later SETTLED. The same checkpoint resumes after the first run;
+    after each, the log is folded into the next version of the state table."""
     rows = _message_rows(spark, sf)
-    fields = ["event_id", "ts", "user_id", "status", "amount", "props"]
-    src = scratch_path(spark, "stream-up")
-    publish.publish_files(rows, "user_id", f"{src}/d1", None, fields)
-    ckpt, log = scratch_path(spark, "ckpt"), scratch_path(spark, "stream-log")
-
-    def run():
+    src, log = scratch_path(spark, "stream-up"), scratch_path(spark, "stream-log")
+    ckpt, states = scratch_path(spark, "ckpt"), scratch_path(spark, "stream-state")
+    bought = _t(spark, sf, "events").filter(F.col("event_type") == "purchase").select(
+        "event_id", F.col("ts").alias("at"))
+    again = rows.join(bought, "event_id")
+
+    def later(hours, status):
+        at = F.col("at") + F.make_dt_interval(hours=F.lit(hours))
+        return again.withColumns({"ts": at.cast("string"), "status": F.lit(status)}).drop("at")
+
+    deliveries = [rows, later(1, "SETTLING").unionByName(later(2, "SETTLED"))]
+    state, done = None, -1
+    for i, delivery in enumerate(deliveries):
+        _published(spark, sf, delivery, f"{src}/d{i}")
         good, _ = monitor.parse_events(
-            monitor.text_source(spark, src + "/*", max_files_per_trigger=2),
-            monitor.TABLE_EVENT)
-        monitor.run_append(good.select("event_id", "user_id", "status", "amount"), log, ckpt)
-
-    run()
-    settled = rows.filter(F.col("event_type") == "purchase").withColumn(
-        "status", F.lit("SETTLED"))
-    publish.publish_files(settled, "user_id", f"{src}/d2", None, fields)
-    run()
-    return monitor.latest_events(spark.read.parquet(log), "event_id", [])
+            monitor.message_source(spark, src + "/*", max_files_per_trigger=2),
+            monitor.TABLE_EVENT, keep=monitor.POSITION)
+        monitor.run_append(good.select("event_id", "user_id", "status", "amount", "ts",
+                                       *monitor.POSITION), log, ckpt)
+        written = spark.read.parquet(log)
+        state = monitor.compact_log(written, "event_id", ["ts"], f"{states}/v{i}",
+                                    state=state, after=done)
+        done = monitor.last_batch(written)
+    return state.select("event_id", "user_id", "status", "amount")

@@ -62,6 +62,31 @@ def text_source(spark: SparkSession, path: str, max_files_per_trigger: int | Non
     return r.load(path)
 
 
+# A published message as it lies in a file (see publish.py).
+MESSAGE = "key string, value string, partition int, offset long"
+
+
+def message_source(spark: SparkSession, path: str, max_files_per_trigger: int | None = None,
+                   starting: str = "earliest") -> DataFrame:
+    """Folder of published messages as a stream of (key, value, partition, offset).
+
+    ``starting`` is ``earliest`` or a timestamp: messages of files last written
+    before it are left out (the file stand-in for a topic's start offset)."""
+    r = spark.readStream.schema(MESSAGE)
+    if max_files_per_trigger:
+        r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    rows = r.json(path)
+    if starting != "earliest":
+        rows = rows.filter(F.col("_metadata.file_modification_time")
+                           >= F.lit(starting).cast("timestamp"))
+    return rows
+
+
+def read_messages(spark: SparkSession, path: str) -> DataFrame:
+    """The same messages as a batch."""
+    return spark.read.schema(MESSAGE).json(path)
+
+
 def kafka_source(spark: SparkSession, servers: str, topic: str,
                  starting: str = "earliest", max_offsets: int | None = None) -> DataFrame:
     """Kafka topic as a stream of (key, value, partition, offset) with text
@@ -146,23 +171,41 @@ def run_append(rows: DataFrame, out_path: str, checkpoint: str,
     q.awaitTermination()
 
 
+# Where a message lies in its topic or folder: the last tie-break.
+POSITION = ("partition", "offset")
+
+
+def _delivery(log: DataFrame, order: Sequence[str], batch_col: str) -> list[str]:
+    return [*order, batch_col, *[c for c in POSITION if c in log.columns and c not in order]]
+
+
 def latest_events(log: DataFrame, key: str, order: Sequence[str],
                   batch_col: str = "_batch_id") -> DataFrame:
-    """Merge-on-read upsert: one row per key, the latest by ``order`` and
-    then by micro-batch (a later delivery of the same event wins)."""
-    return latest_per_key(log, [key], [*order, batch_col], rn_col=None).drop(batch_col)
+    """Merge-on-read upsert: one row per key, the latest by ``order`` (event
+    time), then by micro-batch, then by partition and offset where the log has
+    them: a later delivery wins, also inside one micro-batch."""
+    return latest_per_key(log, [key], _delivery(log, order, batch_col), rn_col=None).drop(batch_col)
 
 
 def compact_log(log: DataFrame, key: str, order: Sequence[str], out_path: str,
-                batch_col: str = "_batch_id") -> DataFrame:
-    """Fold the append-only log into its latest state (one row per key) and
-    write it as a new version; readers switch to ``out_path`` and the log
-    can be truncated up to the compacted batch. Returns the written state."""
-    state = latest_events(log, key, order, batch_col)
-    state.write.mode("errorifexists").parquet(out_path)
+                batch_col: str = "_batch_id", state: DataFrame | None = None,
+                after: int = -1) -> DataFrame:
+    """Next version of the state table, written to ``out_path``: one row per key,
+    the latest of ``state`` (the version before) and of the log's micro-batches
+    later than ``after``. Older micro-batches are not read (a partition filter)
+    and may be deleted. Returns the written state, ``batch_col`` included."""
+    new = log.filter(F.col(batch_col) > after)
+    rows = new if state is None else state.unionByName(new)
+    (latest_per_key(rows, [key], _delivery(rows, order, batch_col), rn_col=None)
+        .write.mode("errorifexists").parquet(out_path))
     return log.sparkSession.read.parquet(out_path)
 
 
+def last_batch(log: DataFrame, batch_col: str = "_batch_id") -> int:
+    """The newest micro-batch of the log (-1: none): ``after`` of the next compaction."""
+    return log.agg(F.coalesce(F.max(batch_col), F.lit(-1))).first()[0]
+
+
 def first_messages(good: DataFrame, n: int, order: Sequence[str]) -> DataFrame:
     """Exactly the first ``n`` good messages in ``order`` (e.g. partition,
     offset) from a batch read of the topic or folder — the bounded

@@ -32,10 +32,17 @@ def place_by_key(messages: DataFrame, partitions: int | None = None) -> DataFram
 
 def publish_files(df: DataFrame, key_col: str, path: str, partitions: int | None = None,
                   fields: Sequence[str] | None = None) -> None:
-    """Write messages as JSON-lines text, placed by key (``partitions``
-    target files; by default AQE sizes them)."""
-    msgs = place_by_key(to_messages(df, key_col, fields), partitions)
-    msgs.select("value").write.mode("overwrite").text(path)
+    """Write messages as JSON lines with key, value, partition and offset, placed
+    by key (``partitions`` target files; by default AQE sizes them).
+
+    The partition is the writing task's number and the offset the message's
+    place in it, what a broker would assign on arrival. A null key is left out
+    of its line and read back as null."""
+    placed = place_by_key(to_messages(df, key_col, fields), partitions)
+    row = F.monotonically_increasing_id()        # the lower 33 bits count a task's rows
+    (placed.withColumns({"partition": F.spark_partition_id(),
+                         "offset": row.bitwiseAND(F.lit((1 << 33) - 1))})
+           .write.mode("overwrite").json(path))
 
 
 def publish_kafka(df: DataFrame, key_col: str, servers: str, topic: str,
