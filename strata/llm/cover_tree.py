@@ -28,20 +28,38 @@ def cover_tree(points: np.ndarray, leaf: int = LEAF) -> Node | None:
     if not len(points):
         return None
 
+    squares = (points * points).sum(1)
+    longest = float(np.sqrt(squares.max()))
+
+    def split(centre: int, members: np.ndarray, far: np.ndarray, reach: float, close: bool):
+        """Centres more than ``reach`` apart with the rows that each covers."""
+        rows, at, square = members, points[members], squares[members]
+        free, left, own = np.ones(len(rows), bool), len(rows), far
+        first = int(np.flatnonzero(rows == centre)[0])
+        while True:
+            near = free & (own <= reach)
+            near[first] = True
+            yield int(rows[first]), rows[near]
+            free &= ~near
+            left -= int(near.sum())
+            if not left:
+                return
+            if 2 * left < len(rows):
+                rows, at, square = rows[free], at[free], square[free]
+                free = np.ones(left, bool)
+            first = int(free.argmax())
+            own = (distances(points, rows, int(rows[first])) if close else
+                   np.sqrt(np.maximum(square + square[first] - 2 * (at @ at[first]), 0)))
+
     def node(centre: int, members: np.ndarray, far: np.ndarray) -> Node:
         radius = float(far.max())
         if len(members) <= leaf or radius == 0:
             return Node(centre, radius, members, [])
-        step = 2.0 ** (np.ceil(np.log2(radius)) - 1)
-        children, rest, own = [], members, far
-        next_centre = centre
-        while len(rest):
-            near = own <= step
-            children.append(node(next_centre, rest[near], own[near]))
-            rest = rest[~near]
-            if len(rest):
-                next_centre = int(rest[0])
-                own = distances(points, rest, next_centre)
+        # A little less than the level's radius, so that a child always shrinks whatever
+        # the products round to; rows too close together for products are subtracted.
+        reach = 2.0 ** (np.ceil(np.log2(radius)) - 1) * (1 - 1e-6)
+        children = [node(c, rows, distances(points, rows, c))
+                    for c, rows in split(centre, members, far, reach, radius < 1e-3 * longest)]
         # Lone rows side by side are one leaf, so that they are compared in one product.
         single = [c for c in children if len(c.members) == 1]
         if len(single) > 1:

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from strata.llm.cover_tree import Node, cover_tree
 
-QUERY_BLOCK, BLOCK = 1024, 8192
+QUERY_BLOCK, BLOCK = 2048, 2048
 OPENED = 512          # rows scored together
 
 
@@ -35,8 +35,18 @@ def search(queries: np.ndarray, query_ids: np.ndarray, points: np.ndarray, ids:
     def score(rows: np.ndarray, members: np.ndarray) -> None:
         found = queries[rows] @ points[members].T
         found[query_ids[rows][:, None] == ids[members][None, :]] = -np.inf
-        both = np.concatenate([best[rows], found], 1)
-        name = np.concatenate([best_id[rows], np.broadcast_to(ids[members], found.shape)], 1)
+        least = best[rows, -1]
+        if np.isneginf(least).any() and found.shape[1] > k:      # its own kth score bounds it too
+            least = np.maximum(least, np.partition(found, -k, axis=1)[:, -k])
+        row, column = np.nonzero((found >= least[:, None]) & (found > -np.inf))    # ties stay
+        if not len(row):
+            return
+        start = np.searchsorted(row, np.arange(len(rows)))
+        slot = k + np.arange(len(row)) - start[row]
+        both = np.full((len(rows), int(slot.max()) + 1), -np.inf)
+        name = np.full(both.shape, np.iinfo(np.int64).max)
+        both[:, :k], name[:, :k] = best[rows], best_id[rows]
+        both[row, slot], name[row, slot] = found[row, column], ids[members[column]]
         order = np.lexsort((name, -both), axis=1)[:, :k]
         best[rows] = np.take_along_axis(both, order, 1)
         best_id[rows] = np.take_along_axis(name, order, 1)
