@@ -1,15 +1,17 @@
 """Language-model scores from a weighted backoff automaton over words.
 
-States are the root and the ``STATES`` most frequent words; a state's arcs are
-its discounted two-word sequences, and its failure arc leads to the root with the
-mass left over. The root holds all words with discounted counts and one unknown
-word. A text is read once from left to right: each token either follows an arc of
-the current state or takes the failure arc first. As a state is named by its last
-word, the pass over a batch of texts is one sweep over its tokens.
+Every word and every two-word sequence of the training texts is a state. The arcs
+of a state are the discounted sequences of one word more (three words at most), and
+its failure arc leads to the state one word shorter with the mass left over; the
+root holds all words with discounted counts and one unknown word. Each token of a
+text follows an arc of the current state, mixed with the shorter state's weight, or
+takes the failure arc first. A text starts at the root.
 
-Counts cover all training texts. The arcs (``STATES`` squared at most) and the
-counts of the ``TABLE`` most frequent words are broadcast; every other word of a
-text is looked up by a join with the whole table of counts, so none is dropped.
+Counts cover all words and all sequences of all training texts, in tables that grow
+with the corpus; a text's sequences are joined with them. Broadcast are only the
+counts of the ``TABLE`` most frequent words and the arcs between the ``STATES`` most
+frequent of these (``STATES`` squared at most), with the same weights as in the
+tables, so that what is frequent needs no join with words or two-word states.
 
 Tokens are A-Z lower-cased runs of bytes other than white space, then one end
 token. Null texts are empty (end token only); null ids are never held out;
@@ -28,12 +30,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata.llm.graph import saved
-from strata.llm.words import slices, word_hashes
+from strata.llm.words import mix, slices, word_hashes
 
 STATES = 2048
 TABLE = 1 << 19
 COUNTED_AT_ONCE = 1 << 21
 END = np.uint64(1)          # stands for the end token among word hashes
+DISCOUNT = 0.75             # taken off the count of every sequence of two or three words
+_ODD = np.array([0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB], dtype=np.uint64)
 
 
 def tokens(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -44,17 +48,47 @@ def tokens(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return flat, offsets + np.arange(len(offsets))
 
 
-def _counted(batches, pick) -> Iterator[pa.RecordBatch]:
-    """Counts of the keys ``pick`` takes from each run of texts, summed over many runs."""
+def sequences(tokens: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Key of the two-word and of the three-word sequence that ends at each token, and
+    the number of tokens before it in its text; keys stand only where there are enough."""
+    before = np.arange(len(tokens)) - np.repeat(offsets[:-1], np.diff(offsets))
+    two, three = np.zeros(len(tokens), np.uint64), np.zeros(len(tokens), np.uint64)
+    two[1:] = mix(tokens[:-1] * _ODD[0] + tokens[1:] * _ODD[1])
+    three[2:] = mix(tokens[:-2] * _ODD[2] + tokens[1:-1] * _ODD[0] + tokens[2:] * _ODD[1] + np.uint64(3))
+    return two, three, before
+
+
+def _words_of(column: pa.Array) -> tuple[np.ndarray, ...]:
+    return (tokens(column)[0],)
+
+
+def _pairs_of(column: pa.Array) -> tuple[np.ndarray, ...]:
+    flat, offsets = tokens(column)
+    two, _, before = sequences(flat, offsets)
+    at = np.flatnonzero(before >= 1)
+    return two[at], flat[at - 1], flat[at]
+
+
+def _triples_of(column: pa.Array) -> tuple[np.ndarray, ...]:
+    flat, offsets = tokens(column)
+    two, three, before = sequences(flat, offsets)
+    at = np.flatnonzero(before >= 2)
+    return three[at], two[at - 1]
+
+
+def _counted(batches, pick, names: list[str]) -> Iterator[pa.RecordBatch]:
+    """Counts of the keys ``pick`` takes from each run of texts, summed over many runs, and what goes with a key."""
     held, size = [], 0
 
     def out():
-        keys, n = np.unique(np.concatenate(held), return_counts=True)
-        return pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(n.astype(np.int64))], names=["key", "c"])
+        key, *rest = (np.concatenate(x) for x in zip(*held, strict=True))
+        keys, at, n = np.unique(key, return_index=True, return_counts=True)
+        return pa.RecordBatch.from_arrays([*(pa.array(x.view(np.int64)) for x in (keys, *(r[at] for r in rest))),
+                                           pa.array(n.astype(np.int64))], names=[*names, "c"])
     for batch in batches:
         for part in slices(batch, text=0):
             held.append(pick(part.column(0)))
-            size += len(held[-1])
+            size += len(held[-1][0])
             if size >= COUNTED_AT_ONCE:
                 yield out()
                 held, size = [], 0
@@ -62,6 +96,11 @@ def _counted(batches, pick) -> Iterator[pa.RecordBatch]:
         yield out()
 
 
+def _count(texts: DataFrame, pick, *names: str) -> DataFrame:
+    counted = texts.mapInArrow(lambda b: _counted(b, pick, list(names)), ", ".join(f"{n} long" for n in names) + ", c long")
+    return counted.groupBy(*names).agg(F.sum("c").alias("c"))
+
+
 class Automaton:
     """The broadcast part of the model: arcs, failure arcs and frequent words."""
 
@@ -85,14 +124,6 @@ class Automaton:
         found = self.words[np.minimum(at, len(self.words) - 1)] == tokens
         return np.where(found, at, len(self.words))
 
-    def pairs(self, tokens: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-        """Keys of neighbouring tokens that are both states; texts start at the root."""
-        state = self.state[self.find(tokens)].astype(np.uint64)
-        before = np.concatenate([[np.uint64(0)], state[:-1]])[:len(state)]
-        before[offsets[:-1]] = 0
-        both = (before > 0) & (state > 0)
-        return before[both] * np.uint64(STATES + 1) + state[both]
-
     def root_log(self, counts: np.ndarray) -> np.ndarray:
         """log10 probability at the root of words seen ``counts`` times; 0 is the unknown word."""
         if not self.total:
@@ -100,25 +131,41 @@ class Automaton:
         mass = np.where(counts > 0, counts - self.discount, self.discount * self.kinds)
         return np.log10(mass / self.total)
 
-    def link(self, keys: np.ndarray, counts: np.ndarray) -> None:
-        """Arcs from the counts of two-word sequences, and the failure arcs they leave."""
+    def link(self, sources: np.ndarray, targets: np.ndarray, keys: np.ndarray, weights: np.ndarray, counts: np.ndarray,
+             kinds: np.ndarray) -> None:
+        """Arcs between states, and what their own two-word states were seen with."""
+        source, target = (self.state[self.find(x)].astype(np.int64) for x in (sources, targets))
+        key = source * (STATES + 1) + target
+        order = np.argsort(key)
+        self.keys, self.arcs = key[order], weights[order]
         order = np.argsort(keys)
-        self.keys, n = keys[order], counts[order].astype(float)
-        source, target = self.keys // (STATES + 1), self.keys % (STATES + 1)
-        place = np.zeros(STATES + 1, np.int64)
-        seen = np.flatnonzero(self.state[:-1])
-        place[self.state[seen]] = seen
-        of = np.maximum(1, self.counts[place]) if len(self.counts) else np.ones(STATES + 1)
-        d = 0.75
-        own = np.maximum(n - d, 0) / of[source]
-        left = 1 - np.bincount(source, own, STATES + 1)
-        left[0] = 1
-        root = 10 ** self.root_log(self.counts[place[target]]) if len(n) else own
-        self.arcs = np.log10(own + left[source] * root)
-        self.fail = np.log10(np.maximum(left, 1e-12))
+        self.pair_keys, self.pair_weights = keys[order], weights[order]
+        self.pair_fail = np.log10(np.where(kinds > 0, DISCOUNT * kinds / counts, 1.0))[order]
+        self.pair_counts = counts[order]
+
+    def lose(self, words: np.ndarray, kinds: np.ndarray) -> None:
+        """Failure arcs of the frequent words from the number of words seen after each."""
+        after = np.zeros(len(self.words) + 1)
+        after[self.find(words)] = kinds
+        seen = np.append(self.counts, 1)
+        self.fail_of = np.log10(np.where(after > 0, DISCOUNT * after / seen, 1.0))
+        self.fail = np.zeros(STATES + 1)
+        has = np.flatnonzero(self.state)
+        self.fail[self.state[has]] = self.fail_of[has]
+
+    def pair(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Place of each two-word sequence among the broadcast ones, and whether it is there."""
+        if not len(self.pair_keys):
+            return np.zeros(len(keys), np.int64), np.zeros(len(keys), bool)
+        at = np.minimum(np.searchsorted(self.pair_keys, keys), len(self.pair_keys) - 1)
+        return at, self.pair_keys[at] == keys
+
+    def __getstate__(self) -> dict:
+        return {k: v for k, v in self.__dict__.items() if k not in ("two", "three")}  # tables stay on the driver
 
     def read(self, tokens: np.ndarray, offsets: np.ndarray) -> tuple:
-        """Per text: base and model sums of what is known here, known tokens, and the words to look up."""
+        """Per text: base and model sums of what is known here by words and two-word arcs, known
+        tokens, and the words to look up."""
         at = self.find(tokens)
         known = at < len(self.words)
         counts = np.append(self.counts, 0)[at]
@@ -141,12 +188,43 @@ class Automaton:
         return (np.add.reduceat(base, begin), np.add.reduceat(step, begin), np.add.reduceat(known.astype(np.int64), begin),
                 tokens[rare], np.concatenate([[0], np.cumsum(np.add.reduceat(rare.astype(np.int64), begin))]))
 
+    def lookups(self, tokens: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, dict[str, np.ndarray]]:
+        """Text of each token that has a word before it, and what is asked and known about it.
+
+        ``back`` is the two-word sequence that ends here, ``low`` its weight if broadcast;
+        ``hist`` the one before, ``lose`` and ``of`` its failure weight and count if broadcast;
+        ``source`` and ``target`` are the words not broadcast, ``root`` what the others weigh."""
+        two, three, before = sequences(tokens, offsets)
+        at = np.flatnonzero(before >= 1)
+        text = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))[at]
+        long = before[at] >= 2
+        place, has = self.pair(two[at])
+        prior, of = self.pair(np.where(long, two[at - 1], 0))
+        of &= long
+        a, b = self.find(tokens[at - 1]), self.find(tokens[at])
+        rare_a, rare_b = a == len(self.words), b == len(self.words)
+        root = np.where(rare_a, 0.0, self.fail_of[a])
+        root[~rare_b] += self.root_log(self.counts[b[~rare_b]])
+
+        def known(values, where, held):
+            out = np.zeros(len(at)) if not len(values) else values[where].astype(float)
+            return pa.array(out, mask=~held)
+        return text, {"back": pa.array(two[at].view(np.int64)), "key": pa.array(three[at].view(np.int64), mask=~long),
+                      "hist": pa.array(two[at - 1].view(np.int64), mask=~long),
+                      "low": known(self.pair_weights, place, has), "lose": known(self.pair_fail, prior, of),
+                      "of": known(self.pair_counts, prior, of),
+                      "source": pa.array(tokens[at - 1].view(np.int64), mask=~rare_a),
+                      "target": pa.array(tokens[at].view(np.int64), mask=~rare_b), "root": pa.array(root, mask=has)}
+
 
 def train(texts: DataFrame) -> tuple[Automaton, DataFrame]:
     """Automaton from all rows of ``texts(text)``, and the whole table of word counts."""
     spark = texts.sparkSession
-    words = saved(texts.mapInArrow(lambda b: _counted(b, lambda c: tokens(c)[0]), "key long, c long")
-                  .groupBy("key").agg(F.sum("c").alias("c")), "words")
+    two = saved(_count(texts, _pairs_of, "key", "source", "target"), "pairs")
+    three = saved(_count(texts, _triples_of, "key", "hist"), "triples")
+    after = two.groupBy(F.col("source").alias("key")).agg(F.count(F.lit(1)).alias("kinds"))
+    words = saved(_count(texts, _words_of, "key").join(after, "key", "left")
+                  .select("key", "c", F.coalesce("kinds", F.lit(0)).alias("kinds")), "words")
     level = F.least("c", F.lit(1 << 16))
     steps = words.groupBy(level.alias("c")).agg(F.count(F.lit(1)).alias("n"), F.sum("c").alias("s")).orderBy("c").collect()
     kinds, total = sum(r.n for r in steps), sum(r.s for r in steps)
@@ -164,52 +242,125 @@ def train(texts: DataFrame) -> tuple[Automaton, DataFrame]:
     frequent = frequent.toArrow()
     model = Automaton(frequent["key"].to_numpy().view(np.uint64), frequent["c"].to_numpy(), total, kinds,
                       of.get(1, 0), of.get(2, 0))
+    model.lose(frequent["key"].to_numpy().view(np.uint64), frequent["kinds"].to_numpy())
+    words = words.withColumn("fail", _fail("kinds", "c")).withColumn("root", _at_root(model, F.col("c")))
+    weight = F.log10(F.greatest(F.col("c") - DISCOUNT, F.lit(0.0)) / F.col("n") + F.pow(F.lit(10.0), F.col("fail") + F.col("root")))
+    states = two.join(words.select(F.col("key").alias("source"), F.col("c").alias("n"), "fail"), "source")
+    states = states.join(words.select(F.col("key").alias("target"), "root"), "target")
+    states = states.join(three.groupBy(F.col("hist").alias("key")).agg(F.count(F.lit(1)).alias("kinds")), "key", "left")
+    states = saved(states.select("key", "source", "target", "c", F.coalesce("kinds", F.lit(0)).alias("kinds"),
+                                 weight.alias("weight")), "states")
     shared = spark.sparkContext.broadcast(model)
-    pairs = (texts.mapInArrow(lambda b: _counted(b, lambda c: shared.value.pairs(*tokens(c))), "key long, c long")
-             .groupBy("key").agg(F.sum("c").alias("c")).toArrow())  # STATES squared rows at most
-    model.link(pairs["key"].to_numpy(), pairs["c"].to_numpy())
+
+    def both(batches) -> Iterator[pa.RecordBatch]:
+        own = shared.value
+        for batch in batches:
+            pair = [own.state[own.find(batch.column(i).to_numpy().view(np.uint64))] > 0 for i in (1, 2)]
+            yield batch.filter(pa.array(pair[0] & pair[1]))
+    arcs = states.mapInArrow(both, states.schema).toArrow()  # STATES squared rows at most
+    source, target, keys = (arcs[c].to_numpy().view(np.uint64) for c in ("source", "target", "key"))
+    model.link(source, target, keys, arcs["weight"].to_numpy(), arcs["c"].to_numpy(), arcs["kinds"].to_numpy())
+    model.two, model.three = states.select("key", "c", "kinds", "weight"), three.select("key", "c")
     return model, words
 
 
+def _fail(kinds: str, counts: str) -> Column:
+    """log10 of the mass that a state leaves to the shorter one; all of it without arcs."""
+    return F.when(F.col(kinds) > 0, F.log10(DISCOUNT * F.col(kinds) / F.col(counts))).otherwise(0.0)
+
+
+def _at_root(model: Automaton, count: Column) -> Column:
+    unknown = float(model.root_log(np.zeros(1))[0])
+    return F.when(count > 0, F.log10((count - F.lit(model.discount)) / F.lit(float(max(1, model.total))))).otherwise(unknown)
+
+
+def _or_own(key: str) -> Column:
+    """``key``, or a value of the row's own where it is null, so that rows without key are spread."""
+    return F.coalesce(key, F.xxhash64("ref", "back"))
+
+
+def _steps(asked: DataFrame, model: Automaton, words: DataFrame) -> DataFrame:
+    """``(ref, more)``: sum over each text of the log weights of its tokens after the first."""
+    two = model.two
+    # The two-word state before: its failure weight and count, where it was seen.
+    need = (F.col("hist").isNotNull()) & F.col("of").isNull()
+    state = two.where("kinds > 0").select(F.col("key").alias("__hist"), F.col("c").cast("double").alias("__of"),
+                                          _fail("kinds", "c").alias("__lose"))
+    found = asked.where(need).join(state, F.col("hist") == F.col("__hist"), "left").select(
+        *[c for c in asked.columns if c not in ("of", "lose")], F.col("__of").alias("of"), F.col("__lose").alias("lose"))
+    rows = found.unionByName(asked.where(~need))
+    # The two-word sequence that ends here, where it was seen; else the failure arc of its first word.
+    arc = two.select(F.col("key").alias("__back"), F.col("weight").alias("__low"))
+    need = F.col("low").isNull()
+    found = rows.where(need).join(arc, F.col("back") == F.col("__back"), "left").select(
+        *[c for c in rows.columns if c != "low"], F.col("__low").alias("low"))
+    source = words.select(F.col("key").alias("__s"), F.col("fail").alias("__fail"))
+    target = words.select(F.col("key").alias("__t"), F.col("root").alias("__root"))
+    unknown = float(model.root_log(np.zeros(1))[0])
+    found = (found.join(source, (_or_own("source") == F.col("__s")) & F.col("source").isNotNull() & F.col("low").isNull(), "left")
+             .join(target, (_or_own("target") == F.col("__t")) & F.col("target").isNotNull() & F.col("low").isNull(), "left"))
+    lowest = (F.col("root") + F.when(F.col("source").isNull(), 0.0).otherwise(F.coalesce("__fail", F.lit(0.0)))
+              + F.when(F.col("target").isNull(), 0.0).otherwise(F.coalesce("__root", F.lit(unknown))))
+    found = found.withColumn("low", F.coalesce("low", lowest)).select(*rows.columns)
+    rows = found.unionByName(rows.where(~need)).select("ref", "key", "low", "lose", "of")
+    # The three-word sequence, where its state and it were seen.
+    need = F.col("of").isNotNull()
+    counts = model.three.select(F.col("key").alias("__key"), F.col("c").alias("__c"))
+    step = F.col("lose") + F.col("low")
+    mixed = F.when(F.col("__c").isNull(), step).otherwise(F.log10((F.col("__c") - DISCOUNT) / F.col("of") + F.pow(F.lit(10.0), step)))
+    full = rows.where(need).join(counts, F.col("key") == F.col("__key"), "left").select("ref", mixed.alias("step"))
+    return (full.unionByName(rows.where(~need).select("ref", F.col("low").alias("step")))
+            .groupBy("ref").agg(F.sum("step").alias("more_step")))
+
+
 def score(docs: DataFrame, model: Automaton, words: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(id_col, n_tokens, n_known, train_tokens, base_score, score)`` per row, log10."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
+    kind = docs.schema[id_col].dataType.simpleString()
+    asked_kinds = {c: "double" if c in ("low", "lose", "of", "root") else "long"
+                   for c in ("back", "key", "hist", "low", "lose", "of", "source", "target", "root")}
+    item = "array<struct<" + ", ".join(f"{c}: {k}" for c, k in asked_kinds.items()) + ">>"
 
     def run(batches) -> Iterator[pa.RecordBatch]:
-        part_id, row = TaskContext.get().partitionId(), 0
+        own, part_id, row = shared.value, TaskContext.get().partitionId(), 0
         for batch in batches:
             for part in slices(batch):
                 flat, offsets = tokens(part.column(1))
-                base, step, known, rare, ends = shared.value.read(flat, offsets)
-                n = part.num_rows
+                base, _, known, rare, ends = own.read(flat, offsets)
+                n, first = part.num_rows, own.find(flat[offsets[:-1]])
+                start = np.where(first < len(own.words), own.root_log(np.append(own.counts, 0)[first]), 0.0)
+                text, asked = own.lookups(flat, offsets)
+                begin = np.searchsorted(text, np.arange(n + 1))
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(np.full(n, part_id)), pa.array(np.arange(row, row + n)),
-                     pa.array(np.diff(offsets)), pa.array(known), pa.array(base), pa.array(step),
-                     pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(rare.view(np.int64)))],
-                    names=["id", "part", "row", "n_tokens", "known", "base", "step", "rare"])
+                    [part.column(0), pa.array((np.int64(part_id) << 40) + np.arange(row, row + n)),
+                     pa.array(np.diff(offsets)), pa.array(known), pa.array(base), pa.array(start),
+                     pa.array(flat[offsets[:-1]].view(np.int64), mask=first < len(own.words)),
+                     pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(rare.view(np.int64))),
+                     pa.ListArray.from_arrays(pa.array(begin.astype(np.int32)), pa.StructArray.from_arrays(
+                         list(asked.values()), names=list(asked)))],
+                    names=["id", "ref", "n_tokens", "known", "base", "start", "first", "rare", "asked"])
                 row += n
 
-    kind = docs.schema[id_col].dataType.simpleString()
     rows = saved(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(
-        run, f"id {kind}, part long, row long, n_tokens long, known long, base double, step double, rare array<long>"), "rows")
-    asked = rows.select("part", "row", F.explode("rare").alias("key")).groupBy("part", "row", "key").agg(
+        run, f"id {kind}, ref long, n_tokens long, known long, base double, start double, first long, "
+             f"rare array<long>, asked {item}"), "rows")
+    steps = _steps(rows.select("ref", F.inline("asked")), model, words)
+    rare = rows.select("ref", "first", F.explode("rare").alias("key")).groupBy("ref", "first", "key").agg(
         F.count(F.lit(1)).alias("times"))
-    total, unknown = max(1, model.total), float(model.root_log(np.zeros(1))[0])
     c = F.coalesce("c", F.lit(0))
-    at_root = F.when(c > 0, F.log10((c - F.lit(model.discount)) / F.lit(float(total)))).otherwise(unknown)
-    found = (asked.join(words, "key", "left").groupBy("part", "row")
+    found = (rare.join(words.select("key", "c"), "key", "left").groupBy("ref")
              .agg(F.sum(F.when(c > 0, F.col("times")).otherwise(0)).alias("more"),
                   F.sum(F.col("times") * F.log10(c + 1.0)).alias("more_base"),
-                  F.sum(F.col("times") * at_root).alias("more_step")))
+                  F.sum(F.when(F.col("first") == F.col("key"), _at_root(model, c)).otherwise(0.0)).alias("more_start")))
     shift = math.log10(model.total + model.kinds + 1)
 
-    def plus(a: str, b: str) -> Column:
-        return F.col(a) + F.coalesce(F.col(b), F.lit(0))
-    return (rows.drop("rare").join(found, ["part", "row"], "left")
+    def plus(a: str, *others: str) -> Column:
+        return sum((F.coalesce(b, F.lit(0)) for b in others), F.col(a))
+    return (rows.drop("rare", "asked").join(found, "ref", "left").join(steps, "ref", "left")
             .select(F.col("id").alias(id_col), "n_tokens", plus("known", "more").cast("long").alias("n_known"),
                     F.lit(model.total).cast("long").alias("train_tokens"),
                     (plus("base", "more_base") - F.col("n_tokens") * shift).alias("base_score"),
-                    plus("step", "more_step").alias("score")))
+                    plus("start", "more_start", "more_step").alias("score")))
 
 
-__all__ = ["Automaton", "train", "score", "tokens"]
+__all__ = ["Automaton", "train", "score", "tokens", "sequences"]

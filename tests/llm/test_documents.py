@@ -164,6 +164,32 @@ def test_backoff_scores(docs, nothing):
     assert backoff_lm.score(nothing, model, counts).collect() == []
 
 
+@pytest.mark.parametrize("table, states", [(1 << 19, 2048), (40, 12)])
+def test_backoff_counts_all_sequences_of_three_words(docs, monkeypatch, table, states):
+    monkeypatch.setattr(backoff_lm, "TABLE", table)
+    monkeypatch.setattr(backoff_lm, "STATES", states)
+    model, counts = backoff_lm.train(docs.where("doc_id % 7 <> 2").select("text"))
+    got = {r.doc_id: r.score for r in backoff_lm.score(docs, model, counts).collect()}
+    tokens = {i: [*words(t), None] for i, t, *_ in corpus()}
+    known = [t for i, t in tokens.items() if i % 7 != 2]
+    c = [Counter(tuple(t[k:k + n]) for t in known for k in range(len(t) - n + 1)) for n in (1, 2, 3)]
+    after = [Counter(s[:-1] for s in x) for x in c]
+    total, d = sum(c[0].values()), 0.75
+    once, twice = (sum(v == k for v in c[0].values()) for k in (1, 2))
+    d0 = (once + 1) / (once + 2 * twice + 2)
+
+    def p(s):
+        if len(s) == 1:
+            return (c[0][s] - d0 if c[0][s] else d0 * len(c[0])) / total
+        h, low = s[:-1], p(s[1:])
+        if not after[len(h)][h]:
+            return low
+        seen = c[len(h) - 1][h]
+        return max(c[len(h)][s] - d, 0) / seen + d * after[len(h)][h] / seen * low
+    for i, t in tokens.items():
+        assert got[i] == pytest.approx(sum(math.log10(p(tuple(t[max(0, k - 2):k + 1]))) for k in range(len(t))))
+
+
 def test_probabilities_of_a_state_sum_to_one(docs):
     model, counts = backoff_lm.train(docs.select("text"))
     every = np.array([r.key for r in counts.collect()], np.int64).view(np.uint64)
