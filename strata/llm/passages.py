@@ -2,14 +2,20 @@
 
 A unit is a line, cut after sentence ends so that a passage inside a line is
 made of whole units too. Units are normalised (A-Z lower-cased, white space as
-one gap) and hashed; digests are grouped over all documents. The earliest
-occurrence, ranked by document id and place, is kept; every other occurrence is
-a repeat. Repeated units that follow each other, with only units of fewer than
-``unit_words`` words between them, form a passage, and passages of at least
-``min_words`` words are removed. Removed spans are byte offsets into the
-original UTF-8 text.
-
-Null texts stay null and have no units. Rows of one id and equal text are one
+one gap) and hashed; one of fewer than ``unit_words`` words is hashed with as many
+units after it as make up ``unit_words``. As a passage may lie inside a unit or in
+lines broken elsewhere, the words are fingerprinted as well: of every ``min_words``
+words in a row the run of ``GRAM`` words of least hash, so that each repeated
+passage has a digest in common with its repeats.
+
+Digests seen more than once point at the places where texts may repeat. There every
+run of ``min_words`` words is hashed and grouped over all documents, so a passage
+reaches to its first and last word, not to whole units. The earliest occurrence of a
+run, ranked by document id and place, is kept; the words of every other occurrence
+are a repeat and are removed, but never those of the earliest if they overlap.
+Removed spans are byte offsets into the original UTF-8 text.
+
+Null texts stay null and have no words. Rows of one id and equal text are one
 occurrence and are treated alike; null ids rank first. Other columns pass through.
 """
 
@@ -28,50 +34,115 @@ from strata.llm.words import _LOWER, bounds_and_bytes, mix, run_hashes, slices,
 
 UNIT_WORDS = 4
 MIN_WORDS = 30
+GRAM = 8             # words of a fingerprint
 _STOP = np.zeros(256, bool)
 _STOP[[ord(c) for c in ".!?"]] = True
 
 
-def units(column: pa.Array) -> tuple[np.ndarray, ...]:
-    """Text number, place in the text, words, digest, first and last byte of every unit."""
-    bounds, data = bounds_and_bytes(column)
-    if not len(data):
-        return (np.zeros(0, np.int64),) * 3 + (np.zeros(0, np.uint64),) + (np.zeros(0, np.int64),) * 2
-    low = _LOWER[data]
-    starts, ends, offsets = word_spans(bounds, data)
-    h = span_hashes(low, starts, ends)
-    lines = np.concatenate([[0], np.cumsum(data == 10)])
-    last = _STOP[data[ends - 1]] if len(ends) else np.zeros(0, bool)
-    last[:-1] |= lines[starts[1:]] > lines[ends[:-1]]
-    last[offsets[1:][offsets[1:] > offsets[:-1]] - 1] = True
-    tail = np.flatnonzero(last)
-    head = np.concatenate([[0], tail[:-1] + 1])[:len(tail)]
-    text = np.searchsorted(offsets, head, "right") - 1
-    of_text = np.searchsorted(text, np.arange(len(bounds) - 1))
-    size = tail - head + 1
-    digest = mix(run_hashes(h, head, tail + 1) + size.astype(np.uint64))
-    base = bounds[text]
-    return (text, np.arange(len(text)) - of_text[text], size, digest, starts[head] - base, ends[tail] - base)
-
-
-def _unit_rows(texts: DataFrame, unit_words: int) -> DataFrame:
+class Layout:
+    """Words of some texts: their hashes, offsets per text and bytes."""
+
+    def __init__(self, column: pa.Array):
+        self.bounds, self.data = bounds_and_bytes(column)
+        self.starts, self.ends, self.offsets = word_spans(self.bounds, self.data)
+        self.hashes = span_hashes(_LOWER[self.data], self.starts, self.ends) if len(self.starts) else np.zeros(0, np.uint64)
+        self.text = np.repeat(np.arange(len(self.bounds) - 1), np.diff(self.offsets))
+
+    def digests(self, head: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """Digest of each run of words."""
+        return mix(run_hashes(self.hashes, head, end) + (end - head).astype(np.uint64))
+
+    def units(self, unit_words: int) -> tuple[np.ndarray, np.ndarray]:
+        """First word and end of every unit, short ones with units after them."""
+        lines = np.concatenate([[0], np.cumsum(self.data == 10)])
+        last = _STOP[self.data[self.ends - 1]]
+        last[:-1] |= lines[self.starts[1:]] > lines[self.ends[:-1]]
+        last[self.offsets[1:][self.offsets[1:] > self.offsets[:-1]] - 1] = True
+        end = np.flatnonzero(last) + 1
+        head = np.concatenate([[0], end[:-1]])
+        to = np.searchsorted(end, head + unit_words)
+        whole = to < len(end)
+        head, end = head[whole], end[to[whole]]
+        whole = self.text[head] == self.text[end - 1]
+        return head[whole], end[whole]
+
+    def runs(self, words: int) -> np.ndarray:
+        """First word of every run of ``words`` words within one text."""
+        head = np.arange(max(0, len(self.hashes) - words + 1))
+        return head[self.text[head] == self.text[head + words - 1]]
+
+    def fingerprints(self, gram: int, min_words: int) -> tuple[np.ndarray, np.ndarray]:
+        """First word and end of each run of ``gram`` words that has the least hash of some ``min_words`` words."""
+        runs, n = self.runs(min_words), len(self.hashes) - gram + 1
+        if not len(runs):
+            return (np.zeros(0, np.int64),) * 2
+        head, width = np.arange(n), min_words - gram + 1
+        own = mix(run_hashes(self.hashes, head, head + gram)) | np.uint64(1)
+        least = np.zeros(n + width - 1, np.uint64)       # by run, after ``width - 1`` places; 0 where there is none
+        least[runs + width - 1] = _slid(own, width, np.minimum)[runs]
+        head = np.flatnonzero(_slid(least, width, np.maximum)[:n] == own)
+        return head, head + gram
+
+    def anchors(self, unit_words: int, min_words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """First word, end and digest of all units and fingerprints."""
+        if not len(self.hashes):
+            return (np.zeros(0, np.int64),) * 2 + (np.zeros(0, np.uint64),)
+        both = [self.units(unit_words), self.fingerprints(min(GRAM, min_words), min_words)]
+        head, end = (np.concatenate(x) for x in zip(*both, strict=True))
+        return head, end, self.digests(head, end)
+
+
+def _slid(values: np.ndarray, width: int, pick) -> np.ndarray:
+    """``pick`` over each ``width`` values in a row."""
+    done = 1
+    while done < width:
+        step = min(done, width - done)
+        values = pick(values[:-step], values[step:])
+        done += step
+    return values
+
+
+def _again(rows: DataFrame, name: str) -> np.ndarray:
+    """Bitmap of the digests that ``rows`` has more than once."""
+    found = saved(rows.groupBy("digest").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("digest"), name)
+    return bitmap(found.select(F.col("digest").alias("cell")))
+
+
+def _run_rows(texts: DataFrame, unit_words: int, min_words: int) -> DataFrame:
+    """``(id, mark, place, digest)``: runs of ``min_words`` words that hold, or lie in, an anchor seen again."""
+    def anchors(batches) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, text=2):
+                digest = Layout(part.column(2)).anchors(unit_words, min_words)[2]
+                yield pa.RecordBatch.from_arrays([pa.array(digest.view(np.int64))], names=["digest"])
+    shared = texts.sparkSession.sparkContext.broadcast(_again(texts.mapInArrow(anchors, "digest long"), "anchors"))
+
     def run(batches) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, text=2):
-                text, place, size, digest, _, _ = units(part.column(2))
-                keep = size >= unit_words
-                row = pa.array(text[keep])
+                own = Layout(part.column(2))
+                head, end, digest = own.anchors(unit_words, min_words)
+                seen = hit(shared.value, digest)
+                head, end = head[seen], end[seen]
+                change = np.zeros(len(own.hashes) + 1, np.int64)
+                np.add.at(change, np.maximum(own.offsets[own.text[head]], np.minimum(head, end - min_words)), 1)
+                np.add.at(change, np.maximum(head, end - min_words) + 1, -1)
+                runs = own.runs(min_words)
+                runs = runs[np.cumsum(change)[runs] > 0]
+                text = own.text[runs]
+                row = pa.array(text)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0).take(row), part.column(1).take(row), pa.array(place[keep].astype(np.int32)),
-                     pa.array(digest[keep].view(np.int64))], names=["id", "mark", "place", "digest"])
+                    [part.column(0).take(row), part.column(1).take(row),
+                     pa.array((runs - own.offsets[text]).astype(np.int32)),
+                     pa.array(own.digests(runs, runs + min_words).view(np.int64))], names=["id", "mark", "place", "digest"])
 
     kind = texts.schema["id"].dataType.simpleString()
     return texts.mapInArrow(run, f"id {kind}, mark long, place int, digest long")
 
 
-def repeats(texts: DataFrame, unit_words: int = UNIT_WORDS) -> DataFrame:
-    """``(id, mark, places)``: units of each text that occur earlier elsewhere."""
-    rows = saved(_unit_rows(texts, unit_words), "units")
+def repeats(texts: DataFrame, unit_words: int = UNIT_WORDS, min_words: int = MIN_WORDS) -> DataFrame:
+    """``(id, mark, places)``: first word and end of runs of words of each text that occur earlier elsewhere."""
+    rows = saved(_run_rows(texts, unit_words, min_words), "runs")
     rank = F.struct("id", "mark", "place")
     first = (rows.groupBy("digest").agg(F.min(rank).alias("first"), F.max(rank).alias("final"))
              .where("first <> final").select("digest", "first"))
@@ -82,27 +153,23 @@ def repeats(texts: DataFrame, unit_words: int = UNIT_WORDS) -> DataFrame:
         for batch in batches:
             yield batch.filter(pa.array(hit(shared.value, batch.column(3).to_numpy())))
 
+    # Where a text repeats itself at once, the words of the earliest run stay.
+    same = F.col("id").eqNullSafe(F.col("first.id")) & (F.col("mark") == F.col("first.mark"))
+    begin = F.when(same, F.greatest("place", F.col("first.place") + min_words)).otherwise(F.col("place"))
     return (rows.mapInArrow(pick, rows.schema).join(first, "digest").where(rank != F.col("first"))
-            .groupBy("id", "mark").agg(F.sort_array(F.collect_set("place")).alias("places")))
-
+            .groupBy("id", "mark").agg(F.sort_array(F.collect_set(
+                F.struct(begin.alias("begin"), (F.col("place") + min_words).alias("end")))).alias("places")))
 
-def _spans(size: np.ndarray, begin: np.ndarray, end: np.ndarray, places: list[int],
-           unit_words: int, min_words: int) -> list[tuple[int, int]]:
-    """Byte spans of the passages made of the units at ``places``."""
-    out, first, previous = [], None, None
-    gap = np.concatenate([[0], np.cumsum(size >= unit_words)])
-    words = np.concatenate([[0], np.cumsum(size)])
 
-    def close():
-        if first is not None and words[previous + 1] - words[first] >= min_words:
-            out.append((int(begin[first]), int(end[previous])))
-    for p in places:
-        if first is None or gap[p] > gap[previous + 1]:
-            close()
-            first = p
-        previous = p
-    close()
-    return out
+def _spans(starts: np.ndarray, ends: np.ndarray, base: int, places: pa.StructScalar) -> list[tuple[int, int]]:
+    """Byte spans of the words in the ranges ``places``; ranges that meet are one."""
+    begin, end = (places.values.field(k).to_numpy() for k in (0, 1))
+    change = np.zeros(len(starts) + 1, np.int64)
+    np.add.at(change, begin, 1)
+    np.add.at(change, end, -1)
+    edge = np.diff(np.concatenate([[0], (np.cumsum(change) > 0).astype(np.int8)]))
+    return [(int(starts[a] - base), int(ends[b - 1] - base))
+            for a, b in zip(np.flatnonzero(edge > 0), np.flatnonzero(edge < 0), strict=True)]
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -111,7 +178,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     A cut leaves a newline where words stood on both sides of it."""
     mark = F.xxhash64(text_col)
-    found = repeats(docs.select(F.col(id_col).alias("id"), mark.alias("mark"), F.col(text_col).alias("text")), unit_words)
+    found = repeats(docs.select(F.col(id_col).alias("id"), mark.alias("mark"), F.col(text_col).alias("text")), unit_words, min_words)
     found = found.select(F.col("id").alias("__id"), F.col("mark").alias("__mark"), F.col("places").alias("__places"))
     rest = [c for c in docs.columns if c != text_col]
     joined = docs.join(found, F.col(id_col).eqNullSafe(F.col("__id")) & (mark == F.col("__mark")), "left")
@@ -125,11 +192,10 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                 touched = np.flatnonzero(~places.is_null().to_numpy(zero_copy_only=False))
                 texts = column.to_pylist() if len(touched) else None
                 if len(touched):
-                    text, _, size, _, begin, end = units(column)
-                    at = np.searchsorted(text, np.arange(part.num_rows + 1))
+                    own = Layout(column)
                     for i in touched.tolist():
-                        a, b = at[i], at[i + 1]
-                        spans[i] = _spans(size[a:b], begin[a:b], end[a:b], places[i].as_py(), unit_words, min_words)
+                        words = slice(own.offsets[i], own.offsets[i + 1])
+                        spans[i] = _spans(own.starts[words], own.ends[words], own.bounds[i], places[i])
                         if spans[i]:
                             raw, kept, cut = texts[i].encode(), [], 0
                             for x, y in [*spans[i], (None, None)]:
@@ -150,4 +216,4 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     return cut.select(*[named[c].alias(c) for c in docs.columns], F.col("removed").alias("removed_spans"))
 
 
-__all__ = ["units", "repeats", "remove_repeats"]
+__all__ = ["Layout", "repeats", "remove_repeats"]

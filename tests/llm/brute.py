@@ -39,3 +39,20 @@ def groups(rows: list[tuple[int, str | None]]) -> dict[int, tuple[int, int]]:
                 a, b = find(i), find(j)
                 root[max(a, b)] = min(a, b)
     return {i: (len(s), find(i)) for i, s in sets.items()}
+
+
+def repeated_words(rows: list[tuple[int, str | None]], n: int) -> dict[int, list[bool]]:
+    """doc_id -> per word, whether a run of ``n`` words around it occurs earlier; ids are distinct and in order.
+
+    Where a text repeats itself at once, the words of the earliest run do not count."""
+    first: dict[tuple, tuple[int, int]] = {}
+    out = {}
+    for i, text in rows:
+        w = words(text)
+        out[i] = [False] * len(w)
+        for k in range(len(w) - n + 1):
+            j, at = first.setdefault(tuple(w[k:k + n]), (i, k))
+            if (j, at) != (i, k):
+                begin = max(k, at + n) if j == i else k
+                out[i][begin:k + n] = [True] * (k + n - begin)
+    return out

@@ -7,7 +7,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
-from brute import groups, words
+from brute import groups, repeated_words, words
 
 from strata.llm import backoff_lm, toxicity
 from strata.llm.jaccard_join import near_duplicate_groups
@@ -149,6 +149,29 @@ def test_repeated_passages_go_and_the_first_stays(docs, nothing):
     assert remove_repeats(nothing).collect() == []
 
 
+def test_repeated_passages_match_brute_force(spark):
+    rng = random.Random(8)
+    vocabulary = ["".join(rng.choice("abcdefgh") for _ in range(rng.randint(1, 7))) for _ in range(400)]
+
+    def prose(n, stops=("",)):
+        return " ".join(rng.choice(vocabulary) + rng.choice(stops) for _ in range(n))
+    often, some = (".", "!!", "\n"), ("", "", "", "", "", "", "", ".")
+    verse, inside, edges = prose(150, often), prose(55), prose(51, some)
+    texts = [verse, prose(20) + " " + inside + " " + prose(20), prose(30, some) + " " + edges + " " + prose(30, some),
+             verse, prose(40) + " " + inside + " " + prose(9), prose(33, some) + " " + edges + " " + prose(41, some),
+             inside.replace(" ", "\n").upper(), verse + " " + verse, "a " * 200, "x. y! " * 50, prose(300, often),
+             prose(4) + " " + " ".join(inside.split()[:29]), prose(4) + " " + " ".join(inside.split()[:30]), None, ""]
+    rows = list(enumerate(texts))
+    want = repeated_words(rows, 30)
+    for r in remove_repeats(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect():
+        raw, at, got = (texts[r.doc_id] or "").encode(), 0, []
+        for begin, end in [*((s.begin, s.end) for s in r.removed_spans), (len((texts[r.doc_id] or "").encode()),) * 2]:
+            got += [False] * len(raw[at:begin].split()) + [True] * len(raw[begin:end].split())
+            at = end
+        assert got == want[r.doc_id]
+    assert all(want[i][:150] == [True] * 150 for i in (3, 7)) and sum(want[4]) == 55 and sum(want[5]) == 51
+
+
 def test_backoff_scores(docs, nothing):
     model, counts = backoff_lm.train(docs.where("doc_id % 7 <> 2").select("text"))
     got = {r.doc_id: r for r in backoff_lm.score(docs, model, counts).collect()}
