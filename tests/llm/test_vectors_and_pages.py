@@ -122,3 +122,19 @@ def test_pipeline_keeps_clean_documents(spark, sf_small):
         docs = kept
     packed = corpus_pipeline.packed(spark, docs, sf_small)
     assert packed.select("doc_id").distinct().count() == docs.count() > 150
+
+
+def test_pipeline_leaves_no_passage_of_51_words_twice(spark):
+    import random
+    import corpus_pipeline
+    rng = random.Random(3)
+
+    def prose(n, stops):
+        return " ".join("".join(rng.choice("abcdefgh") for _ in range(rng.randint(2, 6))) + rng.choice(stops) for _ in range(n))
+    shared = [prose(60, ["", "", "", "", "."]), prose(60, ["!!"]), prose(60, [""])]
+    rows = [(i, " ".join([prose(40, ["", "", "."]), shared[i % 3], prose(40, ["", "", "."])]), "en", "web", 0) for i in range(12)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    kept = {r.doc_id: r.text.split() for r in corpus_pipeline.distinct_passages(spark, docs, "").collect()}
+    seen = [tuple(w[k:k + 51]) for w in kept.values() for k in range(len(w) - 50)]
+    assert len(kept) == 12 and len(seen) == len(set(seen))
+    assert [len(kept[i]) for i in range(12)] == [140] * 3 + [80] * 9
