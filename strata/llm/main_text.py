@@ -29,6 +29,7 @@ LEAST, MOST = 0.05, 3.0   # cost of a tag always in the article, and of one neve
 _SKIPPED = "script style noscript template svg math iframe object canvas select button textarea audio video"
 _OUTSIDE = frozenset("head nav footer header aside form menu dialog".split())
 _HEAD = frozenset("head title meta link base".split())
+_PAGE = frozenset("html body main article".split())   # never judged by names
 _BLOCKS = frozenset("""address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption
 figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre section summary table tbody
 td tfoot th thead title tr ul""".split())
@@ -39,6 +40,7 @@ consent cookie cookies copyright disqus footer gdpr header menu modal nav navbar
 notification pager pagination popup promo promoted promotion recommended related replies reply respond search share
 sharing sidebar signup site-footer site-header social sponsor sponsored subscribe subscription tags toolbar widget
 widgets""".split())
+_NOT = frozenset("no not with without has have".split())   # first parts of names that tell of another element
 
 _TOKENS = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<(" + "|".join(_SKIPPED.split()) + r")\b[^>]*>.*?(?:</\1\s*>|\Z)"
@@ -47,14 +49,53 @@ _NAMES = re.compile(r"\b(?:class|id|role|aria-label)\s*=\s*(?:\"([^\"]*)\"|'([^'
 _HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|$)|display\s*:\s*none", re.I)
 
 
-def _outside(tag: str, attributes: str) -> bool:
-    if tag in _OUTSIDE or (attributes and _HIDDEN.search(attributes)):
-        return True
-    for found in _NAMES.findall(attributes) if "=" in attributes else ():
+def _looks(tag: str, attributes: str) -> int:
+    """2 for a part that is never the article, 1 for an element that its name (or being
+    a form) makes one unless it holds the article, else 0.
+
+    Of a compound name the last part says what the element is."""
+    if tag in _OUTSIDE and tag != "form" or attributes and tag not in ("html", "body") and _HIDDEN.search(attributes):
+        return 2
+    if tag == "form":
+        return 1
+    for found in _NAMES.findall(attributes) if "=" in attributes and tag not in _PAGE else ():
         for name in " ".join(found).lower().replace("_", "-").split():
-            if name in _ASIDE_WORDS or not _ASIDE_WORDS.isdisjoint(name.split("-")):
-                return True
-    return False
+            parts = name.split("-")
+            if name in _ASIDE_WORDS or parts[-1] in _ASIDE_WORDS and parts[0] not in _NOT:
+                return 1
+    return 0
+
+
+def _outside(tags: list[str], parents: list[int], looks: list[int], items: list[tuple[str, str, int, bool]]) -> list[bool]:
+    """Whether each element is, or is within, a part that is never the article.
+
+    A name does not decide for an element around the longest article or main, nor for one
+    with half the words or more of the longest article (without article: main, page)."""
+    out = [False] * len(tags)
+    for e in range(1, len(tags)):
+        out[e] = out[parents[e]] or looks[e] == 2
+    if 1 not in looks:
+        return out
+    words = [0] * len(tags)
+    for kind, value, e, _ in items:
+        if kind == "#text":
+            words[e] += len(value.split())
+    for e in range(len(tags) - 1, 0, -1):
+        words[parents[e]] += words[e]
+    base, around = 0, set()
+    for tag in ("main", "article"):
+        found = [e for e, t in enumerate(tags) if t == tag and not out[e]]
+        if found:
+            base = e = max(found, key=lambda e: words[e])
+            while e > 0:
+                e = parents[e]
+                around.add(e)
+    inside = [False] * len(tags)
+    for e in range(len(tags)):
+        inside[e] = e == base or e > 0 and inside[parents[e]]
+        major = inside[e] and 2 * words[e] >= words[base]
+        out[e] = e > 0 and out[parents[e]] or looks[e] == 2 or looks[e] == 1 and not (major or e in around)
+    return out
 
 
 def tokens(page: str) -> Iterator[tuple[str, str, bool, bool]]:
@@ -62,12 +103,14 @@ def tokens(page: str) -> Iterator[tuple[str, str, bool, bool]]:
 
     ``outside``: within a part that is never the article; ``marked``: within an
     element that names the article."""
-    stack: list[tuple[str, bool, bool]] = []
+    stack: list[tuple[str, int, bool]] = []
+    tags, parents, looks = [""], [0], [0]        # by element; 0 is the page
+    items: list[tuple[str, str, int, bool]] = []
     for found in _TOKENS.finditer(page):
         _, closing, tag, attributes, text = found.groups()
-        outside, marked = stack[-1][1:] if stack else (False, False)
+        element, marked = stack[-1][1:] if stack else (0, False)
         if text:
-            yield "#text", text, outside, marked
+            items.append(("#text", text, element, marked))
         elif tag:
             tag = tag.lower()
             if closing:
@@ -75,11 +118,11 @@ def tokens(page: str) -> Iterator[tuple[str, str, bool, bool]]:
                 if at is not None:
                     del stack[at:]
                     marked = bool(stack) and stack[-1][2]
-                yield "/" + tag, "", outside, marked
+                items.append(("/" + tag, "", element, marked))
             else:
                 if stack and tag not in _HEAD and any(s[0] == "head" for s in stack):
                     del stack[next(i for i, s in enumerate(stack) if s[0] == "head"):]
-                    outside, marked = stack[-1][1:] if stack else (False, False)
+                    element, marked = stack[-1][1:] if stack else (0, False)
                 if tag in _BLOCKS:  # a block ends an open paragraph; a list item or cell ends its like
                     while stack and (stack[-1][0] not in _BLOCKS or stack[-1][0] == "p"):
                         if not any(s[0] == "p" for s in stack):
@@ -87,12 +130,20 @@ def tokens(page: str) -> Iterator[tuple[str, str, bool, bool]]:
                         stack.pop()
                     if stack and stack[-1][0] == tag and tag in ("li", "td", "th", "tr", "dt", "dd"):
                         stack.pop()
-                    outside, marked = stack[-1][1:] if stack else (False, False)
+                    element, marked = stack[-1][1:] if stack else (0, False)
                 # A header inside the article holds its own title.
-                own = _outside(tag, attributes) and not (tag == "header" and marked)
+                look = 0 if tag == "header" and marked else _looks(tag, attributes)
+                if look or tag in ("article", "main"):
+                    parents.append(element)
+                    tags.append(tag)
+                    looks.append(look)
+                    element = len(tags) - 1
                 if tag not in _VOID and not attributes.endswith("/"):
-                    stack.append((tag, outside or own, marked or tag in ("article", "main")))
-                yield tag, "", outside or own, marked
+                    stack.append((tag, element, marked or tag in ("article", "main")))
+                items.append((tag, "", element, marked))
+    outside = _outside(tags, parents, looks, items)
+    for kind, value, element, marked in items:
+        yield kind, value, outside[element], marked
 
 
 def learn(pages: list[str]) -> dict[str, float]:

@@ -103,6 +103,23 @@ def test_main_text():
     assert extract("<p>" + "word " * 200_000, weights) == " ".join(["word"] * 200_000)
 
 
+def test_names_do_not_drop_the_article():
+    weights = learn([PAGE] * 3)
+    want = extract(PAGE, weights)
+    for old, new in [("<body>", '<body class="no-sidebar">'), ("<body>", '<body class="comments-open">'),
+                     ("<body>", '<body id="search"><form action="/">'), ("<article>", '<article class="post has-comments">'),
+                     ("<article>", '<div class="content with-sidebar"><article>'), ("<article>", '<main class="share"><article>'),
+                     ("<article>", '<article><div class="sidebar">'), ("<p>First", '<p class="no-ads">First')]:
+        assert old in PAGE and extract(PAGE.replace(old, new), weights) == want
+    words = "Some words of the only text here. " * 5
+    for page in ('<body class="with-sidebar">%s</body>', '<div class="content no-sidebar">%s</div>', "<form>%s</form>",
+                 '<main><div class="widget">%s</div></main>'):
+        got = extract(page % f"<p>{words}</p><div class='ad'>Buy now</div>", weights)
+        assert got == words.strip()
+    many = PAGE.replace("I liked this", "I liked this " * 50)  # long comments still are none of the article
+    assert extract(many, weights) == want
+
+
 def test_pages_keep_their_columns(spark):
     pages = spark.createDataFrame([(1, "u", PAGE, "x"), (2, None, None, "y")], "page_id long, url string, html string, text string")
     got = {r.page_id: r for r in main_text(pages, learn([PAGE])).collect()}
