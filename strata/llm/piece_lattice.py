@@ -5,8 +5,10 @@ the score of a path is the sum of its pieces' scores, and a character without pi
 costs ``UNKNOWN`` and is written as its byte pieces. No piece crosses the start of a
 space mark, so the lattice falls apart into words: best and second-best forward
 scores of many new words are computed together in numpy and remembered per worker,
-and the A* search, guided by the exact forward scores, lists the segmentations of the
-few words whose alternatives can be among a text's N best.
+with the best segmentation by back pointers; the A* search, guided by the exact forward
+scores, lists the segmentations of words of more than ``WIDE`` characters and of the few
+words whose alternatives can be among a text's N best. The second to the last of these
+are a text's best ids with the listed alternatives of those words in their places.
 
 Null and empty texts have no pieces and score 0. Decoding joins pieces and bytes,
 turns marks into spaces and drops the leading one.
@@ -194,19 +196,34 @@ class Lattice(Encoder):
             self.lists[word] = self.nbest(word, n)
         return self.lists[word]
 
-    def combined(self, units: list[str], n: int) -> list[float]:
-        """How much worse than the best a text's ``n`` best segmentations are.
+    def combined(self, units: list[str], n: int) -> list[tuple[float, tuple[int, ...]]]:
+        """How much worse than the best a text's ``n`` best segmentations are, and which
+        of its segmentations each unit has in them.
 
         A segmentation that differs in another unit than the ``n - 1`` with the
         closest alternatives is no better than each of these alone."""
-        lists = [[s - own[0][0] for s, _ in own] for own in (self.listed(u, n) for u in units)]
-        found = [0.0]
-        for own in lists:
-            found = heapq.nlargest(n, (a + b for a in found for b in own))
+        found: list[tuple[float, tuple[int, ...]]] = [(0.0, ())]
+        for own in (self.listed(u, n) for u in units):
+            found = heapq.nlargest(n, ((a + s - own[0][0], (*p, k)) for a, p in found for k, (s, _) in enumerate(own)),
+                                   key=lambda x: x[0])
         return found
 
+    def variants(self, ids: np.ndarray, units: list[str], places: list[int], picks: list[tuple[int, ...]], n: int) -> list[np.ndarray]:
+        """A text's best ids with other segmentations of ``units``, which begin at ``places``."""
+        order = sorted(range(len(units)), key=lambda j: places[j])
+        out = []
+        for pick in picks:
+            parts, at = [], 0
+            for j in order:
+                if pick[j]:
+                    own = self.listed(units[j], n)
+                    parts += [ids[at:places[j]], np.array(own[pick[j]][1], "<u4")]
+                    at = places[j] + len(own[0][1])
+            out.append(np.concatenate([*parts, ids[at:]]))
+        return out
+
     def encode(self, column: pa.Array, n: int):
-        """Offsets and ids of each text's best segmentation, its score, and the ``n`` best scores."""
+        """Offsets and ids of each text's best segmentation, its score, and scores and ids of the ``n`` best."""
         texts = column
         if not self.identity:
             texts = pa.array([self.model.normalize(t or "")[1:].replace(MARK, " ") for t in column.to_pylist()], pa.string())
@@ -216,21 +233,35 @@ class Lattice(Encoder):
         known = self.cost[flat]
         filled = bounds[:-1] < bounds[1:]
         score[filled] = np.add.reduceat(known, bounds[:-1][filled]) if filled.any() else 0
-        listed = [[0.0]] * rows
+        listed: list = [([], [])] * rows
         if self.seen is None:
-            return bounds, flat, score, [[] for _ in range(rows)]
+            return bounds, flat, score, listed
         data, text, starts, ends, spaced, extra, odd = self.seen
         order = np.lexsort((extra, text))
         begin = np.searchsorted(text[order], np.arange(rows + 1))
         raw = data.tobytes()
-        for i in range(rows):
+
+        def unit(j: int) -> str:
+            return (MARK if spaced[j] else "") + raw[starts[j]:ends[j]].decode()
+
+        def best_of(i: int, units: list[str], places: list[int]):
+            ids = flat[bounds[i]:bounds[i + 1]]
+            found = self.combined(units, n)
+            return ([float(score[i] + d) for d, _ in found],
+                    [ids, *self.variants(ids, units, places, [p for _, p in found[1:]], n)])
+        for i in np.flatnonzero(filled & ~odd).tolist():
             own = order[begin[i]:begin[i + 1]][:n - 1]
             own = own[np.isfinite(extra[own])]
-            listed[i] = self.combined([(MARK if spaced[j] else "") + raw[starts[j]:ends[j]].decode() for j in own], n)
+            listed[i] = best_of(i, [unit(j) for j in own], (self.at[own] - bounds[i]).tolist())
         for i in np.flatnonzero(odd).tolist():
             units = _UNITS.findall(self.model.normalize(texts[i].as_py()))
-            listed[i] = self.combined(sorted(units, key=lambda u: self._margin(u))[:n - 1], n)
-        return bounds, flat, score, [[float(score[i] + d) for d in listed[i]] if filled[i] else [] for i in range(rows)]
+            places = np.cumsum([0, *(len(self._first(u)) for u in units)]).tolist()
+            own = sorted(range(len(units)), key=lambda k: self._margin(units[k]))[:n - 1]
+            listed[i] = best_of(i, [units[k] for k in own], [places[k] for k in own])
+        return bounds, flat, score, listed
+
+    def _first(self, unit: str) -> tuple[int, ...]:
+        return (self.lists[unit] if unit in self.lists else self.nbest(unit, 1))[0][1]
 
     def _margin(self, unit: str) -> float:
         two = self.listed(unit, 2)[:2] if unit in self.lists else self.nbest(unit, 2)
@@ -249,8 +280,9 @@ def lattice(model: str) -> Lattice:
 
 def encode_pieces(docs: DataFrame, n: int = 4, id_col: str = "doc_id", text_col: str = "text",
                   model: str | None = None) -> DataFrame:
-    """``(id_col, ids, score, nbest_scores, decoded)`` per row: the best segmentation
-    (little-endian 32-bit ids), the scores of the ``n`` best, and the ids decoded again."""
+    """``(id_col, ids, score, nbest_scores, nbest_ids, decoded)`` per row: the best
+    segmentation (little-endian 32-bit ids), scores and ids of the ``n`` best, the best
+    first, and the best ids decoded again."""
     path = model or default_model()
 
     def run(batches) -> Iterator[pa.RecordBatch]:
@@ -261,12 +293,14 @@ def encode_pieces(docs: DataFrame, n: int = 4, id_col: str = "doc_id", text_col:
                 ids = [flat[a:b] for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)]
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), pa.array([x.tobytes() for x in ids], pa.binary()), pa.array(score),
-                     pa.array(listed, pa.list_(pa.float64())), pa.array([own.decode(x) for x in ids], pa.string())],
-                    names=["id", "ids", "score", "nbest_scores", "decoded"])
+                     pa.array([s for s, _ in listed], pa.list_(pa.float64())),
+                     pa.array([[x.tobytes() for x in p] for _, p in listed], pa.list_(pa.binary())),
+                     pa.array([own.decode(x) for x in ids], pa.string())],
+                    names=["id", "ids", "score", "nbest_scores", "nbest_ids", "decoded"])
 
     kind = docs.schema[id_col].dataType.simpleString()
     return (docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-            .mapInArrow(run, f"id {kind}, ids binary, score double, nbest_scores array<double>, decoded string")
+            .mapInArrow(run, f"id {kind}, ids binary, score double, nbest_scores array<double>, nbest_ids array<binary>, decoded string")
             .withColumnRenamed("id", id_col))
 
 

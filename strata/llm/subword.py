@@ -176,13 +176,16 @@ class Encoder:
         place += lined * len(self.line_end)
         for got, size, step, ids in rounds:
             flat[np.repeat(place[got], size) + step] = ids
+        self.at = place  # of the ids of each word that was found here
         count = np.bincount(text, weights=total, minlength=n).astype(np.int64)
         if odd.any():
             strings = column.cast(pa.large_string())
             extra = {i: np.array(self.whole(strings[i].as_py()), "<u4") for i in np.flatnonzero(odd).tolist()}
             ends_at = np.cumsum(count)
             parts = [extra[i] if i in extra else flat[ends_at[i] - count[i]:ends_at[i]] for i in range(n)]
+            before = ends_at - count
             count = np.array([len(p) for p in parts], np.int64)
+            self.at = place + (np.cumsum(count) - count - before)[text]
             flat = np.concatenate(parts)
         return np.concatenate([[0], np.cumsum(count)]), flat
 

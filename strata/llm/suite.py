@@ -94,6 +94,7 @@ def op10_nbest_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = encode_pieces(docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")))
     return found.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_pieces"), "score",
                         F.crc32("ids").alias("ids_crc32"), F.col("nbest_scores").cast("string").alias("nbest_scores"),
+                        F.transform("nbest_ids", F.crc32).cast("string").alias("nbest_crc32"),
                         F.crc32(F.col("decoded").cast("binary")).alias("decoded_crc32"))
 
 

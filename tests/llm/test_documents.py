@@ -276,6 +276,21 @@ def test_piece_lattice_lists_the_best_segmentations(docs, nothing):
     assert encode_pieces(nothing).collect() == []
 
 
+def test_all_best_segmentations_come_as_ids(docs):
+    own = Lattice(default_model())
+    texts = {r[0]: r[1] for r in corpus()}
+    several = 0
+    for r in encode_pieces(docs).collect():
+        assert len(r.nbest_ids) == len(r.nbest_scores) == len({bytes(x) for x in r.nbest_ids})
+        assert not texts[r.doc_id] or r.nbest_ids[0] == r.ids
+        for ids, score in zip(r.nbest_ids, r.nbest_scores, strict=True):
+            ids = np.frombuffer(ids, "<u4")
+            assert own.decode(ids) == texts[r.doc_id]
+            assert own.cost[ids].sum() == pytest.approx(score)
+        several += len(r.nbest_ids) == 4
+    assert several > 40
+
+
 def test_crc_of_ids(spark):
     from pyspark.sql import functions as F
     ids = np.array([1, 70000, 2], "<u4").tobytes()
