@@ -7,8 +7,9 @@ each window's states into one logit, and a text's logit is its highest window.
 The network is trained here in numpy from labelled texts: gradients flow through
 each text's highest window.
 
-Training rows are a bounded, hash-ordered sample (``SAMPLE`` per class, weighted
-back to the class sizes); scoring covers all windows of all texts. Null, blank and
+Training texts are a bounded, hash-ordered sample of distinct texts (``SAMPLE`` per
+class, weighted back to the classes' distinct texts, as a text of many copies would
+drown all others); scoring covers all windows of all texts. Null, blank and
 very short texts are padded windows and get a score too. Without labels of both
 classes every score is the share of label 1 (0 without labels).
 """
@@ -22,9 +23,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from strata.llm.graph import saved
 from strata.llm.words import bounds_and_bytes, mix, slices, span_hashes, word_spans, _LOWER
 
-SAMPLE = 1000        # labelled rows per class at most
+SAMPLE = 1000        # distinct labelled texts per class at most
 WINDOW, STRIDE = 32, 16
 DIM, HIDDEN = 8, 8
 GRAMS = (3, 5)       # lengths of character n-grams in bytes, word ends included
@@ -229,17 +231,22 @@ def train(texts: pa.Array, labels: np.ndarray, weights: np.ndarray, epochs: int
 
 
 def fit(labelled: DataFrame, text_col: str = "text", label_col: str = "label", sample: int = SAMPLE) -> dict:
-    """Train on at most ``sample`` rows per class, chosen by hash of the text."""
+    """Train on at most ``sample`` distinct texts per class, chosen by hash of the text."""
     rows = labelled.select(F.col(text_col).alias("text"), F.col(label_col).cast("int").alias("label")).where("label in (0, 1)")
     sizes = {r.label: r.n for r in rows.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
     total = sum(sizes.values())
     if len(sizes) < 2:
         return {"share": sizes.get(1, 0) / total if total else 0.0}
-    found = [rows.where(F.col("label") == k).orderBy(F.xxhash64("text"), "text").limit(sample).toArrow()
-             for k in (0, 1)]
-    table = pa.concat_tables(found).combine_chunks()
+    # Texts are told apart by hash, so that only those of the sample are sent on.
+    rows = rows.withColumn("hash", F.xxhash64("text"))
+    texts = saved(rows.select("label", "hash").distinct(), "texts")
+    chosen = pa.concat_tables([texts.where(F.col("label") == k).orderBy("hash").limit(sample).toArrow() for k in (0, 1)])
+    chosen = F.broadcast(labelled.sparkSession.createDataFrame(chosen))
+    table = (rows.join(chosen, ["label", "hash"]).groupBy("label", "hash").agg(F.min("text").alias("text"))
+             .orderBy("label", "hash").toArrow().combine_chunks())
     labels = table["label"].to_numpy().astype(np.float64)
-    weights = np.where(labels == 1, sizes[1] / found[1].num_rows, sizes[0] / found[0].num_rows)
+    kinds = {r.label: r.n for r in texts.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
+    weights = np.where(labels == 1, kinds[1] / labels.sum(), kinds[0] / (1 - labels).sum())
     weights = weights / weights.mean()
     return train(table["text"].combine_chunks(), labels, weights)
 

@@ -249,6 +249,17 @@ def test_toxicity_finds_planted_words(spark, nothing):
     assert toxicity.fit(known.where("label = 1")) == {"share": 1.0}
 
 
+def test_toxicity_learns_from_distinct_texts(spark, monkeypatch):
+    from pyspark.sql import functions as F
+    seen = {}
+    monkeypatch.setattr(toxicity, "train", lambda texts, labels, weights: seen.update(t=texts.to_pylist(), y=labels, w=weights) or {})
+    texts = spark.createDataFrame([(f"text number {i}", i % 2) for i in range(80)], "text string, label int")
+    first = texts.orderBy(F.xxhash64("text")).limit(1).first()  # its copies come before all others
+    toxicity.fit(texts.unionByName(texts.where(F.col("text") == first.text).crossJoin(spark.range(49)).drop("id")), sample=30)
+    assert len(set(seen["t"])) == len(seen["t"]) == 60 and sorted(seen["y"]) == [0.0] * 30 + [1.0] * 30
+    assert len(set(seen["w"])) == 1  # 40 distinct texts in each class
+
+
 def test_piece_lattice_lists_the_best_segmentations(docs, nothing):
     own = Lattice(default_model())
 
