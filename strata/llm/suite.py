@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strata.llm.bin_sketch import edited_fingerprints
 from strata.llm.graph import saved
 from strata.llm.jaccard_join import near_duplicate_groups
 from strata.llm.packing import place, token_pieces
@@ -98,6 +99,10 @@ def op10_nbest_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.crc32(F.col("decoded").cast("binary")).alias("decoded_crc32"))
 
 
+def op13_bin_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return edited_fingerprints(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_cover_tree_groups": op1_cover_tree_groups,
     "op2_gated_toxicity": op2_gated_toxicity,
@@ -109,6 +114,7 @@ QUERIES = {
     "op8_jaccard_join": op8_jaccard_join,
     "op9_repeated_passages": op9_repeated_passages,
     "op10_nbest_pieces": op10_nbest_pieces,
+    "op13_bin_sketch": op13_bin_sketch,
 }
 
 ORACLE_SQL: dict[str, str] = {
