@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strata.llm.alignment import align_tokenizers
 from strata.llm.bin_sketch import edited_fingerprints
 from strata.llm.graph import saved
 from strata.llm.jaccard_join import near_duplicate_groups
@@ -15,6 +16,7 @@ from strata.llm.piece_lattice import encode_pieces
 from strata.llm.top_k import top_k
 from strata.llm.vector_links import vector_groups
 from strata.llm.wavelet import read_shards, write_shards
+from strata.llm.whitening import whiten
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -99,6 +101,17 @@ def op10_nbest_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.crc32(F.col("decoded").cast("binary")).alias("decoded_crc32"))
 
 
+def op11_covariance_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``deviation`` is null where the exact number is beyond a long; ``exact_deviation`` always has it."""
+    found = whiten(_table(spark, sf_dir, "embeddings"), "vec_id", "embedding", components=8)
+    return found.select("vec_id", "component", "n", F.col("deviation").try_cast("bigint").alias("deviation"), "whitened", "explained",
+                        "identity_error", F.col("deviation").alias("exact_deviation"))
+
+
+def op12_pair_bitmaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align_tokenizers(_table(spark, sf_dir, "documents"))
+
+
 def op13_bin_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edited_fingerprints(_table(spark, sf_dir, "documents"))
 
@@ -114,6 +127,8 @@ QUERIES = {
     "op8_jaccard_join": op8_jaccard_join,
     "op9_repeated_passages": op9_repeated_passages,
     "op10_nbest_pieces": op10_nbest_pieces,
+    "op11_covariance_whitening": op11_covariance_whitening,
+    "op12_pair_bitmaps": op12_pair_bitmaps,
     "op13_bin_sketch": op13_bin_sketch,
 }
 
