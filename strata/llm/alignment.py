@@ -40,6 +40,7 @@ from strata.llm.words import bounds_and_bytes, slices, span_hashes
 BLOCK_DOCS = 8192          # documents of a block: their numbers fit 16 bits
 BLOCK_BYTES = 8 << 20      # text of a block; a longer document is a block of its own
 REMEMBERED = 300_000       # units a worker keeps between blocks
+PAIR_BITS = 25             # a pair is one number: ids of both vocabularies are below 2**25
 _BITSET = BLOCK_DOCS // 8  # bytes of a plain bitmap
 
 MIXED = ("kind int, block long, row int, id long, n_a long, n_b long, n_groups long, n_links long, groups string, "
@@ -57,6 +58,20 @@ def byte_names() -> dict[str, int]:
     return names
 
 
+class _Bytes:
+    """Bytes of a vocabulary's entries, as one array."""
+
+    def __init__(self, entries: list[bytes]):
+        self.size = np.array([len(e) for e in entries], np.int64)
+        self.begin = np.cumsum(self.size) - self.size
+        self.data = np.frombuffer(b"".join(entries), np.uint8)
+
+    def joined(self, ids: np.ndarray) -> bytes:
+        size = self.size[ids]
+        at = np.repeat(self.begin[ids] - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))
+        return self.data[at].tobytes()
+
+
 class Aligner:
     """Units of texts to aligned tokens, under one pair of tokenizers."""
 
@@ -73,6 +88,7 @@ class Aligner:
         pieces = [b.id_to_piece(i) for i in range(b.get_piece_size())]
         self.b_bytes = [bytes([int(p[3:5], 16)]) if b.is_byte(i) else p.replace(MARK, " ").encode() for i, p in enumerate(pieces)]
         self.mark = b.piece_to_id(MARK)
+        self.a_table, self.b_table = _Bytes([self.a_bytes.get(i, b"") for i in range(max(self.a_bytes) + 1)]), _Bytes(self.b_bytes)
         # Units are cut only where no piece can lie across and nothing but spaces is changed.
         self.cut = (b.normalize("A é １ ﬁ x") == (MARK + "A é １ ﬁ x").replace(" ", MARK)
                     and not any(MARK in p.lstrip(MARK) or "\n" in p for p in pieces) and b.id_to_piece(self.mark) == MARK)
@@ -80,62 +96,104 @@ class Aligner:
 
     def forget(self) -> None:
         self.index: dict[int, int] = {}
-        self.pair_of: dict[int, int] = {}
         self.groups: list[bytes] = []
-        self._rows: list[tuple] = []
-        self._pairs: list[tuple[int, int]] = []
-        self._tables = None
-
-    def _b_ids(self, units: list[str]) -> list[list[int]]:
-        """B puts a mark before what it encodes: it stands for a unit's own space, or is taken away again."""
-        found = self.b.encode([u[1:] if u[0] == " " else u for u in units], num_threads=1)
-        return [([self.mark] if not u[1:] else ids) if u[0] == " " else ids[1:] for u, ids in zip(units, found, strict=True)]
-
-    def align(self, a: list[int], b: list[int]) -> tuple[int, bytes, dict[int, int]]:
-        """Number of groups, their text (each closed by a semicolon) and links per id pair (A id above, B id below 32 bits)."""
-        groups, links = [], {}
-        i = j = from_i = from_j = 0
-        end_a, end_b = len(self.a_bytes[a[0]]), len(self.b_bytes[b[0]])
-        while True:
-            key = a[i] << 32 | b[j]
-            links[key] = links.get(key, 0) + 1
-            both = end_a == end_b
-            if both:
-                groups.append(",".join(map(str, a[from_i:i + 1])) + "|" + ",".join(map(str, b[from_j:j + 1])) + ";")
-                from_i, from_j = i + 1, j + 1
-                if from_i == len(a):
-                    break
-            step_a, step_b = both or end_a < end_b, both or end_b < end_a
-            if step_a:
-                i += 1
-                end_a += len(self.a_bytes[a[i]])
-            if step_b:
-                j += 1
-                end_b += len(self.b_bytes[b[j]])
-        return len(groups), "".join(groups).encode(), links
+        self._rows: list[np.ndarray] = []
+        self._links: list[np.ndarray] = []
+        self._n_links = 0
+
+    def _alone(self, raw: bytes) -> tuple[list[int], list[int]] | None:
+        """Ids of one unit under A and B, or None where either does not give it back."""
+        text = raw.decode("utf-8", "replace")
+        a = self.a.encode(text, add_special_tokens=False).ids
+        # B puts a mark before what it encodes: it stands for a unit's own space, or is taken away again.
+        if text[0] == " ":
+            b = self.b.encode(text[1:]) if text[1:] else [self.mark]
+        else:
+            b = self.b.encode(text)[1:]
+        same = b"".join(self.a_bytes[i] for i in a) == raw and b"".join(self.b_bytes[i] for i in b) == raw
+        return (a, b) if same else None
+
+    def _together(self, raws: list[bytes]) -> tuple[np.ndarray, np.ndarray] | None:
+        """Ids of units that follow each other as in a text, or None where this cannot be told apart."""
+        raw = b" a" + b"".join(raws)
+        try:
+            text = raw.decode()
+        except UnicodeDecodeError:
+            return None
+        a = np.array(self.a.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.int64)
+        b = np.array(self.b.encode(text[1:], num_threads=1), np.int64)
+        ends = np.cumsum([2, *map(len, raws)])
+        for ids, table in ((a, self.a_table), (b, self.b_table)):
+            if table.joined(ids) != raw or not np.isin(ends, np.cumsum(table.size[ids])).all():
+                return None
+        return tuple(ids[np.cumsum(table.size[ids]) > 2] for ids, table in ((a, self.a_table), (b, self.b_table)))
 
     def learn(self, keys: list[int], raws: list[bytes]) -> None:
-        texts = [r.decode("utf-8", "replace") for r in raws]
-        for key, raw, a, b in zip(keys, raws, self.a.encode_batch(texts, add_special_tokens=False), self._b_ids(texts), strict=True):
-            a = a.ids
-            self.index[key] = len(self.groups)
-            if b"".join(self.a_bytes[i] for i in a) != raw or b"".join(self.b_bytes[i] for i in b) != raw:
-                self.groups.append(b"")
-                self._rows.append((0, 0, 0, 0, 0, len(self._pairs), len(self._pairs)))
-                continue
-            n, groups, links = self.align(a, b)
-            begin = len(self._pairs)
-            self._pairs += [(self.pair_of.setdefault(k, len(self.pair_of)), m) for k, m in links.items()]
-            self.groups.append(groups)
-            self._rows.append((1, len(a), len(b), n, sum(links.values()), begin, len(self._pairs)))
-        self._tables = None
+        """Encodes and aligns new units. Those that end in no white space and hold no mark are
+        encoded as one text, since tokens never cross the white space they begin with."""
+        plain = [self.cut and len(r) < 4096 and r[-1] > 32 and b"\xe2\x96\x81" not in r
+                 and (r[-1] < 128 or not r.decode("utf-8", "replace")[-1].isspace()) for r in raws]
+        order = [i for i, p in enumerate(plain) if p]
+        found = self._together([raws[i] for i in order]) if order else None
+        if found is None:
+            order, parts = [], []
+        else:
+            parts = [found]
+        taken = set(order)
+        for i, raw in enumerate(raws):
+            if i not in taken and (ids := self._alone(raw)) is not None:
+                order.append(i)
+                parts.append((np.array(ids[0], np.int64), np.array(ids[1], np.int64)))
+        rows = np.zeros((len(raws), 7), np.int64)
+        texts = [b""] * len(raws)
+        if order:
+            a, b = (np.concatenate([p[k] for p in parts]) for k in (0, 1))
+            numbers, links, groups = self.align(a, b, np.cumsum([len(raws[i]) for i in order]))
+            at = np.array(order)
+            rows[at, 0], rows[at, 1:5] = 1, numbers
+            upto = self._n_links + np.cumsum(numbers[:, 3])
+            rows[at, 5], rows[at, 6] = upto - numbers[:, 3], upto
+            self._links.append(links)
+            self._n_links += len(links)
+            for i, t in zip(order, groups, strict=True):
+                texts[i] = t
+        first = len(self.groups)
+        self.index.update(zip(keys, range(first, first + len(keys)), strict=True))
+        self.groups += texts
+        self._rows.append(rows)
+
+    def align(self, a: np.ndarray, b: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+        """Tokens of units one after the other, whose bytes end at ``ends``: tokens of A and B,
+        groups and links per unit; the id pair of every link; and every unit's groups as text, each closed by a semicolon.
+
+        Between two neighbouring token ends there is one token of A and one of B: that is a link."""
+        a_end, b_end = np.cumsum(self.a_table.size[a]), np.cumsum(self.b_table.size[b])
+        both, cuts = np.intersect1d(a_end, b_end, assume_unique=True), np.union1d(a_end, b_end)
+        links = a[np.searchsorted(a_end, cuts)] << PAIR_BITS | b[np.searchsorted(b_end, cuts)]
+        upto = np.stack([np.searchsorted(x, ends, "right") for x in (a_end, b_end, both, cuts)], 1)
+        numbers = np.diff(upto, axis=0, prepend=0)
+        a_group, b_group = np.searchsorted(both, a_end), np.searchsorted(both, b_end)
+        place = np.argsort(np.concatenate([2 * a_group, 2 * b_group + 1]), kind="stable")
+        ids = np.concatenate([a, b])[place]
+        last = np.concatenate([np.append(g[1:] != g[:-1], True) for g in (a_group, b_group)])
+        mark = np.where(last, np.repeat([ord("|"), ord(";")], [len(a), len(b)]), ord(",")).astype(np.uint8)[place]
+        size = 1 + sum((ids >= 10 ** k).astype(np.int64) for k in range(1, 10))
+        end = np.cumsum(size + 1)
+        out = np.zeros(int(end[-1]), np.uint8)
+        out[end - 1] = mark
+        for k in range(int(size.max())):
+            there = size > k
+            out[end[there] - 2 - k] = 48 + ids[there] // 10 ** k % 10
+        raw, stop = out.tobytes(), end[upto[:, 0] + upto[:, 1] - 1]
+        return numbers, links, [raw[i:j] for i, j in zip([0, *stop[:-1].tolist()], stop.tolist(), strict=True)]
 
     @property
     def tables(self) -> tuple[np.ndarray, np.ndarray]:
-        """Per unit: sound, tokens of A and B, groups, links, place of its pairs; per place: pair and links."""
-        if self._tables is None:
-            self._tables = np.array(self._rows, np.int64).reshape(-1, 7), np.array(self._pairs, np.int64).reshape(-1, 2)
-        return self._tables
+        """Per unit: sound, tokens of A and B, groups, links, place of its links; per place: the id pair."""
+        if len(self._rows) > 1:
+            self._rows, self._links = [np.concatenate(self._rows)], [np.concatenate(self._links)] if self._links else []
+        return (self._rows[0] if self._rows else np.zeros((0, 7), np.int64),
+                self._links[0] if self._links else np.zeros(0, np.int64))
 
     def starts(self, bounds: np.ndarray, data: np.ndarray) -> np.ndarray:
         """Where units begin: each text, and each space or newline after a byte that is not white space."""
@@ -214,8 +272,8 @@ class _Block:
         rows, pairs = self.align.tables
         size = rows[unit, 6] - rows[unit, 5]
         at = np.repeat(rows[unit, 5] - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))
-        links = np.repeat(times, size) * pairs[at, 1]
-        key = pairs[at, 0] * BLOCK_DOCS + np.repeat(doc, size)
+        links = np.repeat(times, size)
+        key = pairs[at] * BLOCK_DOCS + np.repeat(doc, size)
         order = np.argsort(key, kind="stable")
         key, links = key[order], links[order]
         first = np.flatnonzero(np.append(True, key[1:] != key[:-1])) if len(key) else np.zeros(0, np.int64)
@@ -234,10 +292,10 @@ class _Block:
             else:
                 bits.append(raw[2 * i:2 * j])
             planes.append(b"".join(np.packbits(links[i:j] - 1 >> k & 1).tobytes() for k in range((m - 1).bit_length())))
-        names = np.array(list(self.align.pair_of), np.int64)[pair[begin]] if len(begin) else np.zeros(0, np.int64)
+        names = pair[begin]
         n = len(begin)
-        return _mixed(n, kind=np.ones(n, np.int32), block=np.full(n, self.number), a=(names >> 32).astype(np.int32),
-                      b=(names & 0xFFFFFFFF).astype(np.int32), n_docs=(end - begin).astype(np.int32),
+        return _mixed(n, kind=np.ones(n, np.int32), block=np.full(n, self.number), a=(names >> PAIR_BITS).astype(np.int32),
+                      b=(names & (1 << PAIR_BITS) - 1).astype(np.int32), n_docs=(end - begin).astype(np.int32),
                       bits=pa.array(bits, pa.binary()), planes=pa.array(planes, pa.binary()))
 
 
