@@ -9,11 +9,12 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata.functions.columns import half_up
+from strata.operators import selection
 
 
 def frequency(df: DataFrame, col: str, count_col: str = "count") -> DataFrame:
@@ -31,22 +32,21 @@ def global_stats(df: DataFrame, col: str, prefix: str = "") -> DataFrame:
 
 
 def distinct_report(df: DataFrame, cols: str | Sequence[str]) -> DataFrame:
-    """(column_name, rows, distinct_values, duplicate_rows) per column, all
-    columns in ONE scan: distinct values count null as one value; duplicate
-    rows are the rows beyond the first of each value (nulls equal)."""
+    """(column_name, rows, distinct_values, duplicate_rows) per column: distinct
+    values count null as one value; duplicate rows are the rows beyond the first
+    of each value (nulls equal).
+
+    A group-by per column: each reads its own column only and is combined in the
+    tasks, where distinct counts side by side would copy every row per column."""
     cols = [cols] if isinstance(cols, str) else list(cols)
-    aggs = [F.count(F.lit(1)).alias("__rows")]
-    for i, c in enumerate(cols):
-        aggs += [F.count_distinct(F.col(c)).alias(f"__nn{i}"),
-                 F.coalesce(F.max(F.col(c).isNull().cast("int")), F.lit(0)).alias(f"__hn{i}")]
-    one = df.agg(*aggs)
-    rows = []
-    for i, c in enumerate(cols):
-        distinct = F.col(f"__nn{i}") + F.col(f"__hn{i}")
-        rows.append(F.struct(F.lit(c).alias("column_name"), F.col("__rows").alias("rows"),
-                             distinct.alias("distinct_values"),
-                             (F.col("__rows") - distinct).alias("duplicate_rows")))
-    return one.select(F.inline(F.array(*rows)))
+    out = None
+    for c in cols:
+        groups = df.groupBy(F.col(c)).agg(F.count(F.lit(1)).alias("__n"))
+        one = groups.agg(F.coalesce(F.sum("__n"), F.lit(0)).alias("rows"), F.count(F.lit(1)).alias("distinct_values")).select(
+            F.lit(c).alias("column_name"), "rows", "distinct_values",
+            (F.col("rows") - F.col("distinct_values")).alias("duplicate_rows"))
+        out = one if out is None else out.unionByName(one)
+    return out
 
 
 def all_true(pred: Column) -> Column:
@@ -89,28 +89,7 @@ def completeness(df: DataFrame, columns: Sequence[str] | None = None,
 
 
 # --------------------------------------------------------------------------
-# exact quantiles without one task holding all values
-
-
-def _cumulative(df: DataFrame, order: str, weight: str, partitions: int | None) -> DataFrame:
-    """Adds ``__cum`` = running sum of ``weight`` in ``order`` (inclusive).
-
-    Range-partition + reliable checkpoint; sum inside each range; offsets of
-    earlier ranges come from one small row per partition.
-    """
-    ranged = df.repartitionByRange(partitions, order) if partitions \
-        else df.repartitionByRange(order)          # AQE sizes the ranges
-    staged = ranged.withColumn("__p", F.spark_partition_id()).checkpoint(eager=True)
-    totals = staged.groupBy("__p").agg(F.sum(weight).alias("__t"))
-    offsets = totals.select("__p", F.coalesce(F.sum("__t").over(
-        Window.orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)),
-        F.lit(0)).alias("__off"))
-    inner = F.sum(weight).over(Window.partitionBy("__p").orderBy(order)
-                               .rowsBetween(Window.unboundedPreceding, 0))
-    return (staged.withColumn("__in", inner)
-                  .join(F.broadcast(offsets), "__p")
-                  .withColumn("__cum", F.col("__off") + F.col("__in"))
-                  .drop("__p", "__in", "__off"))
+# exact medians
 
 
 def _present(df: DataFrame, col: str) -> Column:
@@ -123,37 +102,19 @@ def _present(df: DataFrame, col: str) -> Column:
 def exact_median(df: DataFrame, col: str, partitions: int | None = None) -> float | None:
     """Exact median of the values that are neither null nor NaN (mean of the two middle values).
 
-    Values are first counted per distinct value (combined map-side), the
-    counts get a distributed running total, and the one or two middle values
-    are picked by position. Only two numbers reach the driver.
-    """
-    vc = (df.select(_present(df, col).alias("v")).filter(F.col("v").isNotNull())
-            .groupBy("v").agg(F.count(F.lit(1)).alias("w")))
-    cum = _cumulative(vc, "v", "w", partitions)
-    n = cum.agg(F.max("__cum")).first()[0]
-    if not n:
-        return None
-    lo, hi = (n - 1) // 2 + 1, n // 2 + 1          # 1-based positions
-    picked = (cum.filter(((F.col("__cum") - F.col("w")) < F.lit(hi)) &
-                         (F.col("__cum") >= F.lit(lo)))
-                 .select("v", (F.col("__cum") - F.col("w")).alias("before"), "__cum"))
-    rows = picked.collect()          # at most two rows: the middle values
-    def at(pos):
-        for r in rows:
-            if r["before"] < pos <= r["__cum"]:
-                return float(r["v"])
-        raise RuntimeError("median position not found")
-    return (at(lo) + at(hi)) / 2.0
+    Found by counting around a sketch's guess (:mod:`strata.operators.selection`): no value
+    is shuffled. ``partitions`` is accepted for older callers and has no effect."""
+    return selection.exact_medians(df, {col: F.col(col)})[col]
 
 
 def impute_median(df: DataFrame, columns: Sequence[str]) -> tuple[DataFrame, dict]:
     """Fill nulls in ``columns`` with each column's exact median.
 
     NaN is filled like null; an integer column whose median is no integer
-    becomes double. Returns (filled frame, {column: median}). The medians are scalars computed
-    by distributed jobs; the fill itself is a plain projection.
+    becomes double. Returns (filled frame, {column: median}). The medians of all columns
+    come from the same scans; the fill itself is a plain projection.
     """
-    medians = {c: exact_median(df, c) for c in columns}
+    medians = selection.exact_medians(df, {c: F.col(c) for c in columns})
     fill = {}
     for c, v in medians.items():
         if v is not None:

@@ -76,7 +76,7 @@ def touched_partitions(target: DataFrame, source: DataFrame, partition_col: str)
 def upsert_into_path(source: DataFrame, path: str, keys: Sequence[str],
                      order: Sequence[str] | None = None,
                      partition_col: str | None = None,
-                     new_path: str | None = None) -> str:
+                     new_path: str | None = None, staged: bool = False) -> str:
     """Merge ``source`` into the parquet table at ``path``; returns the path
     holding the merged table.
 
@@ -86,16 +86,18 @@ def upsert_into_path(source: DataFrame, path: str, keys: Sequence[str],
     * otherwise: the merged table is written to ``new_path`` (a new version
       folder) and that path is returned; the caller switches its pointer.
 
-    The source is deduplicated once, into the shared scratch folder.
+    The source is deduplicated once, into the shared scratch folder; with ``staged``
+    it has one row per key already and is read from files.
     """
     spark = source.sparkSession
     target = spark.read.parquet(path)
     if not partition_col and not new_path:
         raise ValueError("new_path is required for an unpartitioned table")
-    src = dedupe_source(source, keys, order).select(*target.columns)
-    staged = scratch_path(spark, "upsert")
-    src.write.parquet(staged)
-    src = spark.read.schema(src.schema).parquet(staged)
+    src = (source if staged else dedupe_source(source, keys, order)).select(*target.columns)
+    if not staged:
+        path_of = scratch_path(spark, "upsert")
+        src.write.parquet(path_of)
+        src = spark.read.schema(src.schema).parquet(path_of)
     if partition_col:
         merged = upsert(touched_partitions(target, src, partition_col), src, keys, deduped=True)
         (merged.hint("rebalance", partition_col).write.mode("overwrite")

@@ -62,27 +62,26 @@ def row_ids(df: DataFrame, order: Sequence[str], col: str = "row_id",
     """Consecutive 1-based ids following ``order`` (make it a total order).
 
     A plain ``row_number()`` without ``partitionBy`` sorts everything in one
-    task. Instead: range-partition on ``order`` and freeze that layout with a
-    reliable checkpoint, number rows inside each range, count each range
-    (one small row per partition) and add the running total of the earlier
-    ranges. Only the per-partition counts are broadcast; their number is the
-    partition count, not the data size.
+    task. Instead the rows are shuffled once into ranges of ``order``, sorted
+    there and frozen by a reliable checkpoint together with the number that Spark gives
+    a task's rows as they come (the task above, the row below 33 bits). Ids add the
+    rows of earlier tasks; only these counts are broadcast, one row per task.
     """
     order = list(order)
     # without an explicit count AQE sizes the ranges from the data
     ranged = df.repartitionByRange(partitions, *order) if partitions \
         else df.repartitionByRange(*order)
-    staged = ranged.withColumn("__p", F.spark_partition_id()).checkpoint(eager=True)
-    counts = staged.groupBy("__p").agg(F.count(F.lit(1)).alias("__n"))
+    staged = (ranged.sortWithinPartitions(*order)
+              .withColumn("__m", F.monotonically_increasing_id()).checkpoint(eager=True))
+    task, row = F.shiftright("__m", 33), F.col("__m").bitwiseAND(F.lit((1 << 33) - 1))
+    counts = staged.groupBy(task.alias("__p")).agg(F.count(F.lit(1)).alias("__n"))
     offsets = counts.select(
         "__p", F.coalesce(F.sum("__n").over(
             Window.orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)),
             F.lit(0)).alias("__off"))
-    local = F.row_number().over(Window.partitionBy("__p").orderBy(*order))
-    return (staged.withColumn("__local", local)
-                  .join(F.broadcast(offsets), "__p")
-                  .withColumn(col, F.col("__off") + F.col("__local"))
-                  .drop("__p", "__local", "__off"))
+    return (staged.withColumn("__p", task).join(F.broadcast(offsets), "__p")
+                  .withColumn(col, F.col("__off") + row + 1)
+                  .drop("__p", "__m", "__off"))
 
 
 def sparse_ids(df: DataFrame, col: str = "row_id") -> DataFrame:

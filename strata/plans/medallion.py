@@ -149,28 +149,37 @@ def silver(bronze: DataFrame, zone_lookup: DataFrame | None, limits: Limits = Li
 
 def write_silver(bronze: DataFrame, zone_lookup: DataFrame | None, path: str,
                  limits: Limits = Limits(), run_ts: str | None = None,
-                 partition_by: Sequence[str] | None = ("pickup_month",)) -> dict:
+                 partition_by: Sequence[str] | None = ("pickup_month",),
+                 raw_rows: int | None = None, keys: Sequence[str] | None = None,
+                 order: Sequence[str] | None = None) -> dict:
     """Cleanse, derive, enrich and write silver in ONE job; the stage counts
     (raw rows, rows kept by the rules) are gathered during that job with
     ``Observation`` instead of extra counting scans. Returns the counts.
 
+    Where the number of raw rows is known (``raw_rows``: the audit of the batch counted
+    them) nothing stands between the rules and the scan, so they reach the files.
+    With ``keys`` and ``order`` the latest row of each key is written.
+
     Silver is partitioned by pickup month: date filters prune whole folders,
     and since the month is a function of the trip key an upsert rewrites only
     the months it touches (``upsert_into_path(partition_col="pickup_month")``).
     Months, not days: a folder per day multiplies small files and listing
     cost without adding pruning that matters for monthly batches."""
     raw_obs, kept_obs = Observation("raw"), Observation("kept")
-    observed = bronze.observe(raw_obs, F.count(F.lit(1)).alias("raw_rows"))
+    observed = bronze if raw_rows is not None else bronze.observe(raw_obs, F.count(F.lit(1)).alias("raw_rows"))
     kept = rules.keep(observed, quality_rules(limits)).observe(
         kept_obs, F.count(F.lit(1)).alias("kept_rows"))
     out = with_month(attach_zones(derive(kept, run_ts=run_ts), zone_lookup))
+    if keys:
+        out = upsert.dedupe_source(out, keys, order)
     if partition_by:
         out = by_partition(out, partition_by)
     w = out.write.mode("overwrite")
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
-    raw_n, kept_n = raw_obs.get["raw_rows"], kept_obs.get["kept_rows"]
+    raw_n = raw_obs.get["raw_rows"] if raw_rows is None else raw_rows
+    kept_n = kept_obs.get["kept_rows"]
     return {"raw_rows": raw_n, "kept_rows": kept_n, "rejected_rows": raw_n - kept_n,
             "rejected_pct": round((raw_n - kept_n) * 100.0 / raw_n, 1) if raw_n else None}
 
@@ -285,7 +294,7 @@ def run_layers(raw: DataFrame, zone_lookup: DataFrame | None, base: str, batch_i
                run_ts: str, limits: Limits = Limits(), keys: Sequence[str] = SILVER_KEYS,
                order: Sequence[str] = ("_ingestion_ts",),
                source_file: Column | None = None, database: str | None = None,
-               audit_key: str = "tpep_pickup_datetime") -> dict:
+               audit_key: str = "tpep_pickup_datetime", gold: bool = True) -> dict:
     """Bronze -> silver -> gold for one batch, every layer written as files.
 
     * bronze: the batch lands in its own ``_batch_id`` partition (re-running
@@ -294,43 +303,52 @@ def run_layers(raw: DataFrame, zone_lookup: DataFrame | None, base: str, batch_i
     * silver: the batch is cleansed and enriched, then merged on ``keys``
       into ``silver`` (partitioned by pickup month: only touched months are
       rewritten); within the batch the latest row by ``order`` wins;
-    * gold: daily revenue, zone performance and hourly demand are rebuilt
-      from silver and overwritten.
+    * gold: the months that the batch touches are read from silver and their states
+      replaced (:mod:`strata.plans.gold_states`); daily revenue, zone performance and
+      hourly demand are put together from all states and overwritten. Without
+      ``gold`` this step is left out.
 
     With ``database`` the layers are also registered as external catalog
     tables (``<database>.bronze_trips``, ``.silver_trips``, ``.gold_*``).
 
     Returns the stage counts of the batch and the row counts of each table.
     """
+    from strata.plans import gold_states      # it builds on this module
     spark = raw.sparkSession
-    silver_path = f"{base}/silver"
+    silver_path, states_path = f"{base}/silver", f"{base}/gold_states"
     silver_exists = read_optional(spark, silver_path, "parquet") is not None
     bronze = write_bronze(raw, f"{base}/bronze", batch_id, run_ts, source_file=source_file)
     batch = bronze.filter(F.col("_batch_id") == batch_id)
     (quality.batch_audit(batch, "bronze", "bronze_trips", batch_id, audit_key, run_ts)
         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .partitionBy("batch_id").parquet(f"{base}/audit"))
+    raw_rows = (spark.read.schema("rows_written long, batch_id string").parquet(f"{base}/audit")
+                .where(F.col("batch_id") == batch_id).first()["rows_written"])
     staged = f"{base}/silver_batches/{batch_id}"
-    counts = write_silver(batch, zone_lookup, staged, limits, run_ts, partition_by=None)
+    counts = write_silver(batch, zone_lookup, staged, limits, run_ts, partition_by=None,
+                          raw_rows=raw_rows, keys=keys, order=order)
     source = spark.read.parquet(staged)
     if silver_exists:
-        upsert.upsert_into_path(source, silver_path, keys, order, partition_col="pickup_month")
+        upsert.upsert_into_path(source, silver_path, keys, order, partition_col="pickup_month", staged=True)
     else:
-        deduped = upsert.dedupe_source(source, keys, order)
-        (by_partition(deduped, "pickup_month").write.mode("overwrite")
+        (by_partition(source, "pickup_month").write.mode("overwrite")
              .partitionBy("pickup_month").parquet(silver_path))
     silver_df = spark.read.parquet(silver_path)
-    gold = {"daily_revenue": daily_revenue(silver_df, run_ts=run_ts),
-            "zone_performance": zone_performance(silver_df, run_ts=run_ts),
-            "hourly_demand": hourly_demand(silver_df, run_ts=run_ts)}
-    tables = {"silver": silver_df.count()}
-    for name, df in gold.items():
+    tables, gold_tables = {"silver": silver_df.count()}, {}
+    if gold:
+        known = read_optional(spark, states_path, "parquet") is not None
+        gold_states.refresh_states(spark, silver_path, states_path, gold_states.months_of(source if known else silver_df))
+        rows = spark.read.parquet(states_path)
+        gold_tables = {"daily_revenue": gold_states.daily_revenue(rows, run_ts=run_ts),
+                       "zone_performance": gold_states.zone_performance(rows, run_ts=run_ts),
+                       "hourly_demand": gold_states.hourly_demand(rows, run_ts=run_ts)}
+    for name, df in gold_tables.items():
         df.write.mode("overwrite").parquet(f"{base}/gold/{name}")
         tables[name] = spark.read.parquet(f"{base}/gold/{name}").count()
     if database:
         ensure_database(spark, database)
         register_path(spark, f"{database}.bronze_trips", f"{base}/bronze", partitioned=True)
         register_path(spark, f"{database}.silver_trips", silver_path, partitioned=True)
-        for name in gold:
+        for name in gold_tables:
             register_path(spark, f"{database}.gold_{name}", f"{base}/gold/{name}")
     return {"stage_counts": counts, "tables": tables}

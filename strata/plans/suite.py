@@ -14,11 +14,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.functions import columns as C
-from strata.operators import aggregate, enrich, quality as Q, rules, upsert, windows
+from strata.operators import aggregate, enrich, ordered, quality as Q, rules, upsert, windows
 from strata.plans import adapter, etl, gate, medallion as M, staging
 from strata.session import scratch_path
 from strata.sources import readers, sinks
-from strata.streaming import monitor, publish
+from strata.streaming import consumer, landing, monitor, publish
 
 LIMITS = M.Limits(max_fare=50_000.0)
 VARS = staging.ModelVars(start_date="1996-01-01", max_fare_usd=50_000.0)
@@ -68,8 +68,10 @@ def bronze_landing(spark: SparkSession, sf: str) -> DataFrame:
     name = "bronze_orders_" + path.rsplit("-", 1)[-1]
     sinks.overwrite_table(landed, name, path)
     back = readers.read_catalog(spark, name)
-    return Q.batch_audit(back, "bronze", "bronze_orders", BATCH_ID, "o_orderkey",
-                         extra={"distinct_hashes": F.count_distinct("_row_hash")})
+    audit = Q.batch_audit(back, "bronze", "bronze_orders", BATCH_ID, "o_orderkey")
+    # Hashes are grouped by themselves, so that the audit stays a count in each task.
+    hashes = back.groupBy("_row_hash").agg(F.lit(1)).agg(F.count("_row_hash").alias("distinct_hashes"))
+    return audit.join(F.broadcast(hashes))
 
 
 # ------------------------------------------------------------------ silver
@@ -207,8 +209,8 @@ def layered_run(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.parquet(f"{base}/gold/daily_revenue").drop("_gold_ts")
 
 
-def _two_batches(spark, sf):
-    """Two batches with overlapping months through all layers: the second has
+def _two_batches(spark, sf, gold=False, database=None):
+    """Two batches with overlapping months through the layers: the second has
     other fares, some location keys are null, and the ids look like numbers."""
     raw = adapter.trips(spark, sf).withColumn(
         "PULocationID", F.nullif(F.col("PULocationID"), F.lit(0)))
@@ -219,7 +221,7 @@ def _two_batches(spark, sf):
     base = scratch_path(spark, "batches")
     for batch_id, rows in batches.items():
         M.run_layers(rows, adapter.zones(spark, sf), base, batch_id, RUN_TS, LIMITS,
-                     order=TIE_BREAKERS, source_file=F.lit(None).cast("string"))
+                     order=TIE_BREAKERS, source_file=F.lit(None).cast("string"), gold=gold, database=database)
     return base
 
 
@@ -232,6 +234,25 @@ def silver_two_batches(spark: SparkSession, sf: str) -> DataFrame:
         *M.SILVER_KEYS, *TRIP_KEYS, "fare_amount", "pickup_month", "_silver_batch")
 
 
+def gold_incremental(spark: SparkSession, sf: str) -> DataFrame:
+    """The rows of the three gold tables after the second of two batches, read from
+    the catalog; only the months of a batch are read from silver for them."""
+    db = "gold_" + scratch_path(spark, "db").rsplit("-", 1)[-1]
+    _two_batches(spark, sf, gold=True, database=db)
+
+    def of(table, key, *columns):
+        names = ("trip_count", "total_revenue", "avg_fare", "avg_duration_mins", "figure", "note")
+        return spark.table(f"{db}.gold_{table}").select(F.lit(table).alias("table_name"), key.alias("key"),
+                                                        *[c.alias(n) for c, n in zip(columns, names)])
+    common = [F.col(c) for c in ("trip_count", "total_revenue", "avg_fare", "avg_duration_mins")]
+    none = F.lit(None)
+    daily = of("daily_revenue", F.col("pickup_date").cast("string"), *common, F.col("revenue_7d_rolling"), none.cast("string"))
+    zone = of("zone_performance", F.col("pickup_zone_name"), *common, F.col("revenue_rank").cast("double"), F.col("pickup_borough"))
+    hour = of("hourly_demand", F.concat_ws(" ", "hour_label", "period_label"), F.col("trip_count"), none.cast("double"),
+              F.col("avg_fare"), F.col("avg_duration_mins"), none.cast("double"), F.col("demand_tier"))
+    return daily.unionByName(zone).unionByName(hour)
+
+
 def silver_validation(spark: SparkSession, sf: str) -> DataFrame:
     """Null durations, negative fares and label counts of the merged silver."""
     return M.silver_validation(spark.read.parquet(f"{_two_batches(spark, sf)}/silver"))
@@ -321,6 +342,59 @@ def rank_days(spark: SparkSession, sf: str) -> DataFrame:
         "count_dense_rank": windows.rank_desc("order_count", dense=True)})
 
 
+# Columns that tell all line items apart.
+LINE_KEYS = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+
+
+def rolling_facts(spark: SparkSession, sf: str) -> DataFrame:
+    """All line items in shipping order: mean price over 7 rows and change to the row before."""
+    li = _t(spark, sf, "lineitem").select(*LINE_KEYS, "l_shipdate", "l_extendedprice")
+
+    def mean(w):
+        rows = w.rowsBetween(-6, 0)
+        total = C.money_sum("l_extendedprice", C.SUM_SCALE).over(rows).cast("double")
+        return C.half_up(total / F.count("l_extendedprice").over(rows), 4)
+    return ordered.windowed(li, ["l_shipdate"], LINE_KEYS, 7, {
+        "price_7_rows": mean,
+        "price_change": lambda w: C.half_up(F.col("l_extendedprice") - F.lag("l_extendedprice").over(w), 4)})
+
+
+def running_facts(spark: SparkSession, sf: str) -> DataFrame:
+    """Quantity and price shipped up to each line item, and the item's number."""
+    li = _t(spark, sf, "lineitem").select(*LINE_KEYS, "l_shipdate", "l_quantity", "l_extendedprice")
+    totals = ordered.running(li, ["l_shipdate"], LINE_KEYS, {
+        "quantity_so_far": F.col("l_quantity").cast("decimal(38,2)"), "price_so_far": F.col("l_extendedprice").cast("decimal(38,2)")})
+    return totals.select(*LINE_KEYS, F.col("quantity_so_far").cast("double").alias("quantity_so_far"),
+                         C.half_up("price_so_far", 2).alias("price_so_far"))
+
+
+def rank_facts(spark: SparkSession, sf: str) -> DataFrame:
+    """Rank and dense rank of all line items by price, and by quantity (50 values, each a
+    fiftieth of the rows: they are spread over buckets by the tie columns)."""
+    li = _t(spark, sf, "lineitem").select(*LINE_KEYS, "l_extendedprice", "l_quantity")
+    by_price = ordered.ranked(li, [("l_extendedprice", False)], LINE_KEYS, "price_rank", "price_dense")
+    return ordered.ranked(by_price, [("l_quantity", False)], LINE_KEYS, "quantity_rank", "quantity_dense")
+
+
+def mart_table(spark: SparkSession, sf: str) -> DataFrame:
+    """The daily mart kept as a table and read from the catalog."""
+    path = scratch_path(spark, "mart")
+    return sinks.materialize(daily_mart(spark, sf), "mart_" + path.rsplit("-", 1)[-1], as_table=True, path=path)
+
+
+def bronze_new_files(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders landed from a folder that grows: three runs, the last with nothing new."""
+    orders = _t(spark, sf, "orders")
+    source, bronze, ckpt = (scratch_path(spark, x) for x in ("drop", "bronze", "ckpt"))
+    late = F.col("o_orderkey") % 3 == 0
+    for name, part in (("d0", orders.where(~late)), ("d1", orders.where(late)), (None, None)):
+        if name:
+            part.repartition(2).write.parquet(f"{source}/{name}")
+        landing.land_new_files(spark, f"{source}/*", bronze, ckpt, orders.schema, RUN_TS)
+    return spark.read.parquet(bronze).select(
+        "o_orderkey", "o_totalprice", "_batch_id", F.regexp_extract("_source_file", r"/(d\d)/[^/]+$", 1).alias("folder"))
+
+
 def latest_per_key(spark: SparkSession, sf: str) -> DataFrame:
     li = _t(spark, sf, "lineitem")
     return windows.latest_per_key(li, ["l_orderkey", "l_linenumber"],
@@ -713,6 +787,74 @@ def stream_first_n(spark: SparkSession, sf: str) -> DataFrame:
     return monitor.first_messages(good, 100, ["event_id"]).select("key", "event_id", "status")
 
 
+def message_placement(spark: SparkSession, sf: str) -> DataFrame:
+    """A topic of 8 partitions in which one sender has a third of the messages: per key
+    the partitions it lies in, and whether offsets are without gaps and follow event time."""
+    rows = _message_rows(spark, sf).withColumn("sender", F.when(F.col("event_id") % 3 == 0, F.lit(0)).otherwise(F.col("user_id")))
+    path = scratch_path(spark, "topic")
+    publish.publish_topic(rows, "sender", path, 8, ["ts", "event_id"], MESSAGE_FIELDS)
+    good, _ = monitor.parse_events(monitor.read_messages(spark, path), monitor.TABLE_EVENT, keep=["key", *monitor.POSITION])
+    here = ["partition", "offset", "ts", "event_id"]
+    seen = ordered.windowed(good.select("key", *here), list(monitor.POSITION), [], 2,
+                            {"before": lambda w: F.lag(F.struct(*here)).over(w)})
+    follows = (F.col("before.offset") + 1 == F.col("offset")) & (F.col("before.ts") <= F.col("ts"))
+    opens = F.col("before").isNull() | (F.col("before.partition") != F.col("partition"))
+    return seen.groupBy("key").agg(F.count(F.lit(1)).alias("messages"), F.count_distinct("partition").alias("n_partitions"),
+                                   F.bool_and(F.when(opens, F.col("offset") == 0).otherwise(follows)).alias("in_order"))
+
+
+def _topic(spark, path, rows, partitions=4):
+    """Adds events to a topic whose producer places them by user number; offsets go on."""
+    there = readers.read_optional(spark, path, "json") is not None
+    ends = consumer.end_positions(monitor.read_messages(spark, path)) if there else None
+    publish.publish_topic(rows, "user_id", path, partitions, ["ts", "event_id"], MESSAGE_FIELDS,
+                          partition=F.col("user_id") % partitions, after=ends)
+
+
+# Start offsets of one consumer; partition 3 has none and is read from its beginning.
+MIDDLE = {0: 10, 1: 100, 2: 40}
+
+
+def stream_start_positions(spark: SparkSession, sf: str) -> DataFrame:
+    """Two consumers of a topic that gets two deliveries: one starts at given offsets, one
+    at the end of the first delivery; both are restarted after the second, when the
+    stored positions hold whatever is asked for."""
+    rows = _message_rows(spark, sf)
+    topic = scratch_path(spark, "topic")
+    places = {name: (scratch_path(spark, name), scratch_path(spark, "ckpt")) for name in ("middle", "latest")}
+    late = F.col("event_id") % 3 == 0
+    for delivery in (rows.where(~late), rows.where(late)):
+        _topic(spark, topic, delivery)
+        for name, (out, ckpt) in places.items():
+            source = consumer.positioned_source(spark, topic, ckpt, {"middle": MIDDLE, "latest": "latest"}[name])
+            good, _ = monitor.parse_events(source, monitor.TABLE_EVENT, keep=monitor.POSITION)
+            monitor.run_append(good.select("event_id", *monitor.POSITION), out, ckpt)
+    columns = ["event_id", *monitor.POSITION]
+    read = [spark.read.parquet(out).select(*columns, F.lit(name).alias("consumer")) for name, (out, _) in places.items()]
+    return read[0].unionByName(read[1])
+
+
+def stream_take(spark: SparkSession, sf: str) -> DataFrame:
+    """Three deliveries and three portions: the first ends within the first delivery, the
+    second takes the rest of it and a part of the next, the third takes what is left.
+    Failed payments arrive as broken text and are not counted."""
+    rows = _message_rows(spark, sf)
+    n = rows.count()
+    topic, out, ckpt = (scratch_path(spark, x) for x in ("topic", "taken", "ckpt"))
+    found = None
+    for i, upto in enumerate((n // 6 + 3, n * 2 // 5, n)):
+        wave = publish.place_in_topic(rows.where(F.col("event_id") % 3 == i), "user_id", 2, ["ts", "event_id"], MESSAGE_FIELDS,
+                                      partition=F.col("user_id") % 2)
+        broken = F.when(F.col("value").contains('"FAILED"'), F.substring("value", 1, 12)).otherwise(F.col("value"))
+        wave.withColumn("value", broken).write.mode("append").json(topic)
+        good, _ = monitor.parse_events(monitor.message_source(spark, topic), monitor.TABLE_EVENT, keep=monitor.POSITION)
+        taker = consumer.Taker(spark, out, ckpt)        # a new one each time: it goes on behind the last portion
+        got = taker.take(good.select("event_id", "status", *monitor.POSITION), upto - taker.taken()[1])
+        got = got.select(F.lit(i + 1).alias("portion"), "seq", "event_id", "status")
+        found = got if found is None else found.unionByName(got)
+    return found
+
+
 def _stream_lines(spark, sf):
     """Messages for every event, plus data-derived bad input: a cut-off copy
     of every error message, a blank line per view, and an empty object per
@@ -736,18 +878,18 @@ def _stream_dir(spark, sf):
 
 def stream_status_counts(spark: SparkSession, sf: str) -> DataFrame:
     src = _stream_dir(spark, sf)
-    good, _ = monitor.parse_events(monitor.text_source(spark, src), monitor.TABLE_EVENT)
+    good, _ = monitor.parse_events(monitor.text_source(spark, src, 2), monitor.TABLE_EVENT)
     out = scratch_path(spark, "stream-status")
-    monitor.run_complete(monitor.status_counts(good), out, scratch_path(spark, "ckpt"))
-    return spark.read.parquet(out)
+    monitor.run_update(monitor.status_counts(good), ["status"], out, scratch_path(spark, "ckpt"))
+    return monitor.current_version(spark, out)
 
 
 def stream_failure_rate(spark: SparkSession, sf: str) -> DataFrame:
     src = _stream_dir(spark, sf)
-    good, _ = monitor.parse_events(monitor.text_source(spark, src), monitor.TABLE_EVENT)
+    good, _ = monitor.parse_events(monitor.text_source(spark, src, 2), monitor.TABLE_EVENT)
     out = scratch_path(spark, "stream-summary")
-    monitor.run_complete(monitor.failure_summary(good), out, scratch_path(spark, "ckpt"))
-    return spark.read.parquet(out)
+    monitor.run_update(monitor.failure_summary(good), [], out, scratch_path(spark, "ckpt"))
+    return monitor.current_version(spark, out)
 
 
 def stream_bad_records(spark: SparkSession, sf: str) -> DataFrame:

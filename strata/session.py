@@ -78,8 +78,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not root:
         if not context.master.startswith("local") or context.master.startswith("local-cluster"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        root = tempfile.mkdtemp(prefix="strata-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="strata-ckpt-"))
+        root = context.getCheckpointDir()       # a running session's own setting cannot be changed
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(root)
     return root

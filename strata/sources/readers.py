@@ -57,11 +57,20 @@ def read_catalog(spark: SparkSession, name: str) -> DataFrame:
     return spark.table(name)
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder is there (or any that a pattern matches), in any store that Spark reads."""
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    found = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(hadoop_path)
+    return found is not None and len(found) > 0
+
+
 def read_optional(spark: SparkSession, path: str, fmt: str = "csv",
                   schema: StructType | str | None = None,
                   options: Mapping[str, str] | None = None) -> DataFrame | None:
-    """The frame at ``path``, or None when nothing is there. Only a missing
-    path is swallowed; any other error still raises."""
+    """The frame at ``path`` (which may be a pattern), or None when nothing is there. Only a
+    missing path is swallowed; any other error still raises."""
+    if not path_exists(spark, path):
+        return None
     try:
         df = read_files(spark, path, fmt, schema, options)
         df.schema  # resolve now so a missing path shows here

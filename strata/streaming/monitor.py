@@ -18,6 +18,7 @@ from pyspark.sql.types import (BooleanType, DoubleType, LongType, StringType,
 
 from strata.functions.columns import percent
 from strata.operators.windows import latest_per_key
+from strata.sources.readers import read_optional
 
 # Fixed value: fields of one payment event message.
 PAYMENT_EVENT = StructType([
@@ -90,7 +91,8 @@ def read_messages(spark: SparkSession, path: str) -> DataFrame:
 def kafka_source(spark: SparkSession, servers: str, topic: str,
                  starting: str = "earliest", max_offsets: int | None = None) -> DataFrame:
     """Kafka topic as a stream of (key, value, partition, offset) with text
-    key and value. Needs the Kafka connector on the classpath."""
+    key and value. ``starting``: ``earliest``, ``latest`` or the offsets of each partition
+    as ``consumer.kafka_offsets`` writes them. Needs the Kafka connector on the classpath."""
     r = (spark.readStream.format("kafka").option("kafka.bootstrap.servers", servers)
          .option("subscribe", topic).option("startingOffsets", starting))
     if max_offsets:
@@ -156,6 +158,50 @@ def run_complete(agg: DataFrame, out_path: str, checkpoint: str) -> None:
     q.awaitTermination()
 
 
+def run_update(agg: DataFrame, keys: Sequence[str], out_path: str, checkpoint: str) -> None:
+    """Drive a running aggregate in update mode: only the groups that a micro-batch
+    changed leave the query.
+
+    They replace the groups of the same ``keys`` (null-safe; none: the one row) in
+    the version before, which is written as a version of its own and committed by a
+    small record afterwards. A reader (:func:`current_version`) sees whole versions
+    only, at any time; a replayed micro-batch writes its version again."""
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        before = _version(spark, out_path, batch_id)
+        changed = batch
+        if before is not None:
+            old = spark.read.parquet(f"{out_path}/versions/v{before}")
+            if keys:
+                new = batch.select(*[F.col(k).alias(f"__new_{k}") for k in keys])
+                same = [F.col(k).eqNullSafe(F.col(f"__new_{k}")) for k in keys]
+                changed = batch.unionByName(old.join(new, same, "left_anti"))
+            elif batch.isEmpty():
+                changed = old
+        changed.write.mode("overwrite").parquet(f"{out_path}/versions/v{batch_id}")
+        (spark.range(1).select(F.lit(batch_id).cast("long").alias("version")).coalesce(1)
+              .write.mode("overwrite").parquet(f"{out_path}/commits/c{batch_id}"))
+
+    q = (agg.writeStream.outputMode("update").foreachBatch(write)
+         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    q.awaitTermination()
+
+
+def _version(spark: SparkSession, out_path: str, below: int | None = None) -> int | None:
+    """The newest committed version (below a number)."""
+    commits = read_optional(spark, f"{out_path}/commits/*", "parquet")
+    if commits is None:
+        return None
+    rows = commits if below is None else commits.where(F.col("version") < below)
+    return rows.agg(F.max("version")).first()[0]
+
+
+def current_version(spark: SparkSession, out_path: str) -> DataFrame | None:
+    """The newest whole result of :func:`run_update`; None before the first."""
+    version = _version(spark, out_path)
+    return None if version is None else spark.read.parquet(f"{out_path}/versions/v{version}")
+
+
 def run_append(rows: DataFrame, out_path: str, checkpoint: str,
                batch_col: str = "_batch_id") -> None:
     """Drive an append stream: each micro-batch lands in its own
