@@ -87,8 +87,8 @@ class Taker:
     """Takes messages of a stream in portions of an exact size.
 
     ``path`` holds the numbered log (a folder per micro-batch), the count of each micro-batch
-    and the portions taken; ``checkpoint`` is the stream's. All are overwritten by
-    number, so a micro-batch or portion that runs again leaves the same tables.
+    and the portions taken; ``checkpoint`` is the stream's. All are written by
+    number, the count of a micro-batch last, so one that runs again is counted once.
     A new object over the same folders goes on behind the last portion."""
 
     def __init__(self, spark: SparkSession, path: str, checkpoint: str, order: Sequence[str] = POSITION):
@@ -115,8 +115,16 @@ class Taker:
            .partitionBy(key).parquet(f"{self.path}/{name}"))
 
     def _log(self, batch: DataFrame, batch_id: int) -> int:
-        """Numbers and logs a micro-batch; returns the messages logged so far."""
-        before = self._counts().where(F.col("_batch_id") < batch_id).agg(F.coalesce(F.sum("messages"), F.lit(0))).first()[0]
+        """Numbers and logs a micro-batch; returns the messages logged so far.
+
+        One whose count is committed runs again only if the stream was stopped before its own
+        commit: it is left as it is, as portions of it may be in use."""
+        own = F.col("_batch_id") == batch_id
+        before, done, known = self._counts().agg(
+            F.coalesce(F.sum(F.when(F.col("_batch_id") < batch_id, F.col("messages"))), F.lit(0)),
+            F.sum(F.when(own, F.col("messages"))), F.count_if(own)).first()
+        if known:
+            return before + done
         arrived = ordered.stored(batch, "micro-batch")
         n = arrived.count()
         rows = ordered.positions(arrived, self.order, col="__seq")
