@@ -39,8 +39,7 @@ def op3_dual_tree_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 def toxicity_model(spark: SparkSession, sf_dir: str, docs: DataFrame) -> dict:
     """Network trained on the labelled rows that are not held out."""
     labels = _table(spark, sf_dir, "labels").select("doc_id", F.col("toxic").alias("label"))
-    known = docs.where(_folds(docs, 5) != 0).select("doc_id", "text").join(labels, "doc_id")
-    return toxicity.fit(known.select("text", "label"))
+    return toxicity.fit_joined(docs.where(_folds(docs, 5) != 0).select("doc_id", "text"), labels)
 
 
 def op2_gated_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

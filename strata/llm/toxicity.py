@@ -175,7 +175,11 @@ def _gradients(model: dict, f: Features, windows: np.ndarray, slope: np.ndarray)
 
 
 def _start(f: Features, labels: np.ndarray, rng) -> tuple[dict, np.ndarray]:
-    """First weights, and each word's evidence: how much oftener label 1 has its rarest n-gram."""
+    """First weights, and each word's evidence: how much oftener label 1 has its rarest n-gram.
+
+    The first channel of an n-gram's embedding starts at its evidence (a score of how much
+    oftener label 1 has it), the others at random. Training also learns without that, from
+    more texts and in more passes."""
     def normal(*shape, by=0.3):
         return rng.normal(0, by, shape).astype(np.float32)
     model = {"word": normal(BUCKETS, DIM, by=0.02), "gram": normal(BUCKETS, DIM, by=0.02),
@@ -184,15 +188,12 @@ def _start(f: Features, labels: np.ndarray, rng) -> tuple[dict, np.ndarray]:
         model |= {"W" + d: normal(DIM, 3 * HIDDEN), "U" + d: normal(HIDDEN, 3 * HIDDEN),
                   "B" + d: np.zeros(3 * HIDDEN, np.float32)}
         model["B" + d][:HIDDEN] = -1
-    text = np.repeat(np.arange(len(labels)), np.diff(f.offsets))
-    pairs = np.unique(text * np.int64(f.pad + 1) + f.word_of)
-    text, word = pairs // (f.pad + 1), pairs % (f.pad + 1)
-    count = f.gram_count[word]
-    flat = np.repeat(f.gram_starts[word] - (np.cumsum(count) - count), count) + np.arange(int(count.sum()))
-    seen = np.unique(np.repeat(text, count) * np.int64(BUCKETS) + f.grams[flat])
-    label = labels[seen // BUCKETS]
-    ones = np.bincount(seen % BUCKETS, label, BUCKETS)
-    zeros = np.bincount(seen % BUCKETS, 1 - label, BUCKETS)
+    ones, zeros = np.zeros(BUCKETS), np.zeros(BUCKETS)
+    for label, a, b in zip(labels.tolist(), f.offsets[:-1].tolist(), f.offsets[1:].tolist(), strict=True):
+        word = np.unique(f.word_of[a:b])        # a text at a time, so that memory is that of the longest
+        count = f.gram_count[word]
+        flat = np.repeat(f.gram_starts[word] - (np.cumsum(count) - count), count) + np.arange(int(count.sum()))
+        (ones if label else zeros)[np.unique(f.grams[flat])] += 1
     rate = (ones + zeros + 1) / (len(labels) + 2)
     p, q = ones / max(1, labels.sum()), zeros / max(1, (1 - labels).sum())
     z = (p - q) / np.sqrt(rate * (1 / max(1, labels.sum()) + 1 / max(1, (1 - labels).sum())))
@@ -232,21 +233,34 @@ def train(texts: pa.Array, labels: np.ndarray, weights: np.ndarray, epochs: int
 
 def fit(labelled: DataFrame, text_col: str = "text", label_col: str = "label", sample: int = SAMPLE) -> dict:
     """Train on at most ``sample`` distinct texts per class, chosen by hash of the text."""
-    rows = labelled.select(F.col(text_col).alias("text"), F.col(label_col).cast("int").alias("label")).where("label in (0, 1)")
-    sizes = {r.label: r.n for r in rows.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
-    total = sum(sizes.values())
+    rows = labelled.select(F.col(text_col).alias("text"), F.col(label_col).cast("int").alias("label"), F.xxhash64(text_col).alias("hash"))
+    return _fit(rows.select("label", "hash"), rows.where("label in (0, 1)").select("hash", "text"), sample)
+
+
+def fit_joined(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text_col: str = "text", label_col: str = "label",
+               sample: int = SAMPLE) -> dict:
+    """:func:`fit` of the documents that have labels under the same ``key``.
+
+    Texts are hashed before the join: ids and hashes are shuffled, and the texts of the
+    sample alone are fetched by their hashes."""
+    hashed = docs.select(F.col(key).alias("id"), F.xxhash64(text_col).alias("hash"))
+    marks = labels.select(F.col(key).alias("id"), F.col(label_col).cast("int").alias("label"))
+    return _fit(hashed.join(marks, "id").select("label", "hash"), docs.select(F.xxhash64(text_col).alias("hash"), F.col(text_col).alias("text")), sample)
+
+
+def _fit(rows: DataFrame, texts: DataFrame, sample: int) -> dict:
+    """Train on the ``(hash, text)`` rows of at most ``sample`` hashes per class of ``(label, hash)``."""
+    kinds = saved(rows.where("label in (0, 1)").groupBy("label", "hash").agg(F.count(F.lit(1)).alias("n")), "texts")
+    sizes = {r.label: (r.rows, r.kinds) for r in kinds.groupBy("label").agg(F.sum("n").alias("rows"), F.count(F.lit(1)).alias("kinds")).collect()}
+    total = sum(n for n, _ in sizes.values())
     if len(sizes) < 2:
-        return {"share": sizes.get(1, 0) / total if total else 0.0}
-    # Texts are told apart by hash, so that only those of the sample are sent on.
-    rows = rows.withColumn("hash", F.xxhash64("text"))
-    texts = saved(rows.select("label", "hash").distinct(), "texts")
-    chosen = pa.concat_tables([texts.where(F.col("label") == k).orderBy("hash").limit(sample).toArrow() for k in (0, 1)])
-    chosen = F.broadcast(labelled.sparkSession.createDataFrame(chosen))
-    table = (rows.join(chosen, ["label", "hash"]).groupBy("label", "hash").agg(F.min("text").alias("text"))
+        return {"share": sizes[1][0] / total if 1 in sizes else 0.0}
+    chosen = pa.concat_tables([kinds.where(F.col("label") == k).orderBy("hash").limit(sample).select("label", "hash").toArrow() for k in (0, 1)])
+    chosen = F.broadcast(rows.sparkSession.createDataFrame(chosen))
+    table = (texts.join(chosen, "hash").groupBy("label", "hash").agg(F.min("text").alias("text"))
              .orderBy("label", "hash").toArrow().combine_chunks())
     labels = table["label"].to_numpy().astype(np.float64)
-    kinds = {r.label: r.n for r in texts.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
-    weights = np.where(labels == 1, kinds[1] / labels.sum(), kinds[0] / (1 - labels).sum())
+    weights = np.where(labels == 1, sizes[1][1] / labels.sum(), sizes[0][1] / (1 - labels).sum())
     weights = weights / weights.mean()
     return train(table["text"].combine_chunks(), labels, weights)
 
@@ -281,4 +295,4 @@ def score(docs: DataFrame, model: dict, carry: list[str] | None = None, text_col
     return scored.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(carry)], *added)
 
 
-__all__ = ["fit", "train", "score", "Features"]
+__all__ = ["fit", "fit_joined", "train", "score", "Features"]
