@@ -41,6 +41,9 @@ notification pager pagination popup promo promoted promotion recommended related
 sharing sidebar signup site-footer site-header social sponsor sponsored subscribe subscription tags toolbar widget
 widgets""".split())
 _NOT = frozenset("no not with without has have".split())   # first parts of names that tell of another element
+_TALK = frozenset("comment comments disqus discussion replies reply respond".split())   # readers' words
+_HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+_FEW = 8    # words of an article's own, headings left out, below which a named part may be its body
 
 _TOKENS = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<(" + "|".join(_SKIPPED.split()) + r")\b[^>]*>.*?(?:</\1\s*>|\Z)"
@@ -50,36 +53,43 @@ _HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|$)|display\s*:\s*none", re.I)
 
 
 def _looks(tag: str, attributes: str) -> int:
-    """2 for a part that is never the article, 1 for an element that its name (or being
-    a form) makes one unless it holds the article, else 0.
+    """2 for a part that is never the article, 1 for a form, 3 for an element whose name
+    tells that it is set aside, 4 where it tells of readers' comments, else 0.
 
     Of a compound name the last part says what the element is."""
     if tag in _OUTSIDE and tag != "form" or attributes and tag not in ("html", "body") and _HIDDEN.search(attributes):
         return 2
     if tag == "form":
         return 1
+    look = 0
     for found in _NAMES.findall(attributes) if "=" in attributes and tag not in _PAGE else ():
         for name in " ".join(found).lower().replace("_", "-").split():
             parts = name.split("-")
             if name in _ASIDE_WORDS or parts[-1] in _ASIDE_WORDS and parts[0] not in _NOT:
-                return 1
-    return 0
+                look = max(look, 4 if name in _TALK or parts[-1] in _TALK else 3)
+    return look
 
 
 def _outside(tags: list[str], parents: list[int], looks: list[int], items: list[tuple[str, str, int, bool]]) -> list[bool]:
     """Whether each element is, or is within, a part that is never the article.
 
-    A name does not decide for an element around the longest article or main, nor for one
-    with half the words or more of the longest article (without article: main, page)."""
+    A name does not decide for an element around the longest article or main. Nor does
+    it for one with half the words or more of the longest article (without article: main, page) if this has
+    no text of its own beside its headings and named parts: comments and sidebars next to
+    an article's text stay out however long they are, and comments always. A form with half the words counts as the article."""
     out = [False] * len(tags)
     for e in range(1, len(tags)):
         out[e] = out[parents[e]] or looks[e] == 2
-    if 1 not in looks:
+    if not {1, 3, 4} & set(looks):
         return out
-    words = [0] * len(tags)
+    words, body, heading = [0] * len(tags), [0] * len(tags), 0
     for kind, value, e, _ in items:
         if kind == "#text":
-            words[e] += len(value.split())
+            n = len(value.split())
+            words[e] += n
+            body[e] += 0 if heading else n
+        elif kind.lstrip("/") in _HEADINGS:
+            heading = 0 if kind[0] == "/" else 1
     for e in range(len(tags) - 1, 0, -1):
         words[parents[e]] += words[e]
     base, around = 0, set()
@@ -90,11 +100,15 @@ def _outside(tags: list[str], parents: list[int], looks: list[int], items: list[
             while e > 0:
                 e = parents[e]
                 around.add(e)
-    inside = [False] * len(tags)
+    inside, named, own = [False] * len(tags), [False] * len(tags), 0
     for e in range(len(tags)):
         inside[e] = e == base or e > 0 and inside[parents[e]]
-        major = inside[e] and 2 * words[e] >= words[base]
-        out[e] = e > 0 and out[parents[e]] or looks[e] == 2 or looks[e] == 1 and not (major or e in around)
+        named[e] = e not in around and e != base and (looks[e] in (2, 3, 4) or e > 0 and named[parents[e]])
+        if inside[e] and not named[e]:
+            own += body[e]
+    for e in range(len(tags)):
+        major = inside[e] and 2 * words[e] >= words[base] and (looks[e] == 1 or looks[e] == 3 and own < _FEW)
+        out[e] = e > 0 and out[parents[e]] or looks[e] == 2 or looks[e] in (1, 3, 4) and not (major or e in around)
     return out
 
 
@@ -160,6 +174,20 @@ def learn(pages: list[str]) -> dict[str, float]:
     return {tag: -max(LEAST, MOST * x * x) for tag, x in share.items()}
 
 
+def best_region(values: list[float]) -> tuple[int, int] | None:
+    """First and last place of the run of greatest sum, by one scan; None if no sum is above 0.
+
+    Of equal sums the run that ends first."""
+    best, total, begin, region = 0.0, 0.0, 0, None
+    for i, value in enumerate(values):
+        if total <= 0:
+            total, begin = 0.0, i
+        total += value
+        if total > best:
+            best, region = total, (begin, i)
+    return region
+
+
 def extract(page: str | None, weights: dict[str, float]) -> str:
     """The page's main text: blocks in order, joined by an empty line."""
     blocks: list[list[str]] = [[]]
@@ -182,14 +210,8 @@ def extract(page: str | None, weights: dict[str, float]) -> str:
             blocks.append([])
         elif name == "br":
             blocks[-1].append(" ")
-    best, total, begin, region = 0.0, 0.0, 0, (0, -1)
-    for i, (value, _) in enumerate(path):
-        if total <= 0:
-            total, begin = 0.0, i
-        total += value
-        if total > best:
-            best, region = total, (begin, i)
-    if region[1] < 0:
+    region = best_region([value for value, _ in path])
+    if region is None:
         return ""
     texts = (" ".join(unescape("".join(parts)).split())
              for parts in blocks[path[region[0]][1]:path[region[1]][1] + 1])
@@ -197,10 +219,15 @@ def extract(page: str | None, weights: dict[str, float]) -> str:
 
 
 def fit(pages: DataFrame, html_col: str = "html", sample: int = SAMPLE) -> dict[str, float]:
-    """Weights from at most ``sample`` pages that mark their article, chosen by hash."""
-    rows = (pages.select(F.col(html_col).alias("html")).where(F.col("html").rlike("(?i)<(article|main)[ >]"))
-            .orderBy(F.xxhash64("html")).limit(sample).toArrow())
-    return learn(rows["html"].to_pylist())
+    """Weights from at most ``sample`` distinct pages that mark their article, chosen by hash.
+
+    The hashes are chosen first, so that only the sample's pages leave their tasks."""
+    rows = (pages.select(F.col(html_col).alias("html"), F.xxhash64(html_col).alias("hash"))
+            .where(F.col("html").rlike("(?i)<(article|main)[ >]")))
+    chosen = rows.select("hash").distinct().orderBy("hash").limit(sample).toArrow()
+    chosen = F.broadcast(pages.sparkSession.createDataFrame(chosen))
+    found = rows.join(chosen, "hash").groupBy("hash").agg(F.min("html").alias("html")).orderBy("hash").toArrow()
+    return learn(found["html"].to_pylist())
 
 
 def main_text(pages: DataFrame, weights: dict[str, float], html_col: str = "html") -> DataFrame:
@@ -219,4 +246,4 @@ def main_text(pages: DataFrame, weights: dict[str, float], html_col: str = "html
     return rows.mapInArrow(run, schema + ", text string")
 
 
-__all__ = ["tokens", "learn", "extract", "fit", "main_text"]
+__all__ = ["tokens", "learn", "best_region", "extract", "fit", "main_text"]

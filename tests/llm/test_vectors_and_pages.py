@@ -155,3 +155,50 @@ def test_pipeline_leaves_no_passage_of_51_words_twice(spark):
     seen = [tuple(w[k:k + 51]) for w in kept.values() for k in range(len(w) - 50)]
     assert len(kept) == 12 and len(seen) == len(set(seen))
     assert [len(kept[i]) for i in range(12)] == [140] * 3 + [80] * 9
+
+
+@pytest.mark.parametrize("times", [0.5, 1, 2, 5, 40])
+@pytest.mark.parametrize("page", [
+    "<article><h1>Title</h1>{text}<section class='comments'>{more}</section></article>",
+    "<article><h1>Title</h1>{text}</article><div id='comments'>{more}</div>",
+    "<main><div>{text}</div><div class='sidebar'>{more}</div></main>",
+    "<div class='post'>{text}</div><div class='comments'>{more}</div>",
+    "<article>{text}<div class='ad-banner'>{more}</div></article>",
+    "<main class='no-sidebar'><article class='has-comments'>{text}<ul class='reader-replies'><li>{more}</li></ul></article></main>",
+])
+def test_readers_and_sidebars_stay_out_however_long(page, times):
+    text = "".join(f"<p>{' '.join(f'word{i}{k}' for k in range(20))}.</p>" for i in range(4))
+    more = "".join(f"<p>{' '.join(f'noise{i}{k}' for k in range(10))}</p>" for i in range(max(1, int(8 * times))))
+    got = extract(page.format(text=text, more=more), {"p": -0.1, "/p": -0.1, "div": -1.0, "/div": -1.0})
+    assert "noise" not in got and got.count("word") == 80
+
+
+def test_a_named_part_is_the_article_where_nothing_else_is(spark):
+    text = " ".join(f"word{k}" for k in range(60))
+    for page in ("<article><h1>Some title of the article here</h1><div class='widget'><p>{}</p></div></article>",
+                 "<form><div><p>{}</p></div></form>", "<body class='comments-open sidebar'><p>{}</p></body>"):
+        assert extract(page.format(text), {}).count("word") == 60
+    assert "word" not in extract(f"<article><h1>Title</h1><div class='comments'><p>{text}</p></div></article>", {})
+
+
+def test_best_region_by_comparing_all_runs():
+    from strata.llm.main_text import best_region
+    rng = np.random.default_rng(6)
+    for n in [0, 1, 2, 3, 8, 20, 40] * 12:
+        values = [float(v) for v in rng.integers(-6, 4, n)]
+        runs = [(sum(values[i:j + 1]), -j, i) for i in range(n) for j in range(i, n)]
+        best = max((r[0] for r in runs), default=0)
+        got = best_region(values)
+        if best <= 0:
+            assert got is None
+        else:
+            assert sum(values[got[0]:got[1] + 1]) == best
+            assert got[1] == min(-r[1] for r in runs if r[0] == best)
+
+
+def test_weights_come_from_distinct_pages_and_an_empty_table_has_none(spark):
+    from strata.llm import main_text as M
+    pages = [f"<div><nav>menu</nav><article><p>text {i}</p></article></div>" for i in range(5)]
+    df = spark.createDataFrame([(i, p) for i, p in enumerate(pages * 3)] + [(99, None), (100, "<p>no article</p>")], "page_id long, html string")
+    assert M.fit(df) == learn(sorted(pages)) and M.fit(df.limit(0)) == {}
+    assert len(M.fit(df, sample=2)) > 0
