@@ -136,6 +136,15 @@ def zone_left_join(spark: SparkSession, sf: str) -> DataFrame:
                                        "pickup_zone_name")
 
 
+def heavy_key_join(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders joined to customers as to a dimension too large to broadcast, with a third
+    of the orders at one customer (and another part at none)."""
+    orders = _t(spark, sf, "orders").select("o_orderkey", F.when(F.col("o_orderkey") % 3 == 0, F.lit(1)).when(
+        F.col("o_orderkey") % 7 > 0, F.col("o_custkey")).alias("customer"))
+    return enrich.enrich(orders, _t(spark, sf, "customer"), "customer", "c_custkey",
+                         {"c_name": "c_name", "c_nationkey": "c_nationkey"}, broadcast_bytes=0, salt=True)
+
+
 def zone_match_count(spark: SparkSession, sf: str) -> DataFrame:
     return enrich.match_count(zone_left_join(spark, sf), "pickup_zone_name")
 

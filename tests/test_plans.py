@@ -87,7 +87,7 @@ def test_hot_key_join_is_split_by_aqe(spark):
         facts = spark.range(30000).selectExpr(
             "case when id % 3 = 0 then 7 else id end as k", "id as v")
         dim = spark.range(30000).selectExpr("id as key", "concat('n', id) as name")
-        j = enrich.enrich(facts, dim, "k", "key", {"name": "name"}, broadcast_rows=None)
+        j = enrich.enrich(facts, dim, "k", "key", {"name": "name"}, broadcast_bytes=None)
         rows = j.collect()          # runs this plan, so explain shows the final one
         assert len(rows) == 30000
         assert sum(1 for r in rows if r.k == 7 and r.name == "n7") == 10001  # hot key + id 7
