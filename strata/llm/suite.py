@@ -131,7 +131,34 @@ QUERIES = {
     "op13_bin_sketch": op13_bin_sketch,
 }
 
+# Roots by following links from every row; a link table ``links(a, b)`` holds both directions.
+_ROOTS = """reach AS (SELECT DISTINCT a AS node, a AS root FROM links UNION SELECT l.b, r.root FROM reach r JOIN links l ON r.node = l.a),
+roots AS (SELECT node, min(root) AS root FROM reach GROUP BY node)"""
+
 ORACLE_SQL: dict[str, str] = {
+    "op1_cover_tree_groups": f"""
+WITH RECURSIVE sound AS (SELECT vec_id, label, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND label IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links AS (SELECT p.vec_id AS a, q.vec_id AS b FROM sound p JOIN sound q ON p.label = q.label AND p.vec_id <> q.vec_id
+  WHERE list_cosine_similarity(p.v, q.v) >= 0.93),
+{_ROOTS},
+counts AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+SELECT vec_id, coalesce(n, 0) AS n_links, coalesce(root, vec_id) AS component_id, coalesce(root, vec_id) = vec_id AS kept
+FROM embeddings LEFT JOIN counts ON a = vec_id LEFT JOIN roots ON node = vec_id""",
+    "op8_jaccard_join": f"""
+WITH RECURSIVE words AS (SELECT doc_id, list_filter(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w
+  FROM documents),
+sets AS (SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) END AS s FROM words),
+tokens AS (SELECT doc_id, len(s) AS n, unnest(s) AS t FROM sets),
+links AS (SELECT p.doc_id AS a, q.doc_id AS b FROM tokens p JOIN tokens q ON p.t = q.t AND p.doc_id <> q.doc_id
+    AND 100 * least(p.n, q.n) >= 80 * greatest(p.n, q.n)
+  GROUP BY p.doc_id, q.doc_id, p.n, q.n HAVING 100 * count(*) >= 80 * (p.n + q.n - count(*))),
+{_ROOTS}
+SELECT doc_id, len(s) AS n_shingles, coalesce(root, doc_id) AS component_id
+FROM sets LEFT JOIN roots ON node = doc_id""",
     "op3_dual_tree_top_k": """
 WITH sound AS (SELECT vec_id, list_transform(embedding, lambda x: floor(64 * CAST(x AS DOUBLE))) AS v FROM embeddings
   WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
