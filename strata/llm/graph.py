@@ -55,4 +55,19 @@ def components(edges: DataFrame) -> DataFrame:
     return current.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(roots)
 
 
-__all__ = ["components", "saved"]
+def merged(groups: DataFrame, edges: DataFrame) -> DataFrame:
+    """``(node, root)`` of ``groups`` after more ``edges(a, b)``, between any nodes.
+
+    Only the roots that the edges touch (and nodes new in them) make up the graph whose
+    components are looked for."""
+    ends = edges
+    for c in "ab":
+        of = groups.select(F.col("node").alias(f"{c}_node"), F.col("root").alias(f"{c}_root"))
+        ends = ends.join(of, F.col(c) == F.col(f"{c}_node"), "left").withColumn(f"{c}_top", F.coalesce(f"{c}_root", c))
+    over = saved(components(ends.select(F.col("a_top").alias("a"), F.col("b_top").alias("b"))), "merged")
+    known = groups.join(over.select(F.col("node").alias("old"), F.col("root").alias("top")), F.col("root") == F.col("old"), "left")
+    new = over.join(groups.select("node"), "node", "left_anti")
+    return saved(known.select("node", F.coalesce("top", "root").alias("root")).unionByName(new.select("node", "root")), "groups")
+
+
+__all__ = ["components", "merged", "saved"]

@@ -2,8 +2,9 @@
 
 1. *Groups.* Documents with equal sets collapse to one key. Keys that agree
    in several min-hashes with the leader of their buckets are compared with it; the
-   components of the verified links are the groups (every other key is a group
-   of its own).
+   components of the verified links are the groups. Keys outside all groups then
+   meet other leaders, chosen anew in every round and from grown groups first, until
+   none joins any more (every key left is a group of its own).
 2. *Matrix.* Tokens have one global order: ordinary tokens by hash, frequent
    ones last. A set's prefix is its first ``n - ceil(t n) + 1`` tokens. The
    matrix holds, per token and group, the union of the members' prefixes with
@@ -32,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata.llm.bitmap import bitmap, hit
-from strata.llm.graph import components, saved
+from strata.llm.graph import components, merged, saved
 from strata.llm.words import mix, shingle_sets, slices
 
 FREQUENT_TOKENS = 1 << 16   # size of the table of frequent tokens
@@ -41,7 +42,10 @@ COUNTED_AT_ONCE = 1 << 21   # shingles counted together; a token below CHUNK_LEA
 CHUNK_LEAST = 4
 HASHES = 12         # min-hashes per set
 PROBES = 32         # members of a large group compared first
+WIDER = 3           # growth of the portions compared after them
 AGREE = 4           # of these, to be compared with a bucket's leader
+LIKELY = 6          # of these, to be compared with another leader later
+ROUNDS = 2          # times that keys outside all groups look for another leader, at most
 
 _ODD = mix(np.arange(1, HASHES + 1, dtype=np.uint64)) | np.uint64(1)
 
@@ -194,14 +198,14 @@ def _bucket_pairs(sets: DataFrame, num: int, den: int) -> DataFrame:
             .where(F.col("agree") >= AGREE).select("a", "b"))
 
 
-def _opened(sets: DataFrame, groups: DataFrame, num: int, den: int) -> tuple[DataFrame, DataFrame]:
-    """Query sets with the groups their bound opens, and the groups' members."""
-    spark = sets.sparkSession
+def _shared_tokens(sets: DataFrame, tokens: Column) -> DataFrame:
+    """``(key, n, last, token)`` of the tokens that more than one key has (and a few more)."""
+    lists = sets.select("key", "n", "last", tokens.alias("tokens"))
     # Tokens of one key alone match nothing.
-    crossing = (sets.select(F.explode("prefix").alias("token"), F.xxhash64("key").alias("g"))
+    crossing = (lists.select(F.explode("tokens").alias("token"), F.xxhash64("key").alias("g"))
                 .groupBy("token").agg(F.min("g").alias("lo"), F.max("g").alias("hi"))
                 .where("lo <> hi").select(F.col("token").alias("cell")))
-    shared = spark.sparkContext.broadcast(bitmap(crossing))
+    shared = sets.sparkSession.sparkContext.broadcast(bitmap(crossing))
 
     def pick(batches):
         for batch in batches:
@@ -216,8 +220,38 @@ def _opened(sets: DataFrame, groups: DataFrame, num: int, den: int) -> tuple[Dat
             yield pa.RecordBatch.from_arrays([*rest.columns, pa.array(tokens[keep])],
                                              names=["key", "n", "last", "token"])
 
-    found = (sets.select("key", "n", "last", "prefix")
-             .mapInArrow(pick, "key binary, n long, last long, token long").distinct())
+    return lists.mapInArrow(pick, "key binary, n long, last long, token long").distinct()
+
+
+def _grown(texts: DataFrame, sets: DataFrame, groups: DataFrame, num: int, den: int) -> DataFrame:
+    """``groups`` with the keys that join one when they are compared with further leaders.
+
+    Each bucket of equal min-hashes has one leader a round, so a key is compared with
+    at most HASHES of them, and only where their min-hashes make a link likely."""
+    cells = saved(_shared_tokens(sets, F.transform("mins", lambda m, r: F.xxhash64(m, r))), "cells")
+    mins = saved(sets.select("key", "mins").distinct(), "mins")
+    for seed in range(ROUNDS):
+        inside = groups.select(F.col("node").alias("key"), F.lit(1).alias("inside")).distinct()
+        rows = cells.join(inside, "key", "left").withColumn("inside", F.coalesce("inside", F.lit(0)))
+        order = F.xxhash64("key", F.lit(seed)).alias("o")
+        leaders = (rows.groupBy("token").agg(F.max(F.struct("inside", order, "key", "n")).alias("l"), F.min("inside").alias("least"))
+                   .where("least = 0").select("token", F.col("l.key").alias("b"), F.col("l.n").alias("bn")))
+        tried = (rows.where("inside = 0").join(leaders, "token").where("key <> b")
+                 .where((F.least("n", "bn") * den >= F.greatest("n", "bn") * num))
+                 .select(F.col("key").alias("a"), "b").distinct())
+        x, y = (mins.select(F.col("key").alias(c), F.col("mins").alias(f"{c}_mins")) for c in "ab")
+        agree = F.size(F.filter(F.zip_with("a_mins", "b_mins", lambda p, q: p == q), lambda same: same))
+        likely = tried.join(x, "a").join(y, "b").where(agree >= LIKELY).select("a", "b")
+        more = saved(verify(texts, likely, num, den), "links")
+        if more.isEmpty():
+            break
+        groups = merged(groups, more)
+    return groups
+
+
+def _opened(sets: DataFrame, groups: DataFrame, num: int, den: int) -> tuple[DataFrame, DataFrame]:
+    """Query sets with the groups their bound opens, and the groups' members."""
+    found = _shared_tokens(sets, F.col("prefix"))
     rows = saved(found.join(groups, found.key == groups.node, "left")
                  .select("key", "n", "last", "token", F.coalesce("root", "key").alias("grp")), "postings")
     matrix = (rows.groupBy("token", F.col("grp").alias("other"))
@@ -261,21 +295,31 @@ def near_duplicate_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str
     sets = saved(describe(texts, frequent_tokens(texts), num, den), "sets")
     filled = sets.where("n > 0")
     links = saved(verify(texts, _bucket_pairs(filled, num, den), num, den), "links")
-    groups = saved(components(links), "groups")
+    groups = _grown(texts, filled, saved(components(links), "groups"), num, den)
     opened, members = _opened(filled, groups, num, den)
-    # A large group is probed first; one link makes the query a member, so that only
-    # queries still outside are compared with every member.
-    probe = (F.col("size") <= 2 * PROBES) | (F.pmod(F.xxhash64("b"), F.col("size")) < PROBES)
-    more = verify(texts, _member_pairs(opened, members.where(probe), num, den), num, den)
-    roots = saved(components(groups.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(more)), "roots")
-    of_query = roots.select(F.col("node").alias("key"), F.col("root").alias("r"))
-    of_group = roots.select(F.col("node").alias("other"), F.col("root").alias("s"))
-    outside = (opened.join(of_query, "key", "left").join(of_group, "other")
-               .where(F.coalesce("r", "key") != F.col("s")).select("key", "n", "other"))
-    rest = saved(_member_pairs(outside, members.where(~probe), num, den), "rest")
-    if not rest.isEmpty():
-        more = verify(texts, rest, num, den)
-        roots = components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(more))
+    # One link makes a query a member, so a large group's members are compared in portions,
+    # each WIDER times the one before, and only with the queries still outside: a query that is linked
+    # with one member in a hundred meets a few hundred of them however many there are.
+    place, first, last = F.pmod(F.xxhash64("b"), F.col("size")), 0, PROBES
+    largest = members.agg(F.max("size")).first()[0] or 0
+    roots, outside = groups, opened
+    while True:
+        here = (place >= first) & (place < last)
+        if not first:
+            here = here | (F.col("size") <= 2 * PROBES)
+        else:
+            here = here & (F.col("size") > 2 * PROBES)
+            of_query = roots.select(F.col("node").alias("key"), F.col("root").alias("r"))
+            of_group = roots.select(F.col("node").alias("other"), F.col("root").alias("s"))
+            outside = (opened.join(of_query, "key", "left").join(of_group, "other")
+                       .where(F.coalesce("r", "key") != F.col("s")).select("key", "n", "other"))
+        pairs = saved(_member_pairs(outside, members.where(here), num, den), "rest")
+        if not pairs.isEmpty():
+            more = verify(texts, pairs, num, den)
+            roots = merged(roots, more)
+        if last >= largest or largest <= 2 * PROBES:
+            break
+        first, last = last, WIDER * last
     placed = (sets.select("id", "n", "key").join(roots, sets.key == roots.node, "left")
               .select("id", "n", F.coalesce("root", "key").alias("root")))
     placed = saved(placed, "placed")
