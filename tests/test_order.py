@@ -14,7 +14,7 @@ PROMISED = {
     "daily_revenue": "pickup_date",
     "zone_performance": "revenue_rank, pickup_zone_name",
     "hourly_demand": "pickup_hour, is_weekend",
-    "zone_summary": "total_revenue DESC NULLS LAST, pickup_zone",
+    "zone_summary": "total_revenue DESC NULLS LAST, pickup_zone_name",
     "payment_label": '"count" DESC, payment_label',
     "sort_and_top": "o_orderpriority ASC NULLS LAST, o_totalprice DESC NULLS LAST, o_orderkey",
     "run_history": "run_ts DESC, batch_id DESC",
