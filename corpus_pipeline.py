@@ -19,9 +19,11 @@ from strata.llm.passages import remove_repeats
 
 
 def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose highest window is likelier clean than toxic."""
+    """Documents whose highest window is likelier clean than toxic; columns of the scores' names stay as they are."""
     model = suite.toxicity_model(spark, sf_dir, docs)
-    return toxicity.score(docs, model).where("toxicity < 0.5").select(*docs.columns)
+    own = {c: f"__kept_{c}" for c in ("toxicity", "n_windows") if c in docs.columns}
+    scored = toxicity.score(docs.withColumnsRenamed(own), model).where("toxicity < 0.5")
+    return scored.select(*[F.col(own.get(c, c)).alias(c) for c in docs.columns])
 
 
 def distinct_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
