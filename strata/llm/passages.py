@@ -27,6 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from strata.llm.bitmap import bitmap, hit
 from strata.llm.graph import saved
@@ -35,6 +36,8 @@ from strata.llm.words import _LOWER, bounds_and_bytes, mix, run_hashes, slices,
 UNIT_WORDS = 4
 MIN_WORDS = 30
 GRAM = 8             # words of a fingerprint
+HELD = 1 << 20       # digests, or runs, dealt together
+PARTS_EACH = 32      # parts that digests are dealt to, per partition of the input
 _STOP = np.zeros(256, bool)
 _STOP[[ord(c) for c in ".!?"]] = True
 
@@ -102,22 +105,107 @@ def _slid(values: np.ndarray, width: int, pick) -> np.ndarray:
     return values
 
 
-def _again(rows: DataFrame, name: str) -> np.ndarray:
-    """Bitmap of the digests that ``rows`` has more than once."""
-    found = saved(rows.groupBy("digest").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("digest"), name)
-    return bitmap(found.select(F.col("digest").alias("cell")))
+def _split(key: np.ndarray, parts: int, *columns: np.ndarray) -> Iterator[tuple]:
+    """Each key below ``parts`` that occurs in the sorted ``key``, with its rows of ``columns``."""
+    bounds = np.searchsorted(key, np.arange(parts + 1))
+    for i in np.flatnonzero(np.diff(bounds)).tolist():
+        yield i, [c[bounds[i]:bounds[i + 1]] for c in columns]
 
 
-def _run_rows(texts: DataFrame, unit_words: int, min_words: int) -> DataFrame:
-    """``(id, mark, place, digest)``: runs of ``min_words`` words that hold, or lie in, an anchor seen again."""
+def _packed(columns: list[np.ndarray]) -> bytes:
+    """64-bit columns in planes of 16 bits, as the upper ones of small numbers take no room once compressed."""
+    return b"".join(np.ascontiguousarray(c.view("<u2").reshape(-1, 4).T).tobytes() for c in columns)
+
+
+def _unpacked(values: pa.ChunkedArray, columns: int) -> list[np.ndarray]:
+    """The columns of all rows of :func:`_packed` bytes, joined."""
+    rows = [np.frombuffer(v.as_buffer(), "<u2").reshape(columns, 4, -1).transpose(0, 2, 1) for v in values if len(v.as_buffer())]
+    if not rows:
+        return [np.zeros(0, np.int64)] * columns
+    return list(np.ascontiguousarray(np.concatenate(rows, axis=1)).view("<i8")[..., 0])
+
+
+def _again(texts: DataFrame, unit_words: int, min_words: int, parts: int) -> np.ndarray:
+    """Bitmap of the anchors that occur more than once (and of a few more: 32 bits and the part tell them apart)."""
+    shift = np.uint64(64 - (parts.bit_length() - 1))
+
     def anchors(batches) -> Iterator[pa.RecordBatch]:
+        def out():
+            digest, n = np.unique(np.concatenate(held), return_counts=True)
+            digest = np.repeat(digest, np.minimum(n, 2))
+            rows = [(i, own.tobytes()) for i, (own,) in _split(digest >> shift, parts, digest.astype("<u4"))]
+            return pa.RecordBatch.from_arrays([pa.array([i for i, _ in rows], pa.int32()), pa.array([r for _, r in rows], pa.binary())],
+                                              names=["part", "digests"])
+        held, size = [], 0
         for batch in batches:
             for part in slices(batch, text=2):
-                digest = Layout(part.column(2)).anchors(unit_words, min_words)[2]
-                yield pa.RecordBatch.from_arrays([pa.array(digest.view(np.int64))], names=["digest"])
-    shared = texts.sparkSession.sparkContext.broadcast(_again(texts.mapInArrow(anchors, "digest long"), "anchors"))
+                held.append(Layout(part.column(2)).anchors(unit_words, min_words)[2])
+                size += len(held[-1])
+                if size >= HELD:
+                    yield out()
+                    held, size = [], 0
+        if size:
+            yield out()
+
+    def seen(table: pa.Table) -> pa.Table:
+        digest, n = np.unique(np.concatenate([np.frombuffer(v.as_buffer(), "<u4") for v in table["digests"]]), return_counts=True)
+        return pa.table({"cell": digest[n > 1].astype(np.int64)})
+    return bitmap(texts.mapInArrow(anchors, "part int, digests binary").groupBy("part").applyInArrow(seen, "cell long"))
+
+
+def _merged(doc: np.ndarray, begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Document, begin and end of the ranges, in order of document and begin, with those that meet made one."""
+    reach = np.maximum.accumulate((doc << 32) + end)
+    new = np.ones(len(doc), bool)
+    new[1:] = (doc[1:] << 32) + begin[1:] > reach[:-1]
+    at = np.flatnonzero(new)
+    return doc[at], begin[at], reach[np.append(at[1:], len(doc)) - 1] & 0xFFFFFFFF if len(at) else reach
+
+
+def _numbered(k: np.ndarray, order: np.ndarray) -> np.ndarray:
+    """Number of each row's document, from sorted rows."""
+    return np.cumsum(np.concatenate([[0], (k[1:] != k[:-1]) | (order[1:] != order[:-1])])[:len(k)]).astype(np.int64)
+
+
+def _run_rows(texts: DataFrame, unit_words: int, min_words: int, parts: int) -> DataFrame:
+    """``(part, runs, known)``: runs of ``min_words`` words that hold, or lie in, an anchor seen again.
+
+    ``runs`` has digest, ``k``, order and place of runs dealt by digest; of those read together only
+    the ones in the text of the earliest. The others are repeats already: ``known`` has their ranges."""
+    context = texts.sparkSession.sparkContext
+    shared = context.broadcast(_again(texts, unit_words, min_words, parts))
+    twins = texts.groupBy("k").agg(F.min("mark").alias("lo"), F.max("mark").alias("hi")).where("lo <> hi")
+    several = context.broadcast(bitmap(twins.select(F.col("k").alias("cell"))))
+    shift = np.uint64(64 - (parts.bit_length() - 1))
+
+    def found(held: list) -> pa.RecordBatch:
+        k, order, many, place, digest = (np.concatenate(x) for x in zip(*held, strict=True))
+        rank = np.lexsort((order, k))
+        begin = (np.cumsum(many) - many)[rank]
+        k, order, many = k[rank], order[rank], many[rank]
+        doc = _numbered(k, order)
+        many[1:][doc[1:] == doc[:-1]] = 0            # rows of one id and text are one occurrence
+        of = np.repeat(np.arange(len(k)), many)      # runs by document and place
+        runs = np.repeat(begin - (np.cumsum(many) - many), many) + np.arange(len(of))
+        place, digest, number = place[runs], digest[runs], doc[of]
+        sort = np.argsort(digest, kind="stable")
+        digest, of, place, number = digest[sort], of[sort], place[sort], number[sort]
+        new = np.ones(len(digest), bool)
+        new[1:] = digest[1:] != digest[:-1]
+        own = number == number[np.maximum.accumulate(np.where(new, np.arange(len(new)), 0))]
+        rows = [(i, _packed(c), b"") for i, c in _split(
+            digest[own] >> shift, parts, digest[own].view(np.int64), k[of[own]], order[of[own]], place[own])]
+        again = np.sort((of[~own] << 32) + place[~own])
+        of, begin, end = _merged(again >> 32, again & 0xFFFFFFFF, (again & 0xFFFFFFFF) + min_words)
+        part = (mix(k[of].view(np.uint64)) % np.uint64(parts)).astype(np.int64)
+        sort = np.argsort(part, kind="stable")
+        rows += [(i, b"", _packed(c)) for i, c in _split(
+            part[sort], parts, k[of][sort], order[of][sort], begin[sort], (end - begin)[sort])]
+        return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), *(
+            pa.array([r[j] for r in rows], pa.binary()) for j in (1, 2))], names=["part", "runs", "known"])
 
     def run(batches) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
         for batch in batches:
             for part in slices(batch, text=2):
                 own = Layout(part.column(2))
@@ -130,35 +218,74 @@ def _run_rows(texts: DataFrame, unit_words: int, min_words: int) -> DataFrame:
                 runs = own.runs(min_words)
                 runs = runs[np.cumsum(change)[runs] > 0]
                 text = own.text[runs]
-                row = pa.array(text)
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0).take(row), part.column(1).take(row),
-                     pa.array((runs - own.offsets[text]).astype(np.int32)),
-                     pa.array(own.digests(runs, runs + min_words).view(np.int64))], names=["id", "mark", "place", "digest"])
+                k = part.column(0).to_numpy()
+                held.append((k, np.where(hit(several.value, k), part.column(1).to_numpy() | 1, 0),
+                             np.bincount(text, minlength=len(k)), runs - own.offsets[text], own.digests(runs, runs + min_words)))
+                size += len(runs) + len(k)
+                if size >= HELD:
+                    yield found(held)
+                    held, size = [], 0
+        if held:
+            yield found(held)
 
-    kind = texts.schema["id"].dataType.simpleString()
-    return texts.mapInArrow(run, f"id {kind}, mark long, place int, digest long")
+    return texts.mapInArrow(run, "part int, runs binary, known binary")
 
 
 def repeats(texts: DataFrame, unit_words: int = UNIT_WORDS, min_words: int = MIN_WORDS) -> DataFrame:
-    """``(id, mark, places)``: first word and end of runs of words of each text that occur earlier elsewhere."""
-    rows = saved(_run_rows(texts, unit_words, min_words), "runs")
-    rank = F.struct("id", "mark", "place")
-    first = (rows.groupBy("digest").agg(F.min(rank).alias("first"), F.max(rank).alias("final"))
-             .where("first <> final").select("digest", "first"))
-    first = saved(first, "firsts")
-    shared = texts.sparkSession.sparkContext.broadcast(bitmap(first.select(F.col("digest").alias("cell"))))
-
-    def pick(batches) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            yield batch.filter(pa.array(hit(shared.value, batch.column(3).to_numpy())))
-
-    # Where a text repeats itself at once, the words of the earliest run stay.
-    same = F.col("id").eqNullSafe(F.col("first.id")) & (F.col("mark") == F.col("first.mark"))
-    begin = F.when(same, F.greatest("place", F.col("first.place") + min_words)).otherwise(F.col("place"))
-    return (rows.mapInArrow(pick, rows.schema).join(first, "digest").where(rank != F.col("first"))
-            .groupBy("id", "mark").agg(F.sort_array(F.collect_set(
-                F.struct(begin.alias("begin"), (F.col("place") + min_words).alias("end")))).alias("places")))
+    """``(k, order, places)``: first word and end of what each text of ``texts(k, mark, text)`` has that occurs earlier elsewhere.
+
+    ``k`` is the rank of a text's id. ``order`` is 0, or ``mark | 1`` where texts of one ``k`` may differ."""
+    parts = 1 << (PARTS_EACH * texts.rdd.getNumPartitions() - 1).bit_length()
+    blocks = max(1, parts // 4)
+
+    def pick(table: pa.Table) -> pa.Table:
+        digest, k, order, place = _unpacked(table["runs"], 4)
+        sort = np.argsort(digest, kind="stable")
+        same = digest[sort[1:]] == digest[sort[:-1]]
+        several = np.zeros(len(sort), bool)
+        several[1:] = same
+        several[:-1] |= same
+        sort = sort[several]
+        sort = sort[np.lexsort((place[sort], order[sort], k[sort], digest[sort]))]
+        digest, k, order, place = digest[sort], k[sort], order[sort], place[sort]
+        new = np.ones(len(digest), bool)
+        new[1:] = digest[1:] != digest[:-1]
+        first = np.maximum.accumulate(np.where(new, np.arange(len(new)), 0))
+        same = (k == k[first]) & (order == order[first])
+        # Where a text repeats itself at once, the words of the earliest run stay.
+        begin = np.where(same, np.maximum(place, place[first] + min_words), place)
+        away = ~same | (place != place[first])
+        known = _unpacked(table["known"], 4)
+        k, order, begin, size = (np.concatenate([a[away], b]) for a, b in zip(
+            (k, order, begin, place + min_words - begin), known, strict=True))
+        block = (mix(k.view(np.uint64)) % np.uint64(blocks)).astype(np.int64)
+        sort = np.argsort(block, kind="stable")
+        rows = [(i, _packed(c)) for i, c in _split(block[sort], blocks, k[sort], order[sort], begin[sort], size[sort])]
+        return pa.table({"block": pa.array([i for i, _ in rows], pa.int32()), "ranges": pa.array([r for _, r in rows], pa.binary())})
+
+    def gather(table: pa.Table) -> pa.Table:
+        k, order, begin, size = _unpacked(table["ranges"], 4)
+        sort = np.lexsort((begin, order, k))
+        k, order, begin, size = k[sort], order[sort], begin[sort], size[sort]
+        doc = _numbered(k, order)
+        first = np.searchsorted(doc, np.arange(doc[-1] + 2))
+        doc, begin, end = _merged(doc, begin, begin + size)
+        places = pa.StructArray.from_arrays([pa.array(begin.astype(np.int32)), pa.array(end.astype(np.int32))], names=["begin", "end"])
+        ends = np.searchsorted(doc, np.arange(len(first))).astype(np.int32)
+        return pa.table({"k": k[first[:-1]], "order": order[first[:-1]], "places": pa.ListArray.from_arrays(pa.array(ends), places)})
+
+    return (_run_rows(texts, unit_words, min_words, parts)
+            .groupBy("part").applyInArrow(pick, "block int, ranges binary")
+            .groupBy("block").applyInArrow(gather, "k long, order long, places array<struct<begin: int, end: int>>"))
+
+
+def _ranked(docs: DataFrame, id_col: str) -> DataFrame:
+    """``docs`` with ``__k``, a long in the order of the ids, nulls first: the id itself if that can be."""
+    least = -(1 << 63)
+    if isinstance(docs.schema[id_col].dataType, IntegralType) and docs.where(F.col(id_col) == least).isEmpty():
+        return docs.withColumn("__k", F.coalesce(F.col(id_col).cast("long"), F.lit(least)))
+    ids = docs.select(F.col(id_col).alias("__id")).distinct().orderBy("__id").withColumn("__k", F.monotonically_increasing_id())
+    return docs.join(saved(ids, "ids"), F.col(id_col).eqNullSafe(F.col("__id"))).drop("__id")
 
 
 def _spans(starts: np.ndarray, ends: np.ndarray, base: int, places: pa.StructScalar) -> list[tuple[int, int]]:
@@ -177,11 +304,12 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """``docs`` with repeated passages cut from the text, and ``removed_spans``.
 
     A cut leaves a newline where words stood on both sides of it."""
-    mark = F.xxhash64(text_col)
-    found = repeats(docs.select(F.col(id_col).alias("id"), mark.alias("mark"), F.col(text_col).alias("text")), unit_words, min_words)
-    found = found.select(F.col("id").alias("__id"), F.col("mark").alias("__mark"), F.col("places").alias("__places"))
     rest = [c for c in docs.columns if c != text_col]
-    joined = docs.join(found, F.col(id_col).eqNullSafe(F.col("__id")) & (mark == F.col("__mark")), "left")
+    mark, ranked = F.xxhash64(text_col), _ranked(docs, id_col)
+    found = repeats(ranked.select(F.col("__k").alias("k"), mark.alias("mark"), F.col(text_col).alias("text")), unit_words, min_words)
+    found = found.select(F.col("k").alias("__of"), F.col("order").alias("__order"), F.col("places").alias("__places"))
+    own = (F.col("__order") == 0) | (F.col("__order") == mark.bitwiseOR(F.lit(1).cast("long")))
+    joined = ranked.join(found, (F.col("__k") == F.col("__of")) & own, "left")
     joined = joined.select(*[F.col(f"`{c}`") for c in rest], F.col(text_col), F.col("__places"))
 
     def run(batches) -> Iterator[pa.RecordBatch]:
