@@ -26,6 +26,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from hashlib import blake2b
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -106,7 +107,7 @@ def _in_order(own: np.ndarray, hot: np.ndarray, rank: np.ndarray, mask: np.ndarr
 
 
 def describe(texts: DataFrame, frequent: np.ndarray, num: int, den: int) -> DataFrame:
-    """Per document: set size, set key, prefix, order of its last token, min-hashes."""
+    """Per row of ``texts(id, mark, text)``: set size, set key, prefix, order of its last token, min-hashes."""
     order = np.argsort(frequent)
     hot = frequent[order]
     rank = order.astype(np.int64)
@@ -137,44 +138,42 @@ def describe(texts: DataFrame, frequent: np.ndarray, num: int, den: int) -> Data
                 least = np.array([(own * c).min() for c in _ODD], np.uint64)
                 mins.append(least.view(np.int64))
             yield pa.RecordBatch.from_arrays(
-                [part.column(0), pa.array(size, pa.int64()), pa.array(key, pa.binary()),
+                [part.column(0), part.column(1), pa.array(size, pa.int64()), pa.array(key, pa.binary()),
                  pa.array(prefix, pa.list_(pa.int64())), pa.array(last, pa.int64()),
                  pa.array(mins, pa.list_(pa.int64()))],
-                names=["id", "n", "key", "prefix", "last", "mins"])
+                names=["id", "mark", "n", "key", "prefix", "last", "mins"])
 
     kind = texts.schema["id"].dataType.simpleString()
-    return texts.mapInArrow(run, f"id {kind}, n long, key binary, prefix array<long>, last long,"
+    return texts.mapInArrow(run, f"id {kind}, mark long, n long, key binary, prefix array<long>, last long,"
                                  " mins array<long>")
 
 
-def _cell(key: Column) -> Column:
-    return F.conv(F.hex(F.substring(key, 1, 7)), 16, 10).cast("long")
+class Marked(NamedTuple):
+    """Texts, and the hash of one text of each key: only the sets of such texts are made again."""
 
+    rows: DataFrame     # mark, text
+    marks: DataFrame    # key, mark
 
-def verify(texts: DataFrame, pairs: DataFrame, num: int, den: int) -> DataFrame:
+
+def verify(texts: Marked, pairs: DataFrame, num: int, den: int) -> DataFrame:
     """The pairs of keys ``(a, b)`` whose sets reach the threshold exactly."""
     pairs = saved(pairs, "pairs")
     ends = pairs.select(F.col("a").alias("key")).unionByName(pairs.select(F.col("b").alias("key")))
-    shared = texts.sparkSession.sparkContext.broadcast(bitmap(ends.select(_cell(F.col("key")).alias("cell"))))
+    wanted = ends.distinct()
+    shared = pairs.sparkSession.sparkContext.broadcast(bitmap(wanted.join(texts.marks, "key").select(F.col("mark").alias("cell"))))
 
     def run(batches):
         seen = set()
-        for _, sets in _sets(batches):
-            keys, out = [], []
-            for own in sets:
-                if not len(own):
-                    continue
-                key = _key(own)
-                cell = np.array([int.from_bytes(key[:7], "big")], np.int64)
-                if hit(shared.value, cell)[0] and key not in seen:
-                    seen.add(key)
-                    keys.append(key)
-                    out.append(own.view(np.int64))
-            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), pa.array(out, pa.list_(pa.int64()))],
-                                             names=["key", "tokens"])
-
-    wanted = ends.distinct()
-    sets = (texts.select("text").mapInArrow(run, "key binary, tokens array<long>")
+        for batch in batches:
+            mark = batch.column(0).to_numpy()
+            rows = [i for i in np.flatnonzero(hit(shared.value, mark)).tolist() if (m := int(mark[i])) not in seen and not seen.add(m)]
+            for _, sets in _sets([batch.take(pa.array(rows, pa.int64()))] if rows else []):
+                found = [own for own in sets if len(own)]
+                yield pa.RecordBatch.from_arrays([pa.array([_key(own) for own in found], pa.binary()),
+                                                  pa.array([own.view(np.int64) for own in found], pa.list_(pa.int64()))],
+                                                 names=["key", "tokens"])
+
+    sets = (texts.rows.select("mark", "text").mapInArrow(run, "key binary, tokens array<long>")
             .join(wanted, "key", "left_semi").groupBy("key").agg(F.first("tokens").alias("tokens")))
     both = F.size(F.array_intersect("x", "y"))
     return (pairs.join(sets.select(F.col("key").alias("a"), F.col("tokens").alias("x")), "a")
@@ -223,7 +222,7 @@ def _shared_tokens(sets: DataFrame, tokens: Column) -> DataFrame:
     return lists.mapInArrow(pick, "key binary, n long, last long, token long").distinct()
 
 
-def _grown(texts: DataFrame, sets: DataFrame, groups: DataFrame, num: int, den: int) -> DataFrame:
+def _grown(texts: Marked, sets: DataFrame, groups: DataFrame, num: int, den: int) -> DataFrame:
     """``groups`` with the keys that join one when they are compared with further leaders.
 
     Each bucket of equal min-hashes has one leader a round, so a key is compared with
@@ -291,11 +290,12 @@ def near_duplicate_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str
     Two documents link when their shingle sets have Jaccard similarity of at
     least ``num / den``; ``component_id`` is the least id reachable by links.
     """
-    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    texts = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("mark"), F.col(text_col).alias("text"))
     sets = saved(describe(texts, frequent_tokens(texts), num, den), "sets")
     filled = sets.where("n > 0")
-    links = saved(verify(texts, _bucket_pairs(filled, num, den), num, den), "links")
-    groups = _grown(texts, filled, saved(components(links), "groups"), num, den)
+    marked = Marked(texts, saved(filled.groupBy("key").agg(F.min("mark").alias("mark")), "marks"))
+    links = saved(verify(marked, _bucket_pairs(filled, num, den), num, den), "links")
+    groups = _grown(marked, filled, saved(components(links), "groups"), num, den)
     opened, members = _opened(filled, groups, num, den)
     # One link makes a query a member, so a large group's members are compared in portions,
     # each WIDER times the one before, and only with the queries still outside: a query that is linked
@@ -315,7 +315,7 @@ def near_duplicate_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str
                        .where(F.coalesce("r", "key") != F.col("s")).select("key", "n", "other"))
         pairs = saved(_member_pairs(outside, members.where(here), num, den), "rest")
         if not pairs.isEmpty():
-            more = verify(texts, pairs, num, den)
+            more = verify(marked, pairs, num, den)
             roots = merged(roots, more)
         if last >= largest or largest <= 2 * PROBES:
             break

@@ -45,8 +45,9 @@ def test_chunks_and_kinds_of_id_do_not_change_what_goes(spark, monkeypatch):
 
 def test_repeated_and_null_ids_rank_by_text_and_first(spark):
     one, two = texts()[0], texts()[4]
-    for rows, kept in (([(5, one), (5, one), (5, two)], None), ([(None, one), (None, one), (LEAST, two)]):
+    for rows in ([(5, one), (5, one), (5, two)], [(None, one), (None, one), (LEAST, two)]):
         got = removed(spark, rows)
         assert len({bool(s) for _, t, s in got if t == one}) == 1
+        assert {bool(s) for *_, s in got} == {True, False}
         if rows[0][0] is None:
             assert all((i is None) == (not s) for i, _, s in got)
