@@ -5,7 +5,7 @@ import tracemalloc
 import numpy as np
 import pyarrow as pa
 
-from strata.llm import toxicity, words
+from strata.llm import subword, toxicity, words
 
 
 def test_spans_hashed_some_at_a_time_have_the_hashes_of_all_at_once(monkeypatch):
@@ -31,3 +31,36 @@ def test_features_of_many_texts_need_memory_by_words_not_by_bytes(monkeypatch):
     monkeypatch.setattr(toxicity, "WORDS_AT_ONCE", 7)
     few = toxicity.Features(texts)
     assert (few.grams == f.grams).all() and (few.gram_starts == f.gram_starts).all() and (few.gram_count == f.gram_count).all()
+
+
+def test_new_words_go_to_the_library_some_at_a_time(monkeypatch):
+    rng = np.random.default_rng(5)
+    texts = pa.array([" ".join("".join(chr(97 + c) for c in rng.integers(0, 26, 6)) for _ in range(500)) for _ in range(40)] + ["a  b", None])
+    own = subword.Encoder(subword.default_vocabulary())
+    sizes, ids_of = [], own._ids_of
+    monkeypatch.setattr(own, "_ids_of", lambda w: sizes.append(len(w)) or ids_of(w))
+    bounds, flat = own(texts)
+    assert sum(sizes) > 1 << 14 and max(sizes) <= 1 << 13      # all of them at once before
+    for i, text in enumerate(texts.to_pylist()):
+        assert flat[bounds[i]:bounds[i + 1]].tolist() == own.whole(text or "")
+    monkeypatch.setattr(subword, "LEARNT_AT_ONCE", 3)
+    monkeypatch.setattr(subword, "STORE", 64)                  # learnt words push each other out
+    few = subword.Encoder(subword.default_vocabulary())
+    bounds, flat = few(texts.slice(0, 2))
+    assert [flat[a:b].tolist() for a, b in zip(bounds[:-1], bounds[1:], strict=True)] == [own.whole(t) for t in texts.to_pylist()[:2]]
+
+
+def test_scoring_gets_a_carried_text_once_and_drops_the_tables_of_earlier_tasks(spark, monkeypatch):
+    docs = spark.createDataFrame([(1, "some text", "en"), (2, None, "de")], "doc_id long, text string, lang string")
+    seen = []
+    kind, whole = type(docs), type(docs).mapInArrow
+    monkeypatch.setattr(kind, "mapInArrow", lambda self, fn, *a, **k: seen.append((self, fn)) or whole(self, fn, *a, **k))
+    scored = toxicity.score(docs, {"share": 0.25})
+    assert scored.columns == ["doc_id", "text", "lang", "toxicity", "n_windows"]
+    assert [tuple(r) for r in scored.orderBy("doc_id").collect()] == [(1, "some text", "en", 0.25, 1), (2, None, "de", 0.25, 1)]
+    assert len(seen[0][0].columns) == 3                        # the text twice before
+    named = toxicity.score(docs, {"share": 0.25}, ["doc_id"])
+    assert named.columns == ["doc_id", "toxicity", "n_windows"] and named.count() == 2
+    subword.encoder(subword.default_vocabulary())
+    list(seen[0][1](iter(seen[0][0].toArrow().to_batches())))
+    assert subword.encoder.cache_info().currsize == 0
