@@ -29,6 +29,33 @@ from strata.llm.words import slices
 MAGIC = b"WMAT"
 BLOCK = 512                # bits between counts
 SHARD_TOKENS = 1 << 22
+AT_ONCE = 1 << 15          # ids split or merged at once, so that their places stay in the processor's cache
+
+
+def _split(x: np.ndarray, bit: np.ndarray, out: np.ndarray) -> int:
+    """Write the ids without the bit and then those with it to ``out``, in order; how many are without."""
+    zeros = len(x) - int(np.count_nonzero(bit))
+    low, high = 0, zeros
+    for i in range(0, len(x), AT_ONCE):
+        part, own = x[i:i + AT_ONCE], bit[i:i + AT_ONCE]
+        ones = np.flatnonzero(own)      # a mask's own indexing is slow where its bits change often
+        rest = np.flatnonzero(~own)
+        out[low:low + len(rest)] = part[rest]
+        out[high:high + len(ones)] = part[ones]
+        low, high = low + len(rest), high + len(ones)
+    return zeros
+
+
+def _merge(x: np.ndarray, bit: np.ndarray, zeros: int, out: np.ndarray) -> None:
+    """What ``_split`` was given, written to ``out``."""
+    low, high = 0, zeros
+    for i in range(0, len(x), AT_ONCE):
+        part, own = out[i:i + AT_ONCE], bit[i:i + AT_ONCE]
+        ones = np.flatnonzero(own)
+        rest = np.flatnonzero(~own)
+        part[rest] = x[low:low + len(rest)]
+        part[ones] = x[high:high + len(ones)]
+        low, high = low + len(rest), high + len(ones)
 
 
 class WaveletMatrix:
@@ -41,7 +68,7 @@ class WaveletMatrix:
     @classmethod
     def build(cls, ids: np.ndarray, bits: int) -> WaveletMatrix:
         x = ids.astype(np.uint16 if bits <= 16 else np.uint32)
-        n, planes, counts, zeros = len(x), [], [], []
+        n, planes, counts, zeros, spare = len(x), [], [], [], np.empty_like(x)
         words = -(-n // BLOCK) * (BLOCK // 64)
         for b in range(bits - 1, -1, -1):
             bit = (x >> x.dtype.type(b)) & x.dtype.type(1) != 0
@@ -51,9 +78,8 @@ class WaveletMatrix:
             ones = np.bitwise_count(plane).reshape(-1, BLOCK // 64).sum(1, dtype=np.uint32)
             planes.append(plane)
             counts.append(np.concatenate([[0], np.cumsum(ones)]).astype(np.uint32))
-            low = x[~bit]
-            zeros.append(len(low))
-            x = np.concatenate([low, x[bit]])
+            zeros.append(_split(x, bit, spare))
+            x, spare = spare, x
         return cls(n, planes, counts, zeros)
 
     def _bits(self, level: int) -> np.ndarray:
@@ -113,11 +139,11 @@ class WaveletMatrix:
     def decode(self) -> np.ndarray:
         """The whole sequence, merging the planes from the lowest bit up."""
         x = np.zeros(self.size, np.uint16 if self.bits <= 16 else np.uint32)
+        spare = np.empty_like(x)
         for level in range(self.bits - 1, -1, -1):
-            bit, out = self._bits(level), np.empty_like(x)
-            out[~bit] = x[:self.zeros[level]]
-            out[bit] = x[self.zeros[level]:] | x.dtype.type(1 << (self.bits - 1 - level))
-            x = out
+            x[self.zeros[level]:] |= x.dtype.type(1 << (self.bits - 1 - level))
+            _merge(x, self._bits(level), self.zeros[level], spare)
+            x, spare = spare, x
         return x.astype("<u4")
 
     def to_bytes(self) -> bytes:
@@ -183,7 +209,9 @@ def write_shards(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 
 def read_shards(shards: DataFrame) -> DataFrame:
-    """Documents from the files: ``id, start, n_tokens, ids`` (little-endian 32-bit)."""
+    """Documents from the files: ``id, start, n_tokens, ids`` (little-endian 32-bit).
+
+    The shards' first places are broadcast, a row for each shard, so that ids are not shuffled."""
     def run(batches) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in range(batch.num_rows):
@@ -210,7 +238,7 @@ def read_shards(shards: DataFrame) -> DataFrame:
     inside = F.coalesce(F.sum("n").over(Window.partitionBy("part").orderBy("shard").rowsBetween(*past)), F.lit(0))
     bases = (sizes.select("part", "shard", inside.alias("s")).join(of_part, "part")
              .select("part", "shard", (F.col("s") + F.col("p")).alias("base")))
-    return (docs.join(bases, ["part", "shard"])
+    return (docs.join(F.broadcast(bases), ["part", "shard"])
             .select("id", (F.col("base") + F.col("inner")).alias("start"), "n_tokens", "ids"))
 
 

@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from brute import groups, repeated_words, words
 
-from strata.llm import backoff_lm, toxicity
+from strata.llm import backoff_lm, toxicity, wavelet
 from strata.llm.jaccard_join import near_duplicate_groups
 from strata.llm.packing import best_fit_decreasing, pack_documents
 from strata.llm.passages import remove_repeats
@@ -77,6 +77,30 @@ def test_shards_hold_the_library_ids_in_order(docs, nothing, library):
     assert read_shards(write_shards(nothing)).collect() == []
 
 
+def test_ids_read_from_shards_are_not_shuffled(spark):
+    docs = spark.createDataFrame([(i, "some words of a text " * (i % 7)) for i in range(60)], "doc_id long, text string")
+    found = read_shards(write_shards(docs, shard_tokens=100))
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")   # files as large as no guess would broadcast
+    try:
+        plan = found.select("id", "start", "n_tokens", "ids")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    top = plan[:plan.index("MapInArrow")]
+    assert "Exchange" not in top and "BroadcastHashJoin" in top    # a sort-merge join of all ids before
+
+
+def test_wavelet_planes_split_and_merge_in_any_portions(monkeypatch):
+    x = np.random.default_rng(6).integers(0, 1 << 16, 1000).astype("<u4")
+    want = wavelet.WaveletMatrix.build(x, 16).to_bytes()
+    for size in (1, 7, 1000):
+        monkeypatch.setattr(wavelet, "AT_ONCE", size)
+        got = wavelet.WaveletMatrix.build(x, 16)
+        assert got.to_bytes() == want and (got.decode() == x).all()
+    wide = x.astype(np.uint32) << np.uint32(4)
+    assert (wavelet.WaveletMatrix.build(wide, 20).decode() == wide).all()
+
+
 def test_wavelet_matrix_answers_without_unpacking():
     x = np.random.default_rng(1).integers(0, 40, 3000)
     m = WaveletMatrix.from_bytes(WaveletMatrix.build(x, 6).to_bytes())
