@@ -165,13 +165,14 @@ def verify(texts: Marked, pairs: DataFrame, num: int, den: int) -> DataFrame:
     def run(batches):
         seen = set()
         for batch in batches:
-            mark = batch.column(0).to_numpy()
-            rows = [i for i in np.flatnonzero(hit(shared.value, mark)).tolist() if (m := int(mark[i])) not in seen and not seen.add(m)]
-            for _, sets in _sets([batch.take(pa.array(rows, pa.int64()))] if rows else []):
-                found = [own for own in sets if len(own)]
-                yield pa.RecordBatch.from_arrays([pa.array([_key(own) for own in found], pa.binary()),
-                                                  pa.array([own.view(np.int64) for own in found], pa.list_(pa.int64()))],
-                                                 names=["key", "tokens"])
+            for part in slices(batch):
+                mark = part.column(0).to_numpy()
+                rows = [i for i in np.flatnonzero(hit(shared.value, mark)).tolist() if (m := int(mark[i])) not in seen and not seen.add(m)]
+                found = [own for own in shingle_sets(part.column(1).take(pa.array(rows, pa.int64()))) if len(own)]
+                if found:
+                    yield pa.RecordBatch.from_arrays([pa.array([_key(own) for own in found], pa.binary()),
+                                                      pa.array([own.view(np.int64) for own in found], pa.list_(pa.int64()))],
+                                                     names=["key", "tokens"])
 
     sets = (texts.rows.select("mark", "text").mapInArrow(run, "key binary, tokens array<long>")
             .join(wanted, "key", "left_semi").groupBy("key").agg(F.first("tokens").alias("tokens")))

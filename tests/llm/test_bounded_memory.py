@@ -5,7 +5,7 @@ import tracemalloc
 import numpy as np
 import pyarrow as pa
 
-from strata.llm import subword, toxicity, words
+from strata.llm import jaccard_join, subword, toxicity, words
 
 
 def test_spans_hashed_some_at_a_time_have_the_hashes_of_all_at_once(monkeypatch):
@@ -64,3 +64,18 @@ def test_scoring_gets_a_carried_text_once_and_drops_the_tables_of_earlier_tasks(
     subword.encoder(subword.default_vocabulary())
     list(seen[0][1](iter(seen[0][0].toArrow().to_batches())))
     assert subword.encoder.cache_info().currsize == 0
+
+
+def test_compared_texts_are_copied_some_at_a_time(spark, monkeypatch):
+    rows = 300
+    texts = spark.createDataFrame([(0, "a b")], "mark long, text string")
+    marks = spark.createDataFrame([(bytes([i // 256, i % 256]), i) for i in range(rows)], "key binary, mark long")
+    pairs = marks.select(marks.key.alias("a"), marks.key.alias("b"))
+    seen, kind, whole = [], type(texts), type(texts).mapInArrow
+    monkeypatch.setattr(kind, "mapInArrow", lambda self, fn, *a, **k: seen.append(fn) or whole(self, fn, *a, **k))
+    jaccard_join.verify(jaccard_join.Marked(texts, marks), pairs, 4, 5)
+    batch = pa.RecordBatch.from_arrays([pa.array(range(rows)), pa.array([f"word{i} and more " * 2500 for i in range(rows)])], names=["mark", "text"])
+    before, found = pa.total_allocated_bytes(), seen[-1](iter([batch]))
+    first = next(found)
+    assert pa.total_allocated_bytes() - before < batch.nbytes / 2      # all the texts before
+    assert first.num_rows + sum(b.num_rows for b in found) == rows
