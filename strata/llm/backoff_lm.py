@@ -7,11 +7,15 @@ root holds all words with discounted counts and one unknown word. Each token of
 text follows an arc of the current state, mixed with the shorter state's weight, or
 takes the failure arc first. A text starts at the root.
 
-Counts cover all words and all sequences of all training texts, in tables that grow
-with the corpus; a text's sequences are joined with them. Broadcast are only the
-counts of the ``TABLE`` most frequent words and the arcs between the ``STATES`` most
-frequent of these (``STATES`` squared at most), with the same weights as in the
-tables, so that what is frequent needs no join with words or two-word states.
+Counts cover all words and all sequences of all training texts. Texts are kept in
+blocks of ``BLOCK`` tokens. A block's distinct sequences of three words go, packed,
+to the part that their first word is dealt to; there the sequences of all blocks are
+counted, and a block gets back the counts of its own: those of each first word, of
+each two words and of each three, and how many words follow the shorter ones. With
+these the block's texts walk the automaton. Words and pairs seen over ``SPLIT`` times
+are dealt by the words after them, and what the parts cannot tell of them is counted
+before and broadcast. Also broadcast are the ``TABLE`` most frequent words, whose
+numbers stand for them in packed sequences (other words stand there as hashes).
 
 Tokens are A-Z lower-cased runs of bytes other than white space, then one end
 token. Null texts are empty (end token only); null ids are never held out;
@@ -21,7 +25,7 @@ without training texts every token is unknown with probability 1.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -35,94 +39,184 @@ from strata.llm.words import mix, slices, word_hashes
 STATES = 2048
 TABLE = 1 << 19
 COUNTED_AT_ONCE = 1 << 21
+BLOCK = 1 << 20             # tokens kept and walked together; a longer text is a block of its own
+PART = 1 << 21              # tokens, about, whose sequences are counted together
+LEAST_PARTS = 64
+FEW = 1 << 21               # distinct words of which three have their numbers in 64 bits
+SPLIT = 1 << 22             # words and pairs seen oftener are dealt by what follows them
 END = np.uint64(1)          # stands for the end token among word hashes
 DISCOUNT = 0.75             # taken off the count of every sequence of two or three words
 _ODD = np.array([0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB], dtype=np.uint64)
+_CODEC = pa.Codec("zstd", compression_level=1)
 
 
 def tokens(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Token hashes of all texts with end tokens, and their offsets per text."""
     h, offsets = word_hashes(column)
-    h = np.where(h == END, np.uint64(2), h)
+    h = np.where(h <= END, np.uint64(2), h)    # 0 is no word
     flat = np.insert(h, offsets[1:], END)
     return flat, offsets + np.arange(len(offsets))
 
 
-def sequences(tokens: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Key of the two-word and of the three-word sequence that ends at each token, and
-    the number of tokens before it in its text; keys stand only where there are enough."""
-    before = np.arange(len(tokens)) - np.repeat(offsets[:-1], np.diff(offsets))
-    two, three = np.zeros(len(tokens), np.uint64), np.zeros(len(tokens), np.uint64)
-    two[1:] = mix(tokens[:-1] * _ODD[0] + tokens[1:] * _ODD[1])
-    three[2:] = mix(tokens[:-2] * _ODD[2] + tokens[1:-1] * _ODD[0] + tokens[2:] * _ODD[1] + np.uint64(3))
-    return two, three, before
+def _pair_keys(first: np.ndarray, second: np.ndarray) -> np.ndarray:
+    return mix(first * _ODD[0] + second * _ODD[1])
 
 
-def _words_of(column: pa.Array) -> tuple[np.ndarray, ...]:
-    return (tokens(column)[0],)
+def _triple_keys(pairs: np.ndarray, third: np.ndarray) -> np.ndarray:
+    return mix(pairs * _ODD[2] + third)
 
 
-def _pairs_of(column: pa.Array) -> tuple[np.ndarray, ...]:
-    flat, offsets = tokens(column)
-    two, _, before = sequences(flat, offsets)
-    at = np.flatnonzero(before >= 1)
-    return two[at], flat[at - 1], flat[at]
+def _packed(*columns: np.ndarray) -> bytes:
+    """Columns of whole numbers in planes of bytes, compressed plane by plane; :func:`_unpacked` reads them."""
+    head, body = [], []
+    for x in columns:
+        x = np.ascontiguousarray(x).astype("<u8", copy=False)
+        width = (int(x.max()).bit_length() + 7) // 8 if len(x) else 0
+        planes = [_CODEC.compress(p.tobytes(), asbytes=True) for p in x.view(np.uint8).reshape(-1, 8)[:, :width].T]
+        head += [len(x), width, *map(len, planes)]
+        body += planes
+    return np.array([len(head), *head], "<u4").tobytes() + b"".join(body)
 
 
-def _triples_of(column: pa.Array) -> tuple[np.ndarray, ...]:
-    flat, offsets = tokens(column)
-    two, three, before = sequences(flat, offsets)
-    at = np.flatnonzero(before >= 2)
-    return three[at], two[at - 1]
+def _unpacked(raw: bytes) -> list[np.ndarray]:
+    n = int(np.frombuffer(raw, "<u4", 1)[0])
+    head, at, out = iter(np.frombuffer(raw, "<u4", n, 4).tolist()), 4 + 4 * n, []
+    for size in head:
+        x = np.zeros((size, 8), np.uint8)
+        for k, length in enumerate([next(head) for _ in range(next(head))]):
+            x[:, k] = np.frombuffer(_CODEC.decompress(raw[at:at + length], size, asbytes=True), np.uint8)
+            at += length
+        out.append(x.view("<u8").reshape(-1))
+    return out
 
 
-def _counted(batches, pick, names: list[str]) -> Iterator[pa.RecordBatch]:
-    """Counts of the keys ``pick`` takes from each run of texts, summed over many runs, and what goes with a key."""
-    held, size = [], 0
+def _joined(bodies: pa.ChunkedArray) -> list[np.ndarray]:
+    """The columns of all rows of :func:`_packed` bytes, joined."""
+    return [np.concatenate(x) for x in zip(*(_unpacked(v.as_py()) for v in bodies), strict=True)]
 
-    def out():
-        key, *rest = (np.concatenate(x) for x in zip(*held, strict=True))
-        keys, at, n = np.unique(key, return_index=True, return_counts=True)
-        return pa.RecordBatch.from_arrays([*(pa.array(x.view(np.int64)) for x in (keys, *(r[at] for r in rest))),
-                                           pa.array(n.astype(np.int64))], names=[*names, "c"])
-    for batch in batches:
-        for part in slices(batch, text=0):
-            held.append(pick(part.column(0)))
-            size += len(held[-1][0])
-            if size >= COUNTED_AT_ONCE:
-                yield out()
-                held, size = [], 0
-    if size:
-        yield out()
 
+def _parts(n: int) -> int:
+    """The least power of two that is at least ``n`` and ``LEAST_PARTS``."""
+    return 1 << (max(n, LEAST_PARTS) - 1).bit_length()
 
-def _count(texts: DataFrame, pick, *names: str) -> DataFrame:
-    counted = texts.mapInArrow(lambda b: _counted(b, pick, list(names)), ", ".join(f"{n} long" for n in names) + ", c long")
-    return counted.groupBy(*names).agg(F.sum("c").alias("c"))
+
+def _dealt(key: np.ndarray, parts: int) -> np.ndarray:
+    return (key >> np.uint64(65 - parts.bit_length())).astype(np.int64)
+
+
+def _words(texts: DataFrame) -> DataFrame:
+    """``(key, c)``: hash and count of each distinct token; counts of many texts are shuffled packed."""
+    parts = _parts(2 * texts.rdd.getNumPartitions())
+
+    def count(batches) -> Iterator[pa.RecordBatch]:
+        def out():
+            keys, n = np.unique(np.concatenate(held), return_counts=True)
+            ends = np.searchsorted(_dealt(keys, parts), np.arange(parts + 1))
+            at = np.flatnonzero(np.diff(ends))
+            rows = [_packed(np.diff(keys[ends[i]:ends[i + 1]], prepend=np.uint64(0)), n[ends[i]:ends[i + 1]]) for i in at.tolist()]
+            return pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(rows, pa.binary())], names=["part", "body"])
+        held, size = [], 0
+        for batch in batches:
+            for part in slices(batch, text=0):
+                held.append(tokens(part.column(0))[0])
+                size += len(held[-1])
+                if size >= COUNTED_AT_ONCE:
+                    yield out()
+                    held, size = [], 0
+        if size:
+            yield out()
+
+    def merge(table: pa.Table) -> pa.Table:
+        rows = [_unpacked(v.as_py()) for v in table["body"]]
+        keys, of = np.unique(np.concatenate([np.cumsum(k, dtype=np.uint64) for k, _ in rows]), return_inverse=True)
+        n = np.bincount(of, weights=np.concatenate([c for _, c in rows]))
+        return pa.table({"key": keys.view(np.int64), "c": n.astype(np.int64)})
+    return texts.mapInArrow(count, "part int, body binary").groupBy("part").applyInArrow(merge, "key long, c long")
+
+
+def _after(texts: DataFrame, wanted: np.ndarray, length: int) -> DataFrame:
+    """``(hist, next, c)``: the words after the ``wanted`` words (``length`` 1) or pairs (2), and their counts."""
+    wanted = np.sort(wanted)
+
+    def count(batches) -> Iterator[pa.RecordBatch]:
+        def out():
+            hist, after = (np.concatenate(x) for x in zip(*held, strict=True))
+            _, at, n = np.unique(_pair_keys(hist, after), return_index=True, return_counts=True)
+            return pa.RecordBatch.from_arrays([pa.array(hist[at].view(np.int64)), pa.array(after[at].view(np.int64)),
+                                               pa.array(n.astype(np.int64))], names=["hist", "next", "c"])
+        held, size = [], 0
+        for batch in batches:
+            for part in slices(batch, text=0):
+                flat, offsets = tokens(part.column(0))
+                at = np.flatnonzero(np.arange(len(flat)) - np.repeat(offsets[:-1], np.diff(offsets)) >= length)
+                hist = flat[at - 1] if length == 1 else _pair_keys(flat[at - 2], flat[at - 1])
+                own = _place(wanted, hist) < len(wanted)
+                held.append((hist[own], flat[at][own]))
+                size += len(held[-1][0])
+                if size >= COUNTED_AT_ONCE:
+                    yield out()
+                    held, size = [], 0
+        if size:
+            yield out()
+    return texts.mapInArrow(count, "hist long, next long, c long").groupBy("hist", "next").agg(F.sum("c").alias("c"))
+
+
+def _place(among: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Place of each key among sorted ones, or their number."""
+    if not len(among):
+        return np.zeros(len(keys), np.int64)
+    at = np.searchsorted(among, keys)
+    return np.where(among[np.minimum(at, len(among) - 1)] == keys, at, len(among))
+
+
+class Often:
+    """Counts of the words or pairs seen over ``SPLIT`` times, and the number of words after each."""
+
+    def __init__(self, keys: np.ndarray, counts: np.ndarray, after: DataFrame | None):
+        order = np.argsort(keys)
+        self.keys, self.counts, self.kinds = keys[order], counts[order], np.zeros(len(keys), np.int64)
+        if after is not None:
+            found = after.groupBy("hist").agg(F.count(F.lit(1)).alias("kinds")).toArrow()
+            self.kinds[_place(self.keys, found["hist"].to_numpy().view(np.uint64))] = found["kinds"].to_numpy()
+
+    def has(self, keys: np.ndarray) -> np.ndarray:
+        return _place(self.keys, keys) < len(self.keys)
+
+    def put(self, keys: np.ndarray, counts: np.ndarray, kinds: np.ndarray) -> None:
+        """Fills in the counts and kinds of those of the ``keys`` that are here."""
+        at = _place(self.keys, keys)
+        own = at < len(self.keys)
+        counts[own], kinds[own] = self.counts[at[own]], self.kinds[at[own]]
 
 
 class Automaton:
-    """The broadcast part of the model: arcs, failure arcs and frequent words."""
+    """The broadcast part of the model: frequent words, arcs between the most frequent, failure arcs."""
 
     def __init__(self, words: np.ndarray, counts: np.ndarray, total: int, kinds: int, once: int, twice: int):
         order = np.argsort(words)
         self.words, self.counts = words[order], counts[order]
         self.total, self.kinds = total, kinds
         self.discount = (once + 1) / (once + 2 * twice + 2)
-        top = np.argsort(-counts, kind="stable")[:STATES]
-        self.state = np.zeros(len(words) + 1, np.int32)      # 0 is the root
+        top = np.lexsort((words, -counts))
+        self.by_code = words[top]                            # the most frequent first
         rank = np.empty(len(words), np.int64)
         rank[order] = np.arange(len(words))
-        self.state[rank[top]] = np.arange(1, len(top) + 1)
-        self.keys = np.zeros(0, np.int64)
+        self.codes = np.empty(len(words) + 1, np.int64)
+        self.codes[rank[top]] = np.arange(len(words))
+        self.nothing, self.escape = len(words), len(words) + 1  # no word; a word that is not among the frequent ones
+        self.codes[-1] = self.escape
+        self.state = np.zeros(len(words) + 1, np.int32)      # 0 is the root
+        self.state[rank[top[:STATES]]] = np.arange(1, len(top[:STATES]) + 1)
+        self.texts = self.keys = None
+        self.ends = 0
+        self.often, self.often_pairs = (Often(np.zeros(0, np.uint64), np.zeros(0, np.int64), None) for _ in range(2))
+
+    def __getstate__(self) -> dict:
+        return {k: None if k == "texts" else v for k, v in self.__dict__.items()}  # training texts stay on the driver
 
     def find(self, tokens: np.ndarray) -> np.ndarray:
         """Place of each token among the frequent words, or their number."""
-        if not len(self.words):
-            return np.zeros(len(tokens), np.int64)
-        at = np.searchsorted(self.words, tokens)
-        found = self.words[np.minimum(at, len(self.words) - 1)] == tokens
-        return np.where(found, at, len(self.words))
+        return _place(self.words, tokens)
 
     def root_log(self, counts: np.ndarray) -> np.ndarray:
         """log10 probability at the root of words seen ``counts`` times; 0 is the unknown word."""
@@ -131,41 +225,41 @@ class Automaton:
         mass = np.where(counts > 0, counts - self.discount, self.discount * self.kinds)
         return np.log10(mass / self.total)
 
-    def link(self, sources: np.ndarray, targets: np.ndarray, keys: np.ndarray, weights: np.ndarray, counts: np.ndarray,
-             kinds: np.ndarray) -> None:
-        """Arcs between states, and what their own two-word states were seen with."""
-        source, target = (self.state[self.find(x)].astype(np.int64) for x in (sources, targets))
-        key = source * (STATES + 1) + target
-        order = np.argsort(key)
-        self.keys, self.arcs = key[order], weights[order]
-        order = np.argsort(keys)
-        self.pair_keys, self.pair_weights = keys[order], weights[order]
-        self.pair_fail = np.log10(np.where(kinds > 0, DISCOUNT * kinds / counts, 1.0))[order]
-        self.pair_counts = counts[order]
-
-    def lose(self, words: np.ndarray, kinds: np.ndarray) -> None:
-        """Failure arcs of the frequent words from the number of words seen after each."""
-        after = np.zeros(len(self.words) + 1)
-        after[self.find(words)] = kinds
-        seen = np.append(self.counts, 1)
-        self.fail_of = np.log10(np.where(after > 0, DISCOUNT * after / seen, 1.0))
+    def pack(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers of the words, and the hashes of those that have none, in turn; hash 0 is no word."""
+        code = np.where(words == 0, self.nothing, self.codes[self.find(words)])
+        return code, words[code == self.escape]
+
+    def unpack(self, code: np.ndarray, others: np.ndarray) -> np.ndarray:
+        words = np.append(self.by_code, np.zeros(2, np.uint64))[code.astype(np.int64)]
+        words[code == self.escape] = others
+        return words
+
+    def _link(self) -> None:
+        """Arcs between states and failure arcs of states to the root, from the training texts."""
+        top = self.words[self.state[:-1] > 0]
+        after = saved(_after(self.texts, top, 1), "arcs")
+        own = Often(top, self.counts[self.state[:-1] > 0], after)
+        names = np.sort(top)
+
+        def both(batches) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                yield batch.filter(pa.array(_place(names, batch.column(1).to_numpy().view(np.uint64)) < len(names)))
+        arcs = after.mapInArrow(both, after.schema).toArrow()   # STATES squared rows at most
+        source, target = (arcs[c].to_numpy().view(np.uint64) for c in ("hist", "next"))
         self.fail = np.zeros(STATES + 1)
-        has = np.flatnonzero(self.state)
-        self.fail[self.state[has]] = self.fail_of[has]
-
-    def pair(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Place of each two-word sequence among the broadcast ones, and whether it is there."""
-        if not len(self.pair_keys):
-            return np.zeros(len(keys), np.int64), np.zeros(len(keys), bool)
-        at = np.minimum(np.searchsorted(self.pair_keys, keys), len(self.pair_keys) - 1)
-        return at, self.pair_keys[at] == keys
-
-    def __getstate__(self) -> dict:
-        return {k: v for k, v in self.__dict__.items() if k not in ("two", "three")}  # tables stay on the driver
+        self.fail[self.state[self.find(own.keys)]] = _fail(own.kinds, own.counts)
+        a, b = (self.state[self.find(x)].astype(np.int64) for x in (source, target))
+        key = a * (STATES + 1) + b
+        counts = np.append(self.counts, 0)
+        weight = _mixed(arcs["c"].to_numpy(), counts[self.find(source)], self.fail[a] + self.root_log(counts[self.find(target)]))
+        order = np.argsort(key)
+        self.keys, self.arcs = key[order], weight[order]
 
     def read(self, tokens: np.ndarray, offsets: np.ndarray) -> tuple:
-        """Per text: base and model sums of what is known here by words and two-word arcs, known
-        tokens, and the words to look up."""
+        """Per text: base and model sums of what is known here by words and two-word arcs, and known tokens."""
+        if self.keys is None:
+            self._link()
         at = self.find(tokens)
         known = at < len(self.words)
         counts = np.append(self.counts, 0)[at]
@@ -184,47 +278,23 @@ class Automaton:
         step[hit] = self.arcs[arc[hit]]
         base = np.where(known, np.log10(counts + 1.0), 0.0)
         begin = offsets[:-1]
-        rare = ~known
-        return (np.add.reduceat(base, begin), np.add.reduceat(step, begin), np.add.reduceat(known.astype(np.int64), begin),
-                tokens[rare], np.concatenate([[0], np.cumsum(np.add.reduceat(rare.astype(np.int64), begin))]))
-
-    def lookups(self, tokens: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, dict[str, np.ndarray]]:
-        """Text of each token that has a word before it, and what is asked and known about it.
-
-        ``back`` is the two-word sequence that ends here, ``low`` its weight if broadcast;
-        ``hist`` the one before, ``lose`` and ``of`` its failure weight and count if broadcast;
-        ``source`` and ``target`` are the words not broadcast, ``root`` what the others weigh."""
-        two, three, before = sequences(tokens, offsets)
-        at = np.flatnonzero(before >= 1)
-        text = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))[at]
-        long = before[at] >= 2
-        place, has = self.pair(two[at])
-        prior, of = self.pair(np.where(long, two[at - 1], 0))
-        of &= long
-        a, b = self.find(tokens[at - 1]), self.find(tokens[at])
-        rare_a, rare_b = a == len(self.words), b == len(self.words)
-        root = np.where(rare_a, 0.0, self.fail_of[a])
-        root[~rare_b] += self.root_log(self.counts[b[~rare_b]])
-
-        def known(values, where, held):
-            out = np.zeros(len(at)) if not len(values) else values[where].astype(float)
-            return pa.array(out, mask=~held)
-        return text, {"back": pa.array(two[at].view(np.int64)), "key": pa.array(three[at].view(np.int64), mask=~long),
-                      "hist": pa.array(two[at - 1].view(np.int64), mask=~long),
-                      "low": known(self.pair_weights, place, has), "lose": known(self.pair_fail, prior, of),
-                      "of": known(self.pair_counts, prior, of),
-                      "source": pa.array(tokens[at - 1].view(np.int64), mask=~rare_a),
-                      "target": pa.array(tokens[at].view(np.int64), mask=~rare_b), "root": pa.array(root, mask=has)}
+        return np.add.reduceat(base, begin), np.add.reduceat(step, begin), np.add.reduceat(known.astype(np.int64), begin)
+
+
+def _fail(kinds: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """log10 of the mass that states leave to the shorter one; all of it without arcs."""
+    return np.log10(np.where(kinds > 0, DISCOUNT * kinds / np.maximum(counts, 1), 1.0))
+
+
+def _mixed(counts: np.ndarray, of: np.ndarray, step: np.ndarray) -> np.ndarray:
+    """log10 weight of arcs seen ``counts`` times of ``of``, mixed with ``step``, that of the failure arc; ``step`` if not seen."""
+    own = np.maximum(counts - DISCOUNT, 0.0) / np.maximum(of, 1)
+    return np.where(counts > 0, np.log10(own + 10.0 ** step), step)
 
 
 def train(texts: DataFrame) -> tuple[Automaton, DataFrame]:
     """Automaton from all rows of ``texts(text)``, and the whole table of word counts."""
-    spark = texts.sparkSession
-    two = saved(_count(texts, _pairs_of, "key", "source", "target"), "pairs")
-    three = saved(_count(texts, _triples_of, "key", "hist"), "triples")
-    after = two.groupBy(F.col("source").alias("key")).agg(F.count(F.lit(1)).alias("kinds"))
-    words = saved(_count(texts, _words_of, "key").join(after, "key", "left")
-                  .select("key", "c", F.coalesce("kinds", F.lit(0)).alias("kinds")), "words")
+    words = saved(_words(texts), "words")
     level = F.least("c", F.lit(1 << 16))
     steps = words.groupBy(level.alias("c")).agg(F.count(F.lit(1)).alias("n"), F.sum("c").alias("s")).orderBy("c").collect()
     kinds, total = sum(r.n for r in steps), sum(r.s for r in steps)
@@ -242,125 +312,253 @@ def train(texts: DataFrame) -> tuple[Automaton, DataFrame]:
     frequent = frequent.toArrow()
     model = Automaton(frequent["key"].to_numpy().view(np.uint64), frequent["c"].to_numpy(), total, kinds,
                       of.get(1, 0), of.get(2, 0))
-    model.lose(frequent["key"].to_numpy().view(np.uint64), frequent["kinds"].to_numpy())
-    words = words.withColumn("fail", _fail("kinds", "c")).withColumn("root", _at_root(model, F.col("c")))
-    weight = F.log10(F.greatest(F.col("c") - DISCOUNT, F.lit(0.0)) / F.col("n") + F.pow(F.lit(10.0), F.col("fail") + F.col("root")))
-    states = two.join(words.select(F.col("key").alias("source"), F.col("c").alias("n"), "fail"), "source")
-    states = states.join(words.select(F.col("key").alias("target"), "root"), "target")
-    states = states.join(three.groupBy(F.col("hist").alias("key")).agg(F.count(F.lit(1)).alias("kinds")), "key", "left")
-    states = saved(states.select("key", "source", "target", "c", F.coalesce("kinds", F.lit(0)).alias("kinds"),
-                                 weight.alias("weight")), "states")
-    shared = spark.sparkContext.broadcast(model)
-
-    def both(batches) -> Iterator[pa.RecordBatch]:
-        own = shared.value
-        for batch in batches:
-            pair = [own.state[own.find(batch.column(i).to_numpy().view(np.uint64))] > 0 for i in (1, 2)]
-            yield batch.filter(pa.array(pair[0] & pair[1]))
-    arcs = states.mapInArrow(both, states.schema).toArrow()  # STATES squared rows at most
-    source, target, keys = (arcs[c].to_numpy().view(np.uint64) for c in ("source", "target", "key"))
-    model.link(source, target, keys, arcs["weight"].to_numpy(), arcs["c"].to_numpy(), arcs["kinds"].to_numpy())
-    model.two, model.three = states.select("key", "c", "kinds", "weight"), three.select("key", "c")
+    model.texts = texts
+    often = words.where((F.col("c") > SPLIT) | (F.col("key") == int(END))).toArrow()
+    keys, counts = often["key"].to_numpy().view(np.uint64), often["c"].to_numpy()
+    model.ends = int(counts[keys == END].sum())
+    keys, counts = keys[keys != END], counts[keys != END]
+    if len(keys):
+        after = saved(_after(texts, keys, 1), "after")
+        model.often = Often(keys, counts, after)
+        pairs = after.where(F.col("c") > SPLIT).toArrow()
+        keys = _pair_keys(*(pairs[c].to_numpy().view(np.uint64) for c in ("hist", "next")))
+        if len(keys):
+            model.often_pairs = Often(keys, pairs["c"].to_numpy(), _after(texts, keys, 2))
     return model, words
 
 
-def _fail(kinds: str, counts: str) -> Column:
-    """log10 of the mass that a state leaves to the shorter one; all of it without arcs."""
-    return F.when(F.col(kinds) > 0, F.log10(DISCOUNT * F.col(kinds) / F.col(counts))).otherwise(0.0)
-
-
-def _at_root(model: Automaton, count: Column) -> Column:
-    unknown = float(model.root_log(np.zeros(1))[0])
-    return F.when(count > 0, F.log10((count - F.lit(model.discount)) / F.lit(float(max(1, model.total))))).otherwise(unknown)
-
-
-def _or_own(key: str) -> Column:
-    """``key``, or a value of the row's own where it is null, so that rows without key are spread."""
-    return F.coalesce(key, F.xxhash64("ref", "back"))
-
-
-def _steps(asked: DataFrame, model: Automaton, words: DataFrame) -> DataFrame:
-    """``(ref, more)``: sum over each text of the log weights of its tokens after the first."""
-    two = model.two
-    # The two-word state before: its failure weight and count, where it was seen.
-    need = (F.col("hist").isNotNull()) & F.col("of").isNull()
-    state = two.where("kinds > 0").select(F.col("key").alias("__hist"), F.col("c").cast("double").alias("__of"),
-                                          _fail("kinds", "c").alias("__lose"))
-    found = asked.where(need).join(state, F.col("hist") == F.col("__hist"), "left").select(
-        *[c for c in asked.columns if c not in ("of", "lose")], F.col("__of").alias("of"), F.col("__lose").alias("lose"))
-    rows = found.unionByName(asked.where(~need))
-    # The two-word sequence that ends here, where it was seen; else the failure arc of its first word.
-    arc = two.select(F.col("key").alias("__back"), F.col("weight").alias("__low"))
-    need = F.col("low").isNull()
-    found = rows.where(need).join(arc, F.col("back") == F.col("__back"), "left").select(
-        *[c for c in rows.columns if c != "low"], F.col("__low").alias("low"))
-    source = words.select(F.col("key").alias("__s"), F.col("fail").alias("__fail"))
-    target = words.select(F.col("key").alias("__t"), F.col("root").alias("__root"))
-    unknown = float(model.root_log(np.zeros(1))[0])
-    found = (found.join(source, (_or_own("source") == F.col("__s")) & F.col("source").isNotNull() & F.col("low").isNull(), "left")
-             .join(target, (_or_own("target") == F.col("__t")) & F.col("target").isNotNull() & F.col("low").isNull(), "left"))
-    lowest = (F.col("root") + F.when(F.col("source").isNull(), 0.0).otherwise(F.coalesce("__fail", F.lit(0.0)))
-              + F.when(F.col("target").isNull(), 0.0).otherwise(F.coalesce("__root", F.lit(unknown))))
-    found = found.withColumn("low", F.coalesce("low", lowest)).select(*rows.columns)
-    rows = found.unionByName(rows.where(~need)).select("ref", "key", "low", "lose", "of")
-    # The three-word sequence, where its state and it were seen.
-    need = F.col("of").isNotNull()
-    counts = model.three.select(F.col("key").alias("__key"), F.col("c").alias("__c"))
-    step = F.col("lose") + F.col("low")
-    mixed = F.when(F.col("__c").isNull(), step).otherwise(F.log10((F.col("__c") - DISCOUNT) / F.col("of") + F.pow(F.lit(10.0), step)))
-    full = rows.where(need).join(counts, F.col("key") == F.col("__key"), "left").select("ref", mixed.alias("step"))
-    return (full.unionByName(rows.where(~need).select("ref", F.col("low").alias("step")))
-            .groupBy("ref").agg(F.sum("step").alias("more_step")))
-
-
-def score(docs: DataFrame, model: Automaton, words: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``(id_col, n_tokens, n_known, train_tokens, base_score, score)`` per row, log10."""
+class Sequences:
+    """The distinct sequences of three words of some texts in the order they are dealt in.
+
+    Tokens come as :meth:`Automaton.pack` numbers them. A sequence stands at each token but the last
+    of its text; its third word is 0 where the text has none. Sequences are sorted by part, then by
+    their words; ``pairs`` has the places where another two words begin in a part."""
+
+    def __init__(self, model: Automaton, code: np.ndarray, others: np.ndarray, offsets: np.ndarray, counted: np.ndarray, parts: int):
+        local = self._number(model, code, others)
+        nothing = np.uint64(len(self.words) - 1)
+        last = np.zeros(len(code) + 1, bool)
+        last[offsets[1:] - 1] = True
+        self.at = np.flatnonzero(~last[:-1])
+        first, second = local[self.at], local[self.at + 1]
+        third = np.where(last[self.at + 1], nothing, np.append(local, nothing)[self.at + 2])
+        if len(self.words) <= FEW:
+            triple, self.of = _distinct((first << np.uint64(42)) | (second << np.uint64(21)) | third)
+            pair, third = triple >> np.uint64(21), triple & np.uint64(FEW - 1)
+            first, second = pair >> np.uint64(21), pair & np.uint64(FEW - 1)
+        else:
+            pair, of = _distinct((first << np.uint64(32)) | second)
+            triple, self.of = _distinct((of.astype(np.uint64) << np.uint64(32)) | third)
+            low = np.uint64(0xFFFFFFFF)
+            pair, third = pair[triple >> np.uint64(32)], triple & low
+            first, second = pair >> np.uint64(32), pair & low
+        self.counts = np.bincount(self.of, weights=np.repeat(counted, np.diff(offsets))[self.at], minlength=len(triple)).astype(np.int64)
+        at = np.flatnonzero(_changes(pair))
+        words = self.words[first[at]]
+        self.keys = _pair_keys(words, self.words[second[at]])
+        key = np.where(model.often.has(words), self.keys, mix(words))
+        many = np.diff(np.append(at, len(pair)))
+        often, key = np.repeat(model.often_pairs.has(self.keys), many), np.repeat(key, many)
+        self.keys = np.repeat(self.keys, many)
+        key[often] = _triple_keys(self.keys[often], self.words[third[often]])
+        part = _dealt(key, parts)
+        order = np.argsort(part, kind="stable")
+        back = np.empty(len(order), np.int64)
+        back[order] = np.arange(len(order))
+        self.of = back[self.of]                                # sequence of each token that has one
+        part, pair, first, self.third, self.counts = part[order], pair[order], first[order], third[order], self.counts[order]
+        self.ends = np.searchsorted(part, np.arange(parts + 1))
+        self.pairs = np.flatnonzero(_changes(pair, part))
+        self.second, self.keys = second[order[self.pairs]], self.keys[order[self.pairs]]
+        self.firsts = np.flatnonzero(_changes(first, part))
+        self.first = first[self.firsts]
+        self.seconds = np.diff(np.append(np.searchsorted(self.pairs, self.firsts), len(self.pairs)))  # pairs of each first word
+        self.thirds = np.diff(np.append(self.pairs, len(part)))
+
+    def _number(self, model: Automaton, code: np.ndarray, others: np.ndarray) -> np.ndarray:
+        """Numbers of the tokens among the distinct words: frequent ones first, then others, then no word."""
+        rank = np.zeros(model.escape + 1, np.uint64)
+        rank[code] = 1
+        used = np.flatnonzero(rank[:model.nothing])
+        rank[used] = np.arange(len(used), dtype=np.uint64)
+        rare, of = _distinct(others)
+        local = rank[code]
+        local[code == model.escape] = len(used) + of
+        self.words = np.concatenate([model.by_code[used], rare, np.zeros(1, np.uint64)])
+        self.codes = np.concatenate([used, np.full(len(rare), model.escape), [model.nothing]])
+        self.escape = model.escape
+        return local
+
+    def _pack(self, local: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        code = self.codes[local]
+        return code, self.words[local[code == self.escape]]
+
+    def dealt(self) -> Iterator[tuple[int, bytes]]:
+        """Each part that has sequences, and these."""
+        a, b = np.searchsorted(self.firsts, self.ends), np.searchsorted(self.pairs, self.ends)
+        for i in np.flatnonzero(np.diff(self.ends)).tolist():
+            one, two, three = slice(a[i], a[i + 1]), slice(b[i], b[i + 1]), slice(self.ends[i], self.ends[i + 1])
+            yield i, _packed(*self._pack(self.first[one]), self.seconds[one], *self._pack(self.second[two]), self.thirds[two],
+                             *self._pack(self.third[three]), self.counts[three])
+
+
+def _distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct keys, sorted, and the place among them of each key."""
+    return np.unique(keys, return_inverse=True)
+
+
+def _changes(*columns: np.ndarray) -> np.ndarray:
+    """Whether a row differs from the one before it."""
+    new = np.zeros(len(columns[0]), bool)
+    new[:1] = True
+    for x in columns:
+        new[1:] |= x[1:] != x[:-1]
+    return new
+
+
+def _sample_of(of: np.ndarray, n: int) -> np.ndarray:
+    """A row of each of ``n`` kinds, from the kind of each row."""
+    at = np.empty(n, np.int64)
+    at[of] = np.arange(len(of))
+    return at
+
+
+def _counted(model: Automaton) -> Callable[[pa.Table], pa.Table]:
+    """What a part answers each asked block: counts and kinds of its first words and pairs, and counts of its sequences."""
+    def count(table: pa.Table) -> pa.Table:
+        rows = [_unpacked(v.as_py()) for v in table["body"]]
+        sizes = [[len(r[i]) for r in rows] for i in (2, 5, 8)]
+
+        def words(i):
+            return np.concatenate([model.unpack(r[i], r[i + 1]) for r in rows])
+        first, second, third = words(0), words(3), words(6)
+        seconds, thirds, n = (np.concatenate([r[i] for r in rows]).astype(np.int64) for i in (2, 5, 8))
+        of_first = np.repeat(np.arange(len(first)), seconds)
+        of_pair = np.repeat(np.arange(len(second)), thirds)
+        keys = _pair_keys(first[of_first], second)
+        distinct, three = _distinct(_triple_keys(keys[of_pair], third))
+        at = _sample_of(three, len(distinct))
+        c3 = np.bincount(three, weights=n).astype(np.int64)
+        distinct, two = _distinct(keys)
+        at_pair = _sample_of(two, len(distinct))
+        c2 = np.bincount(two[of_pair], weights=n, minlength=len(at_pair)).astype(np.int64)
+        k3 = np.bincount(two[of_pair[at]], weights=(c3 > 0) & (third[at] != 0), minlength=len(at_pair)).astype(np.int64)
+        names, one = _distinct(first)
+        c1 = np.bincount(one[of_first[of_pair]], weights=n, minlength=len(names)).astype(np.int64)
+        k2 = np.bincount(one[of_first[at_pair]], weights=c2 > 0, minlength=len(names)).astype(np.int64)
+        ends = [np.concatenate([[0], np.cumsum(x)]) for x in sizes]
+        block, body = table["block"].to_numpy(), []
+        asked = np.flatnonzero(block >= 0)
+        for i in asked.tolist():
+            a, b, c = (slice(e[i], e[i + 1]) for e in ends)
+            body.append(_packed(c1[one[a]], k2[one[a]], c2[two[b]], k3[two[b]], c3[three[c]]))
+        return pa.table({"block": block[asked], "part": table["part"].to_numpy()[asked], "body": pa.array(body, pa.binary())})
+    return count
+
+
+def _blocks(model: Automaton, batches, asked: bool) -> Iterator[pa.RecordBatch]:
+    """Texts in blocks, packed; blocks that are only counted have negative numbers."""
+    part_id, number = TaskContext.get().partitionId(), 0
+    held, size = [], 0
+
+    def out():
+        ids = pa.concat_arrays([x[0] for x in held])
+        flat, lengths, counted = (np.concatenate([x[i] for x in held]) for i in (1, 2, 3))
+        words, local = np.unique(flat, return_inverse=True)
+        code = model.pack(words)[0][local]
+        block = (part_id << 32) + number
+        return pa.RecordBatch.from_arrays(
+            [pa.array([block if asked else -1 - block]), pa.array([len(flat)]), pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ids),
+             pa.array([_packed(code, flat[code == model.escape], lengths, counted)], pa.binary())], names=["block", "size", "ids", "body"])
+    for batch in batches:
+        for part in slices(batch):
+            flat, offsets = tokens(part.column(1))
+            held.append((part.column(0), flat, np.diff(offsets), part.column(2).to_numpy(zero_copy_only=False).astype(np.int64)))
+            size += len(flat)
+            if size >= BLOCK:
+                yield out()
+                held, size, number = [], 0, number + 1
+    if held:
+        yield out()
+
+
+def _texts(body: bytes) -> tuple[np.ndarray, ...]:
+    """Tokens of a block as :meth:`Automaton.pack` numbers them, offsets per text, and whether each text is counted."""
+    code, others, lengths, counted = _unpacked(body)
+    return code.astype(np.int64), others, np.concatenate([[0], np.cumsum(lengths.astype(np.int64))]), counted.astype(np.int64)
+
+
+def _walk(model: Automaton, offsets: np.ndarray, own: Sequences, c1, k2, c2, k3, c3) -> tuple[np.ndarray, ...]:
+    """Known tokens, base and model sums per text, from the counts of its sequences."""
+    n = int(offsets[-1])
+    model.often.put(own.words[own.first], c1, k2)
+    model.often_pairs.put(own.keys, c2, k3)
+    c1, k2 = (np.repeat(x, own.seconds) for x in (c1, k2))
+
+    def placed(x):
+        out = np.zeros(n, np.int64)
+        out[own.at] = x[own.of]
+        return out
+    c1, k2, c2, k3 = (placed(np.repeat(x, own.thirds)) for x in (c1, k2, c2, k3))
+    c3 = placed(c3)
+    seen = c1.copy()
+    seen[offsets[1:] - 1] = model.ends
+    step = model.root_log(seen)
+    before = np.arange(n) - np.repeat(offsets[:-1], np.diff(offsets))
+    at = np.flatnonzero(before >= 1)
+    step[at] = _mixed(c2[at - 1], c1[at - 1], _fail(k2[at - 1], c1[at - 1]) + step[at])
+    at = at[before[at] >= 2]
+    at = at[k3[at - 2] > 0]
+    step[at] = _mixed(c3[at - 2], c2[at - 2], _fail(k3[at - 2], c2[at - 2]) + step[at])
+    begin = offsets[:-1]
+    return (np.add.reduceat((seen > 0).astype(np.int64), begin), np.add.reduceat(np.log10(seen + 1.0), begin),
+            np.add.reduceat(step, begin))
+
+
+def score(docs: DataFrame, model: Automaton, words: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+          training: Column | None = None) -> DataFrame:
+    """``(id_col, n_tokens, n_known, train_tokens, base_score, score)`` per row, log10.
+
+    ``training`` tells the rows of ``docs`` that are the training texts, which then are dealt but
+    once; without it the model's own are dealt beside ``docs``. Counts of ``words`` come back with
+    the sequences they begin, so that the table itself is not joined."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
     kind = docs.schema[id_col].dataType.simpleString()
-    asked_kinds = {c: "double" if c in ("low", "lose", "of", "root") else "long"
-                   for c in ("back", "key", "hist", "low", "lose", "of", "source", "target", "root")}
-    item = "array<struct<" + ", ".join(f"{c}: {k}" for c, k in asked_kinds.items()) + ">>"
-
-    def run(batches) -> Iterator[pa.RecordBatch]:
-        own, part_id, row = shared.value, TaskContext.get().partitionId(), 0
+    mark = F.lit(False) if training is None else F.coalesce(training, F.lit(False))
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), mark.alias("counted"))
+    form = f"block long, size long, ids array<{kind}>, body binary"
+    blocks = saved(rows.mapInArrow(lambda batches: _blocks(shared.value, batches, True), form), "texts")
+    kept, size = blocks.select("block", "body"), blocks.agg(F.sum("size")).first()[0] or 0
+    if training is None and model.total:
+        others = model.texts.select(F.lit(None).cast(kind).alias("id"), F.col("text"), F.lit(True).alias("counted"))
+        kept = kept.unionByName(others.mapInArrow(lambda batches: _blocks(shared.value, batches, False), form).select("block", "body"))
+        size += model.total
+    parts = _parts(-(-size // PART))
+
+    def deal(batches) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch):
-                flat, offsets = tokens(part.column(1))
-                base, _, known, rare, ends = own.read(flat, offsets)
-                n, first = part.num_rows, own.find(flat[offsets[:-1]])
-                start = np.where(first < len(own.words), own.root_log(np.append(own.counts, 0)[first]), 0.0)
-                text, asked = own.lookups(flat, offsets)
-                begin = np.searchsorted(text, np.arange(n + 1))
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array((np.int64(part_id) << 40) + np.arange(row, row + n)),
-                     pa.array(np.diff(offsets)), pa.array(known), pa.array(base), pa.array(start),
-                     pa.array(flat[offsets[:-1]].view(np.int64), mask=first < len(own.words)),
-                     pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(rare.view(np.int64))),
-                     pa.ListArray.from_arrays(pa.array(begin.astype(np.int32)), pa.StructArray.from_arrays(
-                         list(asked.values()), names=list(asked)))],
-                    names=["id", "ref", "n_tokens", "known", "base", "start", "first", "rare", "asked"])
-                row += n
-
-    rows = saved(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(
-        run, f"id {kind}, ref long, n_tokens long, known long, base double, start double, first long, "
-             f"rare array<long>, asked {item}"), "rows")
-    steps = _steps(rows.select("ref", F.inline("asked")), model, words)
-    rare = rows.select("ref", "first", F.explode("rare").alias("key")).groupBy("ref", "first", "key").agg(
-        F.count(F.lit(1)).alias("times"))
-    c = F.coalesce("c", F.lit(0))
-    found = (rare.join(words.select("key", "c"), "key", "left").groupBy("ref")
-             .agg(F.sum(F.when(c > 0, F.col("times")).otherwise(0)).alias("more"),
-                  F.sum(F.col("times") * F.log10(c + 1.0)).alias("more_base"),
-                  F.sum(F.when(F.col("first") == F.col("key"), _at_root(model, c)).otherwise(0.0)).alias("more_start")))
+            for block, body in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                rows = [*Sequences(shared.value, *_texts(body.as_py()), parts).dealt()]
+                yield pa.RecordBatch.from_arrays([pa.array([i for i, _ in rows], pa.int32()), pa.array([block] * len(rows), pa.int64()),
+                                                  pa.array([b for _, b in rows], pa.binary())], names=["part", "block", "body"])
+
+    def walk(texts: pa.Table, answers: pa.Table) -> pa.Table:
+        own, names = shared.value, ["id", "n_tokens", "n_known", "base", "score"]
+        if not texts.num_rows:
+            raise ValueError("counts without their texts")
+        code, others, offsets, counted = _texts(texts["body"][0].as_py())
+        asked = Sequences(own, code, others, offsets, counted, parts)
+        counts = _joined(answers.sort_by("part")["body"]) if answers.num_rows else [np.zeros(0)] * 5
+        found = _walk(own, offsets, asked, *(c.astype(np.int64) for c in counts))
+        return pa.table([texts["ids"].combine_chunks().flatten(), pa.array(np.diff(offsets)), *map(pa.array, found)], names=names)
+
+    answers = kept.mapInArrow(deal, "part int, block long, body binary").groupBy("part").applyInArrow(
+        lambda table: _counted(shared.value)(table), "block long, part int, body binary")
+    found = blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(
+        walk, f"id {kind}, n_tokens long, n_known long, base double, score double")
     shift = math.log10(model.total + model.kinds + 1)
-
-    def plus(a: str, *others: str) -> Column:
-        return sum((F.coalesce(b, F.lit(0)) for b in others), F.col(a))
-    return (rows.drop("rare", "asked").join(found, "ref", "left").join(steps, "ref", "left")
-            .select(F.col("id").alias(id_col), "n_tokens", plus("known", "more").cast("long").alias("n_known"),
-                    F.lit(model.total).cast("long").alias("train_tokens"),
-                    (plus("base", "more_base") - F.col("n_tokens") * shift).alias("base_score"),
-                    plus("start", "more_start", "more_step").alias("score")))
+    return found.select(F.col("id").alias(id_col), "n_tokens", "n_known", F.lit(model.total).cast("long").alias("train_tokens"),
+                        (F.col("base") - F.col("n_tokens") * shift).alias("base_score"), "score")
 
 
-__all__ = ["Automaton", "train", "score", "tokens", "sequences"]
+__all__ = ["Automaton", "Sequences", "train", "score", "tokens"]
