@@ -25,6 +25,8 @@ from strata.llm.graph import saved
 from strata.llm.subword import default_vocabulary, encoder
 from strata.llm.words import slices
 
+SLICE_BYTES = 1 << 19  # text encoded at once, as an encoder needs many times its size
+
 
 def token_pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  vocabulary: str | None = None, end_id: int = 0, capacity: int = 2048) -> DataFrame:
@@ -40,7 +42,7 @@ def token_pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         seen = [0] * (capacity + 1)
         end = np.array([end_id], "<u4").tobytes()
         for batch in batches:
-            for part in slices(batch):
+            for part in slices(batch, limit=SLICE_BYTES):
                 bounds, flat = encode(part.column(1))
                 raw = flat.tobytes()
                 rows, piece, start, length, rank, ids = [], [], [], [], [], []

@@ -7,9 +7,9 @@ from collections import Counter
 import numpy as np
 import pyarrow as pa
 import pytest
+from brute import words
 
 from strata.llm import backoff_lm
-from tests.llm.brute import words
 
 
 def corpus() -> list[tuple]:
