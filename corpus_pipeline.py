@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.llm import suite, toxicity
+from strata.llm.bitmap import may_be_in
 from strata.llm.graph import saved
 from strata.llm.jaccard_join import near_duplicate_groups
 from strata.llm.passages import remove_repeats
@@ -27,9 +28,11 @@ def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def distinct_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of least id of each near-duplicate group."""
-    others = near_duplicate_groups(docs).where("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(others, "doc_id", "left_anti").select(*docs.columns)
+    """The document of least id of each near-duplicate group; only rows that a bitmap of the others lets through are joined with them."""
+    others = saved(near_duplicate_groups(docs).where("doc_id <> component_id").select("doc_id").distinct(), "others")
+    may_go = may_be_in(others.select(F.xxhash64("doc_id").alias("cell")))(F.xxhash64("doc_id"))
+    asked = docs.where(may_go).join(others, "doc_id", "left_anti").select(*docs.columns)
+    return docs.where(~may_go).unionByName(asked)
 
 
 def distinct_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -10,13 +10,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.session import scratch_path
+from strata.session import scratch_path, shuffles_go
 
 
 def saved(df: DataFrame, name: str) -> DataFrame:
-    """The table written to the shared scratch folder and read again."""
+    """The table written to the shared scratch folder and read again; its shuffle files go."""
     path = scratch_path(df.sparkSession, name)
-    df.write.option("compression", "zstd").parquet(path)
+    with shuffles_go(df.sparkSession):
+        df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -34,8 +35,9 @@ def _small_star(edges: DataFrame) -> DataFrame:
 
 
 def _mark(edges: DataFrame) -> tuple:
-    return tuple(edges.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("a", "b")),
-                           F.sum(F.xxhash64("b", "a").cast("decimal(20,0)"))).first())
+    with shuffles_go(edges.sparkSession):
+        return tuple(edges.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("a", "b")),
+                               F.sum(F.xxhash64("b", "a").cast("decimal(20,0)"))).first())
 
 
 def components(edges: DataFrame) -> DataFrame:

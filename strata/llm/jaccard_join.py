@@ -36,6 +36,7 @@ from pyspark.sql import functions as F
 from strata.llm.bitmap import bitmap, hit
 from strata.llm.graph import components, merged, saved
 from strata.llm.words import mix, shingle_sets, slices
+from strata.session import shuffles_go
 
 FREQUENT_TOKENS = 1 << 16   # size of the table of frequent tokens
 FREQUENT_FROM = 64          # least count of a frequent token
@@ -88,9 +89,10 @@ def frequent_tokens(texts: DataFrame) -> np.ndarray:
         if size:
             yield counted()
 
-    rows = (texts.select("text").mapInArrow(count, "token long, n long")
-            .groupBy("token").agg(F.sum("n").alias("n")).where(F.col("n") >= FREQUENT_FROM)
-            .orderBy(F.desc("n"), "token").limit(FREQUENT_TOKENS).collect())
+    with shuffles_go(texts.sparkSession):
+        rows = (texts.select("text").mapInArrow(count, "token long, n long")
+                .groupBy("token").agg(F.sum("n").alias("n")).where(F.col("n") >= FREQUENT_FROM)
+                .orderBy(F.desc("n"), "token").limit(FREQUENT_TOKENS).collect())
     return np.array([r.token for r in rows[::-1]], dtype=np.int64).view(np.uint64)
 
 

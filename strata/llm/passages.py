@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegralType
 
-from strata.llm.bitmap import bitmap, hit
+from strata.llm.bitmap import bitmap, hit, may_be_in
 from strata.llm.graph import saved
 from strata.llm.words import _LOWER, bounds_and_bytes, mix, run_hashes, slices, span_hashes, word_spans
 
@@ -307,9 +307,11 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     rest = [c for c in docs.columns if c != text_col]
     mark, ranked = F.xxhash64(text_col), _ranked(docs, id_col)
     found = repeats(ranked.select(F.col("__k").alias("k"), mark.alias("mark"), F.col(text_col).alias("text")), unit_words, min_words)
-    found = found.select(F.col("k").alias("__of"), F.col("order").alias("__order"), F.col("places").alias("__places"))
+    found = saved(found.select(F.col("k").alias("__of"), F.col("order").alias("__order"), F.col("places").alias("__places")), "repeats")
     own = (F.col("__order") == 0) | (F.col("__order") == mark.bitwiseOR(F.lit(1).cast("long")))
-    joined = ranked.join(found, (F.col("__k") == F.col("__of")) & own, "left")
+    # Texts that have no repeat are not sent on: a bitmap of those that have some lets few others through.
+    may_have = may_be_in(found.select(F.xxhash64("__of").alias("cell")))(F.xxhash64("__k"))
+    joined = ranked.where(may_have).join(found, (F.col("__k") == F.col("__of")) & own, "left")
     joined = joined.select(*[F.col(f"`{c}`") for c in rest], F.col(text_col), F.col("__places"))
 
     def run(batches) -> Iterator[pa.RecordBatch]:
@@ -339,9 +341,12 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     kinds = [joined.schema[i].dataType.simpleString() for i in range(len(rest) + 1)]
     schema = ", ".join(f"c{i} {k}" for i, k in enumerate(kinds))
-    cut = joined.mapInArrow(run, schema + ", removed array<struct<begin: bigint, end: bigint>>")
+    removed = "array<struct<begin: bigint, end: bigint>>"
+    cut = joined.mapInArrow(run, f"{schema}, removed {removed}")
     named = {c: F.col(f"c{i}") for i, c in enumerate([*rest, text_col])}
-    return cut.select(*[named[c].alias(c) for c in docs.columns], F.col("removed").alias("removed_spans"))
+    cut = cut.select(*[named[c].alias(c) for c in docs.columns], F.col("removed").alias("removed_spans"))
+    whole = ranked.where(~may_have).select(*[F.col(f"`{c}`") for c in docs.columns], F.array().cast(removed).alias("removed_spans"))
+    return whole.union(cut)
 
 
 __all__ = ["Layout", "repeats", "remove_repeats"]
