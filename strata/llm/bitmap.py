@@ -12,6 +12,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from strata.llm.words import release
 from strata.session import shuffles_go
 
 BITS = 25
@@ -39,6 +40,7 @@ def may_be_in(cells: DataFrame) -> Callable[[Column], Column]:
 
     @F.arrow_udf("boolean")
     def found(cell: pa.Array) -> pa.Array:
+        release()
         return pa.array(hit(shared.value, cell.to_numpy()))
     return found
 

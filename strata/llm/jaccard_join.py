@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from strata.llm.bitmap import bitmap, hit
 from strata.llm.graph import components, merged, saved
 from strata.llm.words import mix, shingle_sets, slices
-from strata.session import shuffles_go
+from strata.session import shuffles_go, small_batches
 
 FREQUENT_TOKENS = 1 << 16   # size of the table of frequent tokens
 FREQUENT_FROM = 64          # least count of a frequent token
@@ -293,6 +293,11 @@ def near_duplicate_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str
     Two documents link when their shingle sets have Jaccard similarity of at
     least ``num / den``; ``component_id`` is the least id reachable by links.
     """
+    with small_batches(docs.sparkSession):
+        return _placed(docs, id_col, text_col, num, den)
+
+
+def _placed(docs: DataFrame, id_col: str, text_col: str, num: int, den: int) -> DataFrame:
     texts = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("mark"), F.col(text_col).alias("text"))
     sets = saved(describe(texts, frequent_tokens(texts), num, den), "sets")
     filled = sets.where("n > 0")

@@ -32,6 +32,7 @@ from pyspark.sql.types import IntegralType
 from strata.llm.bitmap import bitmap, hit, may_be_in
 from strata.llm.graph import saved
 from strata.llm.words import _LOWER, bounds_and_bytes, mix, run_hashes, slices, span_hashes, word_spans
+from strata.session import small_batches
 
 UNIT_WORDS = 4
 MIN_WORDS = 30
@@ -306,8 +307,9 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     A cut leaves a newline where words stood on both sides of it."""
     rest = [c for c in docs.columns if c != text_col]
     mark, ranked = F.xxhash64(text_col), _ranked(docs, id_col)
-    found = repeats(ranked.select(F.col("__k").alias("k"), mark.alias("mark"), F.col(text_col).alias("text")), unit_words, min_words)
-    found = saved(found.select(F.col("k").alias("__of"), F.col("order").alias("__order"), F.col("places").alias("__places")), "repeats")
+    with small_batches(docs.sparkSession):
+        found = repeats(ranked.select(F.col("__k").alias("k"), mark.alias("mark"), F.col(text_col).alias("text")), unit_words, min_words)
+        found = saved(found.select(F.col("k").alias("__of"), F.col("order").alias("__order"), F.col("places").alias("__places")), "repeats")
     own = (F.col("__order") == 0) | (F.col("__order") == mark.bitwiseOR(F.lit(1).cast("long")))
     # Texts that have no repeat are not sent on: a bitmap of those that have some lets few others through.
     may_have = may_be_in(found.select(F.xxhash64("__of").alias("cell")))(F.xxhash64("__k"))

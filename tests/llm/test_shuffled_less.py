@@ -3,6 +3,7 @@
 import re
 import time
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -10,7 +11,7 @@ import corpus_pipeline as P
 from strata.llm.bitmap import bitmap, may_be_in
 from strata.llm.graph import saved
 from strata.llm.passages import remove_repeats
-from strata.session import SHUFFLES_GO, shuffles_go
+from strata.session import BATCH_BYTES, SHUFFLES_GO, shuffles_go, small_batches
 
 SCHEMA = "doc_id long, text string, n_chars long"
 
@@ -31,12 +32,22 @@ def test_shuffle_files_go_with_the_query(spark, end):
     assert kept is not None and not shuffle_files(spark) - before
 
 
-def test_setting_is_as_before_after_errors_too(spark):
-    was = spark.conf.get(SHUFFLES_GO, "false")
-    with pytest.raises(ZeroDivisionError), shuffles_go(spark):
-        assert spark.conf.get(SHUFFLES_GO) == "true"
+@pytest.mark.parametrize(("key", "context"), [(SHUFFLES_GO, shuffles_go), (BATCH_BYTES, small_batches)])
+def test_setting_is_as_before_after_errors_too(spark, key, context):
+    was = spark.conf.get(key)
+    with pytest.raises(ZeroDivisionError), context(spark):
+        assert spark.conf.get(key) != was
         1 / 0
-    assert spark.conf.get(SHUFFLES_GO) == was
+    assert spark.conf.get(key) == was
+
+
+def test_long_texts_go_to_workers_in_small_batches(spark):
+    table = spark.range(0, 100, 1, 1).select(F.repeat(F.lit("x"), 1_000_000).alias("text"))
+
+    def most(batches):
+        yield pa.RecordBatch.from_arrays([pa.array([max(b.num_rows for b in batches)])], names=["n"])
+    with small_batches(spark):
+        assert table.mapInArrow(most, "n long").first().n < 10
 
 
 def test_nothing_in_the_table_is_passed_over(spark):
